@@ -19,25 +19,26 @@ from ..functions import text as tx
 from .order import global_offset
 
 
-def sections(df: DataFrame, group: str, order: str, line: str, bucket, max_words: int = 10) -> DataFrame:
+def sections(df: DataFrame, group: str, order: list[str], line: str, bucket, max_words: int = 10) -> DataFrame:
     """``df(group, order, line)`` -> ``(section_id, group, title, body)``.
 
     ``bucket`` must be monotone in ``(group, order)``.
     """
-    d = df.select(group, order, line).withColumn(
+    order = [order] if isinstance(order, str) else list(order)
+    d = df.select(group, *order, line).withColumn(
         "_h", F.coalesce(tx.is_header_line(F.col(line), max_words), F.lit(False)).cast("int")
     )
-    d = global_offset(d, [group, order], F.col("_h"), bucket, out="_before")
+    d = global_offset(d, [group, *order], F.col("_h"), bucket, out="_before")
     d = d.withColumn("section_id", F.col("_before") + F.col("_h"))
     heads = d.filter(F.col("_h") == 1).select(
         "section_id", F.col(group).alias("_hg"), tx.title_case(tx.strip_ws(F.col(line))).alias("title")
     )
     body = d.filter((F.col("_h") == 0) & (F.col("section_id") > 0)).select(
-        "section_id", F.col(group).alias("_bg"), order, tx.strip_ws(F.col(line)).alias("_l")
+        "section_id", F.col(group).alias("_bg"), *order, tx.strip_ws(F.col(line)).alias("_l")
     ).filter(F.col("_l") != "")
     # A body line belongs to the section only when both sit in the same group.
     j = body.join(heads, "section_id").filter(F.col("_bg") == F.col("_hg"))
     agg = j.groupBy("section_id", "_hg", "title").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "_l"))), lambda x: x["_l"]), " ").alias("body")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "_l"))), lambda x: x["_l"]), " ").alias("body")
     )
     return agg.select("section_id", F.col("_hg").alias(group), "title", "body")

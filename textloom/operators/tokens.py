@@ -29,26 +29,21 @@ DEFAULT_CTX = 1024
 DEFAULT_SHARD_TOKENS = 1_500_000
 UINT16_MAX = 65535
 
-_HEX = "0123456789ABCDEF"
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def encode_bytes(text) -> Column:
-    """UTF-8 byte ids of ``text`` as ``array<int>`` (JVM only)."""
-    h = F.hex(F.encode(_c(text), "UTF-8"))
-    n = F.length(h) / 2
-    idx = F.sequence(F.lit(0), (n - 1).cast("int"))
-
-    def byte_at(i):
-        hi = F.instr(F.lit(_HEX), F.substring(h, i * 2 + 1, 1)) - 1
-        lo = F.instr(F.lit(_HEX), F.substring(h, i * 2 + 2, 1)) - 1
-        return (hi * 16 + lo).cast("int")
-
-    empty = F.array().cast("array<int>")
-    return F.when(_c(text).isNull(), F.lit(None).cast("array<int>")).when(n == 0, empty).otherwise(F.transform(idx, byte_at))
+    """UTF-8 byte ids of ``text`` as ``array<int>`` (JVM only, linear).
+
+    The UTF-8 bytes are decoded as ISO-8859-1, which maps byte b to the
+    character U+00bb one to one; splitting into characters and taking each
+    code point gives the byte values without per-position substring calls.
+    """
+    t = _c(text)
+    latin = F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+    ids = F.transform(F.split(latin, ""), lambda ch: F.ascii(ch))
+    return F.when(F.length(t) == 0, F.array().cast("array<int>")).otherwise(ids)
 
 
 def encode_with(text, encoder_factory: Callable[[], object]) -> Column:
