@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _col, capitalize, capitalize_words, strip_ws, title_case
+from .text import _col, capitalize, capitalize_words, safe_double, strip_ws, title_case
 
 # --------------------------------------------------------------------------
 # These must equal the reference's tables for identical labels.
@@ -145,11 +145,5 @@ def is_present(c) -> Column:
     """Symptom-flag value test: blank/nan/none -> no; numeric -> > 0; else a
     present word."""
     s = F.lower(strip_ws(_col(c).cast("string")))
-    from .text import safe_double
-
-    d = safe_double(s)
-    return (
-        F.when(s.isNull() | s.isin(*ABSENT_WORDS), F.lit(False))
-        .when(d.isNotNull(), d > 0.0)
-        .otherwise(s.isin(*PRESENT_WORDS))
-    )
+    return F.when(s.isNull() | s.isin(*ABSENT_WORDS), F.lit(False)).otherwise(
+        F.coalesce(safe_double(s) > 0.0, s.isin(*PRESENT_WORDS)))

@@ -102,9 +102,14 @@ def collapse_ws(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), WS + "+", " "))
 
 
+# The whitespace class spelled out as characters, for btrim (no regex needed).
+WS_LITERAL = "".join(chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                                      *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(_col(c), F.lit(WS_LITERAL))
 
 
 def is_blank(c) -> Column:

@@ -19,6 +19,14 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 
 
+def keep_if(df: DataFrame, cond: Column) -> DataFrame:
+    """Drop rows where ``cond`` is not true, *after* the projections that
+    compute the columns it reads.  A plain ``filter`` would be pushed below
+    them (re-evaluating the expressions inside the filter, possibly before an
+    input-balancing exchange); a 0/1-row generator is not."""
+    return df.withColumn("_keep", F.explode(F.filter(F.array(F.lit(1)), lambda _x: F.coalesce(cond, F.lit(False))))).drop("_keep")
+
+
 def with_post(
     df: DataFrame,
     text,

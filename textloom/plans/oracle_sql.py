@@ -35,7 +35,7 @@ def kw_norm(x: str) -> str:
 
 
 def strip_ws(x: str) -> str:
-    return rr(x, f"^{tx.WS}+|{tx.WS}+$", "")
+    return f"trim({x}, {q(tx.WS_LITERAL)})"
 
 
 def is_blank(x: str) -> str:

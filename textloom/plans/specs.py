@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as cl
 from ..functions import labels as lb
 from ..functions import text as tx
-from ..operators.examples import with_light_text, with_post
+from ..operators.examples import keep_if, with_light_text, with_post
 from ..operators.stats import with_severity
 
 # --------------------------------------------------------------------------
@@ -59,7 +59,7 @@ def _done(df: DataFrame, task, answer, sub: Column | int = 0) -> DataFrame:
 # P1
 def condition_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "body", "post"])).withColumn("_title", _first(df, ["title"]))
-    d = d.withColumn("_label", tx.strip_ws(_first(df, ["subreddit", "label"]))).filter(F.col("_label") != "")
+    d = keep_if(d.withColumn("_label", tx.strip_ws(_first(df, ["subreddit", "label"]))), F.col("_label") != "")
     d = with_post(d, "_text", "_title")
     return _done(d, TASK_CONDITION, lb.map_or_capitalize(F.col("_label")))
 
@@ -67,7 +67,7 @@ def condition_posts(df: DataFrame) -> DataFrame:
 # P2
 def sentiment_risk_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "post", "content"]))
-    d = d.withColumn("_sent", _first(df, ["sentiment", "sentiment_label"])).filter(~tx.is_blank(F.col("_sent")))
+    d = keep_if(d.withColumn("_sent", _first(df, ["sentiment", "sentiment_label"])), ~tx.is_blank(F.col("_sent")))
     d = d.withColumn("_risk", tx.strip_ws(_first(df, ["risk_factor"])))
     d = with_post(d, "_text")
     pairs = F.array_compact(F.array(
@@ -81,7 +81,7 @@ def sentiment_risk_posts(df: DataFrame) -> DataFrame:
 # P3
 def anxiety_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "post", "content"]))
-    d = d.withColumn("_v", F.lower(tx.strip_ws(_first(df, ["anxiety", "label", "class"])))).filter(F.col("_v") != "")
+    d = keep_if(d.withColumn("_v", F.lower(tx.strip_ws(_first(df, ["anxiety", "label", "class"])))), F.col("_v") != "")
     d = with_post(d, "_text")
     return _done(d, TASK_ANXIETY, lb.yes_no(F.col("_v"), lb.YES_ANXIETY))
 
@@ -96,7 +96,7 @@ def stress_posts(df: DataFrame) -> DataFrame:
 # P5
 def coded_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "post", "body"]))
-    d = d.withColumn("_v", tx.strip_ws(_first(df, ["target", "label", "class"]))).filter(F.col("_v") != "")
+    d = keep_if(d.withColumn("_v", tx.strip_ws(_first(df, ["target", "label", "class"]))), F.col("_v") != "")
     d = with_post(d, "_text")
     return _done(d, TASK_CODED, lb.code_or_capitalize(F.col("_v")))
 
@@ -127,7 +127,7 @@ def multi_format_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_title", title).withColumn("_raw", F.coalesce(raw, F.when(F.col("_title") != "", F.col("_title"))))
     lf = cl.existing(df, cl.LABEL_FIELDS)
     d = d.withColumn("_lab", cl.first_nonblank(*lf) if lf else F.lit(None).cast("string"))
-    d = d.filter(F.col("_raw").isNotNull() & F.col("_lab").isNotNull())
+    d = keep_if(d, F.col("_raw").isNotNull() & F.col("_lab").isNotNull())
     d = with_post(d, "_raw", "_title")
     return _done(d, TASK_CONDITION, lb.canon_condition(F.col("_lab")))
 
@@ -142,9 +142,8 @@ def symptom_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
         return df.sparkSession.createDataFrame([], "ord long, sub int, post string, task string, answer string")
     symptoms = [c for c in data_cols if c != label]
     d = df.withColumn("_diag", F.when(F.col(label).isNotNull(), lb.diagnosis(F.col(label))).otherwise(F.lit("")))
-    d = d.filter(F.col("_diag") != "")
     d = d.withColumn("_pres", cl.presence_list(symptoms, lb.is_present))
-    d = d.filter((F.size("_pres") > 0) | (F.col("_diag") == "Normal"))
+    d = keep_if(d, (F.col("_diag") != "") & ((F.size("_pres") > 0) | (F.col("_diag") == "Normal")))
     pres = F.when(F.size("_pres") > 0, F.col("_pres")).otherwise(F.array(F.lit(NO_SYMPTOMS)))
     d = d.withColumn("_text", F.concat(F.lit(SYMPTOM_PREFIX), F.array_join(F.slice(pres, 1, MAX_SYMPTOMS), ", "), F.lit(SYMPTOM_SUFFIX)))
     d = with_post(d, "_text")
@@ -173,7 +172,7 @@ def _selftext_raw(df: DataFrame) -> Column:
 
 # P10
 def constant_label_posts(df: DataFrame, answer: str = CONSTANT_ANSWER, task: str = TASK_CONDITION) -> DataFrame:
-    d = df.withColumn("_raw", _selftext_raw(df)).filter(F.col("_raw").isNotNull())
+    d = keep_if(df.withColumn("_raw", _selftext_raw(df)), F.col("_raw").isNotNull())
     d = d.withColumn("_title", _first(df, ["title"]))
     d = with_post(d, "_raw", "_title")
     return _done(d, task, F.lit(answer))
@@ -181,7 +180,7 @@ def constant_label_posts(df: DataFrame, answer: str = CONSTANT_ANSWER, task: str
 
 # P12 (rows): light-cleaned natural text; rendering, dedupe and tokens are in plans.corpus
 def light_posts(df: DataFrame, answer: str = CONSTANT_ANSWER, task: str = TASK_CONDITION) -> DataFrame:
-    d = df.withColumn("_raw", _selftext_raw(df)).filter(F.col("_raw").isNotNull())
+    d = keep_if(df.withColumn("_raw", _selftext_raw(df)), F.col("_raw").isNotNull())
     title = tx.strip_ws(F.coalesce(F.col("title").cast("string"), F.lit(""))) if "title" in df.columns else F.lit("")
     d = d.withColumn("_title", title)
     d = with_light_text(d, "_raw", "_title")
@@ -191,7 +190,7 @@ def light_posts(df: DataFrame, answer: str = CONSTANT_ANSWER, task: str = TASK_C
 # P13 (rows)
 def trial_posts(df: DataFrame, min_len: int = 10) -> DataFrame:
     d = df.withColumn("post", tx.newline_to_space(_first(df, ["text", "post", "content"])))
-    d = d.filter(F.length("post") >= min_len)
+    d = keep_if(d, F.length("post") >= min_len)
     v = _first(df, ["anxiety", "label", "class"])
     return _done(d, TASK_ANXIETY, lb.yes_no(v, lb.YES_ANXIETY))
 
