@@ -126,9 +126,26 @@ def wide_to_phrase(cols: Sequence[str], default: str = "various lifestyle and sc
     return F.when(F.size(arr) > 0, F.array_join(arr, "; ")).otherwise(F.lit(default))
 
 
-def presence_list(cols: Sequence[str], present) -> Column:
-    """Array of humanised names of the columns whose value is present."""
-    parts = [F.when(present(F.col(c)), F.lit(humanize_name(c))) for c in cols]
+def presence_list(cols: Sequence[str], present, schema: T.StructType | None = None) -> Column:
+    """Array of humanised names of the columns whose value is present.
+
+    With ``schema``, typed columns skip the string round trip: a number is
+    present when > 0 (what parsing its text would give), a boolean when true,
+    dates and timestamps never (their text is neither a number nor a word).
+    """
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+
+    def test(c):
+        t = types.get(c)
+        if isinstance(t, _NUMERIC):
+            return F.coalesce(F.col(c).cast("double") > 0.0, F.lit(False))
+        if isinstance(t, T.BooleanType):
+            return F.coalesce(F.col(c), F.lit(False))
+        if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.lit(False)
+        return present(F.col(c))
+
+    parts = [F.when(test(c), F.lit(humanize_name(c))) for c in cols]
     return F.array_compact(F.array(*parts)) if parts else F.array().cast("array<string>")
 
 

@@ -136,7 +136,7 @@ def light_clean(c) -> Column:
 NON_ALNUM_RE = "[^a-z0-9]+"
 
 
-def normalize_for_keywords(c, strip_emoji: bool = False) -> Column:
+def normalize_for_keywords(c, strip_emoji: bool = False, patterns_stripped: bool = False) -> Column:
     """Pattern stripping + lower case + non ``[a-z0-9]`` runs -> space + collapse.
 
     Replacing runs of non-``[a-z0-9\\s]`` by a space and then collapsing white
@@ -149,7 +149,7 @@ def normalize_for_keywords(c, strip_emoji: bool = False) -> Column:
     ``[a-z0-9]``, so the non-alphanumeric pass removes them too.  It stays as an
     option for callers that want the literal sequence of steps.
     """
-    x = strip_hashtags(strip_mentions(strip_emails(strip_urls(c))))
+    x = _col(c) if patterns_stripped else strip_hashtags(strip_mentions(strip_emails(strip_urls(c))))
     if strip_emoji:
         x = strip_emojis(x)
     return F.trim(F.regexp_replace(F.lower(x), NON_ALNUM_RE, " "))
@@ -160,6 +160,7 @@ def keyword_tokens(
     stop_words: Iterable[str] | None = STOP_WORDS,
     unique: bool = True,
     strip_emoji: bool = False,
+    patterns_stripped: bool = False,
 ) -> Column:
     """Ordered keyword array: split, drop stop words and 1-char tokens,
     de-duplicate keeping the first occurrence.
@@ -167,7 +168,7 @@ def keyword_tokens(
     With ``unique`` the stop list is removed by ``array_except`` (hash-set
     lookups; keeps first-occurrence order and drops repeats in one step).
     """
-    toks = F.split(normalize_for_keywords(c, strip_emoji), " ")
+    toks = F.split(normalize_for_keywords(c, strip_emoji, patterns_stripped), " ")
     stops = list(stop_words or [])
     if unique:
         stop_arr = F.array(*[F.lit(w) for w in stops]) if stops else F.array().cast("array<string>")

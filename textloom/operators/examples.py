@@ -27,6 +27,20 @@ def keep_if(df: DataFrame, cond: Column) -> DataFrame:
     return df.withColumn("_keep", F.explode(F.filter(F.array(F.lit(1)), lambda _x: F.coalesce(cond, F.lit(False))))).drop("_keep")
 
 
+def _strip_patterns_staged(df: DataFrame, src: str, out: str) -> DataFrame:
+    """URL, e-mail, mention and hashtag removal as separate projections, each
+    regex skipped when the substring it needs (``://``/``www.``, ``@``, ``#``)
+    is absent.  Each step reads the previous column several times, so
+    Catalyst keeps the steps apart instead of copying them into each other."""
+    x = F.col(src)
+    d = df.withColumn("_sp1", F.when(x.contains("://") | F.lower(x).contains("www."), tx.strip_urls(x)).otherwise(x))
+    a = F.col("_sp1")
+    d = d.withColumn("_sp2", F.when(a.contains("@"), tx.strip_mentions(tx.strip_emails(a))).otherwise(a))
+    b = F.col("_sp2")
+    d = d.withColumn(out, F.when(b.contains("#"), tx.strip_hashtags(b)).otherwise(b))
+    return d.drop("_sp1", "_sp2")
+
+
 def with_post(
     df: DataFrame,
     text,
@@ -41,14 +55,16 @@ def with_post(
     t = F.col(text) if isinstance(text, str) else text
     full = t if title is None else tx.merge_title(t, F.col(title) if isinstance(title, str) else title, trim_title_first)
     d = df.withColumn("_wp_full", full)
+    d = d.withColumn("_wp_spam", tx.is_spammy(F.col("_wp_full"), min_chars))
+    d = _strip_patterns_staged(d, "_wp_full", "_wp_clean")
     empty = F.array().cast("array<string>")
     d = d.withColumn(
         "_wp_toks",
-        F.when(tx.is_spammy(F.col("_wp_full"), min_chars), empty).otherwise(tx.keyword_tokens(F.col("_wp_full"), **kw)),
+        F.when(F.col("_wp_spam"), empty).otherwise(tx.keyword_tokens(F.col("_wp_clean"), patterns_stripped=True, **kw)),
     )
     kept = F.filter(F.array(F.col("_wp_toks")), lambda x: F.size(x) >= min_keywords)
     d = d.withColumn("_wp_kw", F.explode(kept))
-    return d.withColumn(out, F.array_join("_wp_kw", " ")).drop("_wp_full", "_wp_toks", "_wp_kw")
+    return d.withColumn(out, F.array_join("_wp_kw", " ")).drop("_wp_full", "_wp_spam", "_wp_clean", "_wp_toks", "_wp_kw")
 
 
 def with_light_text(df: DataFrame, text, title=None, out: str = "post") -> DataFrame:
@@ -56,7 +72,8 @@ def with_light_text(df: DataFrame, text, title=None, out: str = "post") -> DataF
     hashtags removed, white space collapsed; rows left empty are dropped."""
     t = F.col(text) if isinstance(text, str) else text
     full = t if title is None else tx.merge_title(t, F.col(title) if isinstance(title, str) else title, True)
-    d = df.withColumn("_lt", tx.light_clean(full))
+    d = _strip_patterns_staged(df.withColumn("_lt_full", full), "_lt_full", "_lt_s")
+    d = d.withColumn("_lt", tx.collapse_ws(F.col("_lt_s"))).drop("_lt_full", "_lt_s")
     d = d.withColumn("_lt_arr", F.explode(F.filter(F.array(F.col("_lt")), lambda x: x.isNotNull() & (x != ""))))
     return d.withColumn(out, F.col("_lt_arr")).drop("_lt", "_lt_arr")
 

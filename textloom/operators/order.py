@@ -86,6 +86,16 @@ def global_offset(
     return d.drop("_go_b", "_go_v", "_go_bs", "_go_start", "_go_local")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage before a multi-pass operator: a reliable checkpoint in the
+    shared ``spark.checkpoint.dir`` (survives executor loss; never a local
+    checkpoint), so the expensive cleaning chain above runs once."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 # --------------------------------------------------------------------------
 # Dedupe (I1, I2, K2)
 # --------------------------------------------------------------------------
@@ -93,32 +103,29 @@ def _orders(order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
-def _firsts(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Earliest order value per key.  One order column: fixed-width ``min``
-    (hash aggregate); several: ``min(struct)`` (sort aggregate).  Both combine
-    map-side, so a key holding a third of all rows costs one partial row per
-    map task."""
-    if len(order) == 1:
-        return df.groupBy(key).agg(F.min(order[0]).alias(order[0]))
-    g = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_mo"))
-    return g.select(key, *[F.col(f"_mo.{o}").alias(o) for o in order])
-
-
 def mark_first(df: DataFrame, key: str, order, out: str = "is_first") -> DataFrame:
     """``out`` = 1 for the earliest row (by ``order``) of each ``key``.
 
-    Marking joins back on ``(key, order)``, which is unique, so the join is
-    not skewed by hot keys.
+    The first rows come from :func:`dedupe_first` (map-side limited, skew
+    safe); marking joins back on ``(key, order)``, which is unique, so the join
+    is not skewed by hot keys either.  ``df`` is read twice: materialise an
+    expensive input first (:func:`textloom.operators.order.materialize`).
     """
     order = _orders(order)
-    firsts = _firsts(df, key, order).withColumn(out, F.lit(1))
+    firsts = dedupe_first(df.select(key, *order), key, order).withColumn(out, F.lit(1))
     return df.join(firsts, on=[key, *order], how="left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
 def dedupe_first(df: DataFrame, key: str, order) -> DataFrame:
-    """Keep the first occurrence of each ``key`` in ``order`` (exact dedupe)."""
+    """Keep the first occurrence of each ``key`` in ``order`` (exact dedupe).
+
+    ``row_number() == 1`` is planned with a map-side WindowGroupLimit: every
+    map task keeps one row per key before the shuffle, so a key holding a
+    third of all rows sends one row per task, and the input is read once.
+    """
     order = _orders(order)
-    return df.join(_firsts(df, key, order), on=[key, *order], how="left_semi")
+    w = Window.partitionBy(key).orderBy(*[F.col(o) for o in order])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None) -> DataFrame:

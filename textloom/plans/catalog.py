@@ -476,7 +476,7 @@ f AS (SELECT doc_id, h, CAST(row_number() OVER (PARTITION BY h ORDER BY doc_id)
 s AS (SELECT doc_id, h, first, coalesce(sum(first) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM f)
 SELECT doc_id, h FROM s WHERE first = 1 OR seen >= {CAP_TEST}""")
 def q_dedupe_capped(spark, sf):
-    e = _light_examples(spark, sf)
+    e = od.materialize(_light_examples(spark, sf))
     return od.dedupe_capped(e, "h", "doc_id", CAP_TEST).select("doc_id", "h")
 
 
@@ -489,7 +489,7 @@ r AS (SELECT doc_id, row_number() OVER (ORDER BY key, doc_id) - 1 AS pos, count(
 SELECT doc_id, CASE WHEN pos < floor(n * CAST({1.0 - VAL_RATIO!r} AS DOUBLE)) THEN 'train' ELSE 'val' END AS split FROM r""")
 def q_split_exact(spark, sf):
     e = od.dedupe_first(_light_examples(spark, sf), "h", "doc_id")
-    e = e.withColumn("key", od.shuffle_key(F.col("example"), SEED))
+    e = od.materialize(e.withColumn("key", od.shuffle_key(F.col("example"), SEED)))
     return od.split_exact(e, "key", VAL_RATIO, tiebreak=["doc_id"]).select("doc_id", "split")
 
 
@@ -572,7 +572,7 @@ SELECT * FROM b {filt}"""
 
 def _pack(spark, sf, drop_last: bool):
     d = _docs(spark, sf).filter(F.col("text").isNotNull())
-    d = d.withColumn("seq", tk.cap_with_eot(tk.encode_bytes("text"), CTX))
+    d = od.materialize(d.withColumn("seq", tk.cap_with_eot(tk.encode_bytes("text"), CTX)).select("doc_id", "seq"))
     bl = tk.pack_blocks(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"), ctx=CTX, drop_last=drop_last)
     return bl.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
 
@@ -593,7 +593,7 @@ s AS (SELECT doc_id, n, coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOU
 SELECT (st // {tk.DEFAULT_SHARD_TOKENS})::BIGINT AS shard_id, count(*)::BIGINT AS n_seqs, sum(n)::BIGINT AS n_tokens FROM s GROUP BY 1""")
 def q_shards(spark, sf):
     d = _docs(spark, sf).filter(F.col("text").isNotNull())
-    d = d.withColumn("seq", tk.prepend_eot(tk.encode_bytes("text")))
+    d = od.materialize(d.withColumn("seq", tk.prepend_eot(tk.encode_bytes("text"))).select("doc_id", "seq"))
     s = tk.assign_shards(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"))
     return s.groupBy("shard_id").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"), F.sum(F.size("seq")).cast("long").alias("n_tokens"))
 
@@ -609,7 +609,7 @@ SELECT dataset, CASE WHEN pos < floor(n * CAST({1.0 - VAL_RATIO!r} AS DOUBLE)) T
   count(*)::BIGINT AS examples, sum(least(strlen(example), {CTX}))::BIGINT AS tokens, max(least(strlen(example), {CTX}))::BIGINT AS max_len
 FROM r GROUP BY 1, 2""")
 def q_run_report(spark, sf):
-    u = union_examples(_union_parts(spark, sf)).withColumn("key", od.shuffle_key(F.col("example"), SEED))
+    u = od.materialize(union_examples(_union_parts(spark, sf)).withColumn("key", od.shuffle_key(F.col("example"), SEED)))
     s = od.split_exact(u, "key", VAL_RATIO, tiebreak=["ds_idx", "ord", "sub"])
     s = s.withColumn("tokens", tk.truncate(tk.encode_bytes("example"), CTX))
     return sinks.run_report(s, ("dataset", "split"), tokens="tokens")

@@ -142,7 +142,7 @@ def symptom_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
         return df.sparkSession.createDataFrame([], "ord long, sub int, post string, task string, answer string")
     symptoms = [c for c in data_cols if c != label]
     d = df.withColumn("_diag", F.when(F.col(label).isNotNull(), lb.diagnosis(F.col(label))).otherwise(F.lit("")))
-    d = d.withColumn("_pres", cl.presence_list(symptoms, lb.is_present))
+    d = d.withColumn("_pres", cl.presence_list(symptoms, lb.is_present, df.schema))
     d = keep_if(d, (F.col("_diag") != "") & ((F.size("_pres") > 0) | (F.col("_diag") == "Normal")))
     pres = F.when(F.size("_pres") > 0, F.col("_pres")).otherwise(F.array(F.lit(NO_SYMPTOMS)))
     d = d.withColumn("_text", F.concat(F.lit(SYMPTOM_PREFIX), F.array_join(F.slice(pres, 1, MAX_SYMPTOMS), ", "), F.lit(SYMPTOM_SUFFIX)))
