@@ -659,3 +659,36 @@ def q_roundtrip_lines(spark, sf):
 
 def names() -> list[str]:
     return list(QUERIES)
+
+
+# ---------------------------------------------------------------------------
+# P15 full build and M2 streaming route
+# ---------------------------------------------------------------------------
+@register("q_corpus_build", f"""
+WITH {_UNION_SQL},
+dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sha1(example) ORDER BY ds_idx, ord, sub) AS rn FROM u) WHERE rn = 1),
+k AS (SELECT dataset, example, sha1('{SEED}:' || sha1(example)) AS key, ds_idx, ord, sub FROM dd),
+r AS (SELECT *, row_number() OVER (ORDER BY key, ds_idx, ord, sub) - 1 AS pos, count(*) OVER () AS n FROM k)
+SELECT dataset, CASE WHEN pos < floor(n * CAST({1.0 - VAL_RATIO!r} AS DOUBLE)) THEN 'train' ELSE 'val' END AS split,
+  count(*)::BIGINT AS examples, sum(least(strlen(example), {CTX}))::BIGINT AS tokens, max(least(strlen(example), {CTX}))::BIGINT AS max_len
+FROM r GROUP BY 1, 2""")
+def q_corpus_build(spark, sf):
+    """Full build (capped dedupe at the default cap, seeded shuffle, exact split,
+    byte tokens truncated to ctx, packed blocks, raw uint16 files) written under
+    the shared scratch folder; returns the run report read back."""
+    from .corpus import CorpusConfig, build
+
+    return build(_union_parts(spark, sf), scratch_path(spark, "corpus"), CorpusConfig())
+
+
+@register("q_stream_dedupe", f"SELECT DISTINCT sha1(example) AS h, example FROM {_LIGHT_SRC}")
+def q_stream_dedupe(spark, sf):
+    """Structured Streaming over the documents file (availableNow): light
+    cleaning, rendering, hash dedupe with state, parquet append; read back."""
+    from ..streaming.dedupe import run_available_now
+
+    schema = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").schema
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    run_available_now(spark, sf, schema, out, ck, text="text", glob="documents.parquet",
+                      task=specs.TASK_CONDITION, answer="ADHD")
+    return spark.read.parquet(out).select("h", "example")

@@ -55,6 +55,9 @@ def write_shards(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def _fs(path: str):
     import pyarrow.fs as pafs
 
+    if path.startswith("file:"):
+        local = "/" + path[len("file:"):].lstrip("/")
+        return pafs.LocalFileSystem(), local
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path
