@@ -114,3 +114,44 @@ def test_panic_and_constant(spark):
                               "ord long, title string, selftext string, body string, comment string")
     r = specs.constant_label_posts(c).collect()
     assert r[0]["answer"] == "ADHD" and r[0]["post"] == M.prepare("a body text long enough to pass the filter ok", "T")
+
+
+def test_lexicon_keywords_and_lookup(spark):
+    from textloom.operators.words import lexicon_keywords, lookup, normalize_words, remove_words
+
+    docs = spark.createDataFrame([(0, ["running", "dogs", "quickly", "the", "ran", "x"])], "id long, toks array<string>")
+    lex = spark.createDataFrame(
+        [("running", "run", "VERB"), ("dogs", "dog", "NOUN"), ("quickly", "quickly", "ADV"), ("ran", "run", "VERB"),
+         ("the", "the", "DET"), ("x", "x", "NOUN")], "token string, lemma string, pos string")
+    got = lexicon_keywords(docs, "toks", lex, key=["id"], min_keywords=2).collect()
+    assert got[0]["lemmas"] == ["run", "dog"]
+    words = normalize_words(spark.createDataFrame([(" Dogs ",), ("",), ("ran",)], "word string"))
+    kept = remove_words(docs, "toks", words, key=["id"], unique=False).collect()[0]["toks"]
+    assert kept == ["running", "quickly", "the", "x"]
+    labels = spark.createDataFrame([("0", "zero"), ("1", "one")], "key string, value string")
+    df = spark.createDataFrame([("0",), ("7",)], "code string")
+    out = {r["code"]: r["mapped"] for r in lookup(df, "code", labels, default=F.lit("other")).collect()}
+    assert out == {"0": "zero", "7": "other"}
+
+
+def test_section_examples_and_trial(spark):
+    secs = spark.createDataFrame([(1, "Panic Disorder", "recurrent attacks")], "section_id long, title string, body string")
+    assert specs.section_examples(secs).count() == 0  # the fixed post has 2 keywords < 3
+    rows = specs.section_examples(secs, min_keywords=2).collect()
+    assert rows[0]["post"] == "dsm reference" and rows[0]["task"] == "List the DSM-5 diagnostic criteria for Panic Disorder."
+    t = spark.createDataFrame([(0, "  a post\nwith lines  ", "yes"), (1, "tiny", "1"), (2, "long enough text", "")],
+                              "ord long, text string, anxiety string")
+    got = {r["ord"]: (r["post"], r["answer"]) for r in specs.trial_posts(t).collect()}
+    assert got == {0: ("a post with lines", "Yes"), 2: ("long enough text", "No")}
+    lp = spark.createDataFrame([(0, "Title", "see https://x.y now", None)], "ord long, title string, selftext string, body string")
+    assert specs.light_posts(lp).collect()[0]["post"] == "Title see now"
+
+
+def test_remove_words_large_list_path(spark, monkeypatch):
+    from textloom.operators import words as W
+
+    monkeypatch.setattr(W, "LITERAL_MAX", 1)
+    docs = spark.createDataFrame([(0, ["a", "bb", "cc", "bb", "dd"]), (1, ["cc"]), (2, [])], "id long, toks array<string>")
+    words = W.normalize_words(spark.createDataFrame([("BB",), ("cc",)], "word string"))
+    got = {r["id"]: r["toks"] for r in W.remove_words(docs, "toks", words, key=["id"], unique=False).collect()}
+    assert got == {0: ["a", "dd"], 1: [], 2: []}

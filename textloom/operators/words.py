@@ -35,14 +35,16 @@ def remove_words(df: DataFrame, tokens: str, words: DataFrame, key: Sequence[str
     ``key`` must identify rows of ``df`` (used only on the large-list path).
     """
     out = out or tokens
-    n = words.count()
-    if n <= LITERAL_MAX:
-        lst = [r[0] for r in words.collect()]  # bounded by the count check above
+    # One bounded job: at most LITERAL_MAX + 1 words ever reach the driver.
+    head = [r[0] for r in words.limit(LITERAL_MAX + 1).collect()]
+    if len(head) <= LITERAL_MAX:
+        lst = head
         arr = F.lit(lst) if lst else F.array().cast("array<string>")
         if unique:
             return df.withColumn(out, F.array_except(F.col(tokens), arr))
         return df.withColumn(out, F.filter(F.col(tokens), lambda t: ~F.array_contains(arr, t)))
     key = list(key)
+    n = words.count()
     ex = df.select(*key, F.posexplode(tokens).alias("_pos", "_tok"))
     w = words.select(F.col("word").alias("_tok"))
     if n <= BROADCAST_MAX_ROWS:

@@ -528,7 +528,7 @@ h AS (SELECT doc_id, ln, line, CAST(coalesce(line = upper(line) AND line <> lowe
 s AS (SELECT doc_id, ln, line, hd, sum(hd) OVER (ORDER BY doc_id, ln ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section_id FROM h),
 heads AS (SELECT section_id, doc_id, {S.title_case(S.strip_ws('line'))} AS title FROM s WHERE hd = 1),
 body AS (SELECT section_id, doc_id, ln, {S.strip_ws('line')} AS l FROM s WHERE hd = 0 AND section_id > 0)
-SELECT section_id, doc_id, title, string_agg(b.l, ' ' ORDER BY b.ln) AS body
+SELECT CAST(section_id AS BIGINT) AS section_id, doc_id, title, string_agg(b.l, ' ' ORDER BY b.ln) AS body
 FROM heads JOIN body b USING (section_id, doc_id) WHERE b.l <> '' GROUP BY section_id, doc_id, title""")
 def q_sections(spark, sf):
     d = _docs(spark, sf)
@@ -692,3 +692,59 @@ def q_stream_dedupe(spark, sf):
     run_available_now(spark, sf, schema, out, ck, text="text", glob="documents.parquet",
                       task=specs.TASK_CONDITION, answer="ADHD")
     return spark.read.parquet(out).select("h", "example")
+
+
+# ---------------------------------------------------------------------------
+# P13 trial slice and P14 re-tokenize
+# ---------------------------------------------------------------------------
+TRIAL_MAX = 10_000  # the trial slice's own default cap on examples
+
+
+@register("q_trial_split", f"""
+WITH t AS (
+  SELECT d.doc_id AS ord, replace({S.strip_ws("coalesce(nullif(d.text, ''), '')")}, chr(10), ' ') AS post,
+         {S.yes_no("coalesce(nullif(CAST(l.quality AS VARCHAR), ''), '')", lb.YES_ANXIETY)} AS answer
+  FROM documents d LEFT JOIN labels l USING (doc_id)),
+e AS (SELECT ord, {S.render('post', S.q(specs.TASK_ANXIETY), 'answer')} AS example FROM t WHERE length(post) >= 10
+      ORDER BY ord LIMIT {TRIAL_MAX}),
+r AS (SELECT ord, example, row_number() OVER (ORDER BY sha1('{SEED}:' || sha1(example)), ord) - 1 AS pos, count(*) OVER () AS n FROM e)
+SELECT ord, example, CASE WHEN pos < floor(n * CAST({1.0 - VAL_RATIO!r} AS DOUBLE)) THEN 'train' ELSE 'val' END AS split FROM r""")
+def q_trial_split(spark, sf):
+    """Trial slice: text/label rows -> examples, first TRIAL_MAX, seeded shuffle,
+    exact split (no dedupe)."""
+    from .corpus import CorpusConfig, dedupe_and_split
+
+    d = _docs(spark, sf).join(read_table(spark, sf, "labels", balanced=False), "doc_id", "left")
+    rows = d.select(F.col("doc_id").alias("ord"), "text", F.col("quality").cast("string").alias("anxiety"))
+    parts = [("trial", specs.trial_posts(rows))]
+    from .corpus import union_examples as _union
+
+    cfg = CorpusConfig(preset="trial", max_examples=TRIAL_MAX)
+    return dedupe_and_split(_union(parts), cfg).select("ord", "example", "split")
+
+
+_RETOK_EX = S.render("post", S.q(specs.TASK_CONDITION), "'ADHD'", eot=False)
+
+
+@register("q_retokenize", f"""
+WITH {S.post_cte('pp', 'documents', 'doc_id', 'text')},
+seqs AS (SELECT doc_id, list_concat(ids[1:{CTX - 1}], [{tk.EOT_ID}]) AS s
+         FROM (SELECT doc_id, {S.hex_ids(_RETOK_EX)} AS ids FROM pp)),
+toks AS (SELECT doc_id, unnest(s) AS t, unnest(range(0, len(s))) AS i FROM seqs),
+starts AS (SELECT doc_id, coalesce(sum(len(s)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st FROM seqs),
+g AS (SELECT (st + i) // {CTX} AS block_id, st + i AS gi, t FROM toks JOIN starts USING (doc_id))
+SELECT block_id::BIGINT AS block_id, count(*)::BIGINT AS n_tokens, sha1(string_agg(CAST(t AS VARCHAR), ',' ORDER BY gi)) AS ids_sha1
+FROM g GROUP BY block_id""")
+def q_retokenize(spark, sf):
+    """Rendered examples written as marker-terminated text, read back split on
+    the marker (never whole files), encoded, capped to ctx-1 plus EOT and
+    packed in file order."""
+    path = scratch_path(spark, "retok")
+    ex = with_post(_docs(spark, sf), "text").withColumn(
+        "example", tx.render_example(F.col("post"), F.lit(specs.TASK_CONDITION), F.lit("ADHD")))
+    sinks.write_text(ex, "example", path, order=["doc_id"], split=None)
+    back = readers.read_marker_delimited(spark, [path + "/*.txt"])
+    back = od.materialize(back.withColumn("seq", tk.cap_with_eot(tk.encode_bytes("text"), CTX)).select(*readers.ORD_COLS, "seq"))
+    bucket = F.struct("_file_idx", "_block", F.shiftright("_row", 16))
+    bl = tk.pack_blocks(back, "seq", readers.ORD_COLS, bucket, ctx=CTX)
+    return bl.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
