@@ -155,3 +155,16 @@ def test_remove_words_large_list_path(spark, monkeypatch):
     words = W.normalize_words(spark.createDataFrame([("BB",), ("cc",)], "word string"))
     got = {r["id"]: r["toks"] for r in W.remove_words(docs, "toks", words, key=["id"], unique=False).collect()}
     assert got == {0: ["a", "dd"], 1: [], 2: []}
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+
+    from textloom.operators.stats import exact_quantiles
+
+    rnd = np.random.default_rng(5)
+    for vals in (rnd.lognormal(3, 2, 2001), np.repeat([1.0, 2.0, 2.0, 7.5], 50), np.array([4.0]), np.arange(1, 11.0)):
+        df = spark.createDataFrame([(float(x),) for x in vals], "x double")
+        got = exact_quantiles(df, "x").first()
+        exp = np.quantile(vals, [0.25, 0.5, 0.75])
+        assert np.allclose([got["q0"], got["q1"], got["q2"]], exp, rtol=1e-12, atol=0)

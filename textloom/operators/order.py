@@ -180,6 +180,19 @@ def cap_per_group(df: DataFrame, group: str, order: Sequence, n: int) -> DataFra
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def cap_total(df: DataFrame, order: Sequence, n: int) -> DataFrame:
-    """First ``n`` rows in ``order`` (TakeOrderedAndProject: top-n per task, then merge)."""
-    return df.orderBy(*[_c(o) for o in order]).limit(n)
+TAKE_ORDERED_MAX = 100_000
+
+
+def cap_total(df: DataFrame, order: Sequence, n: int, bucket=None) -> DataFrame:
+    """First ``n`` rows in ``order``.
+
+    Small ``n``: ``orderBy().limit()`` (TakeOrderedAndProject: top-n per task,
+    then merge).  Large ``n`` or when a monotone ``bucket`` is given: a running
+    row count (``global_offset``) and ``offset < n``, so no task merges
+    ``n x tasks`` rows."""
+    if bucket is None and n <= TAKE_ORDERED_MAX:
+        return df.orderBy(*[_c(o) for o in order]).limit(n)
+    if bucket is None:
+        bucket = range_bucket(df, order[0])
+    d = global_offset(df, list(order), F.lit(1), bucket, out="_cap_pos")
+    return d.filter(F.col("_cap_pos") < n).drop("_cap_pos")

@@ -65,12 +65,12 @@ def dedupe_and_split(examples: DataFrame, cfg: CorpusConfig) -> DataFrame:
     d = examples.withColumn("h", F.sha1("example"))
     if cfg.preset == "trial":
         if cfg.max_examples:
-            d = od.cap_total(d, ORDER, cfg.max_examples)
+            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket())
     else:
         d = od.materialize(d)
         d = od.dedupe_capped(d, "h", ORDER, cfg.dedupe_cap, bucket=encounter_bucket())
         if cfg.max_examples:
-            d = od.cap_total(d, ORDER, cfg.max_examples)
+            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket())
     d = d.withColumn("key", od.shuffle_key(F.col("example"), cfg.seed))
     if cfg.preset == "stream":
         return d.withColumn("split", od.split_hash(F.col("example"), cfg.seed, cfg.val_ratio))
