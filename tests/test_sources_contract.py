@@ -123,3 +123,30 @@ def test_streaming_route(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == 11  # 10 unique texts + one repeated text, each once across both files
     assert got.select("h").distinct().count() == 11
+
+
+def test_read_any_dispatch(spark, tmp_path):
+    d = tmp_path / "mixed" / "sub"
+    d.mkdir(parents=True)
+    _write(tmp_path / "mixed" / "a.csv", b"title,text\nT1,csv text\n")
+    _write(d / "b.json", json.dumps({"data": [{"title": "T2", "text": "json text"}]}).encode())
+    _write(d / "c.jsonl", b'{"title": "T3", "body": "jsonl text"}\nbroken\n')
+    df = readers.read_any(spark, str(tmp_path / "mixed"))
+    got = sorted((r["title"], r["text"] or r["body"]) for r in df.collect())
+    assert got == [("T1", "csv text"), ("T2", "json text"), ("T3", "jsonl text")]
+    assert readers.first_file(readers.list_files(spark, str(tmp_path / "mixed"), suffixes=[".json", ".jsonl"])).endswith("b.json")
+
+
+def test_streaming_with_watermark(spark, tmp_path):
+    from textloom.streaming.dedupe import run_available_now
+
+    src = str(tmp_path / "ev")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "ts", "props")
+    ev.write.mode("append").parquet(src)
+    ev.write.mode("append").parquet(src)
+    out = str(tmp_path / "ev_out")
+    run_available_now(spark, src, spark.read.parquet(src).schema, out, str(tmp_path / "ev_ck"), text="props",
+                      event_time="ts", delay="3650 days", task="T", answer="A")
+    got = spark.read.parquet(out)
+    exp = ev.select("props").distinct().count()
+    assert got.count() == exp == got.select("h").distinct().count()

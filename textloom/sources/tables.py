@@ -21,9 +21,10 @@ def _local_path(p: str) -> str | None:
     return None
 
 
-def scan_splits(df: DataFrame) -> int | None:
+def scan_splits(df: DataFrame, enough: int | None = None) -> int | None:
     """Number of parquet row groups behind ``df`` (local files only; driver
-    reads footers, no data)."""
+    reads footers, no data).  Stops counting once ``enough`` is reached; None
+    for non-local storage (where the scan is assumed to be split finely)."""
     try:
         import pyarrow.parquet as pq
     except ImportError:  # pragma: no cover
@@ -34,13 +35,15 @@ def scan_splits(df: DataFrame) -> int | None:
         if lp is None or not os.path.exists(lp):
             return None
         total += pq.ParquetFile(lp).metadata.num_row_groups
+        if enough is not None and total >= enough:
+            break
     return total
 
 
 def balance(df: DataFrame, min_splits: int | None = None) -> DataFrame:
     spark = df.sparkSession
     target = min_splits or spark.sparkContext.defaultParallelism
-    n = scan_splits(df)
+    n = scan_splits(df, enough=target)
     if n is not None and n < target:
         return df.repartition(target)
     return df

@@ -38,14 +38,15 @@ def dedupe_stream(d: DataFrame, event_time: str | None = None, delay: str = "1 h
 
 
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, out_path: str, checkpoint: str,
-                      text: str, glob: str | None = None, event_time: str | None = None, **kw) -> None:
+                      text: str, glob: str | None = None, event_time: str | None = None, delay: str = "1 hour",
+                      **kw) -> None:
     """Process everything currently in ``source_dir`` and stop (``availableNow``),
     appending Parquet to ``out_path``; restartable from ``checkpoint``."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     s = reader.parquet(source_dir)
-    d = dedupe_stream(clean_stream(s, text, **kw), event_time)
+    d = dedupe_stream(clean_stream(s, text, **kw), event_time, delay)
     q = (d.drop("_event_ts") if "_event_ts" in d.columns else d).writeStream.format("parquet") \
         .option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append") \
         .trigger(availableNow=True).start()
