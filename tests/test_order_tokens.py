@@ -142,3 +142,16 @@ def test_sections_match_sequential(spark):
     got = sorted((r["doc"], r["title"], r["body"]) for r in sections(df, "doc", ["ln"], "line", F.col("doc")).collect())
     exp = sorted((d, t, b) for d, lines in docs.items() for t, b in M.sections(lines))
     assert got == exp
+
+
+def test_global_offset_single_partition_only_on_bucket_table(spark):
+    df = spark.range(5000).withColumn("key", F.sha1(F.col("id").cast("string"))).withColumn("pad", F.repeat(F.lit("x"), 50))
+    plan = od.split_exact(df, "key", 0.1, tiebreak=["id"])._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    assert "Exchange SinglePartition" in plan
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            # the only data that is funnelled into one partition is the per-bucket totals table
+            below = "\n".join(lines[i:i + 3])
+            assert "HashAggregate(keys=[_go_b" in below, below
+    assert "BroadcastExchange" in plan
