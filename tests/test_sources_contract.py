@@ -150,3 +150,18 @@ def test_streaming_with_watermark(spark, tmp_path):
     got = spark.read.parquet(out)
     exp = ev.select("props").distinct().count()
     assert got.count() == exp == got.select("h").distinct().count()
+
+
+def test_dense_order_for_splittable_reads(spark, tmp_path):
+    _write(tmp_path / "a.jsonl", b"".join(f'{{"text": "a{i}"}}\n'.encode() for i in range(50)))
+    _write(tmp_path / "b.jsonl", b"".join(f'{{"text": "b{i}"}}\n'.encode() for i in range(30)))
+    df = readers.read_json_lines(spark, [str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")])
+    got = [r["text"] for r in df.orderBy("ord").collect()]
+    assert got == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(30)]
+    assert sorted(r["ord"] for r in df.collect()) == list(range(80))
+    lines = readers.read_lines(spark, [str(tmp_path / "a.jsonl")], dense_ord=True)
+    assert [r["ord"] for r in lines.orderBy(*readers.ORD_COLS).collect()] == list(range(50))
+    csv_path = tmp_path / "c.csv"
+    _write(csv_path, b"text\n" + b"".join(f"r{i}\n".encode() for i in range(20)))
+    d2 = readers.read_delimited(spark, [str(csv_path)], multi_line=False)
+    assert [r["text"] for r in d2.orderBy("ord").collect()] == [f"r{i}" for i in range(20)]

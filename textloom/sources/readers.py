@@ -126,6 +126,21 @@ def _with_provenance(df: DataFrame, files: Sequence[str], whole_file: bool) -> D
     return d
 
 
+ORD_COLS = ["_file_idx", "_block", "_row"]
+
+
+def add_dense_ord(df: DataFrame, order: Sequence[str] = ORD_COLS, out: str = "ord") -> DataFrame:
+    """Exact 0-based encounter index over ``order`` (file rank, split start,
+    row): the scan is checkpointed once (the row ids are then fixed), and a
+    bucketed running count numbers the rows without a single-partition window.
+    Buckets are (file, split, 65 536-row runs): monotone and bounded."""
+    from ..operators.order import global_offset, materialize
+
+    d = materialize(df)
+    bucket = F.struct(*[F.col(c) for c in order[:-1]], F.shiftright(F.col(order[-1]), 16).alias("_rb"))
+    return global_offset(d, list(order), F.lit(1), bucket, out=out)
+
+
 def _norm_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     # Spark reports absolute URIs in _metadata.file_path; list through Spark so
     # both sides agree.
@@ -140,6 +155,8 @@ def _norm_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 # --------------------------------------------------------------------------
 def read_delimited(spark: SparkSession, paths: Sequence[str], sep: str | None = None,
                    multi_line: bool = True, lenient: bool = True) -> DataFrame:
+    """``multi_line=False`` reads each file in splits (no quoted newlines) and
+    numbers rows with :func:`add_dense_ord`; the default reads a file per task."""
     """Header CSV/TSV, all columns strings; separator sniffed per file; files
     grouped by separator (one read per group); doubled quotes, quoted newlines;
     short rows give NULLs and surplus cells are dropped."""
@@ -162,7 +179,8 @@ def read_delimited(spark: SparkSession, paths: Sequence[str], sep: str | None =
     if lenient:
         df = df.select(*[(drop_replacement_chars(F.col(f"`{c}`")) if not c.startswith("_") else F.col(c)).alias(c)
                          for c in df.columns])
-    return _with_provenance(df, files, whole_file=multi_line)
+    out = _with_provenance(df, files, whole_file=multi_line)
+    return out if multi_line else add_dense_ord(out)
 
 
 def read_json_docs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -196,14 +214,15 @@ def read_json_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     raw = _tag(raw)
     if "_corrupt_record" in raw.columns:
         raw = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return _with_provenance(raw, files, whole_file=False)
+    return add_dense_ord(_with_provenance(raw, files, whole_file=False))
 
 
-def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Plain text lines with ``_file_idx``, ``_block``, ``_row`` (order cols)."""
+def read_lines(spark: SparkSession, paths: Sequence[str], dense_ord: bool = False) -> DataFrame:
+    """Plain text lines with ``_file_idx``, ``_block``, ``_row`` (order cols);
+    ``dense_ord`` adds the exact line index ``ord``."""
     files = _norm_paths(spark, paths)
-    df = _tag(spark.read.text(files)).withColumnRenamed("value", "line")
-    return _with_provenance(df, files, whole_file=False)
+    df = _with_provenance(_tag(spark.read.text(files)).withColumnRenamed("value", "line"), files, whole_file=False)
+    return add_dense_ord(df) if dense_ord else df
 
 
 def read_marker_delimited(spark: SparkSession, paths: Sequence[str], marker: str = "<|endoftext|>") -> DataFrame:
@@ -216,9 +235,6 @@ def read_marker_delimited(spark: SparkSession, paths: Sequence[str], marker: str
     return _with_provenance(df, files, whole_file=False)
 
 
-ORD_COLS = ["_file_idx", "_block", "_row"]
-
-
 def read_any(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """Suffix dispatch over a folder: .csv/.tsv, .json, .jsonl; one read per
     format, union by name.  ``.xlsx`` is not supported (export to CSV)."""
@@ -238,7 +254,7 @@ def read_any(spark: SparkSession, root: str, recursive: bool = True) -> DataFram
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p, allowMissingColumns=True)
-    # Global file order across formats.
-    idx = {p: i for i, p in enumerate(files)}
-    m = spark.createDataFrame(list(idx.items()), "_file string, _gidx int")
-    return df.join(F.broadcast(m), "_file").withColumn("_file_idx", F.col("_gidx")).drop("_gidx")
+    # Global file order across formats, then one dense encounter index.
+    m = spark.createDataFrame([(p, i) for i, p in enumerate(files)], "_file string, _gidx int")
+    df = df.join(F.broadcast(m), "_file").withColumn("_file_idx", F.col("_gidx")).drop("_gidx")
+    return add_dense_ord(df.withColumnRenamed("ord", "_ford"), ["_file_idx", "_ford"])
