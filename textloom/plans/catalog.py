@@ -748,3 +748,38 @@ def q_retokenize(spark, sf):
     bucket = F.struct("_file_idx", "_block", F.shiftright("_row", 16))
     bl = tk.pack_blocks(back, "seq", readers.ORD_COLS, bucket, ctx=CTX)
     return bl.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
+
+
+# ---------------------------------------------------------------------------
+# P7 multi-format folder (csv + jsonl) -> posts with canonical conditions
+# ---------------------------------------------------------------------------
+@register("q_multi_format_posts", f"""
+WITH {S.post_cte('pp', 'documents', 'doc_id', S.merge_title('text', S.strip_ws('source')))}
+SELECT d.doc_id, p.post, {S.canon_condition('d.lang')} AS answer
+FROM documents d JOIN pp p USING (doc_id) WHERE NOT {S.is_blank('d.lang')} AND NOT {S.is_blank('d.text')}""")
+def q_multi_format_posts(spark, sf):
+    """The documents table written as a mixed folder (csv for en/de, json lines
+    for fr/es), read back by suffix dispatch, turned into posts by the
+    multi-format builder (first non-blank text field, stripped title, canonical
+    condition from the first non-blank label field)."""
+    root = scratch_path(spark, "mixed")
+    d = _docs(spark, sf, ("doc_id", "text", "source", "lang")).select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.col("source").alias("title"), "text", F.col("lang").alias("label"))
+    (d.filter(F.col("label").isin("en", "de")).write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/csv"))
+    d.filter(~F.col("label").isin("en", "de")).write.mode("overwrite").json(f"{root}/jsonl")
+    # Spark names JSON part files *.json; as JSON-lines files they carry the .jsonl suffix.
+    for p in readers.list_files(spark, f"{root}/jsonl", suffixes=[".json"]):
+        _rename(p, p[: -len(".json")] + ".jsonl")
+    rows = readers.read_any(spark, root)
+    posts = specs.multi_format_posts(rows.select("ord", "doc_id", "title", "text", "label"))
+    j = posts.join(rows.select("ord", F.col("doc_id").cast("long").alias("doc_id")), "ord")
+    return j.select("doc_id", "post", "answer")
+
+
+def _rename(src: str, dst: str) -> None:
+    from ..sources.sinks import _fs
+
+    fs, s = _fs(src)
+    _, d = _fs(dst)
+    fs.move(s, d)

@@ -142,12 +142,9 @@ def add_dense_ord(df: DataFrame, order: Sequence[str] = ORD_COLS, out: str = "or
 
 
 def _norm_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    # Spark reports absolute URIs in _metadata.file_path; list through Spark so
-    # both sides agree.
-    out = []
-    for p in paths:
-        out += list_files(spark, p, recursive=False)
-    return sorted(set(out))
+    """Absolute URIs as Spark reports them in ``_metadata.file_path`` (one
+    listing job for all paths and globs)."""
+    return list_files(spark, list(paths), recursive=False)
 
 
 # --------------------------------------------------------------------------
