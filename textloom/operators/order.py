@@ -134,15 +134,22 @@ def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None) -> Data
     passes, repeats included.
 
     keep = first occurrence OR (number of first occurrences strictly before
-    this row) >= cap.  ``bucket`` must be monotone in ``order`` (default: a
-    range bucket of a single numeric order column).
+    this row) >= cap  <=>  first OR order > t, where ``t`` is the order of the
+    cap-th first occurrence.  Only the narrow table of first occurrences
+    ``(key, order)`` is ranked (``global_offset``); full rows are shuffled once,
+    for the marking join on the unique ``(key, order)``.  ``bucket`` must be
+    monotone in ``order`` and computable from the order columns.
     """
     order = _orders(order)
-    marked = mark_first(df, key, order, "_first")
+    firsts = dedupe_first(df.select(key, *order), key, order)
     if bucket is None:
         bucket = range_bucket(df, order[0])
-    with_off = global_offset(marked, order, F.col("_first"), bucket, out="_seen_before")
-    return with_off.filter((F.col("_first") == 1) | (F.col("_seen_before") >= cap)).drop("_first", "_seen_before")
+    ranked = global_offset(firsts, order, F.lit(1), bucket, out="_rank")
+    t = ranked.filter(F.col("_rank") == cap - 1).select(F.struct(*order).alias("_t"), F.lit(1).alias("_one"))
+    marked = df.join(firsts.withColumn("_first", F.lit(1)), on=[key, *order], how="left")
+    marked = marked.withColumn("_one", F.lit(1)).join(F.broadcast(t), "_one", "left")  # t: at most one row
+    keep = F.coalesce(F.col("_first") == 1, F.lit(False)) | F.coalesce(F.struct(*order) > F.col("_t"), F.lit(False))
+    return marked.filter(keep).drop("_first", "_one", "_t")
 
 
 # --------------------------------------------------------------------------

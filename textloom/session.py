@@ -42,7 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        # Only reached when nobody configured a shared folder (local runs, tests).
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        # Local runs and tests only: nobody configured a shared folder.
         conf = tempfile.mkdtemp(prefix="textloom-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
