@@ -6,7 +6,9 @@ of the order (a hash prefix, a key range, a file split); per-bucket totals are a
 tiny table (bounded by the bucket count), its prefix sum is broadcast back, and
 the in-bucket running sum is an ordinary window partitioned by bucket.  The data
 is shuffled once (by bucket, for the window); the totals branch combines
-map-side and moves only (bucket, partial sum) pairs.
+map-side and moves only (bucket, partial sum) pairs; the prefix table joins
+back by broadcast when the bucket function bounds its size, on the window's
+existing partitioning otherwise.
 
 Built on it: capped dedupe (I2), exact train/validation split (J2), token
 packing and sharding (L5, L8) and section numbering (I3).
@@ -55,10 +57,17 @@ def global_offset(
     groups: Sequence[str] = (),
     out: str = "offset",
     total: str | None = None,
+    bounded: bool = True,
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all rows strictly before this row in
     ``order`` (within ``groups``), and optionally ``total`` = group sum.
 
+    ``bounded``: the caller's bucket function yields at most ``MAX_BUCKETS``
+    buckets per group (``hex_bucket``, ``range_bucket``, a partition id), so
+    the prefix table is broadcast (proven size).  With ``bounded=False``
+    (buckets that grow with the data) the table joins back on the window's
+    existing hash partitioning instead; only the table is shuffled.
+
     ``bucket`` must be monotone in ``order`` (a row's bucket is never smaller
     than the bucket of an earlier row); ``order`` must be unique within groups.
     ``groups`` must be low-cardinality (e.g. ``split``): the prefix table has
@@ -81,7 +90,7 @@ def global_offset(
     starts = per_bucket.select(*cols)
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order]).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_go_local", F.coalesce(F.sum("_go_v").over(w), F.lit(0)))
-    d = d.join(F.broadcast(starts), on=keys, how="inner")
+    d = d.join(F.broadcast(starts) if bounded else starts, on=keys, how="inner")
     d = d.withColumn(out, (F.col("_go_start") + F.col("_go_local")).cast("long"))
     return d.drop("_go_b", "_go_v", "_go_bs", "_go_start", "_go_local")
 
@@ -128,7 +137,7 @@ def dedupe_first(df: DataFrame, key: str, order) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None) -> DataFrame:
+def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None, bounded: bool = True) -> DataFrame:
     """Sequential capped dedupe: while fewer than ``cap`` distinct keys were
     seen, repeats are dropped; once ``cap`` keys were seen every later row
     passes, repeats included.
@@ -144,7 +153,7 @@ def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None) -> Data
     firsts = dedupe_first(df.select(key, *order), key, order)
     if bucket is None:
         bucket = range_bucket(df, order[0])
-    ranked = global_offset(firsts, order, F.lit(1), bucket, out="_rank")
+    ranked = global_offset(firsts, order, F.lit(1), bucket, out="_rank", bounded=bounded)
     t = ranked.filter(F.col("_rank") == cap - 1).select(F.struct(*order).alias("_t"), F.lit(1).alias("_one"))
     marked = df.join(firsts.withColumn("_first", F.lit(1)), on=[key, *order], how="left")
     marked = marked.withColumn("_one", F.lit(1)).join(F.broadcast(t), "_one", "left")  # t: at most one row
@@ -190,7 +199,7 @@ def cap_per_group(df: DataFrame, group: str, order: Sequence, n: int) -> DataFra
 TAKE_ORDERED_MAX = 100_000
 
 
-def cap_total(df: DataFrame, order: Sequence, n: int, bucket=None) -> DataFrame:
+def cap_total(df: DataFrame, order: Sequence, n: int, bucket=None, bounded: bool = True) -> DataFrame:
     """First ``n`` rows in ``order``.
 
     Small ``n``: ``orderBy().limit()`` (TakeOrderedAndProject: top-n per task,
@@ -201,5 +210,5 @@ def cap_total(df: DataFrame, order: Sequence, n: int, bucket=None) -> DataFrame:
         return df.orderBy(*[_c(o) for o in order]).limit(n)
     if bucket is None:
         bucket = range_bucket(df, order[0])
-    d = global_offset(df, list(order), F.lit(1), bucket, out="_cap_pos")
+    d = global_offset(df, list(order), F.lit(1), bucket, out="_cap_pos", bounded=bounded)
     return d.filter(F.col("_cap_pos") < n).drop("_cap_pos")

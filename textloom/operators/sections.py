@@ -19,7 +19,8 @@ from ..functions import text as tx
 from .order import global_offset
 
 
-def sections(df: DataFrame, group: str, order: list[str], line: str, bucket, max_words: int = 10) -> DataFrame:
+def sections(df: DataFrame, group: str, order: list[str], line: str, bucket, max_words: int = 10,
+             bounded: bool = True) -> DataFrame:
     """``df(group, order, line)`` -> ``(section_id, group, title, body)``.
 
     ``bucket`` must be monotone in ``(group, order)``.
@@ -28,7 +29,7 @@ def sections(df: DataFrame, group: str, order: list[str], line: str, bucket, max
     d = df.select(group, *order, line).withColumn(
         "_h", F.coalesce(tx.is_header_line(F.col(line), max_words), F.lit(False)).cast("int")
     )
-    d = global_offset(d, [group, *order], F.col("_h"), bucket, out="_before")
+    d = global_offset(d, [group, *order], F.col("_h"), bucket, out="_before", bounded=bounded)
     d = d.withColumn("section_id", F.col("_before") + F.col("_h"))
     heads = d.filter(F.col("_h") == 1).select(
         "section_id", F.col(group).alias("_hg"), tx.title_case(tx.strip_ws(F.col(line))).alias("title")

@@ -88,6 +88,7 @@ def pack_blocks(
     ctx: int = DEFAULT_CTX,
     groups: Sequence[str] = (),
     drop_last: bool = False,
+    bounded: bool = True,
 ) -> DataFrame:
     """Concatenate all sequences in ``order`` (per ``groups``) and cut every
     ``ctx`` ids.  Returns ``groups..., block_id, tokens``; only the last block of
@@ -96,7 +97,7 @@ def pack_blocks(
     bk = bucket if isinstance(bucket, Column) else F.col(bucket)
     d = df.select(*groups, *order, F.col(tokens).alias("_t"), bk.alias("_bk"))
     d = d.withColumn("_n", F.size("_t")).filter(F.col("_n") > 0)
-    d = global_offset(d, list(order), F.col("_n"), F.col("_bk"), groups=groups, out="_start")
+    d = global_offset(d, list(order), F.col("_n"), F.col("_bk"), groups=groups, out="_start", bounded=bounded)
     first = F.floor(F.col("_start") / ctx).cast("long")
     last = F.floor((F.col("_start") + F.col("_n") - 1) / ctx).cast("long")
     d = d.withColumn("block_id", F.explode(F.sequence(first, last)))
@@ -120,6 +121,7 @@ def assign_shards(
     shard_tokens: int = DEFAULT_SHARD_TOKENS,
     groups: Sequence[str] = (),
     out: str = "shard_id",
+    bounded: bool = True,
 ) -> DataFrame:
     """``shard_id = start_offset div shard_tokens`` per sequence (within groups).
 
@@ -127,5 +129,5 @@ def assign_shards(
     token range, so it may exceed ``shard_tokens`` by less than one sequence.
     """
     d = df.withColumn("_n", F.size(tokens)).withColumn("_bk", bucket if isinstance(bucket, Column) else F.col(bucket))
-    d = global_offset(d, list(order), F.col("_n"), F.col("_bk"), groups=list(groups), out="_start")
+    d = global_offset(d, list(order), F.col("_n"), F.col("_bk"), groups=list(groups), out="_start", bounded=bounded)
     return d.withColumn(out, F.floor(F.col("_start") / shard_tokens).cast("long")).drop("_n", "_bk", "_start")

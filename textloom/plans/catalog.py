@@ -746,7 +746,7 @@ def q_retokenize(spark, sf):
     back = readers.read_marker_delimited(spark, [path + "/*.txt"])
     back = od.materialize(back.withColumn("seq", tk.cap_with_eot(tk.encode_bytes("text"), CTX)).select(*readers.ORD_COLS, "seq"))
     bucket = F.struct("_file_idx", "_block", F.shiftright("_row", 16))
-    bl = tk.pack_blocks(back, "seq", readers.ORD_COLS, bucket, ctx=CTX)
+    bl = tk.pack_blocks(back, "seq", readers.ORD_COLS, bucket, ctx=CTX, bounded=False)
     return bl.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
 
 

@@ -55,8 +55,9 @@ def union_examples(parts: Sequence[tuple[str, DataFrame]], eot: bool = True) ->
 
 
 def encounter_bucket() -> F.Column:
-    """Monotone bucket of the encounter order (dataset, ord): 65 536 ords per
-    bucket, so rows per bucket and bucket count both stay bounded."""
+    """Monotone bucket of the encounter order (dataset, ord): at most 65 536
+    rows per bucket; the bucket count grows with the data, so operators using
+    it join their prefix table without broadcast (``bounded=False``)."""
     return F.struct(F.col("ds_idx"), F.shiftright(F.col("ord"), 16).alias("b"))
 
 
@@ -65,12 +66,12 @@ def dedupe_and_split(examples: DataFrame, cfg: CorpusConfig) -> DataFrame:
     d = examples.withColumn("h", F.sha1("example"))
     if cfg.preset == "trial":
         if cfg.max_examples:
-            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket())
+            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket(), bounded=False)
     else:
         d = od.materialize(d)
-        d = od.dedupe_capped(d, "h", ORDER, cfg.dedupe_cap, bucket=encounter_bucket())
+        d = od.dedupe_capped(d, "h", ORDER, cfg.dedupe_cap, bucket=encounter_bucket(), bounded=False)
         if cfg.max_examples:
-            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket())
+            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket(), bounded=False)
     d = d.withColumn("key", od.shuffle_key(F.col("example"), cfg.seed))
     if cfg.preset == "stream":
         return d.withColumn("split", od.split_hash(F.col("example"), cfg.seed, cfg.val_ratio))

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from ..functions.text import drop_replacement_chars, strip_ws
 
 ROW_BITS = 33
+FILE_TABLE_BROADCAST_MAX = 100_000
 SNIFF_BYTES = 8192
 CANDIDATE_SEPARATORS = [",", "\t", ";", "|"]
 
@@ -119,7 +120,9 @@ def _with_provenance(df: DataFrame, files: Sequence[str], whole_file: bool) -> D
     spark = df.sparkSession
     m = spark.createDataFrame([(p, i) for i, p in enumerate(files)], "_file string, _file_idx int")
     d = df.withColumn("_row", F.monotonically_increasing_id())
-    d = d.join(F.broadcast(m), "_file", "left")  # one row per input file: bounded by the listing
+    # One row per input file: broadcast while the listing is small, a regular
+    # join (Spark's own size check) for very large listings.
+    d = d.join(F.broadcast(m) if len(files) <= FILE_TABLE_BROADCAST_MAX else m, "_file", "left")
     if whole_file:
         d = d.withColumn("ord", F.shiftleft(F.col("_file_idx").cast("long"), ROW_BITS)
                          + F.col("_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
@@ -138,7 +141,7 @@ def add_dense_ord(df: DataFrame, order: Sequence[str] = ORD_COLS, out: str = "or
 
     d = materialize(df)
     bucket = F.struct(*[F.col(c) for c in order[:-1]], F.shiftright(F.col(order[-1]), 16).alias("_rb"))
-    return global_offset(d, list(order), F.lit(1), bucket, out=out)
+    return global_offset(d, list(order), F.lit(1), bucket, out=out, bounded=False)
 
 
 def _norm_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
@@ -253,5 +256,6 @@ def read_any(spark: SparkSession, root: str, recursive: bool = True) -> DataFram
         df = df.unionByName(p, allowMissingColumns=True)
     # Global file order across formats, then one dense encounter index.
     m = spark.createDataFrame([(p, i) for i, p in enumerate(files)], "_file string, _gidx int")
-    df = df.join(F.broadcast(m), "_file").withColumn("_file_idx", F.col("_gidx")).drop("_gidx")
+    m = F.broadcast(m) if len(files) <= FILE_TABLE_BROADCAST_MAX else m
+    df = df.join(m, "_file").withColumn("_file_idx", F.col("_gidx")).drop("_gidx")
     return add_dense_ord(df.withColumnRenamed("ord", "_ford"), ["_file_idx", "_ford"])
