@@ -156,9 +156,8 @@ def render(post: str, task: str, answer: str, eot: bool = True) -> str:
 
 
 def hex_ids(text: str) -> str:
-    """UTF-8 byte ids of ``text`` as a list."""
-    h = f"hex(encode({text}))"
-    return f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr({h}, 2 * i + 1, 2))::INTEGER)"
+    """UTF-8 byte ids of ``text`` as a list (hex pairs, parsed)."""
+    return f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::INTEGER)"
 
 
 def post_cte(name: str, src: str, keys: str, full: str, min_chars: int = tx.MIN_CHARS,
