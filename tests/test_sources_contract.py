@@ -165,3 +165,29 @@ def test_dense_order_for_splittable_reads(spark, tmp_path):
     _write(csv_path, b"text\n" + b"".join(f"r{i}\n".encode() for i in range(20)))
     d2 = readers.read_delimited(spark, [str(csv_path)], multi_line=False)
     assert [r["text"] for r in d2.orderBy("ord").collect()] == [f"r{i}" for i in range(20)]
+
+
+def test_corpus_build_presets(spark, tmp_path):
+    from textloom.plans.corpus import CorpusConfig, build
+
+    words = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf"]
+    rows = [(i, f"post number {words[i % 7]} about sleep and focus and mood", "", "adhd") for i in range(60)]
+    df = spark.createDataFrame(rows, "ord long, text string, title string, subreddit string")
+    from textloom.plans import specs
+
+    parts = [("a", specs.condition_posts(df))]
+    rep = build(parts, str(tmp_path / "full"), CorpusConfig(ctx=64))
+    got = {r["split"]: r["examples"] for r in rep.collect()}
+    assert sum(got.values()) == 7  # exact dedupe keeps the 7 distinct posts
+    blocks = spark.read.parquet(str(tmp_path / "full" / "blocks"))
+    assert blocks.filter(F.size("tokens") > 64).count() == 0
+    n_tok = sum(r["tokens"] for r in rep.collect())
+    assert blocks.agg(F.sum(F.size("tokens"))).first()[0] == n_tok
+    bins = [os.path.join(dp, f) for dp, _, fs in os.walk(tmp_path / "full" / "bin") for f in fs if f.endswith(".bin")]
+    assert sum(os.path.getsize(b) for b in bins) == 2 * n_tok
+    rep2 = build(parts, str(tmp_path / "stream"), CorpusConfig(preset="stream", token_mode="prepend_eot", shard_tokens=100))
+    assert sum(r["examples"] for r in rep2.collect()) == 7
+    sh = spark.read.parquet(str(tmp_path / "stream" / "shards"))
+    assert sh.filter(F.element_at("tokens", 1) != tk.EOT_ID).count() == 0
+    rep3 = build(parts, str(tmp_path / "trial"), CorpusConfig(preset="trial", max_examples=20))
+    assert sum(r["examples"] for r in rep3.collect()) == 20  # no dedupe, capped
