@@ -191,3 +191,21 @@ def test_corpus_build_presets(spark, tmp_path):
     assert sh.filter(F.element_at("tokens", 1) != tk.EOT_ID).count() == 0
     rep3 = build(parts, str(tmp_path / "trial"), CorpusConfig(preset="trial", max_examples=20))
     assert sum(r["examples"] for r in rep3.collect()) == 20  # no dedupe, capped
+
+
+def test_cli_builds_corpus(spark, tmp_path):
+    from textloom import cli
+
+    data = tmp_path / "cond"
+    data.mkdir()
+    lines = ["title,text,subreddit"] + [f'T{i},"long enough post number {w} about sleep focus",adhd'
+                                         for i, w in enumerate(["alpha", "bravo", "charlie", "delta"])]
+    _write(data / "a.csv", ("\n".join(lines) + "\n").encode())
+    _write(tmp_path / "manual.txt", b"intro\nPANIC DISORDER\nrecurrent attacks\n\nGENERALIZED ANXIETY\nworry\n")
+    out = str(tmp_path / "out")
+    rep = cli.main(["--dataset", f"condition={data}", "--manual", str(tmp_path / "manual.txt"), "--min-kw", "2",
+                    "--out", out, "--ctx", "128", "--max-per-dataset", "3"], spark=spark)
+    by = {}
+    for r in rep.collect():
+        by[r["dataset"].split(":")[0]] = by.get(r["dataset"].split(":")[0], 0) + r["examples"]
+    assert by == {"condition": 3, "manual": 2}
