@@ -168,3 +168,17 @@ def test_exact_quantiles_match_numpy(spark):
         got = exact_quantiles(df, "x").first()
         exp = np.quantile(vals, [0.25, 0.5, 0.75])
         assert np.allclose([got["q0"], got["q1"], got["q2"]], exp, rtol=1e-12, atol=0)
+
+
+def test_cleaning_switches(spark):
+    df = spark.createDataFrame([(0, "Damn this is a long post about focus focus and sleep", "adhd")],
+                               "ord long, text string, subreddit string")
+    try:
+        specs.configure_cleaning(extra_words=["damn"], unique=False, min_keywords=6)
+        assert specs.condition_posts(df).collect() == []  # 5 keywords < 6
+        specs.configure_cleaning(extra_words=["damn"], unique=False, min_keywords=5)
+        assert specs.condition_posts(df).collect()[0]["post"] == "long post focus focus sleep"
+        specs.configure_cleaning(min_chars=200)
+        assert specs.condition_posts(df).count() == 0
+    finally:
+        specs.configure_cleaning()

@@ -203,8 +203,13 @@ def test_cli_builds_corpus(spark, tmp_path):
     _write(data / "a.csv", ("\n".join(lines) + "\n").encode())
     _write(tmp_path / "manual.txt", b"intro\nPANIC DISORDER\nrecurrent attacks\n\nGENERALIZED ANXIETY\nworry\n")
     out = str(tmp_path / "out")
-    rep = cli.main(["--dataset", f"condition={data}", "--manual", str(tmp_path / "manual.txt"), "--min-kw", "2",
-                    "--out", out, "--ctx", "128", "--max-per-dataset", "3"], spark=spark)
+    from textloom.plans import specs
+
+    try:
+        rep = cli.main(["--dataset", f"condition={data}", "--manual", str(tmp_path / "manual.txt"), "--min-kw", "2",
+                        "--out", out, "--ctx", "128", "--max-per-dataset", "3"], spark=spark)
+    finally:
+        specs.configure_cleaning()
     by = {}
     for r in rep.collect():
         by[r["dataset"].split(":")[0]] = by.get(r["dataset"].split(":")[0], 0) + r["examples"]

@@ -80,7 +80,11 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--drop-last", action="store_true")
     p.add_argument("--token-mode", choices=["truncate", "eot_cap", "prepend_eot", "none"], default="truncate")
     p.add_argument("--shard-tokens", type=int, default=1_500_000)
-    p.add_argument("--min-kw", type=int, default=3, help="minimum keywords of a section post")
+    p.add_argument("--min-kw", type=int, default=3, help="minimum keywords of a post (sections too)")
+    p.add_argument("--min-chars", type=int, default=20, help="minimum characters of the raw post")
+    p.add_argument("--unique-keywords", choices=["on", "off"], default="on")
+    p.add_argument("--strip-emojis", choices=["on", "off"], default="on")
+    p.add_argument("--profanity-file", default=None, help="word list (one per line) removed from keywords")
     p.add_argument("--no-raw", action="store_true", help="skip the raw uint16 .bin files")
     return p.parse_args(argv)
 
@@ -88,6 +92,16 @@ def parse(argv=None) -> argparse.Namespace:
 def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
     a = parse(argv)
     spark = spark or SparkSession.builder.appName("textloom").getOrCreate()
+    extra = None
+    if a.profanity_file:
+        from .operators.words import LITERAL_MAX, normalize_words
+
+        words = normalize_words(readers.read_lines(spark, [a.profanity_file]), "line")
+        extra = [r[0] for r in words.limit(LITERAL_MAX + 1).collect()]  # bounded
+        if len(extra) > LITERAL_MAX:
+            sys.exit(f"word list over {LITERAL_MAX} entries: apply operators.words.remove_words instead")
+    specs.configure_cleaning(min_chars=a.min_chars, min_keywords=a.min_kw, unique=a.unique_keywords == "on",
+                             strip_emoji=a.strip_emojis == "on", extra_words=extra)
     parts = []
     for item in a.dataset:
         kind, _, path = item.partition("=")

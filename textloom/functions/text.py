@@ -161,15 +161,18 @@ def keyword_tokens(
     unique: bool = True,
     strip_emoji: bool = False,
     patterns_stripped: bool = False,
+    extra_words=None,
 ) -> Column:
     """Ordered keyword array: split, drop stop words and 1-char tokens,
-    de-duplicate keeping the first occurrence.
+    de-duplicate keeping the first occurrence.  ``extra_words`` (a bounded,
+    already lower-cased word list such as a profanity file) is removed by value
+    in the same step.
 
     With ``unique`` the stop list is removed by ``array_except`` (hash-set
     lookups; keeps first-occurrence order and drops repeats in one step).
     """
     toks = F.split(normalize_for_keywords(c, strip_emoji, patterns_stripped), " ")
-    stops = list(stop_words or [])
+    stops = list(stop_words or []) + [w for w in (extra_words or []) if w not in set(stop_words or [])]
     if unique:
         stop_arr = F.array(*[F.lit(w) for w in stops]) if stops else F.array().cast("array<string>")
         return F.filter(F.array_except(toks, stop_arr), lambda t: F.length(t) > 1)

@@ -50,6 +50,21 @@ def _first(df: DataFrame, names: Sequence[str]) -> Column:
     return cl.first_nonempty(*cols) if cols else F.lit("")
 
 
+# Cleaning switches shared by all builders (``min_chars``, ``min_keywords``,
+# ``unique``, ``strip_emoji``, ``stop_words``, ``extra_words``); see with_post.
+CLEAN: dict = {}
+
+
+def configure_cleaning(**kw) -> None:
+    """Set the cleaning switches used by every builder's post preparation."""
+    CLEAN.clear()
+    CLEAN.update({k: v for k, v in kw.items() if v is not None})
+
+
+def _post(d: DataFrame, text: str, title: str | None = None) -> DataFrame:
+    return with_post(d, text, title, **CLEAN)
+
+
 def _done(df: DataFrame, task, answer, sub: Column | int = 0) -> DataFrame:
     t = task if isinstance(task, Column) else F.lit(task)
     s = sub if isinstance(sub, Column) else F.lit(sub)
@@ -60,7 +75,7 @@ def _done(df: DataFrame, task, answer, sub: Column | int = 0) -> DataFrame:
 def condition_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "body", "post"])).withColumn("_title", _first(df, ["title"]))
     d = keep_if(d.withColumn("_label", tx.strip_ws(_first(df, ["subreddit", "label"]))), F.col("_label") != "")
-    d = with_post(d, "_text", "_title")
+    d = _post(d, "_text", "_title")
     return _done(d, TASK_CONDITION, lb.map_or_capitalize(F.col("_label")))
 
 
@@ -69,7 +84,7 @@ def sentiment_risk_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "post", "content"]))
     d = keep_if(d.withColumn("_sent", _first(df, ["sentiment", "sentiment_label"])), ~tx.is_blank(F.col("_sent")))
     d = d.withColumn("_risk", tx.strip_ws(_first(df, ["risk_factor"])))
-    d = with_post(d, "_text")
+    d = _post(d, "_text")
     pairs = F.array_compact(F.array(
         F.struct(F.lit(0).alias("sub"), F.lit(TASK_SENTIMENT).alias("task"), lb.sentiment(F.col("_sent")).alias("answer")),
         F.when(F.col("_risk") != "", F.struct(F.lit(1).alias("sub"), F.lit(TASK_RISK).alias("task"), F.col("_risk").alias("answer"))),
@@ -82,14 +97,14 @@ def sentiment_risk_posts(df: DataFrame) -> DataFrame:
 def anxiety_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "post", "content"]))
     d = keep_if(d.withColumn("_v", F.lower(tx.strip_ws(_first(df, ["anxiety", "label", "class"])))), F.col("_v") != "")
-    d = with_post(d, "_text")
+    d = _post(d, "_text")
     return _done(d, TASK_ANXIETY, lb.yes_no(F.col("_v"), lb.YES_ANXIETY))
 
 
 # P4
 def stress_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "post", "body"])).withColumn("_v", _first(df, ["label", "stress", "y"]))
-    d = with_post(d, "_text")
+    d = _post(d, "_text")
     return _done(d, TASK_STRESS, lb.yes_no(F.col("_v"), lb.YES_STRESS))
 
 
@@ -97,7 +112,7 @@ def stress_posts(df: DataFrame) -> DataFrame:
 def coded_posts(df: DataFrame) -> DataFrame:
     d = df.withColumn("_text", _first(df, ["text", "post", "body"]))
     d = keep_if(d.withColumn("_v", tx.strip_ws(_first(df, ["target", "label", "class"]))), F.col("_v") != "")
-    d = with_post(d, "_text")
+    d = _post(d, "_text")
     return _done(d, TASK_CODED, lb.code_or_capitalize(F.col("_v")))
 
 
@@ -113,7 +128,7 @@ def severity_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
     chosen = cl.rank_feature_columns(data_cols, label)
     d = with_severity(df, label, "_sev")
     d = d.withColumn("_text", F.concat(F.lit(SEVERITY_PREFIX), cl.wide_to_phrase(chosen), F.lit(SEVERITY_SUFFIX)))
-    d = with_post(d, "_text")
+    d = _post(d, "_text")
     return _done(d, TASK_SEVERITY, F.col("_sev"))
 
 
@@ -128,7 +143,7 @@ def multi_format_posts(df: DataFrame) -> DataFrame:
     lf = cl.existing(df, cl.LABEL_FIELDS)
     d = d.withColumn("_lab", cl.first_nonblank(*lf) if lf else F.lit(None).cast("string"))
     d = keep_if(d, F.col("_raw").isNotNull() & F.col("_lab").isNotNull())
-    d = with_post(d, "_raw", "_title")
+    d = _post(d, "_raw", "_title")
     return _done(d, TASK_CONDITION, lb.canon_condition(F.col("_lab")))
 
 
@@ -146,7 +161,7 @@ def symptom_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
     d = keep_if(d, (F.col("_diag") != "") & ((F.size("_pres") > 0) | (F.col("_diag") == "Normal")))
     pres = F.when(F.size("_pres") > 0, F.col("_pres")).otherwise(F.array(F.lit(NO_SYMPTOMS)))
     d = d.withColumn("_text", F.concat(F.lit(SYMPTOM_PREFIX), F.array_join(F.slice(pres, 1, MAX_SYMPTOMS), ", "), F.lit(SYMPTOM_SUFFIX)))
-    d = with_post(d, "_text")
+    d = _post(d, "_text")
     return _done(d, TASK_DIAGNOSIS, F.col("_diag"))
 
 
@@ -158,7 +173,7 @@ def panic_rows(df: DataFrame) -> DataFrame:
     d = df.withColumn("_pieces", pieces)
     parts = F.when(F.size("_pieces") > 0, F.array_join("_pieces", "; ")).otherwise(F.lit(NO_NOTABLE))
     d = d.withColumn("_text", F.concat(F.lit(PANIC_PREFIX), parts, F.lit(PANIC_SUFFIX)))
-    d = with_post(d, "_text")
+    d = _post(d, "_text")
     return _done(d, TASK_PANIC, lb.yes_no(F.col(label), lb.YES_PANIC))
 
 
@@ -174,7 +189,7 @@ def _selftext_raw(df: DataFrame) -> Column:
 def constant_label_posts(df: DataFrame, answer: str = CONSTANT_ANSWER, task: str = TASK_CONDITION) -> DataFrame:
     d = keep_if(df.withColumn("_raw", _selftext_raw(df)), F.col("_raw").isNotNull())
     d = d.withColumn("_title", _first(df, ["title"]))
-    d = with_post(d, "_raw", "_title")
+    d = _post(d, "_raw", "_title")
     return _done(d, task, F.lit(answer))
 
 
