@@ -1,7 +1,7 @@
 """Command line: build a corpus from dataset folders.
 
-    python -m textloom.cli --dataset condition=/data/reddit_nlp/*.csv \\
-        --dataset stress=/data/dreaddit --dataset multi=/data/rmhd \\
+    python -m textloom.cli --dataset condition=/data/posts/*.csv \\
+        --dataset stress=/data/stress --dataset multi=/data/mixed \\
         --out /shared/corpus --val-ratio 0.1 --seed 42 --ctx 1024
 
 Each ``--dataset KIND=PATH`` reads PATH (files, globs or a folder; the reader
