@@ -182,3 +182,14 @@ def test_cleaning_switches(spark):
         assert specs.condition_posts(df).count() == 0
     finally:
         specs.configure_cleaning()
+
+
+def test_drop_listed_large_list_path(spark):
+    from textloom.operators import words as W
+
+    words = [f"w{i}" for i in range(1000)] + ["bb"]
+    docs = spark.createDataFrame([(0, ["a", "bb", "w5", "cc", "a"]), (1, None)], "id long, toks array<string>")
+    got = {r["id"]: r["x"] for r in docs.select("id", W.drop_listed("toks", words).alias("x")).collect()}
+    assert got == {0: ["a", "cc"], 1: None}
+    got2 = docs.select(W.drop_listed("toks", words, unique=False).alias("x")).first()["x"]
+    assert got2 == ["a", "cc", "a"]

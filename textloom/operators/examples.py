@@ -58,10 +58,14 @@ def with_post(
     d = d.withColumn("_wp_spam", tx.is_spammy(F.col("_wp_full"), min_chars))
     d = _strip_patterns_staged(d, "_wp_full", "_wp_clean")
     empty = F.array().cast("array<string>")
-    d = d.withColumn(
-        "_wp_toks",
-        F.when(F.col("_wp_spam"), empty).otherwise(tx.keyword_tokens(F.col("_wp_clean"), patterns_stripped=True, **kw)),
-    )
+    extra = list(kw.pop("extra_words", None) or [])
+    from .words import LITERAL_SMALL, drop_listed
+
+    small_extra = extra if len(extra) <= LITERAL_SMALL else None
+    toks = tx.keyword_tokens(F.col("_wp_clean"), patterns_stripped=True, extra_words=small_extra, **kw)
+    if small_extra is None and extra:
+        toks = drop_listed(toks, extra, unique=kw.get("unique", True))
+    d = d.withColumn("_wp_toks", F.when(F.col("_wp_spam"), empty).otherwise(toks))
     kept = F.filter(F.array(F.col("_wp_toks")), lambda x: F.size(x) >= min_keywords)
     d = d.withColumn("_wp_kw", F.explode(kept))
     return d.withColumn(out, F.array_join("_wp_kw", " ")).drop("_wp_full", "_wp_spam", "_wp_clean", "_wp_toks", "_wp_kw")

@@ -1,8 +1,9 @@
 """Token-list set operations: word-list removal (anti join), lexicon keywords,
 label lookup tables.
 
-A small word list (count checked first) is applied as one array literal with
-``array_except``/``filter``; a list over the threshold goes through
+A stop-word sized list is applied as one array literal (``array_except``); a
+larger bounded list as a broadcast set in an Arrow-batched pandas UDF (set built
+once per worker, not once per row); a list beyond that bound goes through
 explode -> anti join -> regroup by row key, broadcast only under the checked
 size, a shuffle join otherwise.
 """
@@ -16,8 +17,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS
 
-# Word lists up to this many entries become an in-plan array literal.
-LITERAL_MAX = 50_000
+# Word lists up to this many entries are removed inside the JVM with an array
+# literal; ``array_except`` rebuilds its hash set from the literal for every
+# row, so this stays small (stop-word sized).
+LITERAL_SMALL = 256
+# Larger lists up to this many entries: a broadcast set, applied by an
+# Arrow-batched pandas UDF that builds the set once per Python worker.
+LITERAL_MAX = 1_000_000
 # Lookup tables up to this many rows are broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -28,21 +34,57 @@ def normalize_words(words: DataFrame, col: str = "word") -> DataFrame:
     return words.select(w.alias("word")).filter(F.col("word") != "").distinct()
 
 
+def drop_listed(tokens, words: Sequence[str], unique: bool = True) -> Column:
+    """Tokens not in ``words`` (a bounded list), order kept; with ``unique``
+    also de-duplicated (first occurrence)."""
+    t = F.col(tokens) if isinstance(tokens, str) else tokens
+    words = list(words)
+    if len(words) <= LITERAL_SMALL:
+        arr = F.lit(words) if words else F.array().cast("array<string>")
+        if unique:
+            return F.array_except(t, arr)
+        return F.filter(t, lambda x: ~F.array_contains(arr, x))
+    from pyspark import SparkContext
+    from pyspark.sql import types as T
+
+    bc = SparkContext.getOrCreate().broadcast(frozenset(words))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def _drop(col):
+        import pandas as pd
+
+        ws = bc.value
+
+        def one(a):
+            if a is None:
+                return None
+            if unique:
+                seen, out = set(), []
+                for x in a:
+                    if x not in ws and x not in seen:
+                        seen.add(x)
+                        out.append(x)
+                return out
+            return [x for x in a if x not in ws]
+
+        return pd.Series([one(a) for a in col])
+
+    return _drop(t)
+
+
 def remove_words(df: DataFrame, tokens: str, words: DataFrame, key: Sequence[str], out: str | None = None,
                  unique: bool = True) -> DataFrame:
     """Drop tokens that appear in ``words`` (a normalised one-column list).
 
-    ``key`` must identify rows of ``df`` (used only on the large-list path).
+    Up to ``LITERAL_MAX`` words (checked by a bounded collect) the list is
+    applied per row (:func:`drop_listed`); beyond that, tokens are exploded,
+    anti-joined (broadcast under ``BROADCAST_MAX_ROWS``, shuffle otherwise) and
+    regrouped by ``key`` (which must identify rows of ``df``).
     """
     out = out or tokens
-    # One bounded job: at most LITERAL_MAX + 1 words ever reach the driver.
-    head = [r[0] for r in words.limit(LITERAL_MAX + 1).collect()]
+    head = [r[0] for r in words.limit(LITERAL_MAX + 1).collect()]  # bounded: at most LITERAL_MAX + 1 words
     if len(head) <= LITERAL_MAX:
-        lst = head
-        arr = F.lit(lst) if lst else F.array().cast("array<string>")
-        if unique:
-            return df.withColumn(out, F.array_except(F.col(tokens), arr))
-        return df.withColumn(out, F.filter(F.col(tokens), lambda t: ~F.array_contains(arr, t)))
+        return df.withColumn(out, drop_listed(tokens, head, unique))
     key = list(key)
     n = words.count()
     ex = df.select(*key, F.posexplode(tokens).alias("_pos", "_tok"))
@@ -54,7 +96,8 @@ def remove_words(df: DataFrame, tokens: str, words: DataFrame, key: Sequence[str
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))), lambda x: x["_tok"]).alias("_kept")
     )
     res = df.join(regrouped, key, "left")
-    return res.withColumn(out, F.coalesce(F.col("_kept"), F.array().cast("array<string>"))).drop("_kept")
+    kept_arr = F.coalesce(F.col("_kept"), F.array().cast("array<string>"))
+    return res.withColumn(out, F.array_distinct(kept_arr) if unique else kept_arr).drop("_kept")
 
 
 def lexicon_keywords(df: DataFrame, tokens: str, lexicon: DataFrame, key: Sequence[str], out: str = "lemmas",
