@@ -154,3 +154,7 @@ def test_global_offset_single_partition_only_on_bucket_table(spark):
             # the only data that is funnelled into one partition is the per-bucket totals table
             below = "\n".join(lines[i:i + 3])
             assert "HashAggregate(keys=[_go_b" in below, below
+
+
+def test_capped_dedupe_zero_cap_keeps_all(df, rows):
+    assert od.dedupe_capped(df, "k", "ord", 0).count() == len(rows) == len(M.capped_dedupe([k for _, k, _ in rows], 0))

@@ -147,8 +147,13 @@ def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None, bounded
     cap-th first occurrence.  Only the narrow table of first occurrences
     ``(key, order)`` is ranked (``global_offset``); full rows are shuffled once,
     for the marking join on the unique ``(key, order)``.  ``bucket`` must be
-    monotone in ``order`` and computable from the order columns.
+    monotone in ``order`` and computable from the order columns.  The narrow
+    projection of ``df`` is read more than once: materialise an expensive input
+    first (:func:`materialize`).  ``cap <= 0`` keeps every row (no key is ever
+    recorded).
     """
+    if cap <= 0:
+        return df
     order = _orders(order)
     firsts = dedupe_first(df.select(key, *order), key, order)
     if bucket is None:
