@@ -8,6 +8,9 @@ body lines.
 
 Header numbering is a running count over (group, line order) done with
 ``global_offset``, so one huge file is not funnelled through one window task.
+Each section's body is one output value, assembled by a ``groupBy`` on the
+section id: a group holds exactly the lines of that one section (its own
+output), never a whole file or table.
 """
 
 from __future__ import annotations
