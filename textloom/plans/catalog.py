@@ -783,3 +783,37 @@ def _rename(src: str, dst: str) -> None:
     fs, s = _fs(src)
     _, d = _fs(dst)
     fs.move(s, d)
+
+
+# ---------------------------------------------------------------------------
+# E17 lemma / part-of-speech keywords against a lexicon table
+# ---------------------------------------------------------------------------
+_LEX_SQL = f"""lex AS (
+  SELECT DISTINCT t AS token, regexp_replace(t, 's$', '') AS lemma, CASE WHEN length(t) >= 5 THEN 'NOUN' ELSE 'DET' END AS pos
+  FROM (SELECT unnest(string_split({S.kw_norm('text')}, ' ')) AS t FROM benchmark) WHERE t <> '')"""
+
+
+@register("q_lexicon_keywords", f"""
+WITH {_LEX_SQL},
+toks AS (SELECT doc_id, unnest(l) AS t, unnest(range(0, len(l))) AS p
+         FROM (SELECT doc_id, string_split({S.kw_norm('text')}, ' ') AS l FROM documents)),
+j AS (SELECT doc_id, lower(coalesce(x.lemma, x.token)) AS lemma, min(p) AS p
+      FROM toks JOIN lex x ON toks.t = x.token
+      WHERE x.pos IN ('NOUN', 'PROPN', 'ADJ', 'VERB') AND length(lower(coalesce(x.lemma, x.token))) > 1
+        AND lower(coalesce(x.lemma, x.token)) NOT IN ({S.stop_list()})
+      GROUP BY doc_id, lower(coalesce(x.lemma, x.token))),
+g AS (SELECT doc_id, string_agg(lemma, ' ' ORDER BY p) AS lemmas, count(*) AS n FROM j GROUP BY doc_id)
+SELECT doc_id, lemmas FROM g WHERE n >= 3""")
+def q_lexicon_keywords(spark, sf):
+    """Lemma/POS keyword mode: normalised tokens of every document joined to a
+    (token, lemma, pos) lexicon derived from the benchmark table by a fixed
+    rule (lemma = token without a trailing s; NOUN from five letters on)."""
+    from ..operators.words import lexicon_keywords
+
+    bench = read_table(spark, sf, "benchmark", ["text"], balanced=False)
+    toks = bench.select(F.explode(F.split(tx.normalize_for_keywords("text"), " ")).alias("token")).filter("token <> ''")
+    lex = toks.distinct().select("token", F.regexp_replace("token", "s$", "").alias("lemma"),
+                                 F.when(F.length("token") >= 5, "NOUN").otherwise("DET").alias("pos"))
+    d = _docs(spark, sf).select("doc_id", F.split(tx.normalize_for_keywords("text"), " ").alias("toks"))
+    out = lexicon_keywords(d, "toks", lex, key=["doc_id"], out="lemmas")
+    return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
