@@ -214,3 +214,11 @@ def test_cli_builds_corpus(spark, tmp_path):
     for r in rep.collect():
         by[r["dataset"].split(":")[0]] = by.get(r["dataset"].split(":")[0], 0) + r["examples"]
     assert by == {"condition": 3, "manual": 2}
+
+
+def test_read_parquet_ordered(spark, tmp_path):
+    for name, lo in (("b", 100), ("a", 0)):
+        spark.range(lo, lo + 50, numPartitions=3).withColumn("text", F.col("id").cast("string")) \
+            .coalesce(1).write.parquet(str(tmp_path / "pq" / name))
+    df = readers.read_parquet_ordered(spark, [str(tmp_path / "pq" / "a"), str(tmp_path / "pq" / "b")])
+    assert [r["id"] for r in df.orderBy("ord").collect()] == list(range(0, 50)) + list(range(100, 150))

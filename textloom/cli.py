@@ -49,10 +49,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     if low.endswith(".json"):
         return readers.read_json_docs(spark, [path])
     if low.endswith(".parquet"):
-        df = spark.read.parquet(path)
-        return df if "ord" in df.columns else readers.add_dense_ord(
-            df.withColumn("_file_idx", F.lit(0)).withColumn("_block", F.lit(0).cast("long"))
-            .withColumn("_row", F.monotonically_increasing_id()))
+        return readers.read_parquet_ordered(spark, [path])
     return readers.read_any(spark, path)
 
 
