@@ -158,3 +158,22 @@ def test_global_offset_single_partition_only_on_bucket_table(spark):
 
 def test_capped_dedupe_zero_cap_keeps_all(df, rows):
     assert od.dedupe_capped(df, "k", "ord", 0).count() == len(rows) == len(M.capped_dedupe([k for _, k, _ in rows], 0))
+
+
+def _shards_loop(lens, T):
+    ids, buf, shard = [], 0, 0
+    for n in lens:
+        ids.append(shard)
+        buf += n
+        if buf >= T:
+            shard, buf = shard + 1, 0
+    return ids
+
+
+@pytest.mark.parametrize("T", [1, 10, 25, 1000])
+def test_assign_shards_exact_matches_writer(spark, T):
+    rnd = random.Random(T)
+    lens = [rnd.randint(0, 12) for _ in range(300)]
+    df = spark.createDataFrame([(i, [1] * n) for i, n in enumerate(lens)], "ord long, toks array<int>")
+    got = {r["ord"]: r["shard_id"] for r in tk.assign_shards_exact(df, "toks", ["ord"], F.col("ord"), shard_tokens=T).collect()}
+    assert [got[i] for i in range(len(lens))] == _shards_loop(lens, T)

@@ -817,3 +817,28 @@ def q_lexicon_keywords(spark, sf):
     d = _docs(spark, sf).select("doc_id", F.split(tx.normalize_for_keywords("text"), " ").alias("toks"))
     out = lexicon_keywords(d, "toks", lex, key=["doc_id"], out="lemmas")
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
+
+
+# ---------------------------------------------------------------------------
+# L8 exact shard rule (flush when the buffer reaches shard_tokens)
+# ---------------------------------------------------------------------------
+@register("q_shards_exact", f"""
+WITH RECURSIVE s AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS i, (strlen(text) + 1)::BIGINT AS n FROM documents WHERE text IS NOT NULL),
+w(i, sid, nxt, buf) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, 0::BIGINT, 0::BIGINT
+  UNION ALL
+  SELECT s.i, w.nxt,
+         CASE WHEN w.buf + s.n >= {tk.DEFAULT_SHARD_TOKENS} THEN w.nxt + 1 ELSE w.nxt END,
+         CASE WHEN w.buf + s.n >= {tk.DEFAULT_SHARD_TOKENS} THEN 0 ELSE w.buf + s.n END
+  FROM w JOIN s ON s.i = w.i + 1)
+SELECT w.sid AS shard_id, count(*)::BIGINT AS n_seqs, sum(s.n)::BIGINT AS n_tokens
+FROM w JOIN s USING (i) GROUP BY w.sid""")
+def q_shards_exact(spark, sf):
+    """Sequences with a leading EOT in document order, sharded by the
+    sequential writer's exact rule (pointer doubling, no single task)."""
+    d = _docs(spark, sf).filter(F.col("text").isNotNull())
+    d = od.materialize(d.withColumn("seq", tk.prepend_eot(tk.encode_bytes("text"))).select("doc_id", "seq"))
+    s = tk.assign_shards_exact(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"))
+    return s.groupBy("shard_id").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"),
+                                     F.sum(F.size("seq")).cast("long").alias("n_tokens"))
