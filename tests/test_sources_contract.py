@@ -189,6 +189,11 @@ def test_corpus_build_presets(spark, tmp_path):
     assert sum(r["examples"] for r in rep2.collect()) == 7
     sh = spark.read.parquet(str(tmp_path / "stream" / "shards"))
     assert sh.filter(F.element_at("tokens", 1) != tk.EOT_ID).count() == 0
+    # exact writer rule: every shard but the last of its split holds >= shard_tokens ids
+    sizes = sh.groupBy("split", "shard_id").agg(F.sum(F.size("tokens")).alias("n")).collect()
+    for split in {r["split"] for r in sizes}:
+        per = sorted((r["shard_id"], r["n"]) for r in sizes if r["split"] == split)
+        assert all(n >= 100 for _, n in per[:-1])
     rep3 = build(parts, str(tmp_path / "trial"), CorpusConfig(preset="trial", max_examples=20))
     assert sum(r["examples"] for r in rep3.collect()) == 20  # no dedupe, capped
 

@@ -77,6 +77,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--drop-last", action="store_true")
     p.add_argument("--token-mode", choices=["truncate", "eot_cap", "prepend_eot", "none"], default="truncate")
     p.add_argument("--shard-tokens", type=int, default=1_500_000)
+    p.add_argument("--shard-rule", choices=["exact", "offset"], default="exact",
+                   help="exact: flush once the buffer holds shard-tokens; offset: start div shard-tokens")
     p.add_argument("--min-kw", type=int, default=3, help="minimum keywords of a post (sections too)")
     p.add_argument("--min-chars", type=int, default=20, help="minimum characters of the raw post")
     p.add_argument("--unique-keywords", choices=["on", "off"], default="on")
@@ -116,7 +118,7 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
         sys.exit("no --dataset given")
     cfg = CorpusConfig(preset=a.preset, seed=a.seed, val_ratio=a.val_ratio, dedupe_cap=a.dedupe_cap,
                        max_examples=a.max_examples, ctx=a.ctx, drop_last=a.drop_last, token_mode=a.token_mode,
-                       shard_tokens=a.shard_tokens)
+                       shard_tokens=a.shard_tokens, shard_rule=a.shard_rule)
     report = build(parts, a.out, cfg, write_raw=not a.no_raw)
     report.orderBy("dataset", "split").show(truncate=False)
     return report

@@ -39,6 +39,7 @@ class CorpusConfig:
     drop_last: bool = False
     token_mode: str = "truncate"  # truncate | eot_cap | prepend_eot | none
     shard_tokens: int = tk.DEFAULT_SHARD_TOKENS
+    shard_rule: str = "exact"  # exact (flush when the buffer is full) | offset (start div shard_tokens)
     eot_in_text: bool = True
 
 
@@ -97,7 +98,16 @@ def pack(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
 
 
 def shards(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
-    return tk.assign_shards(df, "tokens", ["key", *ORDER], od.hex_bucket("key"), cfg.shard_tokens, groups=["split"])
+    """Shard ids per split, in shuffle order."""
+    order = ["key", *ORDER]
+    if cfg.shard_rule == "offset":
+        return tk.assign_shards(df, "tokens", order, od.hex_bucket("key"), cfg.shard_tokens, groups=["split"])
+    out = None
+    for split in ("train", "val"):
+        part = tk.assign_shards_exact(df.filter(F.col("split") == split), "tokens", order, od.hex_bucket("key"),
+                                      cfg.shard_tokens)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def build(parts: Sequence[tuple[str, DataFrame]], out_dir: str, cfg: CorpusConfig = CorpusConfig(),
