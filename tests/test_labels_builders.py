@@ -193,3 +193,12 @@ def test_drop_listed_large_list_path(spark):
     assert got == {0: ["a", "cc"], 1: None}
     got2 = docs.select(W.drop_listed("toks", words, unique=False).alias("x")).first()["x"]
     assert got2 == ["a", "cc", "a"]
+
+
+def test_infer_label_by_cardinality(spark):
+    rows = [(f"name{i}", ["a", "b", "c"][i % 3], f"u{i % 40}", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "name string, grp string, mid string, n long")
+    assert cl.infer_label_by_cardinality(df) == "grp"
+    assert cl.infer_label_by_cardinality(df.select("name", "mid")) is None
+    one = spark.createDataFrame([("x",), ("x",)], "v string")
+    assert cl.infer_label_by_cardinality(one) is None

@@ -80,15 +80,29 @@ def infer_label_column(columns: Sequence[str], hints: Sequence[str], must_contai
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+# An approximate distinct count above this proves more than ``hi`` (<= 8)
+# distinct values: Spark's estimate for small cardinalities is a linear count
+# over the sketch registers, which collisions can only lower.
+APPROX_PRUNE = 50
+
+
 def infer_label_by_cardinality(df: DataFrame, lo: int = 2, hi: int = 8) -> str | None:
-    """First non-numeric column with ``lo..hi`` distinct non-null values (one
-    exact ``count_distinct`` pass over all columns; only the counts reach the
-    driver)."""
+    """First non-numeric column with ``lo..hi`` distinct non-null values.
+
+    One HyperLogLog pass over all candidates rules out high-cardinality columns
+    (estimate > 50 implies far more than ``hi`` values), then an exact
+    ``count_distinct`` runs on the few remaining ones.  Only counts reach the
+    driver; the decision is exact.
+    """
     cand = [f.name for f in df.schema.fields if not isinstance(f.dataType, _NUMERIC)]
     if not cand:
         return None
-    row = df.agg(*[F.count_distinct(F.col(c)).alias(f"c{i}") for i, c in enumerate(cand)]).first()
-    for i, c in enumerate(cand):
+    approx = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"a{i}") for i, c in enumerate(cand)]).first()
+    small = [c for i, c in enumerate(cand) if approx[f"a{i}"] <= APPROX_PRUNE]
+    if not small:
+        return None
+    row = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(small)]).first()
+    for i, c in enumerate(small):
         if lo <= row[f"c{i}"] <= hi:
             return c
     return None
