@@ -177,3 +177,13 @@ def test_assign_shards_exact_matches_writer(spark, T):
     df = spark.createDataFrame([(i, [1] * n) for i, n in enumerate(lens)], "ord long, toks array<int>")
     got = {r["ord"]: r["shard_id"] for r in tk.assign_shards_exact(df, "toks", ["ord"], F.col("ord"), shard_tokens=T).collect()}
     assert [got[i] for i in range(len(lens))] == _shards_loop(lens, T)
+
+
+def test_pluggable_encoder(spark):
+    class CodePoints:
+        def encode(self, s):
+            return [ord(c) for c in s]
+
+    df = spark.createDataFrame([(0, "abc"), (1, "é€"), (2, None)], "id long, t string")
+    got = {r["id"]: r["ids"] for r in df.select("id", tk.encode_with("t", CodePoints).alias("ids")).collect()}
+    assert got == {0: [97, 98, 99], 1: [233, 8364], 2: None}
