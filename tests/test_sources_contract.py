@@ -227,3 +227,10 @@ def test_read_parquet_ordered(spark, tmp_path):
             .coalesce(1).write.parquet(str(tmp_path / "pq" / name))
     df = readers.read_parquet_ordered(spark, [str(tmp_path / "pq" / "a"), str(tmp_path / "pq" / "b")])
     assert [r["id"] for r in df.orderBy("ord").collect()] == list(range(0, 50)) + list(range(100, 150))
+
+
+def test_json_doc_with_non_object_elements(spark, tmp_path):
+    _write(tmp_path / "mixed.json", b'[{"text": "a"}, 1, "x", {"text": "b"}]')
+    docs = readers.read_json_docs(spark, [str(tmp_path / "mixed.json")])
+    assert sorted(r["text"] for r in docs.collect() if r["text"] is not None) == ["a", "b"]
+    assert docs.filter(F.col("text").isNull()).count() == 0

@@ -183,37 +183,39 @@ def read_delimited(spark: SparkSession, paths: Sequence[str], sep: str | None =
     return out if multi_line else add_dense_ord(out)
 
 
+MAX_JSON_FIELDS = 10_000
+
+
 def read_json_docs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Whole-file JSON: a top-level array of objects, or an object with a
-    ``data`` array; other shapes give no rows.  Primitive values as strings."""
+    ``data`` array; other shapes give no rows, and array elements that are not
+    objects are skipped (the rest of the file is kept).  Values as strings.
+
+    Each file is one text value (a file per task, like multi-line JSON); the
+    array is parsed into element strings, each element into a string map, and
+    the field names (metadata, at most ``MAX_JSON_FIELDS``) become columns.
+    """
     files = _norm_paths(spark, paths)
-    raw = (spark.read.option("multiLine", True).option("primitivesAsString", True)
-           .option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True).json(files))
-    raw = _with_provenance(_tag(raw), files, whole_file=True)
-    cols = [c for c in raw.columns if c not in ("data", "_corrupt_record")]
-    if "_corrupt_record" in raw.columns:
-        raw = raw.filter(F.col("_corrupt_record").isNull())
-    if "data" in raw.columns and isinstance(raw.schema["data"].dataType, T.ArrayType) \
-            and isinstance(raw.schema["data"].dataType.elementType, T.StructType):
-        prov = ["_file", "_file_idx", "_block", "_row", "ord"]
-        inner = raw.filter(F.col("data").isNotNull()).select(*prov, F.posexplode("data").alias("_pos", "_d"))
-        inner = inner.select(*prov, "_pos", "_d.*").withColumn("ord", F.col("ord") + F.col("_pos")).drop("_pos")
-        data_cols = [c for c in cols if c not in prov]
-        top = raw.filter(F.col("data").isNull()).select(*cols)
-        if data_cols:
-            top = top.filter(F.coalesce(*[F.col(f"`{c}`").isNotNull() for c in data_cols]))
-        return top.unionByName(inner, allowMissingColumns=True)
-    return raw.select(*cols)
+    raw = _with_provenance(_tag(spark.read.option("wholetext", True).text(files)), files, whole_file=True)
+    top = F.from_json(F.col("value"), "map<string,string>")
+    arr = F.coalesce(F.from_json(F.col("value"), "array<string>"), F.from_json(top["data"], "array<string>"))
+    prov = ["_file", "_file_idx", "_block", "_row", "ord"]
+    d = raw.select(*prov, F.posexplode(arr).alias("_pos", "_el"))
+    d = d.withColumn("_m", F.from_json(F.col("_el"), "map<string,string>")).filter(F.col("_m").isNotNull())
+    keys = sorted(r[0] for r in d.select(F.explode(F.map_keys("_m"))).distinct().limit(MAX_JSON_FIELDS + 1).collect())
+    if len(keys) > MAX_JSON_FIELDS:
+        raise ValueError(f"more than {MAX_JSON_FIELDS} distinct JSON field names")
+    d = d.withColumn("ord", F.col("ord") + F.col("_pos"))
+    return d.select(*prov, *[F.col("_m")[k].alias(k) for k in keys])
 
 
 def read_json_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """JSON lines: blank, unparsable and non-object lines are skipped."""
     files = _norm_paths(spark, paths)
-    raw = (spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-           .option("primitivesAsString", True).option("ignoreCorruptFiles", True).json(files))
+    # DROPMALFORMED: blank lines are skipped, unparsable and non-object lines dropped.
+    raw = (spark.read.option("mode", "DROPMALFORMED").option("primitivesAsString", True)
+           .option("ignoreCorruptFiles", True).json(files))
     raw = _tag(raw)
-    if "_corrupt_record" in raw.columns:
-        raw = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     return add_dense_ord(_with_provenance(raw, files, whole_file=False))
 
 
