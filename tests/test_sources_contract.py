@@ -234,3 +234,16 @@ def test_json_doc_with_non_object_elements(spark, tmp_path):
     docs = readers.read_json_docs(spark, [str(tmp_path / "mixed.json")])
     assert sorted(r["text"] for r in docs.collect() if r["text"] is not None) == ["a", "b"]
     assert docs.filter(F.col("text").isNull()).count() == 0
+
+
+def test_balance_is_noop_with_enough_splits(spark, tmp_path):
+    from textloom.sources.tables import balance
+
+    path = str(tmp_path / "many")
+    spark.range(0, 20000, numPartitions=16).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert balance(df, min_splits=8) is df  # 16 files, at least one row group each: no shuffle added
+    one = str(tmp_path / "one")
+    spark.range(0, 100, numPartitions=1).write.parquet(one)
+    plan = balance(spark.read.parquet(one), min_splits=8)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(8)" in plan
