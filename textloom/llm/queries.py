@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, secrets, token_counts, urls
+from . import exact_dedup, langid, mixing, packing, quality, secrets, token_counts, urls
 
 VOCABULARY = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,14 @@ def op7_token_counts(spark, sf_dir):
 @register("op10_best_fit_packing")
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@register("op4_exact_dedup", exact_dedup.oracle_sql())
+def op4_exact_dedup(spark, sf_dir):
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train_on(docs))
