@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, packing, quality, secrets, token_counts, urls
+from . import exact_dedup, langid, mixing, ngram_join, packing, quality, secrets, token_counts, urls
 
 VOCABULARY = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op4_exact_dedup(spark, sf_dir):
 def op6_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train_on(docs))
+
+
+@register("op5_ngram_jaccard_join")
+def op5_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
