@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, ngram_join, packing, quality, secrets, token_counts, urls
+from . import exact_dedup, langid, mixing, ngram_join, packing, quality, secrets, substring_dedup, token_counts, urls
 
 VOCABULARY = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op6_language_id(spark, sf_dir):
 @register("op5_ngram_jaccard_join")
 def op5_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@register("op9_suffix_array_dedup")
+def op9_suffix_array_dedup(spark, sf_dir):
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
