@@ -27,6 +27,22 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """(rk1, rk2): names a row by its id and text, also where either is null.
+    Rows that agree in both share it."""
+    cols = [F.col(id_col), F.col(text_col)]
+    return [F.xxhash64(*cols).alias("rk1"), F.xxhash64(F.lit(1), *cols[::-1], F.length(text_col)).alias("rk2")]
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose key is in ``kept``
+    (rk1, rk2); of rows that repeat a key, one."""
+    columns = docs.columns
+    whole = docs.select(F.struct(*columns).alias("_row"), *row_key(id_col, text_col))
+    whole = whole.join(kept.select("rk1", "rk2"), ["rk1", "rk2"], "left_semi").dropDuplicates(["rk1", "rk2"])
+    return whole.select("_row.*")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back.
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, staged
+from .common import BLANKS, join_groups, keep_rows, row_key, staged
 
 WINDOW = 8            # bytes that decide about a cut
 MASK_BITS = 11        # a cut every 2 KB on average
@@ -74,11 +74,11 @@ def _digest(chunk: bytes, size: int) -> bytes:
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = DIGEST_BYTES) -> DataFrame:
-    """(id, n_chars, text_sha256, uid, recipe), one row per row of ``docs``.
+    """(id, rk1, rk2, n_chars, text_sha256, uid, recipe), one row per row of ``docs``.
 
     ``recipe`` is the concatenation of chunk identifiers of equal width, verified
     on the chunks' bytes."""
-    d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
+    d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), *row_key(id_col, text_col))
 
     @F.pandas_udf("n_chars long, text_sha256 string, recipe binary")
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -89,8 +89,8 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
                 rows.append((len(t or ""), hashlib.sha256(data).hexdigest(), b"".join(_digest(c, digest_bytes) for c in chunks(data))))
             yield pd.DataFrame(rows, columns=["n_chars", "text_sha256", "recipe"])
 
-    made = d.select("_id", make("_t").alias("_r")).select(
-        F.col("_id").alias(id_col), "_r.*", F.monotonically_increasing_id().alias("uid"))
+    made = d.select("_id", "rk1", "rk2", make("_t").alias("_r")).select(
+        F.col("_id").alias(id_col), "rk1", "rk2", "_r.*", F.monotonically_increasing_id().alias("uid"))
     made = staged(made, "recipes")
     clashes = clashing_chunks(d, digest_bytes)
     if clashes.isEmpty():
@@ -141,12 +141,12 @@ def _renamed(made: DataFrame, d: DataFrame, clashes: DataFrame, id_col: str, dig
     names = x.groupBy("text_sha256").agg(F.array_sort(F.collect_list(F.struct("at", "id"))).alias("_all"))
     names = names.select("text_sha256", F.aggregate("_all", F.lit(b""), lambda a, p: F.concat(a, p.id)).alias("_new"))
     return made.join(names, "text_sha256", "left").select(
-        id_col, "n_chars", "text_sha256", F.coalesce("_new", "recipe").alias("recipe"), "uid")
+        id_col, "rk1", "rk2", "n_chars", "text_sha256", F.coalesce("_new", "recipe").alias("recipe"), "uid")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = DIGEST_BYTES) -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256), one row per row of ``docs``,
-    dropped ones too.  A null text counts as empty; a null id sorts first among
+    """(id, keep_id, group_size, kept, text_sha256, rk1, rk2), one row per row of
+    ``docs``, dropped ones too.  A null text counts as empty; a null id sorts first among
     ties.  Exactly one row of a group is kept, also among rows that repeat an id.
     Other columns are not read."""
     d = recipes(docs, id_col, text_col, digest_bytes).withColumnRenamed(id_col, "_id")
@@ -155,21 +155,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", diges
     first = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("_id").alias("id"), F.col("uid").alias("uid")))
     groups = d.groupBy("_k", "recipe").agg(first.alias("_first"), F.count("*").alias("group_size"))
     groups = staged(groups.select("_k", "recipe", F.col("_first.id").alias("keep_id"), F.col("_first.uid").alias("keep_uid"), "group_size"), "groups")
-    many = max(d.count() // 1000, 1)
-    large = groups.filter(F.col("group_size") > many)     # fewer than a thousand
-    small = groups.filter((F.col("group_size") <= many) & (F.col("group_size") > 1))
-    out = [F.col("_id").alias(id_col)]
-
-    def result(x: DataFrame, keep, size, kept) -> DataFrame:
-        return x.select(*out, keep.alias("keep_id"), size.alias("group_size"), kept.alias("kept"), "text_sha256")
-
-    kept = F.col("uid") == F.col("keep_uid")
-    hot = d.join(F.broadcast(large), ["_k", "recipe"])
-    rest = d.join(F.broadcast(large.select("_k", "recipe")), ["_k", "recipe"], "left_anti").join(small, ["_k", "recipe"], "left")
-    size = F.coalesce("group_size", F.lit(1)).cast("long")
-    alone = F.col("group_size").isNull()
-    return result(hot, F.col("keep_id"), F.col("group_size"), kept).unionByName(
-        result(rest, F.when(alone, F.col("_id")).otherwise(F.col("keep_id")), size, alone | kept))
+    d = join_groups(d, groups, ["_k", "recipe"], "group_size", d.count())
+    return d.select(F.col("_id").alias(id_col), "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"),
+                    "text_sha256", "rk1", "rk2")
+
+
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    return keep_rows(docs, dedup(docs, id_col, text_col).filter("kept"), id_col, text_col)
 
 
 def oracle_sql() -> str:

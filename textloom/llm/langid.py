@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNDECIDED = "und"
@@ -31,6 +31,7 @@ BATCH = 192
 RATE = 0.02
 SEED = 7
 TEMPERATURE = 0.1     # neighbouring positions are not independent
+MIN_SCORE = 0.5       # of a document that the pipeline keeps
 LANES = 2048          # windows that run side by side
 
 
@@ -201,9 +202,8 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return [(r["_p"].encode("utf-8", "replace")[:2 * SAMPLE_BYTES], r["_l"]) for r in rows]
 
 
-def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, held_out, lang_pred, score) for every row; only the text decides.  A
-    null id is not held out.  A network without languages answers ``und``."""
+def labelled(text: Column, net: Network) -> Column:
+    """struct(lang_pred, score) of a text."""
 
     @F.pandas_udf("lang_pred string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -223,9 +223,21 @@ def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: st
                 a = b
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    d = docs.select(F.col(id_col).alias("_id"), label(F.col(text_col)).alias("_y"))
+    return label(text)
+
+
+def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, held_out, lang_pred, score) for every row; only the text decides.  A
+    null id is not held out.  A network without languages answers ``und``."""
+    d = docs.select(F.col(id_col).alias("_id"), labelled(F.col(text_col), net).alias("_y"))
     return d.select(F.col("_id").alias(id_col), F.coalesce(held_out("_id"), F.lit(False)).alias("held_out"), "_y.*")
 
 
+def accepted(docs: DataFrame, net: Network, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows whose text has a language, with at least ``min_score``."""
+    y = labelled(F.col(text_col), net)
+    return docs.filter((y["lang_pred"] != UNDECIDED) & (y["score"] >= min_score))
+
+
 def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network:
     return train(training_sample(docs, id_col, text_col, lang_col))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.order import materialize
-from .common import WORD_RE, rows_per_group, text_of
+from .common import WORD_RE, WS_RE, row_key, rows_per_group, text_of
 
 WEIGHTS = (5, 2, 1)
 SLOPES = (-0.5, 0.0, 0.5)   # heavy sources early, light ones late
@@ -67,17 +67,16 @@ def curriculum_time(share: Column, slope: Column) -> Column:
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: Sequence[int] = WEIGHTS, slopes: Sequence[float] = SLOPES, factor: float = FACTOR,
-                max_repeat: int = MAX_REPEAT, seed: int = SEED, key: Column | None = None) -> DataFrame:
-    """One row per row of ``docs``: (id, key, size, source_size, target, taken,
+                max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
+    """One row per row of ``docs``: (id, rk1, rk2, size, source_size, target, taken,
     passes), range-sorted by the first position; rows not taken come last.
 
     ``passes`` is an array of (words, position), one entry for each time the
     document is read.  A null source is a source of its own; a null text has size
     0 and is never taken.  Equal rows are told apart by nothing and take
-    neighbouring places; the multiset of results is the same on every run.
-    ``key`` is an expression on ``docs`` carried along for callers that join back."""
+    neighbouring places; the multiset of results is the same on every run."""
     d = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-                    (F.lit(None).cast("long") if key is None else key).alias("key"),
+                    *row_key(id_col, text_col),
                     F.regexp_count(text_of(text_col), F.lit(WORD_RE)).cast("long").alias("size"),
                     F.xxhash64(F.col(id_col), F.col(source_col), F.lit(seed)).alias("_h"))
     d = materialize(d)
@@ -92,7 +91,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     run = Window.partitionBy("_sk").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     one = totals.drop("source").withColumn("_start", F.coalesce(F.sum("_bs").over(run), F.lit(0))).drop("_bs")
     one = one.join(targets.drop("source", "weight"), "_sk")
-    inside = Window.partitionBy("_sk", "_b").orderBy("_h", "_id", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_sk", "_b").orderBy("_h", "_id", "rk1", "rk2").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_local", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(one, ["_sk", "_b"])
     goal = F.round("target").cast("long")
     passes = []
@@ -103,5 +102,24 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         passes.append(F.when(words > 0, F.struct(words.cast("long").alias("words"), curriculum_time(share, F.col("slope")).alias("position"))))
     d = d.withColumn("passes", F.filter(F.array(*passes), lambda x: x.isNotNull()))
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda a, x: a + x.words)
-    d = d.select(F.col("_id").alias(id_col), "key", "size", "source_size", "target", taken.alias("taken"), "passes")
+    d = d.select(F.col("_id").alias(id_col), "rk1", "rk2", "size", "source_size", "target", taken.alias("taken"), "passes")
     return d.orderBy(F.try_element_at("passes", F.lit(1))["position"].asc_nulls_last(), id_col)
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               chars_col: str | None = "n_chars") -> DataFrame:
+    """The mix itself, range-sorted by position: each row of ``docs`` as often as it
+    is taken, with all its columns.  A row that is taken in part has the first
+    words of its text, joined by blanks.  Rows that repeat id and text are one
+    row that is taken more often."""
+    mixed = mix_sources(docs, id_col, text_col, source_col).filter("taken > 0")
+    passes = mixed.groupBy("rk1", "rk2", "size").agg(F.flatten(F.collect_list("passes")).alias("_p"))
+    columns = docs.columns
+    whole = docs.select(F.struct(*columns).alias("_row"), *row_key(id_col, text_col)).dropDuplicates(["rk1", "rk2"])
+    x = whole.join(passes, ["rk1", "rk2"]).select("_row", "size", F.explode("_p").alias("_p"))
+    text = F.col("_row").getField(text_col)
+    words = F.filter(F.split(text, WS_RE), lambda w: w != "")
+    part = F.when(F.col("_p.words") < F.col("size"), F.array_join(F.slice(words, 1, F.col("_p.words").cast("int")), " ")).otherwise(text)
+    x = x.select("_row", part.alias("_part"), F.col("_p.position").alias("_at")).orderBy("_at", F.col("_row").getField(id_col))
+    new = {text_col: F.col("_part")} | ({chars_col: F.length("_part").cast("long")} if chars_col in columns else {})
+    return x.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in columns])

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, components, join_groups, map_groups, staged
+from .common import WORD_RE, components, join_groups, keep_rows, map_groups, row_key, staged
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -103,7 +103,7 @@ def picked(threshold: float, runs: int) -> list[tuple[int, int]]:
 
 
 def embed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(uid, _id, d1, d2, size, sketch), one row per row of ``docs``; stored."""
+    """(uid, _id, rk1, rk2, d1, d2, size, sketch), one row per row of ``docs``; stored."""
 
     @F.pandas_udf("d1 long, d2 long, size long, sketch array<smallint>")
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -115,8 +115,8 @@ def embed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 rows.append((int(d[0]), int(d[1]), len(s), sketch(s)))
             yield pd.DataFrame(rows, columns=["d1", "d2", "size", "sketch"])
 
-    d = docs.select(F.col(id_col).alias("_id"), make(F.col(text_col)).alias("_s"))
-    return staged(d.select(F.monotonically_increasing_id().alias("uid"), "_id", "_s.*"), "embedded")
+    d = docs.select(F.col(id_col).alias("_id"), *row_key(id_col, text_col), make(F.col(text_col)).alias("_s"))
+    return staged(d.select(F.monotonically_increasing_id().alias("uid"), "_id", "rk1", "rk2", "_s.*"), "embedded")
 
 
 def _forest(near: np.ndarray) -> np.ndarray:
@@ -233,7 +233,7 @@ def _verify(threshold: float):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     recall: float = RECALL) -> DataFrame:
-    """(id, class_id, n_links, uid, is_first), one row per row of ``docs``.
+    """(id, class_id, n_links, is_first, rk1, rk2), one row per row of ``docs``.
 
     ``n_links``: other rows whose similarity is at least ``threshold``; ``class_id``:
     the smallest id in the row's connected component; ``is_first``: true for one row
@@ -266,9 +266,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = known.groupBy("label").agg(F.min("first").alias("top"), F.count("*").alias("sets"))
     known = join_groups(known.drop("first"), staged(classes, "classes"), ["label"], "sets", n)
     known = staged(known.select("d1", "d2", "copies", "n_links", "top"), "answers")
-    out = join_groups(d.select("_id", "uid", "d1", "d2"), known, ["d1", "d2"], "copies", n)
-    return out.select(F.col("_id").alias(id_col), F.col("top._id").alias("class_id"), "n_links", "uid",
-                      (F.col("uid") == F.col("top.uid")).alias("is_first"))
+    out = join_groups(d.select("_id", "uid", "rk1", "rk2", "d1", "d2"), known, ["d1", "d2"], "copies", n)
+    return out.select(F.col("_id").alias(id_col), F.col("top._id").alias("class_id"), "n_links",
+                      (F.col("uid") == F.col("top.uid")).alias("is_first"), "rk1", "rk2")
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that come first in their class, with all their columns."""
+    return keep_rows(docs, near_duplicates(docs, id_col, text_col).filter("is_first"), id_col, text_col)
 
 
 def _verified(docs: DataFrame, inside: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:

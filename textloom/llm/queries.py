@@ -64,7 +64,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 @register("op4_exact_dedup", exact_dedup.oracle_sql())
 def op4_exact_dedup(spark, sf_dir):
-    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.dedup(table(spark, sf_dir, "documents")).drop("rk1", "rk2")
 
 
 @register("op6_language_id")
