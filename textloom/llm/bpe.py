@@ -1,6 +1,6 @@
 """Word-level BPE vocabularies of the ``tokenizers`` format, unit by unit.
 
-A *unit* is what stands between two spaces of a text.  For a vocabulary that
+A *unit* is what stands between two blanks (space, tab, line ends) of a text.  For a vocabulary that
 drops white space and never joins across it, a text's tokens are those of its
 units in order, so each distinct unit is encoded once per worker and looked up
 afterwards.  Units made of Latin letters, digits, punctuation and ASCII white
@@ -8,7 +8,7 @@ space are encoded here, all new ones of a batch at once (merges in numpy); any
 other unit (other scripts, control characters, special tokens' strings) goes
 to the library itself.  Tests hold the ids against the library's.
 
-Caches are bounded: ``MAX_CACHED`` entries, then they start anew.
+Caches are bounded and keep what was used lately (``Recent``).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_CACHED = 300_000
+MAX_CACHED = 150_000  # entries of one generation of a cache
 MAX_VECTOR = 64       # longer pieces are merged by the library
 SLICE = 1 << 20       # code points of a text that are split at once
 #: Latin characters that normal form C keeps and that have a one-character lower case.
@@ -35,6 +35,27 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in kept else chr(next(other)) for b in range(256)]
 
 
+class Recent:
+    """A bounded cache of two generations: when the young one is full it becomes
+    the old one, and what is still asked for moves on to the next."""
+
+    def __init__(self, size: int = MAX_CACHED):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        v = self.young.get(key)
+        if v is None:
+            v = self.old.get(key)
+            if v is not None:
+                self.put(key, v)
+        return v
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class WordBpe:
     def __init__(self, spec: str):
         import regex
@@ -56,8 +77,7 @@ class WordBpe:
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], np.arange(len(pairs))[order], made[order]
         self.none = len(pairs)
-        self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.units, self.pieces = Recent(), Recent()
         probe = "Don't  stop,\tnow: x<y\n3.14"
         if self.library_ids(probe) != [i for u in probe.split() for i in self.library_ids(u)]:
             raise ValueError("this vocabulary joins tokens across white space")
@@ -119,29 +139,40 @@ class WordBpe:
     def is_simple(self, unit: str) -> bool:
         return SIMPLE.fullmatch(unit) is not None and self.special.search(unit) is None
 
-    def solve(self, units: Sequence[str]) -> None:
-        """Add the ids of new units, as little-endian 32-bit numbers, to the cache."""
-        if len(self.units) + len(units) > MAX_CACHED:
-            self.units.clear()
-        if len(self.pieces) > MAX_CACHED:
-            self.pieces.clear()
+    def split(self, unit: str) -> list[str] | None:
+        """The pieces of a simple unit, None for any other."""
+        if unit.isascii():
+            if unit.isalpha():
+                return [unit.lower()]
+            if unit[:-1].isalpha() and unit[-1] in ".,;:!?":
+                return [unit[:-1].lower(), unit[-1]]
+        return self.pattern.findall(unit.lower()) if self.is_simple(unit) else None
+
+    def solve(self, units: Sequence[str]) -> dict[str, bytes]:
+        """The ids of new units, as little-endian 32-bit numbers."""
+        out: dict[str, bytes] = {}
         split: dict[str, list[str]] = {}
-        new: set[str] = set()
+        known: dict[str, bytes | None] = {}
         for u in units:
-            if not self.is_simple(u):
-                self.units[u] = np.array(self.library_ids(u), "<u4").tobytes()
+            found = self.split(u)
+            if found is None:
+                out[u] = np.array(self.library_ids(u), "<u4").tobytes()
                 continue
-            split[u] = found = self.pattern.findall(u.lower())
+            split[u] = found
             for p in found:
-                if p not in self.pieces:
-                    new.add(p)
-        short = [p for p in new if len(p.encode()) <= MAX_VECTOR]
+                if p not in known:
+                    known[p] = self.pieces.get(p)
+        new = [p for p, v in known.items() if v is None]
+        short = [p for p in new if len(p) <= MAX_VECTOR]
         for p, ids in zip(short, self.merge([p.encode() for p in short]), strict=True):
-            self.pieces[p] = ids
-        for p in new.difference(short):
-            self.pieces[p] = np.array(self.library_ids(p), "<u4").tobytes()
+            known[p] = ids
+        for p in new:
+            if len(p) > MAX_VECTOR:
+                known[p] = np.array(self.library_ids(p), "<u4").tobytes()
+            self.pieces.put(p, known[p])
         for u, found in split.items():
-            self.units[u] = b"".join([self.pieces[p] for p in found])
+            out[u] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
+        return out
 
     def encode_all(self, texts: Sequence[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
@@ -160,7 +191,7 @@ def slices(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def looked_up(texts: Sequence[str], cache: dict[str, bytes], solve, between: bytes) -> Iterator[bytes]:
+def looked_up(texts: Sequence[str], cache: Recent, solve, between: bytes) -> Iterator[bytes]:
     """For each text, the cached bytes of its units, joined by ``between``."""
     done: list[bytes] = []      # of the current text
     waiting: list[tuple[list[str], bool]] = []
@@ -168,15 +199,20 @@ def looked_up(texts: Sequence[str], cache: dict[str, bytes], solve, between: byt
 
     def flush() -> Iterator[bytes]:
         units = [u for us, _ in waiting for u in us]
-        got = list(map(cache.get, units))
-        missing = {u for u, g in zip(units, got, strict=True) if g is None}
-        if missing:
+        got = list(map(cache.young.get, units))
+        gaps = [i for i, g in enumerate(got) if g is None]
+        if gaps:
             gc.disable()   # millions of short-lived strings, no cycles
             try:
-                solve(list(missing))
+                missing = dict.fromkeys([units[i] for i in gaps])
+                fresh = {u: v for u in missing if (v := cache.old.get(u)) is not None}
+                fresh |= solve([u for u in missing if u not in fresh])
+                for i in gaps:
+                    got[i] = fresh[units[i]]
+                for u, v in fresh.items():
+                    cache.put(u, v)
             finally:
                 gc.enable()
-            got = [cache[u] if g is None else g for u, g in zip(units, got, strict=True)]
         at = 0
         for us, ends in waiting:
             done.append(between.join(got[at:at + len(us)]))
@@ -187,6 +223,8 @@ def looked_up(texts: Sequence[str], cache: dict[str, bytes], solve, between: byt
         waiting.clear()
 
     for text in texts:
+        for blank in "\n\t\r":      # as good as a space, and one code point as well
+            text = text.replace(blank, " ")
         parts = list(slices(text))
         for k, part in enumerate(parts):
             waiting.append((part.split(" "), k == len(parts) - 1))

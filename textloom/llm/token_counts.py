@@ -21,6 +21,7 @@ from it.  Rows never move.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import accumulate
 from operator import sub
@@ -32,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import MAX_CACHED, WordBpe, coder, looked_up, read_spec
+from .bpe import MAX_CACHED, Recent, WordBpe, coder, looked_up, read_spec
 
 NARROW, WIDE = b"\x01", b"\x04"
 
@@ -42,9 +43,7 @@ class PrefixCounter:
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
-        self.units: dict[str, bytes] = {}
-        self.states: dict[bytes, tuple[int, int, int]] = {}
-        self.words: dict[bytes, list[int]] = {}
+        self.units, self.words, self.states = Recent(), Recent(), Recent()
         self.pairs: dict[int, bool] = {}
         self.wide: set[str] = set()   # units with a difference beyond a byte
         back = {s: b for b, s in enumerate(bpe.symbols)}
@@ -134,22 +133,18 @@ class PrefixCounter:
         known = self.words.get(word)
         if known is not None:
             return known
-        if len(self.words) > MAX_CACHED:
-            self.words.clear()
         before = [(0, -1, 0)]
         out = []
         for i in range(1, len(word) + 1):
             prefix = word[:i]
             state = self.states.get(prefix)
             if state is None:
-                if len(self.states) > MAX_CACHED:
-                    self.states.clear()
                 state = (*self._last(prefix, before, False), self._last(prefix, before, True)[0])
                 if i <= self.longest:
-                    self.states[prefix] = state
+                    self.states.put(prefix, state)
             before.append(state)
             out.append(state[2])
-        self.words[word] = out
+        self.words.put(word, out)
         return out
 
     def unit(self, u: str) -> list[int]:
@@ -172,23 +167,23 @@ class PrefixCounter:
             base = counts[-1]
         return counts + [base] * (len(u) - len(counts))
 
-    def solve(self, units: list[str]) -> None:
-        if len(self.units) + len(units) > MAX_CACHED:
-            self.units.clear()
+    def solve(self, units: list[str]) -> dict[str, bytes]:
+        out = {}
         for u in units:
             counts = self.unit(u)
             steps = list(map(sub, counts, [0, *counts]))
             try:
-                self.units[u] = pack(f"{len(steps)}b", *steps)
+                out[u] = pack(f"{len(steps)}b", *steps)
             except StructError:
                 self.wide.add(u)
-                self.units[u] = bytes(len(u))
+                out[u] = bytes(len(u))
+        return out
 
     def tables(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's table of differences; a space adds nothing."""
         for text, x in zip(texts, looked_up(texts, self.units, self.solve, b"\0"), strict=True):
-            if self.wide and not self.wide.isdisjoint(text.split(" ")):
-                d = [np.diff(self.unit(u), prepend=0, append=0) for u in text.split(" ")]
+            if self.wide and not self.wide.isdisjoint(re.split("[ \n\t\r]", text)):
+                d = [np.diff(self.unit(u), prepend=0, append=0) for u in re.split("[ \n\t\r]", text)]
                 for k in d:   # the appended place is the space; the count stays as it is there
                     k[-1] = 0
                 yield WIDE + np.concatenate(d)[:-1].astype("<i4").tobytes()
