@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_CACHED = 150_000  # entries of one generation of a cache
+MAX_CACHED = 300_000  # entries of one generation of a cache
 MAX_VECTOR = 64       # longer pieces are merged by the library
 SLICE = 1 << 20       # code points of a text that are split at once
 #: Latin characters that normal form C keeps and that have a one-character lower case.
@@ -77,7 +77,7 @@ class WordBpe:
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], np.arange(len(pairs))[order], made[order]
         self.none = len(pairs)
-        self.units, self.pieces = Recent(), Recent()
+        self.units = Recent()      # a plain word is its own piece, so pieces are kept here as well
         probe = "Don't  stop,\tnow: x<y\n3.14"
         if self.library_ids(probe) != [i for u in probe.split() for i in self.library_ids(u)]:
             raise ValueError("this vocabulary joins tokens across white space")
@@ -161,7 +161,7 @@ class WordBpe:
             split[u] = found
             for p in found:
                 if p not in known:
-                    known[p] = self.pieces.get(p)
+                    known[p] = self.units.get(p)
         new = [p for p, v in known.items() if v is None]
         short = [p for p in new if len(p) <= MAX_VECTOR]
         for p, ids in zip(short, self.merge([p.encode() for p in short]), strict=True):
@@ -169,7 +169,7 @@ class WordBpe:
         for p in new:
             if len(p) > MAX_VECTOR:
                 known[p] = np.array(self.library_ids(p), "<u4").tobytes()
-            self.pieces.put(p, known[p])
+            self.units.put(p, known[p])
         for u, found in split.items():
             out[u] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
         return out
