@@ -39,12 +39,15 @@ from pyspark.sql import functions as F
 from .common import join_groups, map_groups, staged
 
 LENGTH = 200
-GRAM = 16
-MANY = 2000              # segments of one mark that are sorted in one shard
+GRAM = 48                # bytes of a mark, a multiple of 8; long ones seldom agree by chance
 SHARD_BYTES = 1 << 20    # bytes that are suffix-sorted at once
+MANY = SHARD_BYTES // (LENGTH + GRAM + 64)   # segments of one mark that still fit into a shard
 PART = 1 << 22           # bytes of a text that are looked at at once
 
 
+_MIX = np.random.default_rng(9).integers(1, 1 << 63, GRAM // 8, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 # ---------------------------------------------------------------------------
 # Marks and segments
 # ---------------------------------------------------------------------------
@@ -60,10 +63,12 @@ def marks(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np
     for at in range(0, max(len(data) - length + 1, 0), PART):
         b = np.frombuffer(data, np.uint8, min(PART + length - 1, len(data) - at), at)
         x = _words(b, "<")
-        h = x[:len(b) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) + x[8:] * np.uint64(0xD6E8FEB86659FD93)
+        n = len(b) - GRAM + 1
+        h = x[:n] * _MIX[0]
+        for k in range(1, GRAM // 8):
+            h += x[8 * k:8 * k + n] * _MIX[k]
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
-        n = len(h)
         low = (1 << 24) - 1
         key = (h & np.uint64(~low & (1 << 64) - 1)) | np.arange(n, dtype=np.uint64)    # leftmost among equals
         key = np.concatenate([key, np.full(-n % w, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, w)
@@ -87,25 +92,25 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def segments(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(k1, k2, mark, digest, first, span, shift), one row per segment: the first
-    start, starts after it, and the mark's distance from the first start."""
-    schema = "k1 long, k2 long, mark long, digest long, first long, span int, shift int"
+    """(k1, k2, mark, digest, first, span), one row per segment: the first start
+    and the number of starts after it."""
+    schema = "k1 long, k2 long, mark long, digest long, first long, span int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
             texts = batch.column("_t").cast(pa.binary()).to_pylist()
-            cols: list[list] = [[] for _ in range(7)]
+            cols: list[list] = [[] for _ in range(6)]
             for i, t in enumerate(texts):
                 if len(t) < length:
                     continue
-                first, last, place, mark = marks(t, length)
+                first, last, _, mark = marks(t, length)
                 digest = np.array([xxhash.xxh3_64_intdigest(t[a:b + length]) for a, b in zip(first.tolist(), last.tolist(), strict=True)], np.uint64)
                 n = len(first)
-                for c, v in zip(cols, (np.full(n, k1[i]), np.full(n, k2[i]), mark, digest.view(np.int64), first, (last - first).astype(np.int32), (place - first).astype(np.int32)), strict=True):
+                for c, v in zip(cols, (np.full(n, k1[i]), np.full(n, k2[i]), mark, digest.view(np.int64), first, (last - first).astype(np.int32)), strict=True):
                     c.append(v)
             if cols[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["k1", "k2", "mark", "digest", "first", "span", "shift"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["k1", "k2", "mark", "digest", "first", "span"])
 
     return keyed.select("k1", "k2", "_t").mapInArrow(run, schema)
 
@@ -239,7 +244,7 @@ def _sort_shard(length: int):
 
 def _fetch(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` segments with their bytes; texts are joined on the row's hashes."""
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("mark", "places", "kinds", "first", "span", "shift")).alias("l"))
+    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("mark", "places", "kinds", "first", "span")).alias("l"))
 
     @F.pandas_udf("array<binary>")
     def cut(texts: pd.Series, ls: pd.Series) -> pd.Series:
@@ -259,7 +264,7 @@ def _fetch(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """(k1, k2, first, last): runs of starts whose string starts elsewhere too."""
     seen = staged(segments(keyed, length), "segments")
-    place = F.min(F.struct("k1", "k2", "first", "span", "shift"))
+    place = F.min(F.struct("k1", "k2", "first", "span"))
     kinds = staged(seen.groupBy("mark", "digest").agg(F.count("*").alias("places"), place.alias("at")), "kinds")
     n = seen.count()
     whole = join_groups(seen, kinds.filter("places > 1").select("mark", "digest", "places"), ["mark", "digest"], "places", n)
