@@ -43,6 +43,19 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
     return whole.select("_row.*")
 
 
+ARROW_BYTES = 16 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the Arrow batches of its session to ``ARROW_BYTES``:
+    a Python worker holds a batch several times over (Arrow, strings, bytes)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(df.sparkSession.conf.get(name)).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= ARROW_BYTES:
+        df.sparkSession.conf.set(name, f"{ARROW_BYTES}b")
+    return df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back.
 

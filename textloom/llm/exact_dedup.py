@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, join_groups, keep_rows, row_key, staged
+from .common import BLANKS, join_groups, keep_rows, row_key, small_batches, staged
 
 WINDOW = 8            # bytes that decide about a cut
 MASK_BITS = 11        # a cut every 2 KB on average
@@ -78,7 +78,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
 
     ``recipe`` is the concatenation of chunk identifiers of equal width, verified
     on the chunks' bytes."""
-    d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), *row_key(id_col, text_col))
+    d = small_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), *row_key(id_col, text_col))
 
     @F.pandas_udf("n_chars long, text_sha256 string, recipe binary")
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 UNDECIDED = "und"
 WINDOW = 64           # bytes that the network sees at once
 HIDDEN = 8            # units in each direction
@@ -229,14 +231,14 @@ def labelled(text: Column, net: Network) -> Column:
 def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, lang_pred, score) for every row; only the text decides.  A
     null id is not held out.  A network without languages answers ``und``."""
-    d = docs.select(F.col(id_col).alias("_id"), labelled(F.col(text_col), net).alias("_y"))
+    d = small_batches(docs).select(F.col(id_col).alias("_id"), labelled(F.col(text_col), net).alias("_y"))
     return d.select(F.col("_id").alias(id_col), F.coalesce(held_out("_id"), F.lit(False)).alias("held_out"), "_y.*")
 
 
 def accepted(docs: DataFrame, net: Network, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """The rows whose text has a language, with at least ``min_score``."""
     y = labelled(F.col(text_col), net)
-    return docs.filter((y["lang_pred"] != UNDECIDED) & (y["score"] >= min_score))
+    return small_batches(docs).filter((y["lang_pred"] != UNDECIDED) & (y["score"] >= min_score))
 
 
 def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network:

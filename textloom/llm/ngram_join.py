@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, components, join_groups, keep_rows, map_groups, row_key, staged
+from .common import WORD_RE, components, join_groups, keep_rows, map_groups, row_key, small_batches, staged
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -115,7 +115,7 @@ def embed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 rows.append((int(d[0]), int(d[1]), len(s), sketch(s)))
             yield pd.DataFrame(rows, columns=["d1", "d2", "size", "sketch"])
 
-    d = docs.select(F.col(id_col).alias("_id"), *row_key(id_col, text_col), make(F.col(text_col)).alias("_s"))
+    d = small_batches(docs).select(F.col(id_col).alias("_id"), *row_key(id_col, text_col), make(F.col(text_col)).alias("_s"))
     return staged(d.select(F.monotonically_increasing_id().alias("uid"), "_id", "rk1", "rk2", "_s.*"), "embedded")
 
 

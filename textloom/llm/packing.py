@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import coder, read_spec
-from .common import rows_per_group, staged
+from .common import rows_per_group, small_batches, staged
 
 CAPACITY = 4096
 END_ID = 1
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                 out.append([{"start": a, "length": len(p) // 4, "ids_crc32": zlib.crc32(p)} for a, p in parts])
             yield pd.Series(out)
 
-    d = docs.select(F.col(id_col).alias("_id"), cut(F.col(text_col)).alias("_p"))
+    d = small_batches(docs).select(F.col(id_col).alias("_id"), cut(F.col(text_col)).alias("_p"))
     return d.select(F.col("_id").alias(id_col), F.posexplode("_p").alias("piece", "_x")).select(id_col, "piece", "_x.*")
 
 

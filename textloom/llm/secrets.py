@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -233,6 +235,6 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 "spans": [_listed(f, rules) for f in found],
             })
 
-    d = docs.select(F.col(id_col).alias("_id"), scan(F.col(text_col)).alias("_s"))
+    d = small_batches(docs).select(F.col(id_col).alias("_id"), scan(F.col(text_col)).alias("_s"))
     counts = [F.col(f"_s.n.{r.kind}").alias(f"n_{r.kind}") for r in base]
     return d.select(F.col("_id").alias(id_col), *counts, "_s.base_sha256", "_s.spans")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, map_groups, staged
+from .common import join_groups, map_groups, small_batches, staged
 
 LENGTH = 200
 GRAM = 48                # bytes of a mark, a multiple of 8; long ones seldom agree by chance
@@ -87,7 +87,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, k1, k2, _t): two hashes name a row's text; equal rows share them, and
     so share their segments' fate."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.lit(1)).alias("k1"),
+    return small_batches(docs).select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.lit(1)).alias("k1"),
                        F.xxhash64(text, F.length(text)).alias("k2"), text.alias("_t"))
 
 

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import MAX_CACHED, Recent, WordBpe, coder, looked_up, read_spec
+from .common import small_batches
 
 NARROW, WIDE = b"\x01", b"\x04"
 
@@ -226,7 +227,7 @@ def prefix_tables(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
                 "prefix_table": tables,
             })
 
-    d = docs.select(F.col(id_col).alias("_id"), count(F.col(text_col)).alias("_c"))
+    d = small_batches(docs).select(F.col(id_col).alias("_id"), count(F.col(text_col)).alias("_c"))
     return d.select(F.col("_id").alias(id_col), "_c.*")
 
 
