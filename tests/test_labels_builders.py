@@ -136,7 +136,8 @@ def test_lexicon_keywords_and_lookup(spark):
 
 def test_section_examples_and_trial(spark):
     secs = spark.createDataFrame([(1, "Panic Disorder", "recurrent attacks")], "section_id long, title string, body string")
-    assert specs.section_examples(secs).count() == 0  # the fixed post has 2 keywords < 3
+    blank = specs.section_examples(secs).collect()  # the fixed post has 2 keywords < 3
+    assert [(r["post"], r["answer"]) for r in blank] == [("", "recurrent attacks")]
     rows = specs.section_examples(secs, min_keywords=2).collect()
     assert rows[0]["post"] == "dsm reference" and rows[0]["task"] == "List the DSM-5 diagnostic criteria for Panic Disorder."
     t = spark.createDataFrame([(0, "  a post\nwith lines  ", "yes"), (1, "tiny", "1"), (2, "long enough text", "")],
@@ -202,3 +203,24 @@ def test_infer_label_by_cardinality(spark):
     assert cl.infer_label_by_cardinality(df.select("name", "mid")) is None
     one = spark.createDataFrame([("x",), ("x",)], "v string")
     assert cl.infer_label_by_cardinality(one) is None
+
+
+def test_provenance_is_not_data(spark):
+    prov = "_file string, _block long, _row long, _file_idx long, ord long"
+    p = ("/data/severe/a.csv", 0, 1, 0, 0)
+    flags = spark.createDataFrame([("flu", "0", "1", *p), ("Normal", "0", "0", "/data/b.csv", 0, 7, 0, 1), ("flu", "0", "0", "/data/b.csv", 0, 9, 0, 2)],
+                                  "diagnosis string, cough string, fever string, " + prov)
+    got = {r["ord"]: r["post"] for r in specs.symptom_rows(flags).collect()}
+    assert sorted(got) == [0, 1] and "row" not in got[0] and "fever" in got[0]
+    panic = spark.createDataFrame([("34", "no", "1", *p)], "age string, sweating string, outcome string, " + prov)
+    assert specs.panic_rows(panic).first()["answer"] == "Yes"
+    survey = spark.createDataFrame([("3", "2", "x", *p), ("9", "8", "y", "/data/b.csv", 0, 2, 0, 1)], "anxiety_score string, q1 string, lo string, " + prov)
+    assert not any("severe" in r["post"] or "data" in r["post"] for r in specs.severity_rows(survey).collect())
+    kept = with_severity(survey, "anxiety_score")
+    assert [r["q1"] for r in kept.orderBy("ord").collect()] == ["2", "8"] and "lo" in kept.columns
+
+
+def test_label_without_condition_gives_no_example(spark):
+    posts = spark.createDataFrame([(0, "t", "some long enough text about weather today", "r/"), (1, "t", "some long enough text about weather today", "r/adhd")],
+                                  "ord long, title string, text string, subreddit string")
+    assert [r["ord"] for r in specs.multi_format_posts(posts).collect()] == [1]

@@ -70,7 +70,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--preset", choices=["full", "stream", "trial"], default="full")
     p.add_argument("--val-ratio", type=float, default=0.10)
     p.add_argument("--seed", type=int, default=42)
-    p.add_argument("--dedupe-cap", type=int, default=2_000_000)
+    p.add_argument("--dedupe-cap", type=int, default=None,
+                   help="remember at most so many distinct examples; later repeats pass (default: exact dedupe; 0 keeps every repeat)")
     p.add_argument("--max-per-dataset", type=int, default=0, help="cap examples per dataset (0 = none)")
     p.add_argument("--max-examples", type=int, default=0, help="cap examples overall (0 = none)")
     p.add_argument("--ctx", type=int, default=1024)

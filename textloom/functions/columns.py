@@ -57,6 +57,15 @@ def normalize_name(name: str) -> str:
     return name.lower().strip().replace(" ", "_")
 
 
+#: Columns that the readers add to a file's own.
+PROVENANCE = ("_file", "_block", "_row", "_file_idx", "ord")
+
+
+def data_columns(columns: Sequence[str]) -> list[str]:
+    """The columns of the file itself: provenance is never data."""
+    return [c for c in columns if c not in PROVENANCE]
+
+
 def humanize_name(name: str) -> str:
     """``name.replace('_', ' ').strip().title()`` on the driver (metadata)."""
     return name.replace("_", " ").strip().title()

@@ -69,12 +69,14 @@ def with_severity(df: DataFrame, label: str, out: str = "severity") -> DataFrame
     label does not parse are then dropped), otherwise the word rules.  Rows
     with a blank label are dropped."""
     # One-row statistics attached by a broadcast equi-join on a constant key.
-    st = F.broadcast(label_stats(df, label).withColumn("_one", F.lit(1)))
+    # They travel as one struct, so a column called q1 or lo stays the user's.
+    stats = label_stats(df, label)
+    st = F.broadcast(stats.select(F.struct(*stats.columns).alias("_st"), F.lit(1).alias("_one")))
     d = df.filter(~tx.is_blank(F.col(label))).withColumn("_one", F.lit(1)).join(st, "_one").drop("_one")
     v = tx.safe_double(F.col(label))
     sev = F.when(
-        F.col("any_numeric"),
-        F.when(v.isNotNull() & ~F.isnan(v), lb.severity_from_quartiles(v, "q1", "q2", "q3", "degenerate")),
+        F.col("_st.any_numeric"),
+        F.when(v.isNotNull() & ~F.isnan(v), lb.severity_from_quartiles(v, "_st.q1", "_st.q2", "_st.q3", "_st.degenerate")),
     ).otherwise(lb.severity_from_words(F.col(label)))
     d = d.withColumn(out, sev).filter(F.col(out).isNotNull())
-    return d.drop("q1", "q2", "q3", "lo", "hi", "any_numeric", "degenerate")
+    return d.drop("_st")

@@ -33,7 +33,7 @@ class CorpusConfig:
     preset: str = "full"
     seed: int = 42
     val_ratio: float = 0.10
-    dedupe_cap: int = 2_000_000
+    dedupe_cap: int | None = None   # None: exact dedupe; a number: stop remembering after so many examples
     max_examples: int = 0
     ctx: int = tk.DEFAULT_CTX
     drop_last: bool = False
@@ -70,7 +70,10 @@ def dedupe_and_split(examples: DataFrame, cfg: CorpusConfig) -> DataFrame:
             d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket(), bounded=False)
     else:
         d = od.materialize(d)
-        d = od.dedupe_capped(d, "h", ORDER, cfg.dedupe_cap, bucket=encounter_bucket(), bounded=False)
+        if cfg.dedupe_cap is None:
+            d = od.dedupe_first(d, "h", ORDER)
+        else:
+            d = od.dedupe_capped(d, "h", ORDER, cfg.dedupe_cap, bucket=encounter_bucket(), bounded=False)
         if cfg.max_examples:
             d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket(), bounded=False)
     d = d.withColumn("key", od.shuffle_key(F.col("example"), cfg.seed))

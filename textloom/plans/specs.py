@@ -121,7 +121,7 @@ def severity_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
     """Tabular survey: label column from the header (or given), severity from
     dataset quartiles or words, the three best-scoring feature columns as the
     post text."""
-    data_cols = [c for c in df.columns if c != "ord"]
+    data_cols = cl.data_columns(df.columns)
     label = label_col or cl.infer_label_column(data_cols, cl.SEVERITY_LABEL_HINTS, must_contain="anxiety")
     if label is None:
         return df.sparkSession.createDataFrame([], "ord long, sub int, post string, task string, answer string")
@@ -144,12 +144,14 @@ def multi_format_posts(df: DataFrame) -> DataFrame:
     d = d.withColumn("_lab", cl.first_nonblank(*lf) if lf else F.lit(None).cast("string"))
     d = keep_if(d, F.col("_raw").isNotNull() & F.col("_lab").isNotNull())
     d = _post(d, "_raw", "_title")
-    return _done(d, TASK_CONDITION, lb.canon_condition(F.col("_lab")))
+    # A label such as "r/" names no condition: the row has no answer.
+    d = keep_if(d.withColumn("_answer", lb.canon_condition(F.col("_lab"))), F.col("_answer") != "")
+    return _done(d, TASK_CONDITION, F.col("_answer"))
 
 
 # P8
 def symptom_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
-    data_cols = [c for c in df.columns if c != "ord"]
+    data_cols = cl.data_columns(df.columns)
     label = label_col or cl.infer_label_column(data_cols, cl.DIAGNOSIS_LABEL_HINTS)
     if label is None:
         label = cl.infer_label_by_cardinality(df.select(*data_cols))
@@ -167,7 +169,7 @@ def symptom_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
 
 # P9
 def panic_rows(df: DataFrame) -> DataFrame:
-    data_cols = [c for c in df.columns if c != "ord"]
+    data_cols = cl.data_columns(df.columns)
     label = cl.panic_label_column(data_cols)
     pieces = cl.demographic_pieces(data_cols, label)
     d = df.withColumn("_pieces", pieces)
@@ -214,9 +216,9 @@ def trial_posts(df: DataFrame, min_len: int = 10) -> DataFrame:
 def section_examples(sections: DataFrame, min_keywords: int = tx.MIN_KEYWORDS) -> DataFrame:
     """Sections ``(section_id, title, body)`` -> examples.  The post is the
     keyword form of a fixed phrase, which has two keywords: with the default
-    ``min_keywords`` = 3 it is empty and no example is produced."""
+    ``min_keywords`` = 3 it is blank.  A section with a body is an example either way."""
     post = tx.keywordize(F.lit(SECTION_POST_SOURCE), min_keywords=min_keywords)
-    d = sections.filter(F.col("body") != "").withColumn("post", post).filter(F.col("post") != "")
+    d = sections.filter(F.col("body") != "").withColumn("post", F.coalesce(post, F.lit("")))
     task = F.concat(F.lit("List the DSM-5 diagnostic criteria for "), F.col("title"), F.lit("."))
     return d.select(F.col("section_id").cast("long").alias("ord"), F.lit(0).alias("sub"), "post", task.alias("task"),
                     F.col("body").alias("answer"))
