@@ -18,8 +18,9 @@ one vertex.
    written out: a task gives each set its number of links and a spanning
    forest of the links it saw.
 
-The sketch test keeps pairs whose sketches agree on ``SKETCH_MIN`` or more; at a
-similarity of 0.8 fewer than one pair in ten thousand falls below it.
+The sketch test keeps pairs whose sketches agree on ``SKETCH_MIN`` or more; of
+pairs at a similarity of exactly 0.8, 1.3 in ten thousand fall below it, of more
+similar ones fewer.
 
 Shingles are compared by 64-bit hashes.  Texts with fewer than five words have one
 shingle, texts without words an empty set; empty sets equal each other.
