@@ -44,7 +44,7 @@ class PrefixCounter:
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
-        self.units, self.words, self.states = (Recent(MAX_CACHED // 2) for _ in range(3))
+        self.units, self.words, self.states = (Recent() for _ in range(3))
         self.pairs: dict[int, bool] = {}
         self.wide: set[str] = set()   # units with a difference beyond a byte
         back = {s: b for b, s in enumerate(bpe.symbols)}
