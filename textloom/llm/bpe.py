@@ -16,14 +16,22 @@ from __future__ import annotations
 import gc
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MAX_CACHED = 300_000  # entries of one generation of a cache
 MAX_VECTOR = 64       # longer pieces are merged by the library
 SLICE = 1 << 20       # code points of a text that are split at once
+GROUP = 1 << 23       # code points whose units are numbered at once
+#: Letters of ``SIMPLE``, with at most one mark behind them.
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[.,;:!?]?$"
+MARKS = ".,;:!?"
+#: (numbers of all units, where each unit's begin, how many they are)
+Answer = tuple[np.ndarray, np.ndarray, np.ndarray]
 #: Latin characters that normal form C keeps and that have a one-character lower case.
 SIMPLE = re.compile(r"[\t-\r\x20-\x7e¡-¬®-įı-ɏ]*")
 
@@ -76,7 +84,8 @@ class WordBpe:
         made = np.array([self.vocab[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], np.arange(len(pairs))[order], made[order]
-        self.none = len(pairs)
+        #: the ranks of pairs of bytes: inside a word, and at its end
+        self.first = [self._ranked(self.inner[:, None], last[None, :]) for last in (self.inner, self.final)]
         self.units = Recent()      # a plain word is its own piece, so pieces are kept here as well
         probe = "Don't  stop,\tnow: x<y\n3.14"
         if self.library_ids(probe) != [i for u in probe.split() for i in self.library_ids(u)]:
@@ -92,48 +101,60 @@ class WordBpe:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at] * (len(self.keys) + 1) + at, np.iinfo(np.int64).max)
 
-    def merge(self, words: Sequence[bytes]) -> list[bytes]:
-        """Ids of each word: the lowest-ranked pair, leftmost first, until none is left.
+    def _rounds(self, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, their ids) of words of one length, given as rows of bytes: the
+        lowest-ranked pair, leftmost first, is merged until none is left.
 
-        Words of one length are merged together; after k rounds every row that is
-        still live has k symbols less, so rows need no padding."""
-        out: list[bytes] = [b""] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for k, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(k)
+        After k rounds every row that is still live has k symbols less, so rows
+        need no padding."""
         stop = np.iinfo(np.int64).max
-        for n, ks in by_length.items():
-            raw = np.frombuffer(b"".join(words[k] for k in ks), np.uint8).reshape(-1, n)
-            ids = self.inner[raw]
-            ids[:, -1] = self.final[raw[:, -1]]
-            where = np.array(ks)
-            rank = self._ranked(ids[:, :-1], ids[:, 1:])
-            while True:
-                if rank.shape[1] == 0:
-                    live = np.zeros(len(ids), bool)
-                else:
-                    at = rank.argmin(1)
-                    best = rank[np.arange(len(rank)), at]
-                    live = best < stop
-                if not live.all():
-                    blob, step = ids[~live].astype("<u4").tobytes(), 4 * ids.shape[1]
-                    for i, k in enumerate(where[~live].tolist()):
-                        out[k] = blob[i * step:(i + 1) * step]
-                if not live.any():
-                    break
-                where, ids, rank, at, best = where[live], ids[live], rank[live], at[live], best[live]
-                rows = np.arange(len(ids))
-                cols = np.arange(ids.shape[1] - 1)
-                take = cols + (cols > at[:, None])          # drop the second symbol of the pair
-                ids = np.take_along_axis(ids, take, 1)
-                ids[rows, at] = self.made[best % (len(self.keys) + 1)]
-                cols = np.arange(max(rank.shape[1] - 1, 0))
-                rank = np.take_along_axis(rank, cols + (cols >= at[:, None]), 1)
-                for side in (at - 1, at):
-                    ok = (side >= 0) & (side < rank.shape[1])
-                    r, c = rows[ok], side[ok]
-                    rank[r, c] = self._ranked(ids[r, c], ids[r, c + 1])
-        return out
+        ids = self.inner[raw]
+        ids[:, -1] = self.final[raw[:, -1]]
+        where = np.arange(len(raw))
+        rank = self.first[0][raw[:, :-1], raw[:, 1:]]
+        rank[:, -1:] = self.first[1][raw[:, -2:-1], raw[:, -1:]]
+        while True:
+            if rank.shape[1] == 0:
+                live = np.zeros(len(ids), bool)
+            else:
+                at = rank.argmin(1)
+                best = rank[np.arange(len(rank)), at]
+                live = best < stop
+            if not live.all():
+                yield where[~live], ids[~live]
+            if not live.any():
+                return
+            where, ids, rank, at, best = where[live], ids[live], rank[live], at[live], best[live]
+            rows = np.arange(len(ids))
+            cols = np.arange(ids.shape[1] - 1)
+            take = cols + (cols > at[:, None])          # drop the second symbol of the pair
+            ids = np.take_along_axis(ids, take, 1)
+            ids[rows, at] = self.made[best % (len(self.keys) + 1)]
+            cols = np.arange(max(rank.shape[1] - 1, 0))
+            rank = np.take_along_axis(rank, cols + (cols >= at[:, None]), 1)
+            for side in (at - 1, at):
+                ok = (side >= 0) & (side < rank.shape[1])
+                r, c = rows[ok], side[ok]
+                rank[r, c] = self._ranked(ids[r, c], ids[r, c + 1])
+
+    def merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all words, where each word's begin, how many they are)."""
+        data, starts, size = _bytes_of(words)
+        found = []
+        for n in np.unique(size).tolist():
+            ks = np.flatnonzero(size == n)
+            if 0 < n <= MAX_VECTOR:
+                found += [(ks[rows], ids) for rows, ids in self._rounds(data[starts[ks][:, None] + np.arange(n)])]
+            elif n:
+                found += [(ks[i:i + 1], np.array([self.library_ids(words[k].as_py())])) for i, k in enumerate(ks.tolist())]
+        count = np.zeros(len(size), np.int64)
+        for ks, ids in found:
+            count[ks] = ids.shape[1]
+        begin = np.cumsum(count) - count
+        flat = np.empty(int(count.sum()), "<u4")
+        for ks, ids in found:
+            flat[begin[ks][:, None] + np.arange(ids.shape[1])] = ids
+        return flat, begin, count
 
     # -- units ------------------------------------------------------------
     def is_simple(self, unit: str) -> bool:
@@ -141,11 +162,6 @@ class WordBpe:
 
     def split(self, unit: str) -> list[str] | None:
         """The pieces of a simple unit, None for any other."""
-        if unit.isascii():
-            if unit.isalpha():
-                return [unit.lower()]
-            if unit[:-1].isalpha() and unit[-1] in ".,;:!?":
-                return [unit[:-1].lower(), unit[-1]]
         return self.pattern.findall(unit.lower()) if self.is_simple(unit) else None
 
     def solve(self, units: Sequence[str]) -> dict[str, bytes]:
@@ -163,20 +179,80 @@ class WordBpe:
                 if p not in known:
                     known[p] = self.units.get(p)
         new = [p for p, v in known.items() if v is None]
-        short = [p for p in new if len(p) <= MAX_VECTOR]
-        for p, ids in zip(short, self.merge([p.encode() for p in short]), strict=True):
-            known[p] = ids
-        for p in new:
-            if len(p) > MAX_VECTOR:
-                known[p] = np.array(self.library_ids(p), "<u4").tobytes()
+        flat, begin, count = self.merge(pa.array(new, pa.large_string()))
+        for p, i, n in zip(new, begin.tolist(), count.tolist(), strict=True):
+            known[p] = flat[i:i + n].tobytes()
             self.units.put(p, known[p])
         for u, found in split.items():
             out[u] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
         return out
 
+    def answer(self, units: pa.Array) -> Answer:
+        """The ids of distinct units.  Plain words, with at most one mark behind
+        them, are merged anew in each group of texts; others are cached."""
+        plain = pc.match_substring_regex(units, PLAIN)
+        words = pc.utf8_lower(units.filter(plain))
+        coded = pc.ascii_rtrim(words, MARKS).dictionary_encode()
+        flat, begin, count = self.merge(coded.dictionary)
+        stem = coded.indices.to_numpy()
+        data, starts, size = _bytes_of(words)
+        marked = size > _bytes_of(coded.dictionary)[2][stem]
+        sizes = count[stem] + marked
+        after = np.cumsum(sizes)
+        blob = np.empty(int(sizes.sum()), "<u4")
+        blob[after[marked] - 1] = self.final[data[(starts + size)[marked] - 1]]
+        inside = np.ones(len(blob), bool)
+        inside[after[marked] - 1] = False
+        blob[inside] = flat[_places(begin[stem], count[stem])]
+        rest = cached(units.filter(pc.invert(plain)).to_pylist(), self.units, self.solve)
+        other, other_begin, other_sizes = packed(rest, b"", 4)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        both = np.empty((2, len(units)), np.int64)
+        both[:, is_plain] = after - sizes, sizes
+        both[:, ~is_plain] = other_begin + len(blob), other_sizes
+        return np.concatenate([blob, other]), both[0], both[1]
+
     def encode_all(self, texts: Sequence[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        return looked_up(texts, self.units, self.solve, b"")
+        return looked_up(texts, self.answer, 0)
+
+
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, first byte of each word, its number of bytes)."""
+    words = pa.concat_arrays([words]).cast(pa.large_binary())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    data = words.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets[:-1], np.diff(offsets)
+
+
+def _places(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of ``count`` numbers each, one after another."""
+    before = np.cumsum(count) - count
+    return np.arange(int(count.sum())) + np.repeat(begin - before, count)
+
+
+def cached(units: list[str], cache: Recent, solve) -> list[bytes]:
+    """The bytes of distinct units; those that the cache lacks are solved together."""
+    got = list(map(cache.young.get, units))
+    gaps = [i for i, g in enumerate(got) if g is None]
+    if gaps:
+        gc.disable()   # millions of short-lived strings, no cycles
+        try:
+            missing = [units[i] for i in gaps]
+            fresh = {u: v for u in missing if (v := cache.old.get(u)) is not None}
+            fresh |= solve([u for u in missing if u not in fresh])
+            for i, u in zip(gaps, missing, strict=True):
+                got[i] = fresh[u]
+                cache.put(u, got[i])
+        finally:
+            gc.enable()
+    return got
+
+
+def packed(found: list[bytes], between: bytes, width: int) -> Answer:
+    """``found``, each followed by ``between``, as numbers of ``width`` bytes."""
+    sizes = (np.fromiter(map(len, found), np.int64, len(found)) + len(between)) // width
+    return np.frombuffer(between.join([*found, b""]), f"<u{width}"), np.cumsum(sizes) - sizes, sizes
 
 
 def slices(text: str) -> Iterator[str]:
@@ -191,45 +267,42 @@ def slices(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def looked_up(texts: Sequence[str], cache: Recent, solve, between: bytes) -> Iterator[bytes]:
-    """For each text, the cached bytes of its units, joined by ``between``."""
+def looked_up(texts: Sequence[str], answer: Callable[[pa.Array], Answer], drop: int) -> Iterator[bytes]:
+    """For each text, its units' answers in a row, without the last ``drop`` bytes.
+    Units of many texts are numbered at once, distinct ones are answered, and the
+    answers are dealt out by number."""
     done: list[bytes] = []      # of the current text
-    waiting: list[tuple[list[str], bool]] = []
+    waiting: list[str] = []
+    ends: list[bool] = []       # whether a part is the last of its text
     size = 0
 
     def flush() -> Iterator[bytes]:
-        units = [u for us, _ in waiting for u in us]
-        got = list(map(cache.young.get, units))
-        gaps = [i for i, g in enumerate(got) if g is None]
-        if gaps:
-            gc.disable()   # millions of short-lived strings, no cycles
-            try:
-                missing = dict.fromkeys([units[i] for i in gaps])
-                fresh = {u: v for u in missing if (v := cache.old.get(u)) is not None}
-                fresh |= solve([u for u in missing if u not in fresh])
-                for i in gaps:
-                    got[i] = fresh[units[i]]
-                for u, v in fresh.items():
-                    cache.put(u, v)
-            finally:
-                gc.enable()
-        at = 0
-        for us, ends in waiting:
-            done.append(between.join(got[at:at + len(us)]))
-            at += len(us)
-            if ends:
-                yield between.join(done)
+        if not waiting:
+            return
+        lists = pc.split_pattern(pa.array(waiting, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        blob, starts, sizes = answer(coded.dictionary)
+        number = coded.indices.to_numpy()
+        borders = lists.offsets.to_numpy().tolist()
+        for k, last in enumerate(ends):
+            n = number[borders[k]:borders[k + 1]]
+            done.append(blob[_places(starts[n], sizes[n])].tobytes())
+            if last:
+                whole = done[0] if len(done) == 1 else b"".join(done)
+                yield whole[:len(whole) - drop]
                 done.clear()
         waiting.clear()
+        ends.clear()
 
     for text in texts:
         for blank in "\n\t\r":      # as good as a space, and one code point as well
             text = text.replace(blank, " ")
         parts = list(slices(text))
         for k, part in enumerate(parts):
-            waiting.append((part.split(" "), k == len(parts) - 1))
+            waiting.append(part)
+            ends.append(k == len(parts) - 1)
             size += len(part)
-            if size >= SLICE:
+            if size >= GROUP:
                 yield from flush()
                 size = 0
     yield from flush()

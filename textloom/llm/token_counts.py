@@ -30,10 +30,11 @@ from struct import pack
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import MAX_CACHED, Recent, WordBpe, coder, looked_up, read_spec
+from .bpe import MAX_CACHED, Answer, Recent, WordBpe, cached, coder, looked_up, packed, read_spec
 from .common import small_batches
 
 NARROW, WIDE = b"\x01", b"\x04"
@@ -180,9 +181,12 @@ class PrefixCounter:
                 out[u] = bytes(len(u))
         return out
 
+    def answer(self, units: pa.Array) -> Answer:
+        return packed(cached(units.to_pylist(), self.units, self.solve), b"\0", 1)
+
     def tables(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's table of differences; a space adds nothing."""
-        for text, x in zip(texts, looked_up(texts, self.units, self.solve, b"\0"), strict=True):
+        for text, x in zip(texts, looked_up(texts, self.answer, 1), strict=True):
             if self.wide and not self.wide.isdisjoint(re.split("[ \n\t\r]", text)):
                 d = [np.diff(self.unit(u), prepend=0, append=0) for u in re.split("[ \n\t\r]", text)]
                 for k in d:   # the appended place is the space; the count stays as it is there
