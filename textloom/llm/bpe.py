@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 MAX_CACHED = 300_000  # entries of one generation of a cache
 MAX_VECTOR = 64       # longer pieces are merged by the library
 SLICE = 1 << 20       # code points of a text that are split at once
-GROUP = 1 << 23       # code points whose units are numbered at once
+GROUP = 1 << 22       # code points whose units are numbered at once
 #: Letters of ``SIMPLE``, with at most one mark behind them.
 PLAIN = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[.,;:!?]?$"
 MARKS = ".,;:!?"
@@ -86,7 +86,7 @@ class WordBpe:
         self.keys, self.ranks, self.made = keys[order], np.arange(len(pairs))[order], made[order]
         #: the ranks of pairs of bytes: inside a word, and at its end
         self.first = [self._ranked(self.inner[:, None], last[None, :]) for last in (self.inner, self.final)]
-        self.units = Recent()      # a plain word is its own piece, so pieces are kept here as well
+        self.units = Recent(MAX_CACHED // 4)      # units that are not plain, and their pieces
         probe = "Don't  stop,\tnow: x<y\n3.14"
         if self.library_ids(probe) != [i for u in probe.split() for i in self.library_ids(u)]:
             raise ValueError("this vocabulary joins tokens across white space")
