@@ -4,8 +4,8 @@
 2. ``exact_dedup``: of equal texts one row stays;
 3. ``ngram_join``: of each group of near duplicates (five-word shingles, similarity
    0.8 or more) the document with the smallest id stays;
-4. ``mix_sources``: sources are repeated or cut to their target weights and laid
-   out along the curriculum;
+4. ``mix_sources``: sources are repeated or thinned out to their target weights, by
+   whole documents, and laid out along the curriculum;
 5. ``packing``: documents are tokenised and packed into sequences of 4096 tokens.
 
 A stage reads all that its predecessor kept.  A null text is empty, has no
@@ -37,7 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_rows(docs)
+    return mixing.mixed_rows(docs, whole=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -280,6 +280,30 @@ def test_mixing(spark):
     assert sum(len((r["text"] or "").split()) for r in out.collect()) == sum(taken.values())
 
 
+def test_pipeline_mixes_whole_documents(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    sized = lambda n: "\n".join(prose(rng.random(), 5) for _ in range(n // 5))
+    rows = [(k, sized(rng.randrange(5, 80, 5)), "en", rng.choice(["a", "b", "c"])) for k in range(60)]
+    # Sources of one document; one whose last documents are long.
+    rows += [(100 + k, sized(100), "en", f"one{k}") for k in range(6)] + [(200 + k, sized(3000), "en", "c") for k in range(3)]
+    docs = docs_of(spark, rows)
+    texts, source = {r[0]: r[1] for r in rows}, {r[0]: r[3] for r in rows}
+    mixed, taken, times = mixing.mix_sources(docs).collect(), Counter(), Counter()
+    partial = {r["doc_id"] for r in mixed if any(p["words"] < r["size"] for p in r["passes"])}
+    target, size = {source[r["doc_id"]]: r["target"] for r in mixed}, {r["doc_id"]: r["size"] for r in mixed}
+    out = corpus_pipeline.mix(spark, docs, "")
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert r["text"] == texts[r["doc_id"]] and r["n_chars"] == len(r["text"])
+        taken[r["source"]] += size[r["doc_id"]]
+        times[r["doc_id"]] += 1
+    assert partial and max(times.values()) <= 2
+    for s, t in target.items():     # off by at most half of the document that the target falls into
+        assert abs(taken[s] - t) <= max([size[i] / 2 for i in partial if source[i] == s], default=0) + 0.5
+
+
 # -- 9 -----------------------------------------------------------------------
 def test_suffix_order():
     rng = np.random.default_rng(0)

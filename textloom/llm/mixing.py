@@ -107,16 +107,23 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               chars_col: str | None = "n_chars") -> DataFrame:
+               chars_col: str | None = "n_chars", whole: bool = False) -> DataFrame:
     """The mix itself, range-sorted by position: each row of ``docs`` as often as it
     is taken, with all its columns.  A row that is taken in part has the first
     words of its text, joined by blanks.  Rows that repeat id and text are one
-    row that is taken more often."""
+    row that is taken more often.
+
+    ``whole``: no text is cut.  A pass that takes at least half of a row's words
+    gives the whole row and any other pass nothing, so a source's words come as near
+    its target as whole documents allow, in at most ``max_repeat`` passes."""
     mixed = mix_sources(docs, id_col, text_col, source_col).filter("taken > 0")
     passes = mixed.groupBy("rk1", "rk2", "size").agg(F.flatten(F.collect_list("passes")).alias("_p"))
     columns = docs.columns
-    whole = docs.select(F.struct(*columns).alias("_row"), *row_key(id_col, text_col)).dropDuplicates(["rk1", "rk2"])
-    x = whole.join(passes, ["rk1", "rk2"]).select("_row", "size", F.explode("_p").alias("_p"))
+    rows = docs.select(F.struct(*columns).alias("_row"), *row_key(id_col, text_col)).dropDuplicates(["rk1", "rk2"])
+    x = rows.join(passes, ["rk1", "rk2"]).select("_row", "size", F.explode("_p").alias("_p"))
+    if whole:
+        x = x.filter(F.col("_p.words") * 2 >= F.col("size"))
+        return x.orderBy("_p.position", F.col("_row").getField(id_col)).select("_row.*")
     text = F.col("_row").getField(text_col)
     words = F.filter(F.split(text, WS_RE), lambda w: w != "")
     part = F.when(F.col("_p.words") < F.col("size"), F.array_join(F.slice(words, 1, F.col("_p.words").cast("int")), " ")).otherwise(text)
