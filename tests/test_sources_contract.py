@@ -1,3 +1,4 @@
+import hashlib
 import json
 import os
 
@@ -198,6 +199,52 @@ def test_corpus_build_presets(spark, tmp_path):
     assert sum(r["examples"] for r in rep3.collect()) == 20  # no dedupe, capped
 
 
+def test_stream_and_trial_keep_every_token(spark, tmp_path):
+    from textloom import cli
+    from textloom.operators.order import split_hash
+    from textloom.plans.corpus import CorpusConfig, build
+
+    posts = [f"post {i} " + "word " * (400 if i % 3 == 0 else 5) for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(posts)), "ord long, post string").select(
+        "ord", F.lit(0).alias("sub"), "post", F.lit("t").alias("task"), F.lit("a").alias("answer"))
+    examples = [f"Post: {p}\nTask: t\nAnswer: a<|endoftext|>" for p in posts]
+    ids = [list(e.encode()) for e in examples]
+    assert max(map(len, ids)) > 1024 and cli.parse(["--out", "x", "--preset", "stream"]).token_mode is None
+    split = dict(spark.createDataFrame([(e,) for e in examples], "e string").select("e", split_hash("e")).collect())
+
+    def raw(out, part):
+        files = sorted((tmp_path / out / "bin" / f"split={part}").glob("part-*.bin"))
+        return [x for f in files for x in np.frombuffer(f.read_bytes(), "<u2").tolist()]
+
+    # stream: EOT first, no cap, shards filled in encounter order
+    for rule in ("exact", "offset"):
+        out = f"stream-{rule}"
+        build([("a", df)], str(tmp_path / out), CorpusConfig(preset="stream", shard_tokens=3000, shard_rule=rule))
+        sh = spark.read.parquet(str(tmp_path / out / "shards"))
+        for part in ("train", "val"):
+            mine = [i for i, e in enumerate(examples) if split[e] == part]
+            want, shard, fill, start = [], 0, 0, 0
+            for i in mine:
+                n = len(ids[i]) + 1
+                want.append((shard if rule == "exact" else start // 3000, i, [tk.EOT_ID, *ids[i]]))
+                start, fill = start + n, fill + n
+                if fill >= 3000:
+                    shard, fill = shard + 1, 0
+            got = [(r["shard_id"], r["ord"], r["tokens"]) for r in sh.filter(F.col("split") == part).orderBy("ord").collect()]
+            assert got == want
+    # stream of lines, in encounter order
+    build([("a", df)], str(tmp_path / "lines"), CorpusConfig(preset="stream", token_mode="none"))
+    for part in ("train", "val"):
+        assert raw("lines", part) == [x for i, e in enumerate(examples) if split[e] == part for x in [*ids[i], 10]]
+    # trial: lines with their newline, unpacked, in shuffle order; 27 of 30 in train
+    build([("a", df)], str(tmp_path / "trial"), CorpusConfig(preset="trial"))
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    mixed = sorted(range(30), key=lambda i: sha("42:" + sha(examples[i])))
+    assert raw("trial", "train") == [x for i in mixed[:27] for x in [*ids[i], 10]]
+    assert raw("trial", "val") == [x for i in mixed[27:] for x in [*ids[i], 10]]
+    assert not (tmp_path / "trial" / "blocks").exists()
+
+
 def test_cli_builds_corpus(spark, tmp_path):
     from textloom import cli
 

@@ -66,7 +66,7 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--dataset", action="append", default=[], metavar="KIND=PATH",
                    help=f"builder kind ({', '.join(sorted(BUILDERS))}) and input path; repeatable, order kept")
     p.add_argument("--manual", default=None, help="text file(s) with upper-case section headers (DSM-style)")
-    p.add_argument("--out", required=True, help="output folder (text/, blocks/ or shards/, bin/, report/)")
+    p.add_argument("--out", required=True, help="output folder (text/, blocks/, shards/ or sequences/, bin/, report/)")
     p.add_argument("--preset", choices=["full", "stream", "trial"], default="full")
     p.add_argument("--val-ratio", type=float, default=0.10)
     p.add_argument("--seed", type=int, default=42)
@@ -76,7 +76,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--max-examples", type=int, default=0, help="cap examples overall (0 = none)")
     p.add_argument("--ctx", type=int, default=1024)
     p.add_argument("--drop-last", action="store_true")
-    p.add_argument("--token-mode", choices=["truncate", "eot_cap", "prepend_eot", "none"], default="truncate")
+    p.add_argument("--token-mode", choices=["truncate", "eot_cap", "prepend_eot", "none"], default=None,
+                   help="default: truncate (full), prepend_eot without cap (stream), none: unpacked lines (trial)")
     p.add_argument("--shard-tokens", type=int, default=1_500_000)
     p.add_argument("--shard-rule", choices=["exact", "offset"], default="exact",
                    help="exact: flush once the buffer holds shard-tokens; offset: start div shard-tokens")

@@ -4,8 +4,10 @@ text -> tokens -> fixed blocks, with three stage orders (presets):
 * ``full``  – capped dedupe, seeded shuffle, exact split at ``int(n*(1-r))``,
   tokens truncated to ``ctx``, packed per split (the main build);
 * ``stream`` – capped dedupe, per-row hash split (order-free: also valid under
-  Structured Streaming), tokens with a leading EOT, shards by token offset;
-* ``trial`` – first ``max_examples`` rows, shuffle, exact split, no dedupe.
+  Structured Streaming), uncapped tokens with a leading EOT, shards in encounter
+  order; with token mode ``none`` an unpacked stream of lines instead;
+* ``trial`` – first ``max_examples`` rows, shuffle, exact split, no dedupe, uncapped
+  tokens as an unpacked stream of lines (each example with its newline id).
 
 Stage boundaries that are read more than once are materialised with a reliable
 checkpoint in the shared checkpoint folder (never a local checkpoint), so
@@ -26,6 +28,7 @@ from ..operators import tokens as tk
 from ..sources import sinks
 
 ORDER = ["ds_idx", "ord", "sub"]
+TOKEN_MODES = {"full": "truncate", "stream": "prepend_eot", "trial": "none"}
 
 
 @dataclass(frozen=True)
@@ -37,11 +40,25 @@ class CorpusConfig:
     max_examples: int = 0
     ctx: int = tk.DEFAULT_CTX
     drop_last: bool = False
-    token_mode: str = "truncate"  # truncate | eot_cap | prepend_eot | none
+    token_mode: str | None = None  # truncate | eot_cap | prepend_eot | none; None: the preset's (TOKEN_MODES)
     shard_tokens: int = tk.DEFAULT_SHARD_TOKENS
     shard_rule: str = "exact"  # exact (flush when the buffer is full) | offset (start div shard_tokens)
     eot_in_text: bool = True
 
+    @property
+    def mode(self) -> str:
+        return self.token_mode or TOKEN_MODES[self.preset]
+
+    @property
+    def unpacked(self) -> bool:
+        """Neither blocks nor shards: one stream of sequences per split."""
+        return self.preset == "trial" or (self.preset == "stream" and self.mode == "none")
+
+    @property
+    def order(self) -> list[str]:
+        """Output order: ``stream`` writes rows as they are met, the others shuffle."""
+        return ORDER if self.preset == "stream" else ["key", *ORDER]
+
 
 def union_examples(parts: Sequence[tuple[str, DataFrame]], eot: bool = True) -> DataFrame:
     """Union of builder outputs ``(ord, sub, post, task, answer)`` in the given
@@ -84,12 +101,14 @@ def dedupe_and_split(examples: DataFrame, cfg: CorpusConfig) -> DataFrame:
 
 
 def with_tokens(df: DataFrame, cfg: CorpusConfig, text: str = "example") -> DataFrame:
-    ids = tk.guard_uint16(tk.encode_bytes(text))
-    if cfg.token_mode == "truncate":
+    # A stream of lines: a sequence ends in its newline's id.
+    line = F.concat(F.col(text), F.lit("\n")) if cfg.unpacked and cfg.mode == "none" else text
+    ids = tk.guard_uint16(tk.encode_bytes(line))
+    if cfg.mode == "truncate":
         ids = tk.truncate(ids, cfg.ctx)
-    elif cfg.token_mode == "eot_cap":
+    elif cfg.mode == "eot_cap":
         ids = tk.cap_with_eot(ids, cfg.ctx)
-    elif cfg.token_mode == "prepend_eot":
+    elif cfg.mode == "prepend_eot":
         ids = tk.prepend_eot(ids)
     return df.withColumn("tokens", ids)
 
@@ -101,29 +120,34 @@ def pack(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
 
 
 def shards(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
-    """Shard ids per split, in shuffle order."""
-    order = ["key", *ORDER]
+    """Shard ids per split, in encounter order."""
+    bucket = encounter_bucket()
     if cfg.shard_rule == "offset":
-        return tk.assign_shards(df, "tokens", order, od.hex_bucket("key"), cfg.shard_tokens, groups=["split"])
+        return tk.assign_shards(df, "tokens", ORDER, bucket, cfg.shard_tokens, groups=["split"], bounded=False)
     out = None
     for split in ("train", "val"):
-        part = tk.assign_shards_exact(df.filter(F.col("split") == split), "tokens", order, od.hex_bucket("key"),
-                                      cfg.shard_tokens)
+        part = tk.assign_shards_exact(df.filter(F.col("split") == split), "tokens", ORDER, bucket, cfg.shard_tokens,
+                                      bounded=False)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def build(parts: Sequence[tuple[str, DataFrame]], out_dir: str, cfg: CorpusConfig = CorpusConfig(),
           write_raw: bool = True) -> DataFrame:
-    """Run the whole build and write ``text/``, ``blocks/`` (or ``shards/``),
-    ``bin/split=*/part-*.bin`` and ``report/`` under ``out_dir``; returns the
-    report DataFrame (read back from ``out_dir``)."""
+    """Run the whole build and write ``text/``, ``blocks/`` (or ``shards/``, or
+    ``sequences/`` when unpacked), ``bin/split=*/part-*.bin`` and ``report/`` under
+    ``out_dir``; returns the report DataFrame (read back from ``out_dir``)."""
     spark = parts[0][1].sparkSession
     ex = union_examples(parts, eot=cfg.eot_in_text)
     d = dedupe_and_split(ex, cfg)
-    sinks.write_text(d, "example", f"{out_dir}/text", order=["key", *ORDER])
+    sinks.write_text(d, "example", f"{out_dir}/text", order=cfg.order)
     tok = od.materialize(with_tokens(d, cfg))
-    if cfg.preset == "stream":
+    if cfg.unpacked:
+        sinks.write_blocks_parquet(tok.select("split", "key", *ORDER, "tokens"), f"{out_dir}/sequences")
+        if write_raw:
+            for split in ("train", "val"):
+                sinks.write_u16(tok.filter(F.col("split") == split), f"{out_dir}/bin/split={split}", order=cfg.order)
+    elif cfg.preset == "stream":
         sh = shards(tok, cfg)
         sinks.write_shards(sh.select("split", "shard_id", "key", *ORDER, "tokens"), f"{out_dir}/shards")
     else:
