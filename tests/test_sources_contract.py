@@ -31,6 +31,24 @@ def test_read_delimited_edge_cases(spark, tmp_path):
     assert [t for _, t, _ in rows][:2] == ["multi\nline, with comma", 'say "hi"']
 
 
+def test_read_delimited_goes_by_each_files_header(spark, tmp_path):
+    wide = ",".join(f"column_{i:05d}" for i in range(1500))     # a header longer than the sniffed head
+    _write(tmp_path / "a.csv", b"text,label\nta,la\n")
+    _write(tmp_path / "b.csv", b'label,"text"\nlb,"tb1\ntb2"\nlb,tb3\n')
+    _write(tmp_path / "c.csv", b"label,extra,text\nlc,ec,tc\n")
+    _write(tmp_path / "d.csv", "\ufefftext,label\ntd,ld\n".encode())
+    _write(tmp_path / "e.csv", b"")
+    _write(tmp_path / "f.csv", f"{wide},text,label\n{',' * 1500}tf,lf\n".encode())
+    _write(tmp_path / "g.csv", f"{wide},label,text\n{',' * 1500}lg,tg\n".encode())
+    want = [("ta", "la", None), ("tb1\ntb2", "lb", None), ("tb3", "lb", None), ("tc", "lc", "ec"), ("td", "ld", None),
+            ("tf", "lf", None), ("tg", "lg", None)]
+    df = readers.read_delimited(spark, [str(tmp_path / "*.csv")]).orderBy("ord")
+    assert [tuple(r) for r in df.select("text", "label", "extra").collect()] == want
+    lines = readers.read_delimited(spark, [str(tmp_path / f"{n}.csv") for n in "acdfg"], multi_line=False).orderBy("ord")
+    assert [tuple(r) for r in lines.select("text", "label", "extra").collect()] == [w for w in want if w[1] != "lb"]
+    assert readers.first_record('a,"b\n', ",", False) is None and readers.first_record("", ",", True) == ()
+
+
 def test_sniffer():
     assert readers.sniff_separator("a;b;c\n1;2;3\n") == ";"
     assert readers.sniff_separator("a\tb\n1\t2\n") == "\t"

@@ -12,8 +12,8 @@ Whole-file formats (multi-line CSV, JSON documents) are read one task per file,
 so ``ord = file_idx << 33 | row-in-file``.  Splittable line formats carry
 ``_block`` (split start) and ``_row`` and expose ``ord_cols``.
 
-Listing and separator sniffing read metadata and at most 8 KiB per file on
-the driver; no data rows pass through it.
+Listing, separator sniffing and header grouping read metadata and at most 8 KiB per
+file on the driver (up to 1 MiB where a header is longer); no data rows pass through it.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from ..functions.text import drop_replacement_chars, strip_ws
 ROW_BITS = 33
 FILE_TABLE_BROADCAST_MAX = 100_000
 SNIFF_BYTES = 8192
+HEADER_BYTES_MAX = 1 << 20
 CANDIDATE_SEPARATORS = [",", "\t", ";", "|"]
 
 
@@ -104,6 +105,29 @@ def sniff_separator(head: str, suffix: str = "") -> str:
     return "\t" if suffix.lower() == ".tsv" else ","
 
 
+def first_record(head: str, sep: str, whole: bool) -> tuple[str, ...] | None:
+    """The cells of the first record that is not blank; ``()`` for a file without
+    one, None when the head may end inside it.  ``whole``: the head is the file."""
+    records = csv.reader(io.StringIO(head.removeprefix("\ufeff"), newline=""), delimiter=sep, quotechar='"', doublequote=True)
+    try:
+        cells = next((tuple(x) for x in records if x), ())
+        return cells if whole or next(records, None) is not None else None
+    except csv.Error:
+        return None
+
+
+def _header(spark: SparkSession, path: str, sep: str, head: bytes) -> tuple[str, ...] | None:
+    """The file's header, from ``head`` or, where it is longer, from up to
+    ``HEADER_BYTES_MAX`` bytes; None beyond that."""
+    n = SNIFF_BYTES
+    while True:
+        cells = first_record(head.decode("utf-8", "ignore"), sep, len(head) < n)
+        if cells is not None or n >= HEADER_BYTES_MAX:
+            return cells
+        n *= 8
+        head = read_head(spark, path, n)
+
+
 def _tag(df: DataFrame) -> DataFrame:
     """Source path and split start; must run directly on the scan (metadata
     columns do not survive projections and unions)."""
@@ -158,15 +182,21 @@ def read_delimited(spark: SparkSession, paths: Sequence[str], sep: str | None =
     """``multi_line=False`` reads each file in splits (no quoted newlines) and
     numbers rows with :func:`add_dense_ord`; the default reads a file per task."""
     """Header CSV/TSV, all columns strings; separator sniffed per file; files
-    grouped by separator (one read per group); doubled quotes, quoted newlines;
-    short rows give NULLs and surplus cells are dropped."""
+    grouped by separator and header (one read per group, united by name, so each
+    row goes by its own file's header; a file whose header is not seen whole is a
+    group of its own); doubled quotes, quoted newlines; short rows give NULLs and
+    surplus cells are dropped."""
     files = _norm_paths(spark, paths)
-    groups: dict[str, list[str]] = defaultdict(list)
+    groups: dict[tuple, list[str]] = defaultdict(list)
     for f in files:
-        s = sep or sniff_separator(read_head(spark, f).decode("utf-8", "ignore"), "." + f.rsplit(".", 1)[-1])
-        groups[s].append(f)
+        head = read_head(spark, f)
+        s = sep or sniff_separator(head.decode("utf-8", "ignore"), "." + f.rsplit(".", 1)[-1])
+        header = _header(spark, f, s, head)
+        groups[(s, (), f) if header is None else (s, header, "")].append(f)
+    # Files without any record have no columns; they are read only if there are no others.
+    groups = {k: fs for k, fs in groups.items() if k[1] or k[2]} or groups
     parts = []
-    for s, fs in sorted(groups.items()):
+    for (s, _, _), fs in groups.items():
         r = (spark.read.option("header", True).option("sep", s).option("quote", '"').option("escape", '"')
              .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
              .option("inferSchema", False).option("ignoreCorruptFiles", True).csv(fs))
