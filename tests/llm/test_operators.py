@@ -236,6 +236,24 @@ def test_token_counts_at_every_prefix(spark):
     assert r["n"] == 1 and count("hello big world"[:r["k"]]) <= 2
 
 
+def test_token_counts_of_other_scripts_need_no_library(monkeypatch):
+    c = bpe.coder(bpe.read_spec(VOCABULARY))
+    count = lambda t: len(c.library.encode(t, add_special_tokens=False).ids)
+    counter = token_counts.PrefixCounter(c)
+    monkeypatch.setattr(bpe.WordBpe, "library_ids", lambda self, text: pytest.fail(f"encoded by the library: {text[:20]!r}"))
+    rng = random.Random(4)
+    alphabet = [x for x in ODD if x not in (" ", "  ", "\n", "\t")] + [
+        "中文字", "\u3000", "。", "“", "’s", "ที่", "नि", "e\u0301", "a\u0323\u0302", "\u0323", "\u1112\u1161\u11ab", "\u1161", "한국",
+        "日本", "が", "か\u3099", "\u0644\u0627", "\u00a0", "\x0b", "\U0001F468\u200d\U0001F469", "\u212b", "\u0958", "ǅ", "١٢", "\ufb2c"]
+    units = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14))) for _ in range(1500)]
+    units += ["中文" * 40 + "<|endoftext|>" + "字" * 9 + "<|startoftext|><|endoftext|>x", "<|ENDOFTEXT|>é中", "'RE" + "中", "z" * 300]
+    for u in units:
+        assert counter.unit(u) == [count(u[:i]) for i in range(1, len(u) + 1)], u
+    # One unbroken unit: time grows with its length, not with its square.
+    long = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(30_000))
+    assert counter.unit(long)[-1] == count(long) and len(counter.unit("y" * 30_000)) == 30_000
+
+
 # -- 8 -----------------------------------------------------------------------
 def water_fill(sizes, weights, total, most):
     target, open_ = {s: 0.0 for s in sizes}, set(sizes)

@@ -11,7 +11,10 @@ The last symbol of a word carries the end-of-word mark, hence two values for a
 prefix: as the inside of a longer word and as a word that ends there.  Both are
 kept per prefix string and shared by all words that begin alike.  The count of a
 text's prefix is the count before its last unit plus that of the unit's prefix,
-so the whole table comes from one pass without encoding any prefix anew.
+so the whole table comes from one pass without encoding any prefix anew.  That
+holds in every script: the library's normaliser and split pattern give a unit's
+pieces, and only a prefix that normalises differently from the whole (a letter
+whose mark is still to come) is split anew from its last piece on.
 
 The table is stored as differences, one signed byte per code point (first byte
 1), or 32-bit numbers (first byte 4) where a difference does not fit a byte.
@@ -22,7 +25,11 @@ from it.  Rows never move.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+import unicodedata
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import accumulate
 from operator import sub
 from struct import error as StructError
@@ -40,6 +47,26 @@ from .common import small_batches
 NARROW, WIDE = b"\x01", b"\x04"
 
 
+@lru_cache(maxsize=1)
+def _cluster() -> re.Pattern:
+    """A character and those behind it that normalisation may join to it or reorder:
+    marks with a combining class, second halves of compositions, vowels and
+    finals of Hangul, and what this Python does not know."""
+    joins = {*range(0x1160, 0x1200)}
+    for k in range(sys.maxunicode + 1):
+        ch = chr(k)
+        halves = unicodedata.decomposition(ch).split()
+        if len(halves) == 2 and halves[0][0] != "<":
+            joins.add(int(halves[1], 16))
+        if unicodedata.combining(ch) or unicodedata.category(ch) in ("Mn", "Mc", "Me", "Cn"):
+            joins.add(k)
+    ends = sorted(k for k in joins if k + 1 not in joins)
+    begins = sorted(k for k in joins if k - 1 not in joins)
+    joined = "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(begins, ends, strict=True))
+    return re.compile(f"[\\s\\S][{joined}]*")
+
+
+
 class PrefixCounter:
     """Counts at every prefix of a unit, with bounded caches."""
 
@@ -119,16 +146,15 @@ class PrefixCounter:
             found.setdefault(t[-2:], set()).add(len(t))
         return {k: sorted(v | {1}, reverse=True) for k, v in found.items()}
 
-    def _last(self, prefix: bytes, before: list[tuple[int, int, int]], ended: bool) -> tuple[int, int]:
-        """(count, last token) of a prefix, from the states of shorter ones."""
-        n = len(prefix)
+    def _last(self, word: bytes, n: int, before: list[tuple[int, int, int]], ended: bool) -> tuple[int, int]:
+        """(count, last token) of word[:n], from the states of shorter prefixes."""
         tokens = self.ended if ended else self.inner
-        for size in self.sizes[ended].get(prefix[-2:], (1,)):
+        for size in self.sizes[ended].get(word[max(n - 2, 0):n], (1,)):
             if size <= n:
-                t = tokens.get(prefix[n - size:])
+                t = tokens.get(word[n - size:n])
                 if t is not None and (size == n or self._may_follow(before[n - size][1], t)):
                     return before[n - size][0] + 1, t
-        raise AssertionError(prefix)
+        raise AssertionError(word[:n])
 
     def word(self, word: bytes) -> list[int]:
         """Counts of word[:1], word[:2], ... as words."""
@@ -138,36 +164,88 @@ class PrefixCounter:
         before = [(0, -1, 0)]
         out = []
         for i in range(1, len(word) + 1):
-            prefix = word[:i]
-            state = self.states.get(prefix)
+            state = self.states.get(word[:i]) if i <= self.longest else None
             if state is None:
-                state = (*self._last(prefix, before, False), self._last(prefix, before, True)[0])
+                state = (*self._last(word, i, before, False), self._last(word, i, before, True)[0])
                 if i <= self.longest:
-                    self.states.put(prefix, state)
+                    self.states.put(word[:i], state)
             before.append(state)
             out.append(state[2])
-        self.words.put(word, out)
+        if len(word) <= self.longest:
+            self.words.put(word, out)
         return out
 
-    def unit(self, u: str) -> list[int]:
-        """Counts of u[:1], u[:2], ..., each as a text of its own."""
-        if not self.bpe.is_simple(u):
-            return [len(self.bpe.library_ids(u[:i])) for i in range(1, len(u) + 1)]
-        low = u.lower()
+    def _spans(self, text: str) -> list[tuple[int, int]]:
+        """Where the library splits normalised text (its own tables of characters)."""
+        return [span for _, span in self.bpe.library.pre_tokenizer.pre_tokenize_str(text)]
+
+    def _pieces(self, text: str) -> list[str]:
+        return [text[i:j] for i, j in self._spans(text)]
+
+    def piece(self, piece: str) -> list[int]:
+        """Counts of piece[:1], piece[:2], ..., each as a text of its own."""
+        raw = piece.encode()
+        c = self.word(raw)
+        if len(raw) > len(piece):        # keep the places where characters end
+            c = [c[k - 1] for k in accumulate(len(ch.encode()) for ch in piece)]
+        if piece[0] == "'" and len(piece) > 2 and piece[1].isalpha():
+            c = [c[0], c[0] + self.word(raw[1:2])[0], *c[2:]]   # a cut 're, 've or 'll is a quote and a letter
+        return c
+
+    def normal(self, text: str, spans: Iterable[tuple[int, int]]) -> list[int]:
+        """Counts of text[:1], text[:2], ... of normalised text with these pieces."""
         counts: list[int] = []
         base = 0
-        for m in self.bpe.pattern.finditer(low):
-            piece = m[0]
-            raw = piece.encode()
-            c = self.word(raw)
-            if len(raw) > len(piece):        # keep the places where characters end
-                c = [c[k - 1] for k in accumulate(len(ch.encode()) for ch in piece)]
-            if piece[0] == "'" and len(piece) > 2 and piece[1].isalpha():
-                c = [c[0], c[0] + self.word(raw[1:2])[0], *c[2:]]   # a cut 're, 've or 'll is a quote and a letter
-            counts += [base] * (m.start() - len(counts))
-            counts += [base + x for x in c]
+        for i, j in spans:
+            counts += [base] * (i - len(counts))
+            counts += [base + x for x in self.piece(text[i:j])]
             base = counts[-1]
-        return counts + [base] * (len(u) - len(counts))
+        return counts + [base] * (len(text) - len(counts))
+
+    def plain(self, u: str) -> list[int]:
+        """Counts of u[:1], u[:2], ... where no special token is in ``u``.
+
+        ``u`` is normalised cluster by cluster (a character and what may combine
+        with it).  A prefix that normalises to a prefix of the whole is looked up; one
+        that does not (a letter whose mark is still to come) is split anew from
+        its last piece on."""
+        normalise = self.bpe.library.normalizer.normalize_str
+        clusters = _cluster().findall(u)
+        forms = [normalise(x) for x in clusters]
+        text = "".join(forms)
+        spans = self._spans(text)
+        counts = [0, *self.normal(text, spans)]
+        if [text[i:j] for i, j in spans] != self._pieces(normalise(u)):
+            return [len(self.bpe.library_ids(u[:i])) for i in range(1, len(u) + 1)]
+        starts = [a for a, _ in spans]
+        out = []
+        at = 0
+        for cluster, form in zip(clusters, forms, strict=True):
+            for k in range(1, len(cluster) + 1):
+                part = form if k == len(cluster) else normalise(cluster[:k])
+                if form.startswith(part):
+                    out.append(counts[at + len(part)])
+                else:
+                    j = bisect_left(starts, at - 2) - 1     # a quote before it may still become 're, 've or 'll
+                    i = starts[j] if j >= 0 else 0
+                    out.append(counts[i] + sum(self.word(x.encode())[-1] for x in self._pieces(text[i:at] + part)))
+            at += len(form)
+        return out
+
+    def unit(self, u: str) -> list[int]:
+        """Counts of u[:1], u[:2], ..., each as a text of its own."""
+        if self.bpe.is_simple(u):
+            low = u.lower()
+            return self.normal(low, (m.span() for m in self.bpe.pattern.finditer(low)))
+        out: list[int] = []
+        base = at = 0
+        for m in self.bpe.special.finditer(u):
+            # A special token counts once it is whole; until then it is text.
+            out += [base + x for x in self.plain(u[at:m.end() - 1])]
+            base += 1 + (out[m.start() - 1] - base if m.start() > at else 0)
+            out.append(base)
+            at = m.end()
+        return out + [base + x for x in self.plain(u[at:])]
 
     def solve(self, units: list[str]) -> dict[str, bytes]:
         out = {}
