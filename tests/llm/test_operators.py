@@ -180,6 +180,20 @@ def test_similarity_join(spark):
     assert ngram_join.one_of_each_class(docs).count() == len(set(label))
 
 
+def test_sketch_test_keeps_unlucky_pairs():
+    """Pairs at similarity 0.8 whose sketches agree on less than 39 of 64 coordinates."""
+    rng = np.random.default_rng(5)
+    unlucky = 0
+    for _ in range(30_000):
+        tokens = rng.integers(0, 1 << 63, 10).astype(np.uint64)
+        pair = [ngram_join.sketch(tokens[:9]), ngram_join.sketch(tokens[1:])]
+        if (pair[0] == pair[1]).mean() < 0.6:
+            unlucky += 1
+            got = ngram_join._compare_bucket({"sketch": np.array(pair), "rep": np.array([7, 8])})
+            assert got["a"].tolist() == [8] and got["b"].tolist() == [7]
+    assert unlucky
+
+
 # -- 6 -----------------------------------------------------------------------
 def test_language_id(spark, edge):
     rng = random.Random(5)
