@@ -122,6 +122,21 @@ def test_oracles_at_small_scale(spark, name):
     assert got == exp
 
 
+def test_whole_pack_and_trial_split(spark, monkeypatch):
+    import __spark_entry__ as E
+    from textloom.plans import catalog
+
+    for name in ("q_pack_whole", "q_trial_split_whole"):
+        test_oracles_at_small_scale(spark, name)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("text is not null")
+    n = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0]
+    packed = {q: E.queries()[q](spark, SF_SMALL).agg(F.sum("n_tokens")).first()[0] for q in ("q_pack", "q_pack_whole")}
+    assert packed["q_pack"] < packed["q_pack_whole"] == n
+    monkeypatch.setattr(catalog, "TRIAL_MAX", 5)
+    assert E.queries()["q_trial_split"](spark, SF_SMALL).count() == 5
+    assert E.queries()["q_trial_split_whole"](spark, SF_SMALL).count() > 5
+
+
 def test_cleaning_plan_has_no_python_udf(spark):
     import __spark_entry__ as E
 

@@ -570,9 +570,11 @@ b AS (SELECT block_id::BIGINT AS block_id, count(*)::BIGINT AS n_tokens, sha1(st
 SELECT * FROM b {filt}"""
 
 
-def _pack(spark, sf, drop_last: bool):
+def _pack(spark, sf, drop_last: bool, whole: bool = False):
     d = _docs(spark, sf).filter(F.col("text").isNotNull())
-    d = od.materialize(d.withColumn("seq", tk.cap_with_eot(tk.encode_bytes("text"), CTX)).select("doc_id", "seq"))
+    ids = tk.encode_bytes("text")
+    seq = F.concat(ids, F.array(F.lit(tk.EOT_ID))) if whole else tk.cap_with_eot(ids, CTX)
+    d = od.materialize(d.withColumn("seq", seq).select("doc_id", "seq"))
     bl = tk.pack_blocks(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"), ctx=CTX, drop_last=drop_last)
     return bl.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
 
@@ -587,6 +589,12 @@ def q_pack_drop_last(spark, sf):
     return _pack(spark, sf, True)
 
 
+@register("q_pack_whole", _pack_sql(False).replace(f"ids[1:{CTX - 1}]", "ids"))
+def q_pack_whole(spark, sf):
+    """Blocks of whole documents: a sequence longer than a block goes on in the next ones."""
+    return _pack(spark, sf, False, whole=True)
+
+
 @register("q_shards", f"""
 WITH seqs AS (SELECT doc_id, strlen(text) + 1 AS n FROM documents WHERE text IS NOT NULL),
 s AS (SELECT doc_id, n, coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st FROM seqs)
@@ -712,6 +720,16 @@ SELECT ord, example, CASE WHEN pos < floor(n * CAST({1.0 - VAL_RATIO!r} AS DOUBL
 def q_trial_split(spark, sf):
     """Trial slice: text/label rows -> examples, first TRIAL_MAX, seeded shuffle,
     exact split (no dedupe)."""
+    return _trial_split(spark, sf, TRIAL_MAX)
+
+
+@register("q_trial_split_whole", ORACLES["q_trial_split"].replace(f"\n      ORDER BY ord LIMIT {TRIAL_MAX}", ""))
+def q_trial_split_whole(spark, sf):
+    """The trial split of all examples."""
+    return _trial_split(spark, sf, 0)
+
+
+def _trial_split(spark, sf, max_examples: int):
     from .corpus import CorpusConfig, dedupe_and_split
 
     d = _docs(spark, sf).join(read_table(spark, sf, "labels", balanced=False), "doc_id", "left")
@@ -719,7 +737,7 @@ def q_trial_split(spark, sf):
     parts = [("trial", specs.trial_posts(rows))]
     from .corpus import union_examples as _union
 
-    cfg = CorpusConfig(preset="trial", max_examples=TRIAL_MAX)
+    cfg = CorpusConfig(preset="trial", max_examples=max_examples)
     return dedupe_and_split(_union(parts), cfg).select("ord", "example", "split")
 
 
