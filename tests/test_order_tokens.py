@@ -31,6 +31,18 @@ def test_global_offset_is_exclusive_prefix_sum(df, rows):
         acc += n
 
 
+def test_range_bucket_with_outliers(spark):
+    ids = spark.range(20_000).select(F.col("id").alias("ord"))
+    for far in ([10 ** 12], [-(1 << 63), (1 << 63) - 1], [-(10 ** 15), 10 ** 9, 10 ** 15]):
+        d = ids.unionByName(spark.createDataFrame([(x,) for x in far], "ord long"))
+        got = d.withColumn("b", od.range_bucket(d, "ord")).orderBy("ord").collect()
+        b = [r["b"] for r in got]
+        assert b == sorted(b) and 0 <= b[0] and b[-1] < od.MAX_BUCKETS
+        assert max(b.count(x) for x in set(b)) < len(b) / 30
+        off = od.global_offset(d, ["ord"], F.lit(1), od.range_bucket(d, "ord"), out="off").orderBy("ord").collect()
+        assert [r["off"] for r in off] == list(range(len(b)))
+
+
 def test_global_offset_groups(spark):
     data = [(g, i, i % 7) for g in ("train", "val") for i in range(200)]
     df = spark.createDataFrame(data, "split string, ord long, v int")

@@ -36,17 +36,32 @@ def hex_bucket(hex_col, digits: int = HEX_BUCKET_DIGITS) -> Column:
     return F.conv(F.substring(_c(hex_col), 1, digits), 16, 10).cast("int")
 
 
-def range_bucket(df: DataFrame, col: str, max_buckets: int = MAX_BUCKETS) -> Column:
-    """Monotone bucket of a numeric order key: ``(x - min) div width``.
+RANGE_CELLS = 64
 
-    One aggregate pass brings two scalars (min, max) to the driver.
-    """
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+
+def range_bucket(df: DataFrame, col: str, max_buckets: int = MAX_BUCKETS) -> Column:
+    """Monotone bucket of a whole-numbered order key.
+
+    The range is cut at quantiles into cells of about equally many rows, and each cell
+    into buckets of equal width, so outliers widen the buckets of their own cell
+    only.  One aggregate pass brings min, max and quantiles to the driver."""
+    cells = max(1, min(RANGE_CELLS, max_buckets // 4))
+    x = F.col(col).cast("long")
+    at = F.array(*[F.lit(k / cells) for k in range(1, cells)]).cast("array<double>")
+    quantiles = F.percentile_approx(x, at, F.lit(100 * cells)).alias("q") if cells > 1 else F.array().cast("array<long>").alias("q")
+    row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), quantiles).first()
     lo, hi = row["lo"], row["hi"]
     if lo is None:
         return F.lit(0).cast("long")
-    width = max(1, -(-(int(hi) - int(lo) + 1) // max_buckets))
-    return ((F.col(col).cast("long") - F.lit(int(lo))) / F.lit(width)).cast("long")
+    starts = sorted({lo, *row["q"]})
+    per_cell = max_buckets // len(starts)
+    widths = [max(1, -(-(b - a) // per_cell)) for a, b in zip(starts, [*starts[1:], hi + 1], strict=True)]
+    cell = F.size(F.filter(F.array(*map(F.lit, starts[1:])).cast("array<long>"), lambda s: s <= x)) if len(starts) > 1 else F.lit(0)
+    start, width = (F.element_at(F.array(*map(F.lit, v)).cast("array<long>"), cell + 1) for v in (starts, widths))
+    # A difference of longs can exceed a long.
+    exact = "decimal(20,0)" if hi - lo >= 1 << 63 else "long"
+    inside = F.floor((x.cast(exact) - start.cast(exact)) / width.cast(exact)).cast("long")
+    return cell.cast("long") * per_cell + F.least(inside, F.lit(per_cell - 1))
 
 
 def global_offset(
