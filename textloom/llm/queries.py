@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, ngram_join, packing, quality, secrets, substring_dedup, token_counts, urls
+from . import (exact_dedup, langid, merkle, mixing, ngram_join, packing, quality, secrets, substring_dedup, token_counts,
+               urls)
 
 VOCABULARY = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,8 @@ def op5_ngram_jaccard_join(spark, sf_dir):
 def op9_suffix_array_dedup(spark, sf_dir):
     done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register("op13_merkle_manifest", merkle.oracle_sql())
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
