@@ -2,12 +2,15 @@
 
 import hashlib
 import random
+import re
 import zlib
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import merkle
+from textloom.llm import merkle, recompression
 
 from .test_operators import SCHEMA, docs_of, edge_rows, prose
 
@@ -26,6 +29,93 @@ def sha(*parts):
     return hashlib.sha256("".join(parts).encode()).hexdigest()
 
 
+# -- 11 ----------------------------------------------------------------------
+def plain_runs(w):
+    """All runs by comparing every place with the place q further on, for every q."""
+    found = {}
+    for q in range(1, len(w) // 3 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(24, 3 * q):
+                found.setdefault((i, j + q - i), q)     # the smallest q comes first
+            i = j + 1
+    return sorted(((s, m, q) for (s, m), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def repetitive(rng, n):
+    k = rng.choice([1, 2, 3, 5, 50])
+    w = [rng.randrange(k) for _ in range(n)]
+    for _ in range(rng.randint(0, 4)):
+        if n > 4:
+            a, p = rng.randrange(n), rng.randint(1, 30)
+            for i in range(a + p, min(n, a + p * rng.randint(2, 8) + rng.randint(0, p))):
+                w[i] = w[i - p]
+    return w
+
+
+def test_runs_equal_brute_force():
+    rng = random.Random(1)
+    for _ in range(25):
+        texts = [repetitive(rng, rng.randint(0, 260)) for _ in range(40)]
+        got = recompression.scan([[b"%d" % x for x in w] for w in texts])
+        assert [[tuple(map(int, r)) for r in g] for g in got] == [plain_runs(w) for w in texts]
+    # Fibonacci words are full of squares; a cube of one has runs inside a run.
+    a, b = [0], [0, 1]
+    while len(b) < 89:
+        a, b = b, b + a
+    assert [tuple(map(int, r)) for r in recompression.scan([[b"%d" % x for x in b * 3]])[0]] == plain_runs(b * 3)
+
+
+def test_extensions_both_ways():
+    rng = random.Random(2)
+    texts = [repetitive(rng, n) for n in (300, 1, 0, 77, 500)]
+    offsets = np.cumsum([0, *map(len, texts)])
+    words = np.array([x for w in texts for x in w])
+    grammar = recompression.Grammar(words, offsets)
+    ask = [(t, *sorted(rng.sample(range(len(w)), 2))) for t, w in enumerate(texts) if len(w) > 1 for _ in range(400)]
+    i, j = (np.array([offsets[t] + x[k] for t, *x in ask]) for k in (0, 1))
+    on, before = grammar.extend(i, j), grammar.extend(i, j, back=True)
+    for (t, a, b), f, g in zip(ask, on, before, strict=True):
+        w = texts[t]
+        assert f == next((k for k in range(len(w) - b) if w[a + k] != w[b + k]), len(w) - b)
+        assert g == next((k for k in range(a) if w[a - 1 - k] != w[b - 1 - k]), a)
+
+
+def plain_digest(doc_id, text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and n:
+        a, g = (h // 10) % n, h // 10
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    dropped = {i for s, m, q in runs for i in range(s + q, s + m)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    return (doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha(*[f"{s},{m},{q}\n" for s, m, q in runs]), sha(kept))
+
+
+@pytest.mark.parametrize("slice_words", [50, 200_000])
+def test_run_digests(spark, edge, monkeypatch, slice_words):
+    monkeypatch.setattr(recompression, "SLICE", slice_words)
+    rng = random.Random(4)
+    rows = edge_rows() + [(k, " ".join(f"w{x}" for x in repetitive(rng, rng.randint(0, 150)))) for k in range(20, 170)]
+    rows += [(2**62 + k, prose(k, 90).replace(" ", "\n" if k % 2 else "\u00a0 ", 9)) for k in range(40)] + [(8, "la " * 4000)]
+    docs = docs_of(spark, rows).repartition(3)
+    got = recompression.digests(recompression.find_runs(docs, plant=True)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted((plain_digest(r[0], r[1]) for r in rows), key=str)
+    assert sum(r.n_runs > 0 for r in got) > 50
+
+
+def test_runs_of_an_empty_table(empty):
+    assert recompression.digests(recompression.find_runs(empty)).count() == 0
+
+
 # -- 13 ----------------------------------------------------------------------
 def tree(digests):
     """(root, for each digest its [(left, right)]) of a tree of threes."""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, langid, merkle, mixing, ngram_join, packing, quality, secrets, substring_dedup, token_counts,
-               urls)
+from . import (exact_dedup, langid, merkle, mixing, ngram_join, packing, quality, recompression, secrets, substring_dedup,
+               token_counts, urls)
 
 VOCABULARY = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,12 @@ def op9_suffix_array_dedup(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    found = recompression.find_runs(table(spark, sf_dir, "documents"), plant=True)
+    return recompression.digests(found)
+
+
 @register("op13_merkle_manifest", merkle.oracle_sql())
 def op13_merkle_manifest(spark, sf_dir):
     return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
