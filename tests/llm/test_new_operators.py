@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import merkle, recompression
+from textloom.llm import licenses, merkle, recompression
 
 from .test_operators import SCHEMA, docs_of, edge_rows, prose
 
@@ -116,6 +116,77 @@ def test_runs_of_an_empty_table(empty):
     assert recompression.digests(recompression.find_runs(empty)).count() == 0
 
 
+# -- 12 ----------------------------------------------------------------------
+def plain_scan(text, templates=licenses.TEMPLATES):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    places = []
+    for phrase, label in (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")):
+        ws = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i:i + len(ws)] == ws]
+    base = {x for _, x in places}
+    more, share, n = set(), 0.0, 0
+    for label, t in templates:
+        tw = re.findall("[a-z0-9]+", t.lower())
+        for s in range(0, len(words), len(tw)):
+            both = len(set(tw) & set(words[s:s + 2 * len(tw)]))
+            if 10 * both >= 8 * len(set(tw)):
+                more, share, n = more | {label}, max(share, both / len(set(tw))), n + 1
+    first, last = (min(places)[0], max(places)[0]) if places else (None, None)
+    return (len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if base else share, n)
+
+
+def license_texts(rng):
+    out = ["Under the MIT License under the mit license", "apache license, version 2.0 Apache-License version\t2", "CC BY-NC cc by nc nc",
+           "under the \u212aMIT license under the mıt license", "\u0130 UNDER THE MIT LICENSE\u0130 under the mit license é", "under the mit licenses"]
+    for label, t in licenses.TEMPLATES:
+        words = t.split()
+        for drop in (0.0, 0.1, 0.2, 0.3):
+            kept = [w for w in words if rng.random() >= drop]
+            rng.shuffle(kept) if drop == 0.1 else None
+            for around in (0, 7, 300):
+                out.append(" ".join([prose(rng.random(), around), *kept, "\n" + prose(rng.random(), around)]))
+        out += [t.upper(), t[len(t) // 3:], t.replace(" ", "\n\n")]
+    return out
+
+
+def test_license_scan(spark, edge, empty):
+    rng = random.Random(12)
+    rows = [*edge_rows(), *[(100 + k, t) for k, t in enumerate(license_texts(rng))], *[(7, "cc by nc " * 3000), (100, None)], *[(100, "x " * 9)] * 2]
+    docs = docs_of(spark, rows).repartition(3)
+    got = licenses.scan_licenses(docs).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((r[0], *plain_scan(r[1])) for r in rows), key=str)
+    assert {x for r in got for x in r.labels.split(",")} == {"", *(x for x, _ in licenses.TEMPLATES)}
+    assert licenses.scan_licenses(empty).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_filters_lose_no_block(spark, threshold):
+    """Random texts over few words and random templates: all pairs against the filters, under any order."""
+    rng = random.Random(int(threshold * 10))
+    letters = [chr(97 + k) for k in range(14)]
+    templates = [(f"t{k}", " ".join(rng.choices(letters, k=rng.randint(1, 9)))) for k in range(12)]
+    texts = [" ".join(rng.choices([*letters, "zz"], k=rng.randint(0, 40))) for _ in range(120)]
+    docs = docs_of(spark, list(enumerate(texts)))
+    order = licenses.token_order(docs, templates)
+    key = {tuple(r): i for i, r in [(x[1:], x[0]) for x in docs.select("doc_id", *licenses.row_key("doc_id", "text")).collect()]}
+    got = licenses.matching_blocks(docs, order, templates, threshold=threshold).collect()
+    want = set()
+    for i, text in enumerate(texts):
+        w = text.split()
+        for k, (_, t) in enumerate(templates):
+            tw = t.split()
+            for s in range(0, len(w), len(tw)):
+                both = len(set(tw) & set(w[s:s + 2 * len(tw)]))
+                if both >= threshold * len(set(tw)) - 1e-9:
+                    want.add((i, k, s, both))
+    assert len(got) == len(want) and {(key[r.rk1, r.rk2], r.template, r.start, r.shared) for r in got} == want
+
+
+def test_license_plan_has_no_python(spark, edge):
+    plan = licenses.scan_licenses(edge)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
 # -- 13 ----------------------------------------------------------------------
 def tree(digests):
     """(root, for each digest its [(left, right)]) of a tree of threes."""

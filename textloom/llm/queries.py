@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, langid, merkle, mixing, ngram_join, packing, quality, recompression, secrets, substring_dedup,
-               token_counts, urls)
+from . import (exact_dedup, langid, licenses, merkle, mixing, ngram_join, packing, quality, recompression, secrets,
+               substring_dedup, token_counts, urls)
 
 VOCABULARY = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ def op11_periodic_runs(spark, sf_dir):
     return recompression.digests(found)
 
 
+@register("op12_license_scan", licenses.oracle_sql())
+def op12_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @register("op13_merkle_manifest", merkle.oracle_sql())
 def op13_merkle_manifest(spark, sf_dir):
     return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
