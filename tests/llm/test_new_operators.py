@@ -168,7 +168,7 @@ def test_filters_lose_no_block(spark, threshold):
     texts = [" ".join(rng.choices([*letters, "zz"], k=rng.randint(0, 40))) for _ in range(120)]
     docs = docs_of(spark, list(enumerate(texts)))
     order = licenses.token_order(docs, templates)
-    key = {tuple(r): i for i, r in [(x[1:], x[0]) for x in docs.select("doc_id", *licenses.row_key("doc_id", "text")).collect()]}
+    key = {(r.rk1, r.rk2): r.doc_id for r in docs.select("doc_id", *licenses.row_key("doc_id", "text")).collect()}
     got = licenses.matching_blocks(docs, order, templates, threshold=threshold).collect()
     want = set()
     for i, text in enumerate(texts):
