@@ -206,18 +206,23 @@ def test_infer_label_by_cardinality(spark):
 
 
 def test_provenance_is_not_data(spark):
-    prov = "_file string, _block long, _row long, _file_idx long, ord long"
-    p = ("/data/severe/a.csv", 0, 1, 0, 0)
-    flags = spark.createDataFrame([("flu", "0", "1", *p), ("Normal", "0", "0", "/data/b.csv", 0, 7, 0, 1), ("flu", "0", "0", "/data/b.csv", 0, 9, 0, 2)],
-                                  "diagnosis string, cough string, fever string, " + prov)
+    prov = "_src struct<file:string,file_idx:int,block:long,row:long,ord:long>"
+    src = lambda k, file="/data/b.csv": (file, k, 0, 7 + k, k)
+    # The file's own columns ord and _file are data like the others.
+    flags = spark.createDataFrame([("flu", "0", "1", "0", "x", src(0)), ("Normal", "0", "0", "0", "", src(1)), ("flu", "0", "0", "0", "", src(2)),
+                                   ("flu", "0", "0", "3", "present", src(3))], "diagnosis string, cough string, fever string, ord string, _file string, " + prov)
     got = {r["ord"]: r["post"] for r in specs.symptom_rows(flags).collect()}
-    assert sorted(got) == [0, 1] and "row" not in got[0] and "fever" in got[0]
-    panic = spark.createDataFrame([("34", "no", "1", *p)], "age string, sweating string, outcome string, " + prov)
+    assert sorted(got) == [0, 1, 3] and "row" not in got[0] and "fever" in got[0] and "ord" in got[3] and "file" in got[3]
+    panic = spark.createDataFrame([("34", "no", "1", src(0))], "age string, sweating string, outcome string, " + prov)
     assert specs.panic_rows(panic).first()["answer"] == "Yes"
-    survey = spark.createDataFrame([("3", "2", "x", *p), ("9", "8", "y", "/data/b.csv", 0, 2, 0, 1)], "anxiety_score string, q1 string, lo string, " + prov)
+    survey = spark.createDataFrame([("3", "2", "x", src(0, "/data/severe/a.csv")), ("9", "8", "y", src(1))],
+                                   "anxiety_score string, q1 string, lo string, " + prov)
     assert not any("severe" in r["post"] or "data" in r["post"] for r in specs.severity_rows(survey).collect())
     kept = with_severity(survey, "anxiety_score")
-    assert [r["q1"] for r in kept.orderBy("ord").collect()] == ["2", "8"] and "lo" in kept.columns
+    assert [r["q1"] for r in kept.orderBy("_src.ord").collect()] == ["2", "8"] and "lo" in kept.columns
+    # A table of the caller's: its column ord is the order.
+    own = spark.createDataFrame([(5, "34", "0")], "ord long, age string, outcome string")
+    assert [(r["ord"], r["answer"]) for r in specs.panic_rows(own).collect()] == [(5, "No")]
 
 
 def test_label_without_condition_gives_no_example(spark):

@@ -21,7 +21,7 @@ def test_read_delimited_edge_cases(spark, tmp_path):
     _write(tmp_path / "a.csv", '﻿text,label\n"multi\nline, with comma",x\n"say ""hi""",y\nshort\n1,2,3\n'.encode())
     _write(tmp_path / "b.tsv", b"text\tlabel\nbad \xff byte\tz\n")
     df = readers.read_delimited(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.tsv")])
-    rows = sorted((r["ord"], r["text"], r["label"]) for r in df.collect())
+    rows = sorted((r["_src"]["ord"], r["text"], r["label"]) for r in df.collect())
     texts = [t for _, t, _ in rows]
     assert "multi\nline, with comma" in texts
     assert 'say "hi"' in texts
@@ -42,9 +42,9 @@ def test_read_delimited_goes_by_each_files_header(spark, tmp_path):
     _write(tmp_path / "g.csv", f"{wide},label,text\n{',' * 1500}lg,tg\n".encode())
     want = [("ta", "la", None), ("tb1\ntb2", "lb", None), ("tb3", "lb", None), ("tc", "lc", "ec"), ("td", "ld", None),
             ("tf", "lf", None), ("tg", "lg", None)]
-    df = readers.read_delimited(spark, [str(tmp_path / "*.csv")]).orderBy("ord")
+    df = readers.read_delimited(spark, [str(tmp_path / "*.csv")]).orderBy("_src.ord")
     assert [tuple(r) for r in df.select("text", "label", "extra").collect()] == want
-    lines = readers.read_delimited(spark, [str(tmp_path / f"{n}.csv") for n in "acdfg"], multi_line=False).orderBy("ord")
+    lines = readers.read_delimited(spark, [str(tmp_path / f"{n}.csv") for n in "acdfg"], multi_line=False).orderBy("_src.ord")
     assert [tuple(r) for r in lines.select("text", "label", "extra").collect()] == [w for w in want if w[1] != "lb"]
     assert readers.first_record('a,"b\n', ",", False) is None and readers.first_record("", ",", True) == ()
 
@@ -190,15 +190,15 @@ def test_dense_order_for_splittable_reads(spark, tmp_path):
     _write(tmp_path / "a.jsonl", b"".join(f'{{"text": "a{i}"}}\n'.encode() for i in range(50)))
     _write(tmp_path / "b.jsonl", b"".join(f'{{"text": "b{i}"}}\n'.encode() for i in range(30)))
     df = readers.read_json_lines(spark, [str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")])
-    got = [r["text"] for r in df.orderBy("ord").collect()]
+    got = [r["text"] for r in df.orderBy("_src.ord").collect()]
     assert got == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(30)]
-    assert sorted(r["ord"] for r in df.collect()) == list(range(80))
+    assert sorted(r["_src"]["ord"] for r in df.collect()) == list(range(80))
     lines = readers.read_lines(spark, [str(tmp_path / "a.jsonl")], dense_ord=True)
-    assert [r["ord"] for r in lines.orderBy(*readers.ORD_COLS).collect()] == list(range(50))
+    assert [r["_src"]["ord"] for r in lines.orderBy(*readers.ORD_COLS).collect()] == list(range(50))
     csv_path = tmp_path / "c.csv"
     _write(csv_path, b"text\n" + b"".join(f"r{i}\n".encode() for i in range(20)))
     d2 = readers.read_delimited(spark, [str(csv_path)], multi_line=False)
-    assert [r["text"] for r in d2.orderBy("ord").collect()] == [f"r{i}" for i in range(20)]
+    assert [r["text"] for r in d2.orderBy("_src.ord").collect()] == [f"r{i}" for i in range(20)]
 
 
 def test_corpus_build_presets(spark, tmp_path):
@@ -306,7 +306,7 @@ def test_read_parquet_ordered(spark, tmp_path):
         spark.range(lo, lo + 50, numPartitions=3).withColumn("text", F.col("id").cast("string")) \
             .coalesce(1).write.parquet(str(tmp_path / "pq" / name))
     df = readers.read_parquet_ordered(spark, [str(tmp_path / "pq" / "a"), str(tmp_path / "pq" / "b")])
-    assert [r["id"] for r in df.orderBy("ord").collect()] == list(range(0, 50)) + list(range(100, 150))
+    assert [r["id"] for r in df.orderBy("_src.ord").collect()] == list(range(0, 50)) + list(range(100, 150))
 
 
 def test_json_doc_with_non_object_elements(spark, tmp_path):
@@ -327,3 +327,54 @@ def test_balance_is_noop_with_enough_splits(spark, tmp_path):
     spark.range(0, 100, numPartitions=1).write.parquet(one)
     plan = balance(spark.read.parquet(one), min_splits=8)._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobinPartitioning(8)" in plan
+
+
+def test_folders_give_no_column_of_their_own(spark, tmp_path):
+    """--dataset KIND=<folder>: labels by header, whatever the reader adds."""
+    from textloom import cli
+    from textloom.plans import specs
+
+    for name, header, rows in (("panic", b"Age,Gender,Outcome\n", b"30,f,1\n31,m,0\n32,f,1\n"), ("sym", b"cough,diagnosis\n", b"0,flu\n1,flu\n0,flu\n")):
+        (tmp_path / name).mkdir()
+        _write(tmp_path / name / "a.csv", header + rows)
+    panic = specs.panic_rows(cli.read_dataset(spark, str(tmp_path / "panic"))).orderBy("ord").collect()
+    assert [r["answer"] for r in panic] == ["Yes", "No", "Yes"]
+    assert [r["ord"] for r in specs.symptom_rows(cli.read_dataset(spark, str(tmp_path / "sym"))).collect()] == [1]
+    own = tmp_path / "own"
+    own.mkdir()
+    _write(own / "a.csv", b"ord,_row,_src,text\n7,x,s,t1\n9,y,s,t2\n")
+    got = readers.read_any(spark, str(own)).orderBy("_src.ord")
+    assert [tuple(r) for r in got.select("ord", "_row", "_src_", "text", "_src.ord").collect()] == [("7", "x", "s", "t1", 0), ("9", "y", "s", "t2", 1)]
+
+
+def test_json_lines_with_arrays_next_to_csv(spark, tmp_path):
+    _write(tmp_path / "a.csv", b"text,tags\nt1,plain\n")
+    _write(tmp_path / "b.jsonl", b'{"text": "t2", "tags": ["x", 1]}\n{"text": 3, "tags": {"k": null}}\n')
+    got = readers.read_any(spark, str(tmp_path)).orderBy("_src.ord").select("text", "tags").collect()
+    assert [tuple(r) for r in got] == [("t1", "plain"), ("t2", '["x",1]'), ("3", '{"k":null}')]
+
+
+def test_scans_say_what_they_left_out(spark, tmp_path):
+    _write(tmp_path / "a.jsonl", b'{"a": 1}\n\n  \t\n{"a": \n[1, {"a": 2}]\n"s"\nnull\n1, 2\n{}\n{"b": 2}\n{"a": 3')
+    _write(tmp_path / "b.csv", b'a,b\n1\n"x,""y",2,3\n\n1,2\n1,,5\n')
+    _write(tmp_path / "c.csv", b'b;a;c\n1;2\n1;2;3;4\n')
+    _write(tmp_path / "d.json", b'{"data": [{"a": 5}, 6, null]}')
+    _write(tmp_path / "e.json", b'{"data": 3}')
+    _write(tmp_path / "f.json", b'[{"a": 5},')
+    _write(tmp_path / "g.json", b'')
+    _write(tmp_path / "h.jsonl", b'')
+    _write(tmp_path / "i.json", b'[]')
+    scan = readers.scan_any(spark, str(tmp_path))
+    got = {(os.path.basename(r["file"])[0], r["reason"]): (r["n"], r["kept"]) for r in scan.report().collect()}
+    assert got == {("a", readers.BLANK): (2, False), ("a", readers.UNPARSABLE): (3, False), ("a", readers.NOT_OBJECT): (3, False),
+                   ("b", readers.SHORT): (1, True), ("b", readers.SURPLUS): (2, True), ("c", readers.SHORT): (1, True),
+                   ("c", readers.SURPLUS): (1, True), ("d", readers.NOT_OBJECT): (2, False), ("e", readers.NOT_ARRAY): (1, False),
+                   ("f", readers.UNPARSABLE): (1, False), ("g", readers.EMPTY_FILE): (1, False), ("h", readers.EMPTY_FILE): (1, False),
+                   ("i", readers.NO_ROWS): (1, False)}
+    assert scan.totals == {"kept": 3 + 4 + 2 + 1, readers.BLANK: 2, readers.UNPARSABLE: 4, readers.NOT_OBJECT: 5, readers.NOT_ARRAY: 1,
+                           readers.SHORT: 2, readers.SURPLUS: 3}
+    plain = readers.read_any(spark, str(tmp_path))
+    order = lambda d: [r["a"] for r in d.orderBy("_src.ord").collect()]
+    assert order(scan.rows) == order(plain) == ["1", None, None, "1", "x,\"y", "1", "1", "2", "2", "5"]
+    raw = {r["raw"] for r in scan.bad.filter(F.col("reason") == readers.UNPARSABLE).collect()}
+    assert {'{"a": ', "1, 2", '{"a": 3'} <= raw

@@ -57,13 +57,17 @@ def normalize_name(name: str) -> str:
     return name.lower().strip().replace(" ", "_")
 
 
-#: Columns that the readers add to a file's own.
-PROVENANCE = ("_file", "_block", "_row", "_file_idx", "ord")
+def data_columns(columns: Sequence[str]) -> list[str]:
+    """The columns of the file itself.  Rows from the readers keep their provenance in
+    ``_src``, so every other column is data; a table handed over by the caller
+    brings its order in ``ord``."""
+    own = "_src" if "_src" in columns else "ord"
+    return [c for c in columns if c != own]
 
 
-def data_columns(columns: Sequence[str]) -> list[str]:
-    """The columns of the file itself: provenance is never data."""
-    return [c for c in columns if c not in PROVENANCE]
+def order_column(columns: Sequence[str]) -> Column:
+    """The encounter order: the reader's, or the caller's column ``ord``."""
+    return F.col("_src.ord" if "_src" in columns else "ord")
 
 
 def humanize_name(name: str) -> str:
@@ -191,7 +195,7 @@ def demographic_pieces(columns: Sequence[str], label_col: str, limit: int = 5) -
 
 
 __all__ = [
-    "existing", "first_nonempty", "first_nonblank", "joined_fallback", "normalize_name",
+    "data_columns", "order_column", "existing", "first_nonempty", "first_nonblank", "joined_fallback", "normalize_name",
     "humanize_name", "infer_label_column", "infer_label_by_cardinality", "panic_label_column",
     "rank_feature_columns", "wide_to_phrase", "presence_list", "demographic_pieces", "title_case",
 ]

@@ -763,8 +763,8 @@ def q_retokenize(spark, sf):
     sinks.write_text(ex, "example", path, order=["doc_id"], split=None)
     back = readers.read_marker_delimited(spark, [path + "/*.txt"])
     back = od.materialize(back.withColumn("seq", tk.cap_with_eot(tk.encode_bytes("text"), CTX)).select(*readers.ORD_COLS, "seq"))
-    bucket = F.struct("_file_idx", "_block", F.shiftright("_row", 16))
-    bl = tk.pack_blocks(back, "seq", readers.ORD_COLS, bucket, ctx=CTX, bounded=False)
+    bucket = F.struct("file_idx", "block", F.shiftright("row", 16))
+    bl = tk.pack_blocks(back, "seq", ["file_idx", "block", "row"], bucket, ctx=CTX, bounded=False)
     return bl.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
 
 
@@ -790,7 +790,8 @@ def q_multi_format_posts(spark, sf):
     for p in readers.list_files(spark, f"{root}/jsonl", suffixes=[".json"]):
         _rename(p, p[: -len(".json")] + ".jsonl")
     rows = readers.read_any(spark, root)
-    posts = specs.multi_format_posts(rows.select("ord", "doc_id", "title", "text", "label"))
+    rows = rows.select(F.col("_src.ord").alias("ord"), "doc_id", "title", "text", "label")
+    posts = specs.multi_format_posts(rows)
     j = posts.join(rows.select("ord", F.col("doc_id").cast("long").alias("doc_id")), "ord")
     return j.select("doc_id", "post", "answer")
 
@@ -860,3 +861,6 @@ def q_shards_exact(spark, sf):
     s = tk.assign_shards_exact(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"))
     return s.groupBy("shard_id").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"),
                                      F.sum(F.size("seq")).cast("long").alias("n_tokens"))
+
+
+from . import file_queries  # noqa: E402, F401  (registers the queries that read files)

@@ -1,7 +1,7 @@
 """Dataset builders: raw rows -> examples ``(ord, sub, post, task, answer)``.
 
-Each builder takes a DataFrame of raw string columns (as the readers produce
-them, or any table) with a LONG ``ord`` column giving encounter order, and
+Each builder takes a DataFrame of raw string columns as the readers produce
+them, or any table with a LONG ``ord`` column giving encounter order, and
 returns one row per example; ``sub`` numbers the examples of one input row.
 Column choice happens on the driver from ``df.columns`` (metadata); row work
 is Column expressions, rejected rows are dropped in the same pass.
@@ -68,7 +68,7 @@ def _post(d: DataFrame, text: str, title: str | None = None) -> DataFrame:
 def _done(df: DataFrame, task, answer, sub: Column | int = 0) -> DataFrame:
     t = task if isinstance(task, Column) else F.lit(task)
     s = sub if isinstance(sub, Column) else F.lit(sub)
-    return df.select("ord", s.cast("int").alias("sub"), "post", t.alias("task"), answer.alias("answer"))
+    return df.select(cl.order_column(df.columns).alias("ord"), s.cast("int").alias("sub"), "post", t.alias("task"), answer.alias("answer"))
 
 
 # P1
@@ -90,7 +90,7 @@ def sentiment_risk_posts(df: DataFrame) -> DataFrame:
         F.when(F.col("_risk") != "", F.struct(F.lit(1).alias("sub"), F.lit(TASK_RISK).alias("task"), F.col("_risk").alias("answer"))),
     ))
     d = d.withColumn("_e", F.explode(pairs))
-    return d.select("ord", F.col("_e.sub").alias("sub"), "post", F.col("_e.task").alias("task"), F.col("_e.answer").alias("answer"))
+    return d.select(cl.order_column(df.columns).alias("ord"), F.col("_e.sub").alias("sub"), "post", F.col("_e.task").alias("task"), F.col("_e.answer").alias("answer"))
 
 
 # P3
