@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -201,3 +202,43 @@ def test_pluggable_encoder(spark):
     df = spark.createDataFrame([(0, "abc"), (1, "é€"), (2, None)], "id long, t string")
     got = {r["id"]: r["ids"] for r in df.select("id", tk.encode_with("t", CodePoints).alias("ids")).collect()}
     assert got == {0: [97, 98, 99], 1: [233, 8364], 2: None}
+
+
+def test_exact_split_moves_no_row(spark):
+    """A bound decides; also where one key holds a third of the rows and ties go by the other columns."""
+    rows = [(hashlib.sha1(b"hot" if k % 3 == 0 else str(k).encode()).hexdigest(), k * 37 % 1000, "x" * 50) for k in range(1000)]
+    df = od.materialize(spark.createDataFrame(rows, "key string, ord long, example string").repartition(4))
+    order = sorted((k, o) for k, o, _ in rows)
+    for ratio in (0.0, 0.1, 0.5, 0.999, 1.0):
+        d = od.split_exact(df, "key", ratio, tiebreak=["ord"])
+        cut = int(1000 * (1 - ratio))
+        assert {(r["key"], r["ord"]) for r in d.filter("split = 'train'").collect()} == set(order[:cut])
+        assert "Exchange" not in d._jdf.queryExecution().executedPlan().toString()
+    for k in (0, 1, 333, 334, 999):
+        assert od.select_kth(df, ["key", "ord"], k, od.hex_bucket("key")) == order[k]
+    assert od.select_kth(df, ["key", "ord"], 1000, od.hex_bucket("key")) is None
+    assert od.split_exact(df.limit(0), "key", 0.1).count() == 0
+
+
+def test_seen_posts_per_dataset(spark):
+    rows = [("a", 1, 0, "p"), ("a", 1, 1, "p"), ("a", 2, 0, "q"), ("a", 3, 0, "p"), ("a", 3, 1, "p"), ("b", 4, 0, "p"), ("b", 5, 0, None),
+            ("b", 6, 0, None), ("b", 7, 0, "")]
+    df = spark.createDataFrame(rows, "dataset string, ord long, sub int, post string").repartition(3)
+    got = sorted((r["dataset"], r["ord"], r["sub"]) for r in od.dedupe_by_post(df).collect())
+    assert got == [("a", 1, 0), ("a", 1, 1), ("a", 2, 0), ("b", 4, 0), ("b", 5, 0), ("b", 7, 0)]
+    assert "WindowGroupLimit" in od.dedupe_by_post(df)._jdf.queryExecution().executedPlan().toString()
+
+
+class _Trim:
+    def encode(self, text):
+        return list(text.strip(" ").encode())
+
+
+def test_lines_are_encoded_apart(spark):
+    texts = ["a \n b", "", "\n", "x\n\nx \n", None, "no line end", "same\nsame\nsame"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {r["k"]: (r["u"], r["v"]) for r in df.select("k", tk.encode_lines_with("t", _Trim, [10, 7]).alias("u"), tk.encode_lines(
+        "t", lambda x: tk.encode_bytes(F.trim(x)), [10, 7]).alias("v")).collect()}
+    for k, t in enumerate(texts):
+        want = None if t is None else [i for line in t.split("\n") for i in [*line.strip(" ").encode(), 10, 7]]
+        assert got[k] == (want, want), t

@@ -80,15 +80,78 @@ def test_read_lines_order(spark, tmp_path):
     assert [r["line"] for r in df.orderBy(*readers.ORD_COLS).collect()] == ["A", "B", "C"]
 
 
-def test_u16_writer_roundtrip(spark, tmp_path):
-    seqs = [[i % 65536 for i in range(j * 100, j * 100 + 37)] for j in range(30)]
+def _stream(spark, path):
+    return [t for r in sinks.read_u16(spark, path).orderBy("pos").collect() for t in r["tokens"]]
+
+
+def test_u16_stream_is_replaced_appended_and_checked(spark, tmp_path, monkeypatch):
+    from textloom.sources.sinks import U16TokenSource, read_manifest
+
+    monkeypatch.setattr(sinks, "CHUNK_BYTES", 50)       # several checksummed pieces a part
+    seqs = [[i % 65536 for i in range(j * 100, j * 100 + 37)] for j in range(30)] + [[]]
     df = spark.createDataFrame([(j, s) for j, s in enumerate(seqs)], "block_id long, tokens array<int>")
-    out = str(tmp_path / "bin")
+    out, ids = str(tmp_path / "bin"), [t for s in seqs for t in s]
+    spark.dataSource.register(U16TokenSource)
+    assert _stream(spark, out) == []                    # nothing was committed yet
     sinks.write_u16(df, out, order=["block_id"], partitions=4)
-    files = sorted(f for f in os.listdir(out) if f.endswith(".bin"))
-    stream = np.concatenate([np.fromfile(os.path.join(out, f), dtype="<u2") for f in files])
-    assert stream.tolist() == [t for s in seqs for t in s]
-    assert not os.path.exists(os.path.join(out, "_temporary"))
+    first = read_manifest(out)["parts"]
+    raw = np.concatenate([np.fromfile(os.path.join(out, p["name"]), dtype="<u2") for p in first])
+    assert raw.tolist() == ids == _stream(spark, out) and len(first) == 4
+    half = df.filter("block_id < 10").withColumn("tokens", F.transform("tokens", lambda x: x + 1))
+    sinks.write_u16(half, out, order=["block_id"], partitions=2)
+    want = [t + 1 for s in seqs[:10] for t in s]
+    assert _stream(spark, out) == want
+    assert sorted(f for f in os.listdir(out)) == sorted(["MANIFEST.json", read_manifest(out)["parts"][0]["name"].split("/")[0]])
+    sinks.write_u16(df.filter("block_id = 3"), out, order=["block_id"], mode="append")
+    assert _stream(spark, out) == want + seqs[3]
+    # A job that fails leaves the stream as it was, and no files.
+    bad = df.withColumn("tokens", F.when(F.col("block_id") < 20, F.col("tokens")).otherwise(F.array(F.lit(70000))))
+    before = sorted(os.listdir(out))
+    with pytest.raises(Exception):
+        sinks.write_u16(bad, out, order=["block_id"], partitions=3)
+    assert _stream(spark, out) == want + seqs[3] and sorted(os.listdir(out)) == before
+    name = os.path.join(out, read_manifest(out)["parts"][0]["name"])
+    data = bytearray(open(name, "rb").read())
+    data[5] ^= 1
+    _write(name, bytes(data))
+    with pytest.raises(Exception, match="does not match its manifest"):
+        _stream(spark, out)
+    sinks.write_u16(df.limit(0), out, order=["block_id"])
+    assert _stream(spark, out) == []
+
+
+@pytest.mark.parametrize("ctx", [1, 7, 64, 5000])
+def test_blocks_of_a_stream(spark, ctx):
+    pieces = spark.createDataFrame([(0, list(range(30))), (30, []), (30, [99]), (31, list(range(500)))], "pos long, tokens array<int>")
+    ids = [*range(30), 99, *range(500)]
+    got = sinks.blocks_of(pieces, ctx).orderBy("block_id").collect()
+    assert [r["tokens"] for r in got] == [ids[k:k + ctx] for k in range(0, len(ids), ctx)]
+
+
+def test_report_rides_on_another_job(spark, tmp_path):
+    rows = [(f"d{k % 3}", "train" if k % 4 else "val", [0] * (k % 5)) for k in range(100)]
+    df = spark.createDataFrame(rows, "dataset string, split string, tokens array<int>").filter("dataset <> 'd2' or split = 'val'")
+    ride = sinks.ReportRide(["d0", "d1", "d2", "none", "d0"])
+    ride.on(df).write.parquet(str(tmp_path / "out"))
+    got, want = ride.frame(spark), sinks.run_report(df, tokens="tokens")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.columns == want.columns
+    assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cli_writes_what_was_rejected(spark, tmp_path):
+    from textloom import cli
+    from textloom.plans import specs
+
+    (tmp_path / "in").mkdir()
+    good = [f'{{"text": "long enough post number {w} about sleep focus", "label": "adhd"}}' for w in ("alpha", "bravo", "alpha")]
+    _write(tmp_path / "in" / "a.jsonl", "\n".join([good[0], "{broken", good[1], "", good[2].replace("adhd", "ptsd")]).encode())
+    try:
+        rep = cli.main(["--dataset", f"multi={tmp_path / 'in'}", "--out", str(tmp_path / "out"), "--rejected", "--dedupe-by", "post"], spark=spark)
+    finally:
+        specs.configure_cleaning()
+    assert sum(r["examples"] for r in rep.collect()) == 2       # the third post was seen
+    bad = spark.read.parquet(str(tmp_path / "out" / "rejected")).collect()
+    assert sorted((r["reason"], r["n"], r["kept"]) for r in bad) == [("blank line", 1, False), ("unparsable", 1, False)]
 
 
 def test_contract_keys_and_entry(spark):
@@ -246,8 +309,7 @@ def test_stream_and_trial_keep_every_token(spark, tmp_path):
     split = dict(spark.createDataFrame([(e,) for e in examples], "e string").select("e", split_hash("e")).collect())
 
     def raw(out, part):
-        files = sorted((tmp_path / out / "bin" / f"split={part}").glob("part-*.bin"))
-        return [x for f in files for x in np.frombuffer(f.read_bytes(), "<u2").tolist()]
+        return _stream(spark, str(tmp_path / out / "bin" / f"split={part}"))
 
     # stream: EOT first, no cap, shards filled in encounter order
     for rule in ("exact", "offset"):

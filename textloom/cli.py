@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,20 +40,32 @@ BUILDERS = {
 }
 
 
+_READERS = {".csv": (readers.read_delimited, readers.scan_delimited), ".tsv": (readers.read_delimited, readers.scan_delimited),
+            ".jsonl": (readers.read_json_lines, readers.scan_json_lines), ".json": (readers.read_json_docs, readers.scan_json_docs)}
+
+
+def _suffix(path: str) -> str:
+    return "." + path.lower().rsplit(".", 1)[-1]
+
+
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Folder -> suffix dispatch; file or glob -> reader by suffix."""
-    low = path.lower()
-    if low.endswith((".csv", ".tsv")):
-        return readers.read_delimited(spark, [path])
-    if low.endswith(".jsonl"):
-        return readers.read_json_lines(spark, [path])
-    if low.endswith(".json"):
-        return readers.read_json_docs(spark, [path])
-    if low.endswith(".parquet"):
+    if _suffix(path) in _READERS:
+        return _READERS[_suffix(path)][0](spark, [path])
+    if _suffix(path) == ".parquet":
         return readers.read_parquet_ordered(spark, [path])
     return readers.read_any(spark, path)
 
 
+def scan_dataset(spark: SparkSession, path: str) -> readers.Scan | None:
+    """:func:`read_dataset` with what was left out; None for Parquet, which has no bad records."""
+    if _suffix(path) == ".parquet":
+        return None
+    if _suffix(path) in _READERS:
+        return _READERS[_suffix(path)][1](spark, [path])
+    return readers.scan_any(spark, path)
+
+
 def manual_examples(spark: SparkSession, path: str, min_keywords: int) -> DataFrame:
     """Reference-manual text files -> section examples."""
     lines = readers.read_lines(spark, [path]).select("line", "_src.*").withColumnsRenamed(
@@ -73,6 +86,10 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--dedupe-cap", type=int, default=None,
                    help="remember at most so many distinct examples; later repeats pass (default: exact dedupe; 0 keeps every repeat)")
+    p.add_argument("--dedupe-by", choices=["example", "post"], default="example",
+                   help="post: within a dataset, rows whose post was seen give no example (before the dedupe of examples)")
+    p.add_argument("--rejected", action="store_true",
+                   help="write rejected/: records that the readers left out or mended, by file and reason")
     p.add_argument("--max-per-dataset", type=int, default=0, help="cap examples per dataset (0 = none)")
     p.add_argument("--max-examples", type=int, default=0, help="cap examples overall (0 = none)")
     p.add_argument("--ctx", type=int, default=1024)
@@ -104,12 +121,15 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
             sys.exit(f"word list over {LITERAL_MAX} entries: apply operators.words.remove_words instead")
     specs.configure_cleaning(min_chars=a.min_chars, min_keywords=a.min_kw, unique=a.unique_keywords == "on",
                              strip_emoji=a.strip_emojis == "on", extra_words=extra)
-    parts = []
+    parts, reports = [], []
     for item in a.dataset:
         kind, _, path = item.partition("=")
         if kind not in BUILDERS or not path:
             sys.exit(f"bad --dataset {item!r}; kinds: {', '.join(sorted(BUILDERS))}")
-        ex = BUILDERS[kind](read_dataset(spark, path))
+        scan = scan_dataset(spark, path) if a.rejected else None
+        if scan is not None:
+            reports.append(scan.report().select(F.lit(f"{kind}:{path}").alias("dataset"), "file", "reason", "kept", "n"))
+        ex = BUILDERS[kind](read_dataset(spark, path) if scan is None else scan.rows)
         if a.max_per_dataset:
             from .operators.order import cap_total
 
@@ -121,8 +141,10 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
         sys.exit("no --dataset given")
     cfg = CorpusConfig(preset=a.preset, seed=a.seed, val_ratio=a.val_ratio, dedupe_cap=a.dedupe_cap,
                        max_examples=a.max_examples, ctx=a.ctx, drop_last=a.drop_last, token_mode=a.token_mode,
-                       shard_tokens=a.shard_tokens, shard_rule=a.shard_rule)
+                       shard_tokens=a.shard_tokens, shard_rule=a.shard_rule, dedupe_by=a.dedupe_by)
     report = build(parts, a.out, cfg, write_raw=not a.no_raw)
+    if reports:
+        reduce(DataFrame.unionByName, reports).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/rejected")
     report.orderBy("dataset", "split").show(truncate=False)
     return report
 

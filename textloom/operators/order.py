@@ -16,6 +16,7 @@ packing and sharding (L5, L8) and section numbering (I3).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -152,6 +153,18 @@ def dedupe_first(df: DataFrame, key: str, order) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def dedupe_by_post(df: DataFrame, row: Sequence[str] = ("ord",), dataset: str = "dataset", post: str = "post") -> DataFrame:
+    """A seen set per data set, on the post alone: of the input rows (told apart and
+    ordered by ``row``) with the same post, the first keeps all its examples and the
+    others give none.  Null posts are one post.
+
+    ``rank() == 1`` is planned with a map-side WindowGroupLimit, so a post that a third
+    of the rows share sends one row's examples per map task."""
+    d = df.withColumn("_dp", F.sha2(F.coalesce(F.concat(F.lit("="), F.col(post)), F.lit("")), 256))
+    w = Window.partitionBy(dataset, "_dp").orderBy(*row)
+    return d.withColumn("_dr", F.rank().over(w)).filter(F.col("_dr") == 1).drop("_dp", "_dr")
+
+
 def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None, bounded: bool = True) -> DataFrame:
     """Sequential capped dedupe: while fewer than ``cap`` distinct keys were
     seen, repeats are dropped; once ``cap`` keys were seen every later row
@@ -189,14 +202,53 @@ def shuffle_key(content, seed: int = 42) -> Column:
     return F.sha1(F.concat(F.lit(f"{seed}:"), F.sha1(_c(content))))
 
 
+def select_kth(df: DataFrame, order: Sequence[str], k: int, bucket) -> tuple | None:
+    """The ``order`` columns of the row with exactly ``k`` rows before it; None if there
+    are no more than ``k`` rows.
+
+    ``bucket`` must be monotone in ``order`` with at most ``MAX_BUCKETS`` values.  Counts
+    per bucket tell the bucket that holds the row; only that bucket's order columns are
+    then dealt by range (so a bucket that one key fills is dealt by the other
+    columns), counted per part, and the part that holds the row is ranked.  ``df`` is read
+    twice, its order columns only."""
+    cols = [F.col(c) for c in order]
+    narrow = df.select(*order, _c(bucket).alias("_sk_b"))
+
+    def holding(d: DataFrame, part: str, at: int) -> tuple:
+        counts = d.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+        w = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)     # one row per bucket or part
+        ranked = counts.withColumn("start", F.coalesce(F.sum("n").over(w), F.lit(0)))
+        row = ranked.filter((F.col("start") <= at) & (F.col("start") + F.col("n") > at)).first()
+        return (None, 0) if row is None else (row[part], at - row["start"])
+
+    which, rest = holding(narrow, "_sk_b", k)
+    if which is None:
+        return None
+    one = narrow.filter(F.col("_sk_b") == which).drop("_sk_b")
+    one = materialize(one.repartitionByRange(*cols).withColumn("_sk_p", F.spark_partition_id()))
+    part, rest = holding(one, "_sk_p", rest)
+    w = Window.partitionBy("_sk_p").orderBy(*cols)
+    row = one.filter(F.col("_sk_p") == part).withColumn("_sk_r", F.row_number().over(w)).filter(F.col("_sk_r") == rest + 1).first()
+    return tuple(row[c] for c in order)
+
+
 def split_exact(df: DataFrame, order_key: str, val_ratio: float = 0.10, tiebreak: Sequence[str] = (),
                 out: str = "split") -> DataFrame:
     """First ``int(n * (1 - val_ratio))`` rows in ``order_key`` order -> 'train',
-    the rest -> 'val'.  ``order_key`` is a uniform hex hash (see shuffle_key)."""
+    the rest -> 'val'.  ``order_key`` is a uniform hex hash (see shuffle_key).
+
+    One bound decides: the first row of 'val' is selected from the order columns
+    (:func:`select_kth`), and every row is compared with it where it stands; no row is
+    moved.  Jobs over the order columns run when the plan is made: materialise an
+    expensive input first."""
     order = [order_key, *tiebreak]
-    d = global_offset(df, order, F.lit(1), hex_bucket(order_key), out="_pos", total="_n")
-    k = F.floor(F.col("_n").cast("double") * F.lit(1.0 - val_ratio)).cast("long")
-    return d.withColumn(out, F.when(F.col("_pos") < k, "train").otherwise("val")).drop("_pos", "_n")
+    k = math.floor(float(df.count()) * (1.0 - val_ratio))
+    bound = select_kth(df, order, k, hex_bucket(order_key))
+    if bound is None:
+        return df.withColumn(out, F.lit("train"))
+    types = [df.schema[c].dataType for c in order]
+    edge = F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(bound, types, order, strict=True)])
+    return df.withColumn(out, F.when(F.struct(*order) < edge, "train").otherwise("val"))
 
 
 def split_hash(content, seed: int = 42, val_ratio: float = 0.10) -> Column:

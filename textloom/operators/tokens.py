@@ -59,6 +59,35 @@ def encode_with(text, encoder_factory: Callable[[], object]) -> Column:
     return _enc(_c(text))
 
 
+def encode_lines(text, encode: Callable[[Column], Column], newline: Sequence[int]) -> Column:
+    """Ids of ``text`` line by line, each line's ids (``encode``, an expression) followed by
+    ``newline``: what a writer that encodes every physical line apart gives."""
+    end = F.array(*[F.lit(int(i)) for i in newline]).cast("array<int>")
+    lines = F.transform(F.split(_c(text), "\n"), lambda line: F.concat(encode(line), end))
+    return F.flatten(lines)
+
+
+def encode_lines_with(text, encoder_factory: Callable[[], object], newline: Sequence[int]) -> Column:
+    """:func:`encode_lines` for any encoder object.  Each distinct line of an Arrow batch is
+    encoded once (the task line of an example repeats in nearly all of them); lines are
+    put together again in place, so nothing is shuffled."""
+    end = [int(i) for i in newline]
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enc = encoder_factory()
+        for s in batches:
+            lines = s.dropna().str.split("\n").explode()
+            codes, distinct = pd.factorize(lines)
+            ids = [[*enc.encode(x), *end] for x in distinct]
+            rows: dict = {i: [] for i in lines.index}
+            for i, c in zip(lines.index, codes, strict=True):
+                rows[i] += ids[c]
+            yield pd.Series([rows.get(i) for i in s.index], dtype=object)
+
+    return _enc(_c(text))
+
+
 def truncate(tokens, ctx: int = DEFAULT_CTX) -> Column:
     """Keep the first ``ctx`` ids (an appended EOT may be lost)."""
     return F.slice(_c(tokens), 1, ctx)

@@ -1,9 +1,9 @@
 """Corpus build: union of dataset builders -> dedupe -> shuffle order -> split ->
 text -> tokens -> fixed blocks, with three stage orders (presets):
 
-* ``full``  – capped dedupe, seeded shuffle, exact split at ``int(n*(1-r))``,
+* ``full``  – exact (or capped) dedupe, seeded shuffle, exact split at ``int(n*(1-r))``,
   tokens truncated to ``ctx``, packed per split (the main build);
-* ``stream`` – capped dedupe, per-row hash split (order-free: also valid under
+* ``stream`` – exact (or capped) dedupe, per-row hash split (order-free: also valid under
   Structured Streaming), uncapped tokens with a leading EOT, shards in encounter
   order; with token mode ``none`` an unpacked stream of lines instead;
 * ``trial`` – first ``max_examples`` rows, shuffle, exact split, no dedupe, uncapped
@@ -16,7 +16,7 @@ executor loss re-reads the checkpoint instead of recomputing the cleaning.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -44,6 +44,9 @@ class CorpusConfig:
     shard_tokens: int = tk.DEFAULT_SHARD_TOKENS
     shard_rule: str = "exact"  # exact (flush when the buffer is full) | offset (start div shard_tokens)
     eot_in_text: bool = True
+    dedupe_by: str = "example"  # example | post (a seen set per dataset on the post, before the dedupe of examples)
+    encoder: Callable[[], object] | None = None  # makes an object with encode(str) -> list of ids; None: bytes
+    newline: tuple[int, ...] = (10,)  # the encoder's ids of a line end
 
     @property
     def mode(self) -> str:
@@ -60,14 +63,15 @@ class CorpusConfig:
         return ORDER if self.preset == "stream" else ["key", *ORDER]
 
 
-def union_examples(parts: Sequence[tuple[str, DataFrame]], eot: bool = True) -> DataFrame:
+def union_examples(parts: Sequence[tuple[str, DataFrame]], eot: bool = True, keep_post: bool = False) -> DataFrame:
     """Union of builder outputs ``(ord, sub, post, task, answer)`` in the given
-    dataset order, rendered to one example string each."""
+    dataset order, rendered to one example string each; ``keep_post`` keeps the post too."""
+    more = [F.col("post")] if keep_post else []
     out = None
     for i, (name, df) in enumerate(parts):
         d = df.select(F.lit(name).alias("dataset"), F.lit(i).alias("ds_idx"), F.col("ord").cast("long").alias("ord"),
                       F.col("sub").cast("int").alias("sub"),
-                      tx.render_example(F.col("post"), F.col("task"), F.col("answer"), eot).alias("example"))
+                      tx.render_example(F.col("post"), F.col("task"), F.col("answer"), eot).alias("example"), *more)
         out = d if out is None else out.unionByName(d)
     return out
 
@@ -81,6 +85,8 @@ def encounter_bucket() -> F.Column:
 
 def dedupe_and_split(examples: DataFrame, cfg: CorpusConfig) -> DataFrame:
     """Adds ``h`` (sha1 of the example), ``key`` (shuffle order) and ``split``."""
+    if cfg.dedupe_by == "post":
+        examples = od.dedupe_by_post(examples, ["ds_idx", "ord"]).drop("post")
     d = examples.withColumn("h", F.sha1("example"))
     if cfg.preset == "trial":
         if cfg.max_examples:
@@ -101,9 +107,12 @@ def dedupe_and_split(examples: DataFrame, cfg: CorpusConfig) -> DataFrame:
 
 
 def with_tokens(df: DataFrame, cfg: CorpusConfig, text: str = "example") -> DataFrame:
-    # A stream of lines: a sequence ends in its newline's id.
-    line = F.concat(F.col(text), F.lit("\n")) if cfg.unpacked and cfg.mode == "none" else text
-    ids = tk.guard_uint16(tk.encode_bytes(line))
+    if cfg.unpacked and cfg.mode == "none":
+        # A stream of lines: each line encoded apart, and its newline's ids after it.
+        ids = tk.encode_lines(text, tk.encode_bytes, cfg.newline) if cfg.encoder is None else tk.encode_lines_with(text, cfg.encoder, cfg.newline)
+    else:
+        ids = tk.encode_bytes(text) if cfg.encoder is None else tk.encode_with(text, cfg.encoder)
+    ids = tk.guard_uint16(ids)
     if cfg.mode == "truncate":
         ids = tk.truncate(ids, cfg.ctx)
     elif cfg.mode == "eot_cap":
@@ -138,10 +147,11 @@ def build(parts: Sequence[tuple[str, DataFrame]], out_dir: str, cfg: CorpusConfi
     ``sequences/`` when unpacked), ``bin/split=*/part-*.bin`` and ``report/`` under
     ``out_dir``; returns the report DataFrame (read back from ``out_dir``)."""
     spark = parts[0][1].sparkSession
-    ex = union_examples(parts, eot=cfg.eot_in_text)
+    ex = union_examples(parts, eot=cfg.eot_in_text, keep_post=cfg.dedupe_by == "post")
     d = dedupe_and_split(ex, cfg)
     sinks.write_text(d, "example", f"{out_dir}/text", order=cfg.order)
-    tok = od.materialize(with_tokens(d, cfg))
+    ride = sinks.ReportRide([name for name, _ in parts])
+    tok = od.materialize(ride.on(with_tokens(d, cfg)))
     if cfg.unpacked:
         sinks.write_blocks_parquet(tok.select("split", "key", *ORDER, "tokens"), f"{out_dir}/sequences")
         if write_raw:
@@ -156,6 +166,7 @@ def build(parts: Sequence[tuple[str, DataFrame]], out_dir: str, cfg: CorpusConfi
         if write_raw:
             for split in ("train", "val"):
                 sinks.write_u16(blocks.filter(F.col("split") == split), f"{out_dir}/bin/split={split}", order=["block_id"])
-    report = sinks.run_report(tok, ("dataset", "split"), tokens="tokens")
+    # Counted by the job that made the tokens.
+    report = ride.frame(spark)
     report.write.mode("overwrite").parquet(f"{out_dir}/report")
     return spark.read.parquet(f"{out_dir}/report")

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as cl
 from ..functions import labels as lb
+from ..operators import order as od
+from ..operators import tokens as tk
+from ..operators.examples import with_post
 from ..session import scratch_path
-from ..sources import readers
+from ..sources import readers, sinks
 from ..sources.tables import read_table
 from . import oracle_sql as S
 from . import specs
-from .catalog import register
+from .catalog import CTX, ORACLES, register
 
 
 def write_csv(df: DataFrame, path: str, order: str, columns: list[str], sep: str = ",") -> None:
@@ -196,3 +199,68 @@ def q_rejected_rows(spark, sf):
         part = part.unionByName(good).select(F.lit(name).alias("format"), "reason", "kept", "n")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ---------------------------------------------------------------------------
+# B2: the raw token stream, rewritten and read back
+# ---------------------------------------------------------------------------
+def _ids_sha(col: str) -> Column:
+    return F.sha1(F.array_join(F.col(col), ","))
+
+
+@register("q_u16_roundtrip", ORACLES["q_pack_whole"])
+def q_u16_roundtrip(spark, sf):
+    """Documents (bytes and an end-of-text id) written as a raw token stream over another,
+    longer stream in more parts, read back through the manifest and cut into blocks."""
+    path = scratch_path(spark, "u16")
+    d = read_table(spark, sf, "documents", ["doc_id", "text"]).filter(F.col("text").isNotNull())
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sinks.write_u16(d.select("doc_id", tk.encode_bytes(F.concat("text", F.lit("old"))).alias("tokens")), path, ["doc_id"], partitions=n)
+    ids = F.concat(tk.encode_bytes("text"), F.array(F.lit(tk.EOT_ID)))
+    sinks.write_u16(d.select("doc_id", ids.alias("tokens")), path, ["doc_id"], partitions=n // 2)
+    blocks = sinks.blocks_of(sinks.read_u16(spark, path), CTX)
+    return blocks.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
+
+
+# ---------------------------------------------------------------------------
+# K3, L9
+# ---------------------------------------------------------------------------
+@register("q_dedupe_by_post", f"""
+WITH {S.post_cte('pp', 'documents', 'doc_id', 'text')},
+e AS (SELECT d.lang AS dataset, d.doc_id AS ord, unnest(CASE WHEN d.doc_id % 3 = 0 THEN [0, 1] ELSE [0] END) AS sub, p.post
+  FROM documents d JOIN pp p USING (doc_id)),
+r AS (SELECT *, rank() OVER (PARTITION BY dataset, post ORDER BY ord) AS k FROM e)
+SELECT dataset, ord, sub, sha1(post) AS h FROM r WHERE k = 1""")
+def q_dedupe_by_post(spark, sf):
+    """Posts of the documents, a data set per language, some rows with two examples:
+    rows whose post their data set has seen give none."""
+    d = with_post(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), "text")
+    subs = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    e = d.select(F.col("lang").alias("dataset"), F.col("doc_id").alias("ord"), F.explode(subs).alias("sub"), "post")
+    return od.dedupe_by_post(e).select("dataset", "ord", "sub", F.sha1("post").alias("h"))
+
+
+class TrimmingEncoder:
+    """Byte ids without the blanks that end the text: line by line it gives other ids
+    than for the text as a whole."""
+
+    def encode(self, text: str) -> list[int]:
+        return list(text.rstrip(" ").encode())
+
+
+_LINE_EXAMPLE = "'Post:  ' || chr(10) || text || '  '"
+
+
+@register("q_line_stream", f"""
+WITH l AS (SELECT doc_id, list_transform(string_split({_LINE_EXAMPLE}, chr(10)), lambda x: rtrim(x, ' ')) AS l FROM documents WHERE text IS NOT NULL),
+b AS (SELECT doc_id, unnest(l) AS line, unnest(range(0, len(l))) AS k FROM l),
+i AS (SELECT doc_id, k, list_concat({S.hex_ids('line')}, [10]) AS ids FROM b),
+f AS (SELECT doc_id, flatten(list(ids ORDER BY k)) AS ids FROM i GROUP BY doc_id)
+SELECT doc_id, len(ids)::BIGINT AS n_tokens, sha1(array_to_string(ids, ',')) AS ids_sha1 FROM f""")
+def q_line_stream(spark, sf):
+    """Two-line examples and longer ones, every physical line encoded apart by an
+    encoder object, with the newline's id after it."""
+    d = read_table(spark, sf, "documents", ["doc_id", "text"]).filter(F.col("text").isNotNull())
+    example = F.concat(F.lit("Post:  \n"), F.col("text"), F.lit("  "))
+    d = d.withColumn("ids", tk.encode_lines_with(example, TrimmingEncoder, [10]))
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _ids_sha("ids").alias("ids_sha1"))
