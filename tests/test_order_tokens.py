@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ def df(spark, rows):
 
 
 def test_global_offset_is_exclusive_prefix_sum(df, rows):
-    g = od.global_offset(df, ["ord"], F.col("n"), od.range_bucket(df, "ord", max_buckets=16), out="off", total="tot")
+    g = od.global_offset(df, ["ord"], F.col("n"), F.shiftright("ord", 6), out="off", total="tot")
     got = {r["ord"]: (r["off"], r["tot"]) for r in g.collect()}
     acc, total = 0, sum(n for _, _, n in rows)
     for o, _, n in rows:
@@ -32,16 +33,29 @@ def test_global_offset_is_exclusive_prefix_sum(df, rows):
         acc += n
 
 
-def test_range_bucket_with_outliers(spark):
-    ids = spark.range(20_000).select(F.col("id").alias("ord"))
-    for far in ([10 ** 12], [-(1 << 63), (1 << 63) - 1], [-(10 ** 15), 10 ** 9, 10 ** 15]):
-        d = ids.unionByName(spark.createDataFrame([(x,) for x in far], "ord long"))
-        got = d.withColumn("b", od.range_bucket(d, "ord")).orderBy("ord").collect()
-        b = [r["b"] for r in got]
-        assert b == sorted(b) and 0 <= b[0] and b[-1] < od.MAX_BUCKETS
-        assert max(b.count(x) for x in set(b)) < len(b) / 30
-        off = od.global_offset(d, ["ord"], F.lit(1), od.range_bucket(d, "ord"), out="off").orderBy("ord").collect()
-        assert [r["off"] for r in off] == list(range(len(b)))
+@pytest.mark.parametrize("kind", ["plain", "outliers", "clustered", "null"])
+def test_running_total_deals_rows_evenly(spark, kind):
+    """However ids are spaced: parts are about equal, nulls first, and the sums those of a loop."""
+    ids = {"plain": range(20_000), "outliers": [*range(20_000), 10**12, -(1 << 63), (1 << 63) - 1],
+           "clustered": [*range(100_000, 119_000), *(k * 10**9 for k in range(1, 1000))], "null": [None, *range(20_000)]}[kind]
+    d = spark.createDataFrame([(x, (x or 5) % 7) for x in ids], "ord long, v long").repartition(5)
+    got = od.running_total(d, ["ord"], "v", out="off", total="all").collect()
+    acc, want = 0, {}
+    for x in sorted(ids, key=lambda x: (x is not None, x or 0)):
+        want[x] = acc
+        acc += (x or 5) % 7
+    assert {r["ord"]: r["off"] for r in got} == want and {r["all"] for r in got} == {acc} and len(got) == len(want)
+    parts = d.repartitionByRange(8, "ord").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < 2 * len(want) / 8
+    # groups, and null groups among them
+    g = d.withColumn("g", F.when(F.col("ord") % 3 > 0, F.col("ord") % 3))
+    got = od.running_total(g, ["ord"], "v", out="off", groups=["g"], total="all").collect()
+    sums, want = {}, {}
+    group = {r["ord"]: r["g"] for r in got}
+    for x in sorted(ids, key=lambda x: (x is not None, x or 0)):
+        want[x] = sums.get(group[x], 0)
+        sums[group[x]] = want[x] + (x or 5) % 7
+    assert {r["ord"]: r["off"] for r in got} == want and all(r["all"] == sums[r["g"]] for r in got)
 
 
 def test_global_offset_groups(spark):
@@ -155,22 +169,10 @@ def test_sections_match_sequential(spark):
     }
     rows = [(d, i, line) for d, lines in docs.items() for i, line in enumerate(lines)]
     df = spark.createDataFrame(rows, "doc long, ln long, line string")
-    got = sorted((r["doc"], r["title"], r["body"]) for r in sections(df, "doc", ["ln"], "line", F.col("doc")).collect())
+    got = sorted((r["doc"], r["title"], r["body"]) for r in sections(df, "doc", ["ln"], "line").collect())
     assert got == [(1, "Anxiety", "worry"), (1, "Major Depression", "low mood loss of interest"), (2, "Ocd", "checking")]
 
 
-def test_global_offset_single_partition_only_on_bucket_table(spark):
-    df = spark.range(5000).withColumn("key", F.sha1(F.col("id").cast("string"))).withColumn("pad", F.repeat(F.lit("x"), 50))
-    plan = od.split_exact(df, "key", 0.1, tiebreak=["id"])._jdf.queryExecution().executedPlan().toString()
-    lines = plan.split("\n")
-    assert "Exchange SinglePartition" in plan
-    for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            # the only data that is funnelled into one partition is the per-bucket totals table
-            below = "\n".join(lines[i:i + 3])
-            assert "HashAggregate(keys=[_go_b" in below, below
-
-
 def test_capped_dedupe_zero_cap_keeps_all(df, rows):
     assert od.dedupe_capped(df, "k", "ord", 0).count() == len(rows)
 
@@ -190,7 +192,7 @@ def test_assign_shards_exact_matches_writer(spark, T):
     rnd = random.Random(T)
     lens = [rnd.randint(0, 12) for _ in range(300)]
     df = spark.createDataFrame([(i, [1] * n) for i, n in enumerate(lens)], "ord long, toks array<int>")
-    got = {r["ord"]: r["shard_id"] for r in tk.assign_shards_exact(df, "toks", ["ord"], F.col("ord"), shard_tokens=T).collect()}
+    got = {r["ord"]: r["shard_id"] for r in tk.assign_shards_exact(df, "toks", ["ord"], shard_tokens=T).collect()}
     assert [got[i] for i in range(len(lens))] == _shards_loop(lens, T)
 
 
@@ -242,3 +244,78 @@ def test_lines_are_encoded_apart(spark):
     for k, t in enumerate(texts):
         want = None if t is None else [i for line in t.split("\n") for i in [*line.strip(" ").encode(), 10, 7]]
         assert got[k] == (want, want), t
+
+
+def test_sections_over_parts_and_pieces(spark, monkeypatch):
+    """Sections that span parts and pieces, against a loop over the lines."""
+    from textloom.operators import sections as sc
+
+    monkeypatch.setattr(sc, "PIECE", 3)
+    rng = random.Random(5)
+    rows = []
+    for doc in [3, 1, None, 7, 10**15]:
+        for ln in range(rng.choice([1, 40, 400])):
+            rows.append((doc, ln, rng.choice(["HEAD ONE", "HEAD TWO", "", "  ", None, *["some text", " more  words "] * 15])))
+    want, sid, title, group = {}, 0, None, object()
+    for doc, _, line in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        text = (line or "").strip()
+        if text.startswith("HEAD"):
+            sid, title, group = sid + 1, text.title(), doc
+        elif text and title and group == doc:
+            want.setdefault((sid, doc, title), []).append(text)
+    df = spark.createDataFrame(rows, "doc long, ln long, line string").repartition(6)
+    got = {(r["section_id"], r["doc"], r["title"]): r["body"] for r in sections(df, "doc", ["ln"], "line").collect()}
+    assert got == {k: " ".join(v) for k, v in want.items()} and len(got) > 20
+
+
+def test_buffer_flows(spark, monkeypatch):
+    """A run's effect on the buffer, piece by piece and composed, against the writer's loop; runs of several parts."""
+    from textloom.operators import shards as sh
+
+    def loop(sizes, limit, fill=0, base=0):
+        ids = []
+        for n in sizes:
+            ids.append(base)
+            fill += n
+            if fill >= limit:
+                fill, base = 0, base + 1
+        return ids, fill, base
+
+    rng = random.Random(3)
+    for _ in range(400):
+        limit, most = rng.randint(1, 40), rng.choice([1, 3, 10, 60])
+        runs = [np.array([rng.choice([rng.randint(0, most), most]) for _ in range(rng.randint(0, 15))], dtype=np.int64) for _ in range(rng.randint(1, 5))]
+        whole = None
+        for r in runs:
+            flow = sh.flow_of(r, limit)
+            whole = flow if whole is None else whole.then(flow)
+            for f in range(limit):
+                ids, fill, base = loop(r, limit, f)
+                end, more = flow(np.array([f]))
+                assert (end[0], more[0]) == (fill, base) and sh.shard_ids(r, limit, f, 0).tolist() == ids
+        for f in range(limit):
+            _, fill, base = loop(np.concatenate(runs), limit, f)
+            end, more = whole(np.array([f]))
+            assert (end[0], more[0]) == (fill, base)
+    monkeypatch.setattr(sh, "FAN", 3)
+    sizes = [rng.choice([0, 1, 50, 700]) for _ in range(3000)]
+    df = spark.createDataFrame([(k // 10, k, n) for k, n in enumerate(sizes)], "a long, b long, n long").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sh.shards_of_sizes(df, ["a", "b"], "n", 1000).orderBy("b").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r["shard_id"] for r in got] == loop(sizes, 1000)[0]
+    assert sh.shards_of_sizes(df.limit(0), ["a", "b"], "n", 1000).count() == 0
+
+
+@pytest.mark.parametrize("ctx,drop_last", [(1, False), (7, False), (7, True), (5000, False)])
+def test_packed_bytes_match_packed_ids(spark, ctx, drop_last):
+    texts = ["abc", "", "é 中", "x" * 50, "\x00\x7f", "end"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string").withColumn("b", F.encode("t", "UTF-8"))
+    for end in (tk.EOT_ID, None):
+        ids = [i for t in texts for i in [*t.encode(), *([] if end is None else [end])]]
+        want = [ids[a:a + ctx] for a in range(0, len(ids), ctx)]
+        want = [w for w in want if len(w) == ctx or not drop_last]
+        got = tk.pack_bytes(df, "b", ["k"], ctx=ctx, end=end, drop_last=drop_last).orderBy("block_id").collect()
+        assert [r["tokens"] for r in got] == want

@@ -70,8 +70,7 @@ def manual_examples(spark: SparkSession, path: str, min_keywords: int) -> DataFr
     """Reference-manual text files -> section examples."""
     lines = readers.read_lines(spark, [path]).select("line", "_src.*").withColumnsRenamed(
         {"file_idx": "_file_idx", "block": "_block", "row": "_row"})
-    bucket = F.struct("_file_idx", "_block", F.shiftright("_row", 16))
-    secs = sections(lines, "_file_idx", ["_block", "_row"], "line", bucket, bounded=False)
+    secs = sections(lines, "_file_idx", ["_block", "_row"], "line")
     return specs.section_examples(secs, min_keywords=min_keywords)
 
 

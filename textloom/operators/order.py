@@ -37,34 +37,6 @@ def hex_bucket(hex_col, digits: int = HEX_BUCKET_DIGITS) -> Column:
     return F.conv(F.substring(_c(hex_col), 1, digits), 16, 10).cast("int")
 
 
-RANGE_CELLS = 64
-
-
-def range_bucket(df: DataFrame, col: str, max_buckets: int = MAX_BUCKETS) -> Column:
-    """Monotone bucket of a whole-numbered order key.
-
-    The range is cut at quantiles into cells of about equally many rows, and each cell
-    into buckets of equal width, so outliers widen the buckets of their own cell
-    only.  One aggregate pass brings min, max and quantiles to the driver."""
-    cells = max(1, min(RANGE_CELLS, max_buckets // 4))
-    x = F.col(col).cast("long")
-    at = F.array(*[F.lit(k / cells) for k in range(1, cells)]).cast("array<double>")
-    quantiles = F.percentile_approx(x, at, F.lit(100 * cells)).alias("q") if cells > 1 else F.array().cast("array<long>").alias("q")
-    row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), quantiles).first()
-    lo, hi = row["lo"], row["hi"]
-    if lo is None:
-        return F.lit(0).cast("long")
-    starts = sorted({lo, *row["q"]})
-    per_cell = max_buckets // len(starts)
-    widths = [max(1, -(-(b - a) // per_cell)) for a, b in zip(starts, [*starts[1:], hi + 1], strict=True)]
-    cell = F.size(F.filter(F.array(*map(F.lit, starts[1:])).cast("array<long>"), lambda s: s <= x)) if len(starts) > 1 else F.lit(0)
-    start, width = (F.element_at(F.array(*map(F.lit, v)).cast("array<long>"), cell + 1) for v in (starts, widths))
-    # A difference of longs can exceed a long.
-    exact = "decimal(20,0)" if hi - lo >= 1 << 63 else "long"
-    inside = F.floor((x.cast(exact) - start.cast(exact)) / width.cast(exact)).cast("long")
-    return cell.cast("long") * per_cell + F.least(inside, F.lit(per_cell - 1))
-
-
 def global_offset(
     df: DataFrame,
     order: Sequence,
@@ -79,7 +51,7 @@ def global_offset(
     ``order`` (within ``groups``), and optionally ``total`` = group sum.
 
     ``bounded``: the caller's bucket function yields at most ``MAX_BUCKETS``
-    buckets per group (``hex_bucket``, ``range_bucket``, a partition id), so
+    buckets per group (``hex_bucket``, a partition id), so
     the prefix table is broadcast (proven size).  With ``bounded=False``
     (buckets that grow with the data) the table joins back on the window's
     existing hash partitioning instead; only the table is shuffled.
@@ -111,6 +83,33 @@ def global_offset(
     return d.drop("_go_b", "_go_v", "_go_bs", "_go_start", "_go_local")
 
 
+def running_total(narrow: DataFrame, order: Sequence[str], value, out: str = "offset", groups: Sequence[str] = (),
+                  total: str | None = None) -> DataFrame:
+    """``narrow`` with ``out`` = sum of ``value`` over all rows strictly before this one in
+    ``order`` (within ``groups``), and optionally ``total`` = the group's sum.
+
+    No bucket has to be known: rows are dealt by range of (groups, order), which Spark
+    samples, so parts are even however ids are spaced and wherever nulls stand (first,
+    as in the order).  A part is summed in place and offset by the parts before it.
+    Keep ``narrow`` narrow: it is stored once and shuffled once more; wide rows join
+    the result on their order columns."""
+    groups, order = list(groups), list(order)
+    d = narrow.withColumn("_rt_v", _c(value).cast("long"))
+    d = materialize(d.repartitionByRange(*groups, *order).withColumn("_rt_p", F.spark_partition_id()))
+    per = d.groupBy(*groups, "_rt_p").agg(F.sum("_rt_v").alias("_rt_s"))
+    # One row per part and group.
+    of_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    before = F.sum("_rt_s").over(of_group.orderBy("_rt_p").rowsBetween(Window.unboundedPreceding, -1))
+    per = per.select(*groups, "_rt_p", F.coalesce(before, F.lit(0)).alias("_rt_b"), F.sum("_rt_s").over(of_group).alias("_rt_t"))
+    w = Window.partitionBy(*groups, "_rt_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_rt_l", F.coalesce(F.sum("_rt_v").over(w), F.lit(0)))
+    on = [d[c].eqNullSafe(per[c]) for c in groups] + [d["_rt_p"] == per["_rt_p"]]
+    cols = [d[c] for c in narrow.columns] + [(F.col("_rt_b") + F.col("_rt_l")).cast("long").alias(out)]
+    if total:
+        cols.append(F.col("_rt_t").alias(total))
+    return d.join(per, on).select(*cols)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage before a multi-pass operator: a reliable checkpoint in the
     shared ``spark.checkpoint.dir`` (survives executor loss; never a local
@@ -121,6 +120,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`materialize`, as a Parquet table in the shared scratch folder: later
+    passes read only the columns they need."""
+    from ..session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --------------------------------------------------------------------------
 # Dedupe (I1, I2, K2)
 # --------------------------------------------------------------------------
@@ -165,33 +174,26 @@ def dedupe_by_post(df: DataFrame, row: Sequence[str] = ("ord",), dataset: str =
     return d.withColumn("_dr", F.rank().over(w)).filter(F.col("_dr") == 1).drop("_dp", "_dr")
 
 
-def dedupe_capped(df: DataFrame, key: str, order, cap: int, bucket=None, bounded: bool = True) -> DataFrame:
+def dedupe_capped(df: DataFrame, key: str, order, cap: int) -> DataFrame:
     """Sequential capped dedupe: while fewer than ``cap`` distinct keys were
     seen, repeats are dropped; once ``cap`` keys were seen every later row
     passes, repeats included.
 
-    keep = first occurrence OR (number of first occurrences strictly before
-    this row) >= cap  <=>  first OR order > t, where ``t`` is the order of the
-    cap-th first occurrence.  Only the narrow table of first occurrences
-    ``(key, order)`` is ranked (``global_offset``); full rows are shuffled once,
-    for the marking join on the unique ``(key, order)``.  ``bucket`` must be
-    monotone in ``order`` and computable from the order columns.  The narrow
-    projection of ``df`` is read more than once: materialise an expensive input
-    first (:func:`materialize`).  ``cap <= 0`` keeps every row (no key is ever
-    recorded).
-    """
+    Rows after ``t``, the place of the cap-th first occurrence, all pass; up to ``t`` the
+    rule is exact dedupe, since a key's first occurrence there is its first at all.
+    ``t`` is selected from the stored narrow table of first occurrences
+    (:func:`select_kth`); no full row is moved for it.  ``order`` must be unique.
+    Jobs run when the plan is made: materialise an expensive input first.
+    ``cap <= 0`` keeps every row (no key is ever recorded)."""
     if cap <= 0:
         return df
     order = _orders(order)
-    firsts = dedupe_first(df.select(key, *order), key, order)
-    if bucket is None:
-        bucket = range_bucket(df, order[0])
-    ranked = global_offset(firsts, order, F.lit(1), bucket, out="_rank", bounded=bounded)
-    t = ranked.filter(F.col("_rank") == cap - 1).select(F.struct(*order).alias("_t"), F.lit(1).alias("_one"))
-    marked = df.join(firsts.withColumn("_first", F.lit(1)), on=[key, *order], how="left")
-    marked = marked.withColumn("_one", F.lit(1)).join(F.broadcast(t), "_one", "left")  # t: at most one row
-    keep = F.coalesce(F.col("_first") == 1, F.lit(False)) | F.coalesce(F.struct(*order) > F.col("_t"), F.lit(False))
-    return marked.filter(keep).drop("_first", "_one", "_t")
+    firsts = materialize(dedupe_first(df.select(key, *order), key, order).select(*order))
+    t = select_kth(firsts, order, cap - 1)
+    if t is None:
+        return dedupe_first(df, key, order)
+    after = F.struct(*order) > bound(df, order, t)
+    return dedupe_first(df.filter(~after), key, order).unionByName(df.filter(after))
 
 
 # --------------------------------------------------------------------------
@@ -202,17 +204,16 @@ def shuffle_key(content, seed: int = 42) -> Column:
     return F.sha1(F.concat(F.lit(f"{seed}:"), F.sha1(_c(content))))
 
 
-def select_kth(df: DataFrame, order: Sequence[str], k: int, bucket) -> tuple | None:
+def select_kth(df: DataFrame, order: Sequence[str], k: int, bucket=None) -> tuple | None:
     """The ``order`` columns of the row with exactly ``k`` rows before it; None if there
     are no more than ``k`` rows.
 
-    ``bucket`` must be monotone in ``order`` with at most ``MAX_BUCKETS`` values.  Counts
-    per bucket tell the bucket that holds the row; only that bucket's order columns are
-    then dealt by range (so a bucket that one key fills is dealt by the other
+    ``bucket``, if given, must be monotone in ``order`` with at most ``MAX_BUCKETS`` values:
+    counts per bucket tell the one that holds the row, and only its rows go on.  Order
+    columns are then dealt by range (so a bucket that one key fills is dealt by the other
     columns), counted per part, and the part that holds the row is ranked.  ``df`` is read
     twice, its order columns only."""
     cols = [F.col(c) for c in order]
-    narrow = df.select(*order, _c(bucket).alias("_sk_b"))
 
     def holding(d: DataFrame, part: str, at: int) -> tuple:
         counts = d.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
@@ -221,17 +222,27 @@ def select_kth(df: DataFrame, order: Sequence[str], k: int, bucket) -> tuple | N
         row = ranked.filter((F.col("start") <= at) & (F.col("start") + F.col("n") > at)).first()
         return (None, 0) if row is None else (row[part], at - row["start"])
 
-    which, rest = holding(narrow, "_sk_b", k)
-    if which is None:
-        return None
-    one = narrow.filter(F.col("_sk_b") == which).drop("_sk_b")
+    rest, one = k, df.select(*order)
+    if bucket is not None:
+        narrow = df.select(*order, _c(bucket).alias("_sk_b"))
+        which, rest = holding(narrow, "_sk_b", k)
+        if which is None:
+            return None
+        one = narrow.filter(F.col("_sk_b") == which).drop("_sk_b")
     one = materialize(one.repartitionByRange(*cols).withColumn("_sk_p", F.spark_partition_id()))
     part, rest = holding(one, "_sk_p", rest)
+    if part is None:
+        return None
     w = Window.partitionBy("_sk_p").orderBy(*cols)
     row = one.filter(F.col("_sk_p") == part).withColumn("_sk_r", F.row_number().over(w)).filter(F.col("_sk_r") == rest + 1).first()
     return tuple(row[c] for c in order)
 
 
+def bound(df: DataFrame, order: Sequence[str], values: tuple) -> Column:
+    """``values`` as a struct to compare the struct of ``order`` with (nulls come first)."""
+    return F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for v, c in zip(values, order, strict=True)])
+
+
 def split_exact(df: DataFrame, order_key: str, val_ratio: float = 0.10, tiebreak: Sequence[str] = (),
                 out: str = "split") -> DataFrame:
     """First ``int(n * (1 - val_ratio))`` rows in ``order_key`` order -> 'train',
@@ -243,12 +254,10 @@ def split_exact(df: DataFrame, order_key: str, val_ratio: float = 0.10, tiebreak
     expensive input first."""
     order = [order_key, *tiebreak]
     k = math.floor(float(df.count()) * (1.0 - val_ratio))
-    bound = select_kth(df, order, k, hex_bucket(order_key))
-    if bound is None:
+    first_val = select_kth(df, order, k, hex_bucket(order_key))
+    if first_val is None:
         return df.withColumn(out, F.lit("train"))
-    types = [df.schema[c].dataType for c in order]
-    edge = F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(bound, types, order, strict=True)])
-    return df.withColumn(out, F.when(F.struct(*order) < edge, "train").otherwise("val"))
+    return df.withColumn(out, F.when(F.struct(*order) < bound(df, order, first_val), "train").otherwise("val"))
 
 
 def split_hash(content, seed: int = 42, val_ratio: float = 0.10) -> Column:
@@ -271,16 +280,14 @@ def cap_per_group(df: DataFrame, group: str, order: Sequence, n: int) -> DataFra
 TAKE_ORDERED_MAX = 100_000
 
 
-def cap_total(df: DataFrame, order: Sequence, n: int, bucket=None, bounded: bool = True) -> DataFrame:
+def cap_total(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """First ``n`` rows in ``order``.
 
     Small ``n``: ``orderBy().limit()`` (TakeOrderedAndProject: top-n per task,
-    then merge).  Large ``n`` or when a monotone ``bucket`` is given: a running
-    row count (``global_offset``) and ``offset < n``, so no task merges
-    ``n x tasks`` rows."""
-    if bucket is None and n <= TAKE_ORDERED_MAX:
-        return df.orderBy(*[_c(o) for o in order]).limit(n)
-    if bucket is None:
-        bucket = range_bucket(df, order[0])
-    d = global_offset(df, list(order), F.lit(1), bucket, out="_cap_pos", bounded=bounded)
-    return d.filter(F.col("_cap_pos") < n).drop("_cap_pos")
+    then merge).  Large ``n``: the rows before the selected n-th one
+    (:func:`select_kth`), so no task merges ``n x tasks`` rows and none is moved;
+    materialise an expensive input first."""
+    if n <= TAKE_ORDERED_MAX:
+        return df.orderBy(*order).limit(n)
+    edge = select_kth(df, order, n)
+    return df if edge is None else df.filter(F.struct(*order) < bound(df, order, edge))

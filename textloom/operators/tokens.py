@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .order import global_offset
+from .order import global_offset, running_total
 
 # GPT-2 end-of-text id and the default context / shard sizes.
 EOT_ID = 50256
@@ -162,67 +162,46 @@ def assign_shards(
     return d.withColumn(out, F.floor(F.col("_start") / shard_tokens).cast("long")).drop("_n", "_bk", "_start")
 
 
-def assign_shards_exact(
-    df: DataFrame,
-    tokens: str,
-    order: Sequence[str],
-    bucket,
-    shard_tokens: int = DEFAULT_SHARD_TOKENS,
-    out: str = "shard_id",
-    bounded: bool = True,
-) -> DataFrame:
+def assign_shards_exact(df: DataFrame, tokens: str, order: Sequence[str], shard_tokens: int = DEFAULT_SHARD_TOKENS,
+                        out: str = "shard_id") -> DataFrame:
     """The sequential writer's rule exactly: sequences are appended to a buffer
     that is flushed as soon as it holds ``shard_tokens`` or more ids, so shards
-    overshoot and end on sequence boundaries.
-
-    Distributed, with no group holding more than its own rows:
-
-    1. sequences get an index ``i`` (1..N) and end position ``E_i`` (bucketed
-       running sums);
-    2. for every possible flush point ``x`` (position 0 or an end), the next
-       flush is the first end ``>= x + T``: one running count over the union of
-       ends and targets gives its index;
-    3. the chain of flush points from 0 is enumerated by pointer doubling:
-       round k adds ``next^(2^k)`` of the chain found so far and squares the
-       jump table (one self-join of the jump table, one join of the chain set;
-       ``log2(#shards)`` rounds, each checkpointed);
-    4. ``shard_id`` = number of flush points before the sequence (a running count).
-    """
-    from .order import global_offset, materialize, range_bucket
-
-    spark = df.sparkSession
-    T = int(shard_tokens)
-    d = df.withColumn("_n", F.size(tokens).cast("long"))
-    d = global_offset(d, list(order), F.lit(1), bucket, out="_i", total="_cnt", bounded=bounded)
-    d = global_offset(d, list(order), F.col("_n"), bucket, out="_s", total="_tot", bounded=bounded)
-    d = materialize(d.withColumn("_i", F.col("_i") + 1).withColumn("_e", F.col("_s") + F.col("_n")))
-    stats = d.agg(F.max("_cnt").alias("n"), F.max("_tot").alias("tot")).first()
-    n_seq, total = int(stats["n"] or 0), int(stats["tot"] or 0)
-    if n_seq == 0:
-        return d.withColumn(out, F.lit(0).cast("long")).drop("_n", "_i", "_cnt", "_s", "_tot", "_e")
-    # 2. successor of every flush candidate (node 0 = position 0, node i = end of sequence i)
-    nodes = d.select(F.col("_i").alias("idx"), F.col("_e").alias("pos")).unionByName(
-        spark.createDataFrame([(0, 0)], "idx long, pos long"))
-    ends = d.select(F.col("_e").alias("pos"), F.lit(1).alias("kind"), F.col("_i").alias("idx"))
-    queries = nodes.select((F.col("pos") + T).alias("pos"), F.lit(0).alias("kind"), "idx")
-    u = materialize(ends.unionByName(queries))
-    ranked = global_offset(u, ["pos", "kind", "idx"], F.col("kind"), range_bucket(u, "pos"), out="_r")
-    nxt = ranked.filter(F.col("kind") == 0).select(
-        "idx", F.when(F.col("_r") + 1 <= n_seq, F.col("_r") + 1).alias("nxt"))
-    jump = materialize(nxt)
-    # 3. pointer doubling from node 0
-    chain = materialize(spark.createDataFrame([(0,)], "idx long"))
-    bound = total // T + 2
-    k = 0
-    while (1 << k) <= bound:
-        step = chain.join(jump, "idx").filter(F.col("nxt").isNotNull()).select(F.col("nxt").alias("idx"))
-        chain = materialize(chain.unionByName(step).distinct())
-        a, b = jump.alias("a"), jump.alias("b")
-        jump = materialize(a.join(b, F.col("a.nxt") == F.col("b.idx"), "left")
-                           .select(F.col("a.idx").alias("idx"), F.col("b.nxt").alias("nxt")))
-        k += 1
-    # 4. shard id = flushes strictly before the sequence
-    flags = d.join(chain.select(F.col("idx").alias("_i"), F.lit(1).alias("_flush")), "_i", "left")
-    flags = flags.withColumn("_flush", F.coalesce("_flush", F.lit(0)))
-    res = global_offset(flags, ["_i"], F.col("_flush"), range_bucket(d, "_i"), out=out)
-    return res.drop("_n", "_i", "_cnt", "_s", "_tot", "_e", "_flush")
+    overshoot and end on sequence boundaries (see :mod:`textloom.operators.shards`).
+    ``order`` must be unique; only it and the sizes are dealt out, then joined back."""
+    from .shards import shards_of_sizes
+
+    order = list(order)
+    narrow = df.select(*order, F.size(tokens).cast("long").alias("_n"))
+    placed = shards_of_sizes(narrow, order, "_n", shard_tokens, out)
+    placed = placed.select(*[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)], out)
+    on = [F.col(c).eqNullSafe(F.col(f"_o{k}")) for k, c in enumerate(order)]
+    return df.join(placed, on).drop(*[f"_o{k}" for k in range(len(order))])
+
+
+def pack_bytes(df: DataFrame, data: str, order: Sequence[str], ctx: int = DEFAULT_CTX, end: int | None = EOT_ID,
+               drop_last: bool = False) -> DataFrame:
+    """:func:`pack_blocks` of byte sequences (``data``, binary, not null), each followed by the id ``end``.
+
+    The sequences are cut as bytes and become ids only inside their block, so a token
+    takes one byte until then; offsets come from the narrow table of lengths.
+    Returns ``block_id, tokens``."""
+    order, tail = list(order), 0 if end is None else 1
+    n = (F.octet_length(data) + tail).cast("long")
+    starts = running_total(df.select(*order, n.alias("_n")), order, "_n", out="_start")
+    starts = starts.filter(F.col("_n") > 0).select(*[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)], "_n", "_start")
+    on = [F.col(c).eqNullSafe(F.col(f"_o{k}")) for k, c in enumerate(order)]
+    d = df.select(*order, F.col(data).alias("_d")).join(starts, on)
+    first, last = F.expr(f"_start div {ctx}"), F.expr(f"(_start + _n - 1) div {ctx}")
+    d = d.select("_d", "_n", "_start", F.explode(F.sequence(first, last)).alias("block_id"))
+    lo = F.greatest(F.col("_start"), F.col("block_id") * ctx)
+    hi = F.least(F.col("_start") + F.col("_n"), (F.col("block_id") + 1) * ctx)
+    closes = hi == F.col("_start") + F.col("_n")        # this piece ends the sequence
+    cut = F.substring("_d", (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int"))
+    d = d.select("block_id", lo.alias("_lo"), cut.alias("_b"), (closes & F.lit(bool(tail))).alias("_e"))
+    ids = lambda x: F.transform(F.split(F.decode(x, "ISO-8859-1"), ""), lambda ch: F.ascii(ch))
+    none = F.array().cast("array<int>")
+    piece = lambda x: F.concat(F.when(F.octet_length(x["_b"]) > 0, ids(x["_b"])).otherwise(none),
+                               F.when(x["_e"], F.array(F.lit(end))).otherwise(none) if tail else none)
+    blocks = d.groupBy("block_id").agg(F.array_sort(F.collect_list(F.struct("_lo", "_b", "_e"))).alias("_p"))
+    blocks = blocks.select("block_id", F.flatten(F.transform("_p", piece)).alias("tokens"))
+    return blocks.filter(F.size("tokens") == ctx) if drop_last else blocks

@@ -533,8 +533,7 @@ FROM heads JOIN body b USING (section_id, doc_id) WHERE b.l <> '' GROUP BY secti
 def q_sections(spark, sf):
     d = _docs(spark, sf)
     lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
-    bucket = od.range_bucket(d, "doc_id")  # monotone in (doc_id, ln); at most 65 536 buckets
-    return sections(lines, "doc_id", ["ln"], "line", bucket).select(
+    return sections(lines, "doc_id", ["ln"], "line").select(
         F.col("section_id").cast("long").alias("section_id"), "doc_id", "title", "body")
 
 
@@ -571,11 +570,10 @@ SELECT * FROM b {filt}"""
 
 
 def _pack(spark, sf, drop_last: bool, whole: bool = False):
-    d = _docs(spark, sf).filter(F.col("text").isNotNull())
-    ids = tk.encode_bytes("text")
-    seq = F.concat(ids, F.array(F.lit(tk.EOT_ID))) if whole else tk.cap_with_eot(ids, CTX)
-    d = od.materialize(d.withColumn("seq", seq).select("doc_id", "seq"))
-    bl = tk.pack_blocks(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"), ctx=CTX, drop_last=drop_last)
+    d = _docs(spark, sf).filter(F.col("text").isNotNull()).select("doc_id", F.encode("text", "UTF-8").alias("data"))
+    if not whole:
+        d = d.withColumn("data", F.substring("data", 1, CTX - 1))
+    bl = tk.pack_bytes(d, "data", ["doc_id"], ctx=CTX, drop_last=drop_last)
     return bl.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
 
 
@@ -600,10 +598,9 @@ WITH seqs AS (SELECT doc_id, strlen(text) + 1 AS n FROM documents WHERE text IS
 s AS (SELECT doc_id, n, coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st FROM seqs)
 SELECT (st // {tk.DEFAULT_SHARD_TOKENS})::BIGINT AS shard_id, count(*)::BIGINT AS n_seqs, sum(n)::BIGINT AS n_tokens FROM s GROUP BY 1""")
 def q_shards(spark, sf):
-    d = _docs(spark, sf).filter(F.col("text").isNotNull())
-    d = od.materialize(d.withColumn("seq", tk.prepend_eot(tk.encode_bytes("text"))).select("doc_id", "seq"))
-    s = tk.assign_shards(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"))
-    return s.groupBy("shard_id").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"), F.sum(F.size("seq")).cast("long").alias("n_tokens"))
+    d = _docs(spark, sf).filter(F.col("text").isNotNull()).select("doc_id", (F.octet_length("text") + 1).cast("long").alias("n"))
+    s = od.running_total(d, ["doc_id"], "n", out="start").withColumn("shard_id", F.expr(f"start div {tk.DEFAULT_SHARD_TOKENS}"))
+    return s.groupBy("shard_id").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"), F.sum("n").cast("long").alias("n_tokens"))
 
 
 # ---------------------------------------------------------------------------
@@ -855,12 +852,12 @@ SELECT w.sid AS shard_id, count(*)::BIGINT AS n_seqs, sum(s.n)::BIGINT AS n_toke
 FROM w JOIN s USING (i) GROUP BY w.sid""")
 def q_shards_exact(spark, sf):
     """Sequences with a leading EOT in document order, sharded by the
-    sequential writer's exact rule (pointer doubling, no single task)."""
-    d = _docs(spark, sf).filter(F.col("text").isNotNull())
-    d = od.materialize(d.withColumn("seq", tk.prepend_eot(tk.encode_bytes("text"))).select("doc_id", "seq"))
-    s = tk.assign_shards_exact(d, "seq", ["doc_id"], od.range_bucket(d, "doc_id"))
-    return s.groupBy("shard_id").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"),
-                                     F.sum(F.size("seq")).cast("long").alias("n_tokens"))
+    sequential writer's exact rule (composed buffer flows, no single task)."""
+    from ..operators.shards import shards_of_sizes
+
+    d = _docs(spark, sf).filter(F.col("text").isNotNull()).select("doc_id", (F.octet_length("text") + 1).cast("long").alias("n"))
+    s = shards_of_sizes(d, ["doc_id"], "n", tk.DEFAULT_SHARD_TOKENS)
+    return s.groupBy("shard_id").agg(F.count(F.lit(1)).cast("long").alias("n_seqs"), F.sum("n").cast("long").alias("n_tokens"))
 
 
 from . import file_queries  # noqa: E402, F401  (registers the queries that read files)

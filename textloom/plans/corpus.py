@@ -90,15 +90,15 @@ def dedupe_and_split(examples: DataFrame, cfg: CorpusConfig) -> DataFrame:
     d = examples.withColumn("h", F.sha1("example"))
     if cfg.preset == "trial":
         if cfg.max_examples:
-            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket(), bounded=False)
+            d = od.cap_total(d, ORDER, cfg.max_examples)
     else:
         d = od.materialize(d)
         if cfg.dedupe_cap is None:
             d = od.dedupe_first(d, "h", ORDER)
         else:
-            d = od.dedupe_capped(d, "h", ORDER, cfg.dedupe_cap, bucket=encounter_bucket(), bounded=False)
+            d = od.dedupe_capped(d, "h", ORDER, cfg.dedupe_cap)
         if cfg.max_examples:
-            d = od.cap_total(d, ORDER, cfg.max_examples, bucket=encounter_bucket(), bounded=False)
+            d = od.cap_total(d, ORDER, cfg.max_examples)
     d = d.withColumn("key", od.shuffle_key(F.col("example"), cfg.seed))
     if cfg.preset == "stream":
         return d.withColumn("split", od.split_hash(F.col("example"), cfg.seed, cfg.val_ratio))
@@ -130,13 +130,11 @@ def pack(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
 
 def shards(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
     """Shard ids per split, in encounter order."""
-    bucket = encounter_bucket()
     if cfg.shard_rule == "offset":
-        return tk.assign_shards(df, "tokens", ORDER, bucket, cfg.shard_tokens, groups=["split"], bounded=False)
+        return tk.assign_shards(df, "tokens", ORDER, encounter_bucket(), cfg.shard_tokens, groups=["split"], bounded=False)
     out = None
     for split in ("train", "val"):
-        part = tk.assign_shards_exact(df.filter(F.col("split") == split), "tokens", ORDER, bucket, cfg.shard_tokens,
-                                      bounded=False)
+        part = tk.assign_shards_exact(df.filter(F.col("split") == split), "tokens", ORDER, cfg.shard_tokens)
         out = part if out is None else out.unionByName(part)
     return out
 
