@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 try:  # Python Data Source API (Spark 4)
-    from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+    from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 except ImportError:  # pragma: no cover
-    DataSource = DataSourceReader = DataSourceWriter = InputPartition = WriterCommitMessage = object  # type: ignore
+    DataSource = DataSourceReader = DataSourceArrowWriter = InputPartition = WriterCommitMessage = object  # type: ignore
 
 
 def write_text(df: DataFrame, text: str, path: str, order: Sequence[str], split: str | None = "split",
@@ -88,14 +88,14 @@ def read_manifest(path: str) -> dict | None:
         return json.loads(f.read())
 
 
-class _U16Writer(DataSourceWriter):
+class _U16Writer(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path = options["path"].rstrip("/")
         self.overwrite = overwrite
         self.job = f"job-{uuid.uuid4().hex[:12]}"
 
-    def write(self, rows: Iterator) -> _Part:
-        import numpy as np
+    def write(self, batches: Iterator) -> _Part:
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
@@ -106,8 +106,11 @@ class _U16Writer(DataSourceWriter):
         name = f"{self.job}/part-{pid:05d}-{attempt}.bin"
         size, crcs, room = 0, [], 0
         with fs.open_output_stream(f"{base}/{name}") as out:
-            for row in rows:
-                data = np.asarray(row["tokens"] or [], dtype="<u2").tobytes()
+            for batch in batches:
+                ids = pc.list_flatten(batch.column("tokens")).to_numpy(zero_copy_only=False)
+                if len(ids) and (ids.min() < 0 or ids.max() > 0xFFFF):
+                    raise ValueError("token id exceeds uint16")
+                data = memoryview(ids.astype("<u2").tobytes())
                 out.write(data)
                 size += len(data)
                 while data:
