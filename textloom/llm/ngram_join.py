@@ -9,8 +9,8 @@ one vertex.
 2. Chosen path: a run picks each coordinate with probability 1 / (threshold x
    coordinates); sets that agree on a picked coordinate share a bucket.  Buckets
    of up to ``SMALL`` sets are compared by brute force on sketches; larger ones
-   are split again by coordinates picked for the bucket, unless their sets agree
-   so much on average that splitting is in vain, in which case they stay together.
+   are split again by coordinates picked for the bucket, unless their sets agree so
+   much with the first of them that splitting is in vain, in which case they stay together.
    Runs are repeated until the chance to share a bucket reaches ``RECALL``.
 3. Pairs that pass the sketch test join candidate groups (connected components).
    Inside a group all pairs are verified on whole shingle sets, block against
@@ -48,7 +48,7 @@ RECALL = 0.9995
 SKETCH_MIN = 0.5
 SMALL = 64            # sets in a bucket that is compared by brute force
 DEPTH = 4             # levels of splitting
-DENSE = 0.5           # average agreement that stops the splitting
+DENSE = 0.5           # average agreement with a bucket's first set that stops the splitting
 BLOCK_SETS = 256      # sets in a block of verification
 BLOCK_TOKENS = 1 << 18
 SEED = 20
@@ -151,18 +151,17 @@ def candidate_edges(sets: DataFrame, threshold: float, runs: int) -> DataFrame:
         if large.isEmpty():
             break
         n = level.count()
-        held = staged(join_groups(level, large, ["node"], "n", n), "large")
-        # Average agreement: the share of a bucket's pairs that agree on four sampled coordinates.
-        some = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.pmod(F.xxhash64("node", k, F.lit(SEED)), F.lit(COORDINATES)).cast("int"))
-        seen = held.select("node", "n", F.explode(some).alias("i"), "sketch").withColumn("value", F.element_at("sketch", F.col("i") + 1))
-        seen = seen.groupBy("node", "n", "i", "value").agg(F.count("*").alias("c"))
-        # A coordinate sampled twice counts its rows twice in c, hence the division by its own total.
-        share = seen.groupBy("node", "i").agg((F.sum(F.col("c") * F.col("c")) / (F.sum("c") * F.sum("c"))).alias("p"))
-        share = share.groupBy("node").agg(F.avg("p").alias("agreement"))
+        # Average agreement: of a bucket's sets with its first one, over all coordinates.
+        pivots = sets.select(F.col("rep").alias("least"), F.col("sketch").alias("pivot"))
+        large = staged(large.join(pivots, "least"), "pivots")
+        held = join_groups(level, large, ["node"], "n", n)
+        same = F.size(F.filter(F.zip_with("sketch", "pivot", lambda x, y: x == y), lambda e: e)) / COORDINATES
+        held = staged(held.withColumn("same", same).drop("pivot"), "large")
+        share = held.groupBy("node").agg(F.avg("same").alias("agreement"))
         stop = F.lit(depth == DEPTH - 1) | (F.col("agreement") >= DENSE)
-        fate = staged(large.join(share, "node").withColumn("stays", stop), "fate")
+        fate = staged(large.drop("pivot").join(share, "node").withColumn("stays", stop), "fate")
         m = held.count()
-        held = join_groups(held.drop("n", "least"), fate, ["node"], "n", m)
+        held = join_groups(held.drop("n", "least", "same"), fate, ["node"], "n", m)
         parts.append(held.filter("stays").select(F.col("rep").alias("a"), F.col("least").alias("b")).filter("a != b"))
         # The next level's coordinates are picked for each bucket by its own hash.
         chance = int(round((1 << 20) / (threshold * COORDINATES)))
