@@ -22,9 +22,12 @@ from textloom.llm import exact_dedup, langid, mixing, ngram_join, packing
 from textloom.llm.common import staged
 
 VOCABULARY = "word_bpe_49k.json"
+#: Python workers serve stage after stage and keep what the largest batch took.
+ARROW_BYTES = 4 << 20
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
     return langid.accepted(docs, langid.train_on(docs))
 
 
