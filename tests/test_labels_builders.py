@@ -174,15 +174,40 @@ def test_exact_quantiles_match_numpy(spark):
 def test_cleaning_switches(spark):
     df = spark.createDataFrame([(0, "Damn this is a long post about focus focus and sleep", "adhd")],
                                "ord long, text string, subreddit string")
-    try:
-        specs.configure_cleaning(extra_words=["damn"], unique=False, min_keywords=6)
-        assert specs.condition_posts(df).collect() == []  # 5 keywords < 6
-        specs.configure_cleaning(extra_words=["damn"], unique=False, min_keywords=5)
-        assert specs.condition_posts(df).collect()[0]["post"] == "long post focus focus sleep"
-        specs.configure_cleaning(min_chars=200)
-        assert specs.condition_posts(df).count() == 0
-    finally:
-        specs.configure_cleaning()
+    words = {"extra_words": ["damn"], "unique": False}
+    assert specs.condition_posts(df, {**words, "min_keywords": 6}).collect() == []  # 5 keywords < 6
+    assert specs.condition_posts(df, {**words, "min_keywords": 5}).collect()[0]["post"] == "long post focus focus sleep"
+    assert specs.condition_posts(df, {"min_chars": 200}).count() == 0
+    assert specs.condition_posts(df, {"min_chars": None}).count() == 1
+
+
+def test_a_data_set_is_a_record(spark, tmp_path):
+    """A thirteenth data set, next to the library's: its files are those of two others and are read once."""
+    from textloom.cli import read_dataset
+    from textloom.plans.dataset import Ask, DatasetSpec, Field, compile_all, with_paths
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("text,label,mood\n"
+                                           "first long post about sleep and focus,adhd,low\nsecond long post about work and stress,,high\n"
+                                           "third long post about sleep and stress,ptsd,\n")
+    (tmp_path / "more.jsonl").write_text('{"text": "fourth long post about work and focus", "mood": "mid"}\n')
+    mood = DatasetSpec("mood", (Ask("Name the mood.", lambda v: F.upper(v), Field(("mood",), "nonblank")),
+                                Ask("Name the condition.", lambda v: v, Field(("label",), "nonblank"), optional=True)), Field(("text",)))
+    folder, more = str(tmp_path / "in"), str(tmp_path / "more.jsonl")
+    reads = []
+
+    def read(spark, path):
+        reads.append(path)
+        return read_dataset(spark, path)
+
+    records = [with_paths(specs.SPECS["condition"], "c", folder), with_paths(mood, "m", folder), with_paths(mood, "both", more, folder),
+               with_paths(specs.SPECS["condition"], "one", folder, cap=1)]
+    parts = compile_all(spark, records, read)
+    assert reads == [folder, more, folder] and [n for n, _ in parts] == ["c", "m", "both", "one"]
+    got = {n: [(r["ord"], r["sub"], r["answer"]) for r in d.orderBy("ord", "sub").collect()] for n, d in parts}
+    assert got["c"] == [(0, 0, "ADHD"), (2, 0, "PTSD")] and got["one"] == [(0, 0, "ADHD")]
+    assert got["m"] == [(0, 0, "LOW"), (0, 1, "adhd"), (1, 0, "HIGH")]
+    assert got["both"] == [(0, 0, "MID"), (1, 0, "LOW"), (1, 1, "adhd"), (2, 0, "HIGH")]
 
 
 def test_drop_listed_large_list_path(spark):

@@ -22,24 +22,9 @@ from pyspark.sql import functions as F
 from .operators.sections import sections
 from .plans import specs
 from .plans.corpus import CorpusConfig, build
+from .plans.dataset import compile_all, with_paths
 from .sources import readers
 
-BUILDERS = {
-    "condition": specs.condition_posts,
-    "sentiment": specs.sentiment_risk_posts,
-    "anxiety": specs.anxiety_posts,
-    "stress": specs.stress_posts,
-    "coded": specs.coded_posts,
-    "severity": specs.severity_rows,
-    "multi": specs.multi_format_posts,
-    "symptoms": specs.symptom_rows,
-    "panic": specs.panic_rows,
-    "constant": specs.constant_label_posts,
-    "light": specs.light_posts,
-    "trial": specs.trial_posts,
-}
-
-
 _READERS = {".csv": (readers.read_delimited, readers.scan_delimited), ".tsv": (readers.read_delimited, readers.scan_delimited),
             ".jsonl": (readers.read_json_lines, readers.scan_json_lines), ".json": (readers.read_json_docs, readers.scan_json_docs)}
 
@@ -77,7 +62,7 @@ def manual_examples(spark: SparkSession, path: str, min_keywords: int) -> DataFr
 def parse(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="textloom", description="Build a training corpus with Spark.")
     p.add_argument("--dataset", action="append", default=[], metavar="KIND=PATH",
-                   help=f"builder kind ({', '.join(sorted(BUILDERS))}) and input path; repeatable, order kept")
+                   help=f"builder kind ({', '.join(sorted(specs.SPECS))}) and input path; repeatable, order kept")
     p.add_argument("--manual", default=None, help="text file(s) with upper-case section headers (DSM-style)")
     p.add_argument("--out", required=True, help="output folder (text/, blocks/, shards/ or sequences/, bin/, report/)")
     p.add_argument("--preset", choices=["full", "stream", "trial"], default="full")
@@ -118,22 +103,23 @@ def main(argv=None, spark: SparkSession | None = None) -> DataFrame:
         extra = [r[0] for r in words.limit(LITERAL_MAX + 1).collect()]  # bounded
         if len(extra) > LITERAL_MAX:
             sys.exit(f"word list over {LITERAL_MAX} entries: apply operators.words.remove_words instead")
-    specs.configure_cleaning(min_chars=a.min_chars, min_keywords=a.min_kw, unique=a.unique_keywords == "on",
-                             strip_emoji=a.strip_emojis == "on", extra_words=extra)
-    parts, reports = [], []
+    cleaning = {"min_chars": a.min_chars, "min_keywords": a.min_kw, "unique": a.unique_keywords == "on",
+                "strip_emoji": a.strip_emojis == "on", "extra_words": extra}
+    records, reports = [], []
     for item in a.dataset:
         kind, _, path = item.partition("=")
-        if kind not in BUILDERS or not path:
-            sys.exit(f"bad --dataset {item!r}; kinds: {', '.join(sorted(BUILDERS))}")
+        if kind not in specs.SPECS or not path:
+            sys.exit(f"bad --dataset {item!r}; kinds: {', '.join(sorted(specs.SPECS))}")
+        records.append(with_paths(specs.SPECS[kind], f"{kind}:{path}", path, cap=a.max_per_dataset))
+
+    def read(spark: SparkSession, path: str) -> DataFrame:
         scan = scan_dataset(spark, path) if a.rejected else None
-        if scan is not None:
-            reports.append(scan.report().select(F.lit(f"{kind}:{path}").alias("dataset"), "file", "reason", "kept", "n"))
-        ex = BUILDERS[kind](read_dataset(spark, path) if scan is None else scan.rows)
-        if a.max_per_dataset:
-            from .operators.order import cap_total
-
-            ex = cap_total(ex, ["ord", "sub"], a.max_per_dataset)
-        parts.append((f"{kind}:{path}", ex))
+        if scan is None:
+            return read_dataset(spark, path)
+        reports.append(scan.report().select(F.lit(path).alias("path"), "file", "reason", "kept", "n"))
+        return scan.rows
+
+    parts = compile_all(spark, records, read, cleaning)
     if a.manual:
         parts.append(("manual", manual_examples(spark, a.manual, a.min_kw)))
     if not parts:

@@ -1,15 +1,17 @@
-"""Dataset builders: raw rows -> examples ``(ord, sub, post, task, answer)``.
+"""The reference's data sets as records (``textloom.plans.dataset``), and their builders.
 
-Each builder takes a DataFrame of raw string columns as the readers produce
-them, or any table with a LONG ``ord`` column giving encounter order, and
-returns one row per example; ``sub`` numbers the examples of one input row.
-Column choice happens on the driver from ``df.columns`` (metadata); row work
+A builder takes a table of raw string columns as the readers produce them, or any
+table with a LONG ``ord`` column giving encounter order, and returns one row per
+example ``(ord, sub, post, task, answer)``; ``sub`` numbers the examples of one input
+row.  Column choice happens on the driver from ``df.columns`` (metadata); row work
 is Column expressions, rejected rows are dropped in the same pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as cl
 from ..functions import labels as lb
 from ..functions import text as tx
-from ..operators.examples import keep_if, with_light_text, with_post
+from ..operators.examples import keep_if
 from ..operators.stats import with_severity
+from .dataset import Ask, DatasetSpec, Field, examples
 
 # --------------------------------------------------------------------------
 # Task texts and canned phrases of the examples.
@@ -42,174 +45,115 @@ NO_NOTABLE = "no notable symptoms"
 CONSTANT_ANSWER = "ADHD"
 MAX_SYMPTOMS = 6
 
-OUT = ["ord", "sub", "post", "task", "answer"]
+_STRIP = tx.strip_ws
+_TITLE = Field(("title",), clean=_STRIP)
 
 
-def _first(df: DataFrame, names: Sequence[str]) -> Column:
-    cols = cl.existing(df, names)
-    return cl.first_nonempty(*cols) if cols else F.lit("")
+def _lower(v: Column) -> Column:
+    return F.lower(tx.strip_ws(v))
 
 
-# Cleaning switches shared by all builders (``min_chars``, ``min_keywords``,
-# ``unique``, ``strip_emoji``, ``stop_words``, ``extra_words``); see with_post.
-CLEAN: dict = {}
-
-
-def configure_cleaning(**kw) -> None:
-    """Set the cleaning switches used by every builder's post preparation."""
-    CLEAN.clear()
-    CLEAN.update({k: v for k, v in kw.items() if v is not None})
-
-
-def _post(d: DataFrame, text: str, title: str | None = None) -> DataFrame:
-    return with_post(d, text, title, **CLEAN)
-
-
-def _done(df: DataFrame, task, answer, sub: Column | int = 0) -> DataFrame:
-    t = task if isinstance(task, Column) else F.lit(task)
-    s = sub if isinstance(sub, Column) else F.lit(sub)
-    return df.select(cl.order_column(df.columns).alias("ord"), s.cast("int").alias("sub"), "post", t.alias("task"), answer.alias("answer"))
-
-
-# P1
-def condition_posts(df: DataFrame) -> DataFrame:
-    d = df.withColumn("_text", _first(df, ["text", "body", "post"])).withColumn("_title", _first(df, ["title"]))
-    d = keep_if(d.withColumn("_label", tx.strip_ws(_first(df, ["subreddit", "label"]))), F.col("_label") != "")
-    d = _post(d, "_text", "_title")
-    return _done(d, TASK_CONDITION, lb.map_or_capitalize(F.col("_label")))
-
-
-# P2
-def sentiment_risk_posts(df: DataFrame) -> DataFrame:
-    d = df.withColumn("_text", _first(df, ["text", "post", "content"]))
-    d = keep_if(d.withColumn("_sent", _first(df, ["sentiment", "sentiment_label"])), ~tx.is_blank(F.col("_sent")))
-    d = d.withColumn("_risk", tx.strip_ws(_first(df, ["risk_factor"])))
-    d = _post(d, "_text")
-    pairs = F.array_compact(F.array(
-        F.struct(F.lit(0).alias("sub"), F.lit(TASK_SENTIMENT).alias("task"), lb.sentiment(F.col("_sent")).alias("answer")),
-        F.when(F.col("_risk") != "", F.struct(F.lit(1).alias("sub"), F.lit(TASK_RISK).alias("task"), F.col("_risk").alias("answer"))),
-    ))
-    d = d.withColumn("_e", F.explode(pairs))
-    return d.select(cl.order_column(df.columns).alias("ord"), F.col("_e.sub").alias("sub"), "post", F.col("_e.task").alias("task"), F.col("_e.answer").alias("answer"))
-
-
-# P3
-def anxiety_posts(df: DataFrame) -> DataFrame:
-    d = df.withColumn("_text", _first(df, ["text", "post", "content"]))
-    d = keep_if(d.withColumn("_v", F.lower(tx.strip_ws(_first(df, ["anxiety", "label", "class"])))), F.col("_v") != "")
-    d = _post(d, "_text")
-    return _done(d, TASK_ANXIETY, lb.yes_no(F.col("_v"), lb.YES_ANXIETY))
+def _selftext(df: DataFrame) -> Column:
+    """First non-blank text field, else the non-blank parts joined."""
+    raw = Field(tuple(cl.TEXT_FIELDS_SELFTEXT_FIRST), "nonblank").of(df)
+    parts = cl.existing(df, cl.FALLBACK_JOIN_FIELDS)
+    joined = cl.joined_fallback(*parts) if parts else F.lit("")
+    return F.coalesce(raw, F.when(joined != "", joined))
 
 
-# P4
-def stress_posts(df: DataFrame) -> DataFrame:
-    d = df.withColumn("_text", _first(df, ["text", "post", "body"])).withColumn("_v", _first(df, ["label", "stress", "y"]))
-    d = _post(d, "_text")
-    return _done(d, TASK_STRESS, lb.yes_no(F.col("_v"), lb.YES_STRESS))
+def _text_or_title(df: DataFrame) -> Column:
+    raw = Field(tuple(cl.TEXT_FIELDS_POSTS), "nonblank").of(df)
+    title = _TITLE.of(df)
+    return F.coalesce(raw, F.when(title != "", title))
 
 
-# P5
-def coded_posts(df: DataFrame) -> DataFrame:
-    d = df.withColumn("_text", _first(df, ["text", "post", "body"]))
-    d = keep_if(d.withColumn("_v", tx.strip_ws(_first(df, ["target", "label", "class"]))), F.col("_v") != "")
-    d = _post(d, "_text")
-    return _done(d, TASK_CODED, lb.code_or_capitalize(F.col("_v")))
+def _severity_table(df: DataFrame, label: str | None = None) -> DataFrame | None:
+    """Label column from the header (or given), severity from quartiles or words of the
+    whole table, the three best-scoring feature columns as the text."""
+    data = cl.data_columns(df.columns)
+    label = label or cl.infer_label_column(data, cl.SEVERITY_LABEL_HINTS, must_contain="anxiety")
+    if label is None:
+        return None
+    phrase = cl.wide_to_phrase(cl.rank_feature_columns(data, label))
+    return with_severity(df, label, "_label").withColumn("_text", F.concat(F.lit(SEVERITY_PREFIX), phrase, F.lit(SEVERITY_SUFFIX)))
 
 
-# P6
-def severity_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
-    """Tabular survey: label column from the header (or given), severity from
-    dataset quartiles or words, the three best-scoring feature columns as the
-    post text."""
-    data_cols = cl.data_columns(df.columns)
-    label = label_col or cl.infer_label_column(data_cols, cl.SEVERITY_LABEL_HINTS, must_contain="anxiety")
-    if label is None:
-        return df.sparkSession.createDataFrame([], "ord long, sub int, post string, task string, answer string")
-    chosen = cl.rank_feature_columns(data_cols, label)
-    d = with_severity(df, label, "_sev")
-    d = d.withColumn("_text", F.concat(F.lit(SEVERITY_PREFIX), cl.wide_to_phrase(chosen), F.lit(SEVERITY_SUFFIX)))
-    d = _post(d, "_text")
-    return _done(d, TASK_SEVERITY, F.col("_sev"))
-
-
-# P7
-def multi_format_posts(df: DataFrame) -> DataFrame:
-    """Posts from mixed csv/json/jsonl files: first non-blank text field (else
-    the title), canonical condition from the first non-blank label field."""
-    title = tx.strip_ws(F.coalesce(F.col("title").cast("string"), F.lit(""))) if "title" in df.columns else F.lit("")
-    tf = cl.existing(df, cl.TEXT_FIELDS_POSTS)
-    raw = cl.first_nonblank(*tf) if tf else F.lit(None).cast("string")
-    d = df.withColumn("_title", title).withColumn("_raw", F.coalesce(raw, F.when(F.col("_title") != "", F.col("_title"))))
-    lf = cl.existing(df, cl.LABEL_FIELDS)
-    d = d.withColumn("_lab", cl.first_nonblank(*lf) if lf else F.lit(None).cast("string"))
-    d = keep_if(d, F.col("_raw").isNotNull() & F.col("_lab").isNotNull())
-    d = _post(d, "_raw", "_title")
-    # A label such as "r/" names no condition: the row has no answer.
-    d = keep_if(d.withColumn("_answer", lb.canon_condition(F.col("_lab"))), F.col("_answer") != "")
-    return _done(d, TASK_CONDITION, F.col("_answer"))
-
-
-# P8
-def symptom_rows(df: DataFrame, label_col: str | None = None) -> DataFrame:
-    data_cols = cl.data_columns(df.columns)
-    label = label_col or cl.infer_label_column(data_cols, cl.DIAGNOSIS_LABEL_HINTS)
-    if label is None:
-        label = cl.infer_label_by_cardinality(df.select(*data_cols))
+def _symptom_table(df: DataFrame, label: str | None = None) -> DataFrame | None:
+    """Label column from the header, else from distinct counts; the present symptoms as the
+    text.  Rows without a diagnosis go, and those without a symptom unless they are normal."""
+    data = cl.data_columns(df.columns)
+    label = label or cl.infer_label_column(data, cl.DIAGNOSIS_LABEL_HINTS) or cl.infer_label_by_cardinality(df.select(*data))
     if label is None:
-        return df.sparkSession.createDataFrame([], "ord long, sub int, post string, task string, answer string")
-    symptoms = [c for c in data_cols if c != label]
-    d = df.withColumn("_diag", F.when(F.col(label).isNotNull(), lb.diagnosis(F.col(label))).otherwise(F.lit("")))
-    d = d.withColumn("_pres", cl.presence_list(symptoms, lb.is_present, df.schema))
-    d = keep_if(d, (F.col("_diag") != "") & ((F.size("_pres") > 0) | (F.col("_diag") == "Normal")))
+        return None
+    d = df.withColumn("_label", F.when(F.col(label).isNotNull(), lb.diagnosis(F.col(label))).otherwise(F.lit("")))
+    d = d.withColumn("_pres", cl.presence_list([c for c in data if c != label], lb.is_present, df.schema))
+    d = keep_if(d, (F.col("_label") != "") & ((F.size("_pres") > 0) | (F.col("_label") == "Normal")))
     pres = F.when(F.size("_pres") > 0, F.col("_pres")).otherwise(F.array(F.lit(NO_SYMPTOMS)))
-    d = d.withColumn("_text", F.concat(F.lit(SYMPTOM_PREFIX), F.array_join(F.slice(pres, 1, MAX_SYMPTOMS), ", "), F.lit(SYMPTOM_SUFFIX)))
-    d = _post(d, "_text")
-    return _done(d, TASK_DIAGNOSIS, F.col("_diag"))
+    return d.withColumn("_text", F.concat(F.lit(SYMPTOM_PREFIX), F.array_join(F.slice(pres, 1, MAX_SYMPTOMS), ", "), F.lit(SYMPTOM_SUFFIX)))
 
 
-# P9
-def panic_rows(df: DataFrame) -> DataFrame:
-    data_cols = cl.data_columns(df.columns)
-    label = cl.panic_label_column(data_cols)
-    pieces = cl.demographic_pieces(data_cols, label)
-    d = df.withColumn("_pieces", pieces)
+def _panic_table(df: DataFrame) -> DataFrame:
+    data = cl.data_columns(df.columns)
+    label = cl.panic_label_column(data)
+    d = df.withColumn("_pieces", cl.demographic_pieces(data, label)).withColumn("_label", F.col(label))
     parts = F.when(F.size("_pieces") > 0, F.array_join("_pieces", "; ")).otherwise(F.lit(NO_NOTABLE))
-    d = d.withColumn("_text", F.concat(F.lit(PANIC_PREFIX), parts, F.lit(PANIC_SUFFIX)))
-    d = _post(d, "_text")
-    return _done(d, TASK_PANIC, lb.yes_no(F.col(label), lb.YES_PANIC))
-
-
-def _selftext_raw(df: DataFrame) -> Column:
-    tf = cl.existing(df, cl.TEXT_FIELDS_SELFTEXT_FIRST)
-    raw = cl.first_nonblank(*tf) if tf else F.lit(None).cast("string")
-    jf = cl.existing(df, cl.FALLBACK_JOIN_FIELDS)
-    joined = cl.joined_fallback(*jf) if jf else F.lit("")
-    return F.coalesce(raw, F.when(joined != "", joined))
-
-
-# P10
-def constant_label_posts(df: DataFrame, answer: str = CONSTANT_ANSWER, task: str = TASK_CONDITION) -> DataFrame:
-    d = keep_if(df.withColumn("_raw", _selftext_raw(df)), F.col("_raw").isNotNull())
-    d = d.withColumn("_title", _first(df, ["title"]))
-    d = _post(d, "_raw", "_title")
-    return _done(d, task, F.lit(answer))
-
-
-# P12 (rows): light-cleaned natural text; rendering, dedupe and tokens are in plans.corpus
-def light_posts(df: DataFrame, answer: str = CONSTANT_ANSWER, task: str = TASK_CONDITION) -> DataFrame:
-    d = keep_if(df.withColumn("_raw", _selftext_raw(df)), F.col("_raw").isNotNull())
-    title = tx.strip_ws(F.coalesce(F.col("title").cast("string"), F.lit(""))) if "title" in df.columns else F.lit("")
-    d = d.withColumn("_title", title)
-    d = with_light_text(d, "_raw", "_title")
-    return _done(d, task, F.lit(answer))
-
-
-# P13 (rows)
-def trial_posts(df: DataFrame, min_len: int = 10) -> DataFrame:
-    d = df.withColumn("post", tx.newline_to_space(_first(df, ["text", "post", "content"])))
-    d = keep_if(d, F.length("post") >= min_len)
-    v = _first(df, ["anxiety", "label", "class"])
-    return _done(d, TASK_ANXIETY, lb.yes_no(v, lb.YES_ANXIETY))
+    return d.withColumn("_text", F.concat(F.lit(PANIC_PREFIX), parts, F.lit(PANIC_SUFFIX)))
+
+
+def _same(label: Column) -> Column:
+    return label
+
+
+def _always(answer: str):
+    return lambda _label: F.lit(answer)
+
+
+CONDITION = DatasetSpec("condition", (Ask(TASK_CONDITION, lb.map_or_capitalize, Field(("subreddit", "label"), clean=_STRIP)),),
+                        Field(("text", "body", "post")), Field(("title",)))
+SENTIMENT = DatasetSpec("sentiment", (Ask(TASK_SENTIMENT, lb.sentiment, Field(("sentiment", "sentiment_label"))),
+                                      Ask(TASK_RISK, _same, Field(("risk_factor",), clean=_STRIP), optional=True)),
+                        Field(("text", "post", "content")))
+ANXIETY = DatasetSpec("anxiety", (Ask(TASK_ANXIETY, lambda v: lb.yes_no(v, lb.YES_ANXIETY), Field(("anxiety", "label", "class"), clean=_lower)),),
+                      Field(("text", "post", "content")))
+STRESS = DatasetSpec("stress", (Ask(TASK_STRESS, lambda v: lb.yes_no(v, lb.YES_STRESS), Field(("label", "stress", "y"))),),
+                     Field(("text", "post", "body")), needs_label=False)
+CODED = DatasetSpec("coded", (Ask(TASK_CODED, lb.code_or_capitalize, Field(("target", "label", "class"), clean=_STRIP)),),
+                    Field(("text", "post", "body")))
+SEVERITY = DatasetSpec("severity", (Ask(TASK_SEVERITY, _same),), derive=_severity_table)
+#: A label such as "r/" names no condition: the row has no answer and gives no example.
+MULTI = DatasetSpec("multi", (Ask(TASK_CONDITION, lb.canon_condition, Field(tuple(cl.LABEL_FIELDS), "nonblank")),),
+                    _text_or_title, _TITLE, needs_text=True, needs_answer=True)
+SYMPTOMS = DatasetSpec("symptoms", (Ask(TASK_DIAGNOSIS, _same),), derive=_symptom_table)
+PANIC = DatasetSpec("panic", (Ask(TASK_PANIC, lambda v: lb.yes_no(v, lb.YES_PANIC)),), derive=_panic_table)
+CONSTANT = DatasetSpec("constant", (Ask(TASK_CONDITION, _always(CONSTANT_ANSWER)),), _selftext, Field(("title",)), needs_text=True)
+#: Light-cleaned natural text; rendering, dedupe and tokens are in plans.corpus.
+LIGHT = DatasetSpec("light", (Ask(TASK_CONDITION, _always(CONSTANT_ANSWER)),), _selftext, _TITLE, needs_text=True, post="light")
+TRIAL = DatasetSpec("trial", (Ask(TASK_ANXIETY, lambda v: lb.yes_no(v, lb.YES_ANXIETY), Field(("anxiety", "label", "class"))),),
+                    Field(("text", "post", "content")), needs_label=False, post="line", min_length=10)
+
+SPECS: dict[str, DatasetSpec] = {s.name: s for s in (CONDITION, SENTIMENT, ANXIETY, STRESS, CODED, SEVERITY, MULTI, SYMPTOMS, PANIC,
+                                                     CONSTANT, LIGHT, TRIAL)}
+
+condition_posts = partial(examples, CONDITION)              # P1
+sentiment_risk_posts = partial(examples, SENTIMENT)         # P2
+anxiety_posts = partial(examples, ANXIETY)                  # P3
+stress_posts = partial(examples, STRESS)                    # P4
+coded_posts = partial(examples, CODED)                      # P5
+multi_format_posts = partial(examples, MULTI)               # P7
+panic_rows = partial(examples, PANIC)                       # P9
+constant_label_posts = partial(examples, CONSTANT)          # P10
+light_posts = partial(examples, LIGHT)                      # P12
+trial_posts = partial(examples, TRIAL)                      # P13
+
+
+def severity_rows(df: DataFrame, cleaning: Mapping | None = None, label_col: str | None = None) -> DataFrame:
+    """P6; ``label_col``: the label's column, by default the one that its header names."""
+    return examples(replace(SEVERITY, derive=partial(_severity_table, label=label_col)), df, cleaning)
+
+
+def symptom_rows(df: DataFrame, cleaning: Mapping | None = None, label_col: str | None = None) -> DataFrame:
+    """P8; ``label_col`` as in :func:`severity_rows`."""
+    return examples(replace(SYMPTOMS, derive=partial(_symptom_table, label=label_col)), df, cleaning)
 
 
 # P11
