@@ -76,18 +76,11 @@ def humanize_name(name: str) -> str:
 
 
 def infer_label_column(columns: Sequence[str], hints: Sequence[str], must_contain: str | None = None) -> str | None:
-    """Header match: with ``must_contain``, first a column containing it *and* a
-    hint, then any column containing a hint."""
-    if must_contain:
-        for c in columns:
-            n = normalize_name(c)
-            if must_contain in n and any(h in n for h in hints):
-                return c
-    for c in columns:
-        n = normalize_name(c)
-        if any(h in n for h in hints):
-            return c
-    return None
+    """The header that looks most like a label: it contains a hint; those that contain
+    ``must_contain`` too come before the others, then the order of the columns decides."""
+    names = {c: normalize_name(c) for c in columns}
+    looks = [c for c in columns if any(h in names[c] for h in hints)]
+    return min(looks, key=lambda c: bool(must_contain) and must_contain not in names[c], default=None)
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -122,11 +115,8 @@ def infer_label_by_cardinality(df: DataFrame, lo: int = 2, hi: int = 8) -> str |
 
 
 def panic_label_column(columns: Sequence[str]) -> str:
-    for c in columns:
-        low = c.lower()
-        if "panic" in low and any(h in low for h in PANIC_LABEL_HINTS):
-            return c
-    return columns[-1]
+    """The panic column among the headers, the last column if there is none."""
+    return infer_label_column([c for c in columns if "panic" in c.lower()], PANIC_LABEL_HINTS) or columns[-1]
 
 
 def rank_feature_columns(columns: Sequence[str], exclude: str | None, k: int = 3,
@@ -176,22 +166,21 @@ def presence_list(cols: Sequence[str], present, schema: T.StructType | None = No
     return F.array_compact(F.array(*parts)) if parts else F.array().cast("array<string>")
 
 
+def _verbatim(c: str) -> Column:
+    v = _value_str(F.col(c))
+    return F.when(~F.lower(v).isin("", "nan"), F.concat(F.lit(f"{c}: "), v))
+
+
+def _flag(c: str) -> Column:
+    return F.when(_value_str(F.col(c)).isin(*FLAG_TRUE), F.lit(f"{c.replace('_', ' ')}: yes"))
+
+
 def demographic_pieces(columns: Sequence[str], label_col: str, limit: int = 5) -> Column:
-    """Allow-listed columns only: age/gender/sex verbatim, symptom flags as
-    ``name: yes``; first ``limit`` pieces."""
-    parts = []
-    for c in columns:
-        if c == label_col:
-            continue
-        low = c.lower()
-        v = _value_str(F.col(c))
-        ok = v.isNotNull() & (v != "") & (F.lower(v) != "nan")
-        if low in DEMOGRAPHIC_VERBATIM:
-            parts.append(F.when(ok, F.concat(F.lit(f"{c}: "), v)))
-        elif low in DEMOGRAPHIC_FLAGS:
-            parts.append(F.when(ok & v.isin(*FLAG_TRUE), F.lit(f"{c.replace('_', ' ')}: yes")))
-    arr = F.array_compact(F.array(*parts)) if parts else F.array().cast("array<string>")
-    return F.slice(arr, 1, limit)
+    """Pieces of the allowed columns: age, gender and sex with their values, symptom
+    flags as ``name: yes`` where they are set; the first ``limit``."""
+    allowed = {**dict.fromkeys(DEMOGRAPHIC_VERBATIM, _verbatim), **dict.fromkeys(DEMOGRAPHIC_FLAGS, _flag)}
+    pieces = [allowed[c.lower()](c) for c in columns if c != label_col and c.lower() in allowed]
+    return F.slice(F.array_compact(F.array(*pieces)) if pieces else F.array().cast("array<string>"), 1, limit)
 
 
 __all__ = [
