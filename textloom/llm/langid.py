@@ -27,7 +27,8 @@ UNDECIDED = "und"
 WINDOW = 64           # bytes that the network sees at once
 HIDDEN = 8            # units in each direction
 SAMPLE_DOCS = 3000    # bound on the training sample
-SAMPLE_BYTES = 640    # bytes taken from each sampled document, spread over it
+SAMPLE_BYTES = 640    # characters taken from each sampled document, spread over it
+PIECES = 3            # places they are taken from
 STEPS = 220
 BATCH = 192
 RATE = 0.02
@@ -190,18 +191,26 @@ def held_out(id_col: str):
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     sample_docs: int = SAMPLE_DOCS) -> list[tuple[bytes, str]]:
-    """At most ``sample_docs`` labelled documents outside the held-out part, and at
-    most ``SAMPLE_BYTES`` of each: three pieces from its start, middle and end."""
-    third = SAMPLE_BYTES // 3
+    """At most ``sample_docs`` labelled documents outside the held-out part, those with the
+    smallest hashes, and of each at most ``PIECES`` pieces, ``SAMPLE_BYTES`` in all, at
+    hashed places of the whole text.
+
+    Hashes above a bound that a few times ``sample_docs`` rows fall below are dropped
+    where they are read, so what reaches the driver does not grow with the table."""
+    long = SAMPLE_BYTES // PIECES
     size = F.length("_t")
-    middle = F.greatest((size / 2).cast("int") - third // 2, F.lit(1))
-    part = F.when(size <= SAMPLE_BYTES, F.col("_t")).otherwise(
-        F.concat_ws(" ", F.substring("_t", 1, third), F.col("_t").substr(middle, F.lit(third)), F.substring("_t", -third, third)))
+    places = [F.pmod(F.xxhash64("_id", F.lit(k), F.lit(SEED)), size - long + 1).cast("int") + 1 for k in range(PIECES)]
+    part = F.when(size <= SAMPLE_BYTES, F.col("_t")).otherwise(F.concat_ws(" ", *[F.col("_t").substr(p, F.lit(long)) for p in places]))
     d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.col(lang_col).alias("_l"))
-    d = d.filter(~F.coalesce(held_out("_id"), F.lit(False)) & F.col("_l").isNotNull() & F.col("_t").rlike(r"\p{L}"))
-    d = d.select("_l", part.alias("_p"), F.xxhash64("_id", F.lit(SEED)).alias("_h"))
-    rows = d.orderBy("_h", "_l", "_p").limit(sample_docs).collect()
-    return [(r["_p"].encode("utf-8", "replace")[:2 * SAMPLE_BYTES], r["_l"]) for r in rows]
+    d = d.withColumn("_h", F.xxhash64("_id", F.lit(SEED)))
+    share = 4 * sample_docs / max(docs.count(), 1)
+    while True:
+        near = d if share >= 1 else d.filter(F.col("_h") < -(1 << 63) + int(share * (1 << 64)))
+        near = near.filter(~F.coalesce(held_out("_id"), F.lit(False)) & F.col("_l").isNotNull() & F.col("_t").rlike(r"\p{L}"))
+        rows = near.select("_l", part.alias("_p"), "_h").orderBy("_h", "_l", "_p").limit(sample_docs).collect()
+        if len(rows) == sample_docs or share >= 1:
+            return [(r["_p"].encode("utf-8", "replace")[:2 * SAMPLE_BYTES], r["_l"]) for r in rows]
+        share *= 8      # few rows have a label
 
 
 def labelled(text: Column, net: Network) -> Column:
