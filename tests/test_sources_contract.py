@@ -431,3 +431,38 @@ def test_scans_say_what_they_left_out(spark, tmp_path):
     assert order(scan.rows) == order(plain) == ["1", None, None, "1", "x,\"y", "1", "1", "2", "2", "5"]
     raw = {r["raw"] for r in scan.bad.filter(F.col("reason") == readers.UNPARSABLE).collect()}
     assert {'{"a": ', "1, 2", '{"a": 3'} <= raw
+
+
+@pytest.mark.parametrize("when_full", ["pass", "drop"])
+def test_stream_with_a_bounded_seen_set(spark, tmp_path, when_full):
+    """One shard with room for three: two micro-batches, the second with repeats of the first."""
+    from textloom.streaming.capped import dedupe_capped_stream, state_store
+
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    for batch in (["a", "b", "a", "b"], ["b", "c", "d", "d", "a", "e"]):
+        spark.createDataFrame([(h, k) for k, h in enumerate(batch)], "h string, k int").coalesce(1).write.mode("append").parquet(src)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    stream = spark.readStream.schema("h string, k int").option("maxFilesPerTrigger", 1).parquet(src)
+    with state_store(spark):
+        q = dedupe_capped_stream(stream, 3, shards=1, when_full=when_full).writeStream.format("parquet").option("path", out) \
+            .option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+    got = sorted(r["h"] for r in spark.read.parquet(out).collect())
+    # a, b and c fill the memory; from then on d, d and e are new every time, and a passes or is still known
+    assert got == sorted(["a", "b", "c", "d", "d", "e"] + (["a"] if when_full == "pass" else []))
+    state = [p["numRowsTotal"] for p in q.lastProgress["stateOperators"]]
+    assert state[0] <= 3 + 1        # three entries and the shard's count
+
+
+def test_streaming_route_with_a_cap(spark, tmp_path):
+    from textloom.streaming.dedupe import run_available_now
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(i, "same text for everyone" if i % 2 else f"unique text number {i}") for i in range(20)]
+    for _ in range(2):
+        spark.createDataFrame(rows, "id long, text string").coalesce(1).write.mode("append").parquet(src)
+    run_available_now(spark, src, spark.read.parquet(src).schema, out, str(tmp_path / "ck"), text="text", task="T", answer="A", cap=1 << 20,
+                      files_per_batch=1)
+    got = spark.read.parquet(out)
+    assert got.count() == 11 == got.select("h").distinct().count()

@@ -264,3 +264,28 @@ def q_line_stream(spark, sf):
     example = F.concat(F.lit("Post:  \n"), F.col("text"), F.lit("  "))
     d = d.withColumn("ids", tk.encode_lines_with(example, TrimmingEncoder, [10]))
     return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _ids_sha("ids").alias("ids_sha1"))
+
+
+# ---------------------------------------------------------------------------
+# M2: a stream with a bounded seen set
+# ---------------------------------------------------------------------------
+@register("q_stream_capped", """
+WITH e AS (SELECT text FROM documents WHERE text IS NOT NULL)
+SELECT sha1(text) AS h, 1::BIGINT AS n FROM e GROUP BY text""")
+def q_stream_capped(spark, sf):
+    """The documents' texts as a stream of two micro-batches, the second one repeating the
+    first, through a seen set with room for all of them: each text comes out once."""
+    from ..streaming.capped import SHARDS, dedupe_capped_stream, state_store
+
+    src, out, ck = (scratch_path(spark, f"capped-{x}") for x in ("in", "out", "ckpt"))
+    d = read_table(spark, sf, "documents", ["text"]).filter(F.col("text").isNotNull()).select(F.sha1("text").alias("h"))
+    for _ in range(2):
+        d.coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    # Shards fill unevenly: room for twice as many texts.
+    room = 2 * d.count() + 64 * SHARDS
+    with state_store(spark):
+        q = dedupe_capped_stream(stream, room).writeStream.format("parquet").option("path", out) \
+            .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return spark.read.schema(d.schema).parquet(out).groupBy("h").agg(F.count(F.lit(1)).alias("n"))

@@ -4,13 +4,15 @@ append.
 The row-level operators are the same Column expressions as in batch (the
 generator-based row filters are streaming-safe).  Dedupe state is bounded by a
 watermark when the input has an event-time column
-(``dropDuplicatesWithinWatermark``); without one, ``dropDuplicates`` keeps one
-state entry per distinct hash.  The per-row hash split needs no global order,
+(``dropDuplicatesWithinWatermark``), or by a cap on the seen set
+(``capped``); without either, ``dropDuplicates`` keeps one state entry per distinct hash.  The per-row hash split needs no global order,
 so it streams; exact split, seeded shuffle and packing are batch-only.
 """
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions import text as tx
 from ..operators import order as od
 from ..operators.examples import with_light_text, with_post
+from .capped import dedupe_capped_stream, state_store
 
 
 def clean_stream(stream: DataFrame, text: str, title: str | None = None, task: str = "", answer: str = "",
@@ -39,15 +42,20 @@ def dedupe_stream(d: DataFrame, event_time: str | None = None, delay: str = "1 h
 
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, out_path: str, checkpoint: str,
                       text: str, glob: str | None = None, event_time: str | None = None, delay: str = "1 hour",
-                      **kw) -> None:
+                      cap: int | None = None, files_per_batch: int | None = None, **kw) -> None:
     """Process everything currently in ``source_dir`` and stop (``availableNow``),
-    appending Parquet to ``out_path``; restartable from ``checkpoint``."""
+    appending Parquet to ``out_path``; restartable from ``checkpoint``.  ``cap`` bounds the
+    seen set (:mod:`textloom.streaming.capped`) instead of a watermark."""
     reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     s = reader.parquet(source_dir)
-    d = dedupe_stream(clean_stream(s, text, **kw), event_time, delay)
-    q = (d.drop("_event_ts") if "_event_ts" in d.columns else d).writeStream.format("parquet") \
-        .option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append") \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
+    d = clean_stream(s, text, **kw)
+    d = dedupe_stream(d, event_time, delay) if cap is None else dedupe_capped_stream(d, cap)
+    with state_store(spark) if cap is not None else contextlib.nullcontext():
+        q = (d.drop("_event_ts") if "_event_ts" in d.columns else d).writeStream.format("parquet") \
+            .option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append") \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
