@@ -266,3 +266,16 @@ def test_places_are_gapless_in_every_group(spark):
     got = merkle.numbered(rows, "g", ["v"]).groupBy("g").agg(
         F.count("*").alias("c"), F.max("n").alias("n"), F.max("pos").alias("last"), F.count_distinct("pos").alias("d"))
     assert all(r.c == r.n == r.d == r["last"] + 1 for r in got.collect())
+
+
+# -- 5 -----------------------------------------------------------------------
+def test_stars_keep_components(spark):
+    from textloom.llm import ngram_join
+    from textloom.llm.common import components
+
+    rng = random.Random(8)
+    edges = [(a, rng.randrange(a)) for a in range(1, 300) for _ in range(3) if a % 50] + [(7, 7)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    few = ngram_join.stars(df)
+    labels = [{r.v: r.label for r in components(d).collect()} for d in (df, few)]
+    assert labels[0] == labels[1] and few.count() < len(edges)

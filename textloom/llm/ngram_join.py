@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, components, join_groups, keep_rows, map_groups, row_key, small_batches, staged
+from .common import WORD_RE, components, give_back, join_groups, keep_rows, map_groups, row_key, small_batches, staged
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -116,6 +116,7 @@ def embed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")
                 rows.append((int(d[0]), int(d[1]), len(s), sketch(s)))
             yield pd.DataFrame(rows, columns=["d1", "d2", "size", "sketch"])
+        give_back()
 
     d = small_batches(docs).select(F.col(id_col).alias("_id"), *row_key(id_col, text_col), make(F.col(text_col)).alias("_s"))
     return staged(d.select(F.monotonically_increasing_id().alias("uid"), "_id", "rk1", "rk2", "_s.*"), "embedded")
@@ -176,6 +177,15 @@ def candidate_edges(sets: DataFrame, threshold: float, runs: int) -> DataFrame:
     return out
 
 
+def stars(edges: DataFrame) -> DataFrame:
+    """Fewer edges (a, b) with the same components: a vertex keeps the edge to its smallest
+    neighbour b, and that one gets edges to the others, which are few (the first sets of
+    large buckets) however many vertices share them."""
+    per = staged(edges.filter("a != b").groupBy("a").agg(F.min("b").alias("low"), F.collect_set("b").alias("all")), "stars")
+    other = per.select(F.explode("all").alias("a"), F.col("low").alias("b")).filter("a != b").distinct()
+    return per.select("a", F.col("low").alias("b")).unionByName(other)
+
+
 def _compare_bucket(bucket: dict[str, np.ndarray]) -> dict:
     s = np.stack(list(bucket["sketch"]))
     near = (s[:, None, :] == s[None, :, :]).mean(2) >= SKETCH_MIN
@@ -247,7 +257,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                             F.first("size").alias("size"), F.first("sketch").alias("sketch"),
                                             F.count("*").alias("copies")), "sets")
     edges = candidate_edges(reps.filter("size > 0").select("rep", "sketch"), threshold, runs_for(recall))
-    groups = components(edges)
+    groups = components(stars(edges))
     inside = reps.join(groups, reps["rep"] == groups["v"]).select("rep", "rep_id", "d1", "d2", "size", "copies", "label")
     inside = staged(inside, "inside")
     totals = inside.groupBy("label").agg(F.count("*").alias("sets"), F.sum("size").alias("tokens"))
@@ -289,6 +299,7 @@ def _verified(docs: DataFrame, inside: DataFrame, id_col: str, text_col: str, th
                 d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")
                 rows.append((int(d[0]), int(d[1]), s.view(np.int64)))
             yield pd.DataFrame(rows, columns=["d1", "d2", "tokens"])
+        give_back()
 
     texts = docs.select(F.xxhash64(F.col(id_col)).alias("_k"), F.col(text_col).alias("_t"))
     found = inside.withColumn("_k", F.xxhash64("rep_id")).join(texts, "_k").withColumn("_s", again("_t"))
