@@ -27,6 +27,7 @@ MAX_CACHED = 300_000  # entries of one generation of a cache
 MAX_VECTOR = 64       # longer pieces are merged by the library
 SLICE = 1 << 20       # code points of a text that are split at once
 GROUP = 1 << 22       # code points whose units are numbered at once
+NO_MERGE = np.int32(np.iinfo(np.int32).max)
 #: Letters of ``SIMPLE``, with at most one mark behind them.
 PLAIN = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[.,;:!?]?$"
 MARKS = ".,;:!?"
@@ -77,13 +78,16 @@ class WordBpe:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in d["added_tokens"]) or r"(?!)")
         self.pattern = regex.compile(d["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.symbols = _byte_symbols()
-        self.inner = np.array([self.vocab[s] for s in self.symbols])
-        self.final = np.array([self.vocab[s + self.suffix] for s in self.symbols])
+        self.inner = np.array([self.vocab[s] for s in self.symbols], np.int32)
+        self.final = np.array([self.vocab[s + self.suffix] for s in self.symbols], np.int32)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         keys = np.array([self.vocab[a] << 32 | self.vocab[b] for a, b in pairs], np.int64)
         made = np.array([self.vocab[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], np.arange(len(pairs))[order], made[order]
+        #: by rank: the token that the merge makes
+        self.made_by_rank = made.astype(np.int32)
+        self.shift, self.owner, self.rank_at = _displaced(keys, max(self.vocab.values()) + 1)
         #: the ranks of pairs of bytes: inside a word, and at its end
         self.first = [self._ranked(self.inner[:, None], last[None, :]) for last in (self.inner, self.final)]
         self.units = Recent(MAX_CACHED // 4)      # units that are not plain, and their pieces
@@ -96,10 +100,9 @@ class WordBpe:
 
     # -- merges -----------------------------------------------------------
     def _ranked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Index of each pair in the merge table, by rank; ``none`` if there is no merge."""
-        key = a << 32 | b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at] * (len(self.keys) + 1) + at, np.iinfo(np.int64).max)
+        """The rank of each pair's merge; ``NO_MERGE`` if there is none."""
+        slot = self.shift.take(a) + b
+        return np.where(self.owner.take(slot) == a, self.rank_at.take(slot), NO_MERGE)
 
     def _rounds(self, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows, their ids) of words of one length, given as rows of bytes: the
@@ -107,7 +110,6 @@ class WordBpe:
 
         After k rounds every row that is still live has k symbols less, so rows
         need no padding."""
-        stop = np.iinfo(np.int64).max
         ids = self.inner[raw]
         ids[:, -1] = self.final[raw[:, -1]]
         where = np.arange(len(raw))
@@ -115,23 +117,21 @@ class WordBpe:
         rank[:, -1:] = self.first[1][raw[:, -2:-1], raw[:, -1:]]
         while True:
             if rank.shape[1] == 0:
-                live = np.zeros(len(ids), bool)
-            else:
-                at = rank.argmin(1)
-                best = rank[np.arange(len(rank)), at]
-                live = best < stop
+                yield where, ids
+                return
+            at = rank.argmin(1)
+            best = rank[np.arange(len(rank)), at]
+            live = best < NO_MERGE
             if not live.all():
                 yield where[~live], ids[~live]
-            if not live.any():
-                return
-            where, ids, rank, at, best = where[live], ids[live], rank[live], at[live], best[live]
+                if not live.any():
+                    return
+                where, ids, rank, at, best = where[live], ids[live], rank[live], at[live], best[live]
             rows = np.arange(len(ids))
-            cols = np.arange(ids.shape[1] - 1)
-            take = cols + (cols > at[:, None])          # drop the second symbol of the pair
-            ids = np.take_along_axis(ids, take, 1)
-            ids[rows, at] = self.made[best % (len(self.keys) + 1)]
-            cols = np.arange(max(rank.shape[1] - 1, 0))
-            rank = np.take_along_axis(rank, cols + (cols >= at[:, None]), 1)
+            later = np.arange(ids.shape[1] - 1) > at[:, None]      # drop the second symbol of the pair
+            ids = np.where(later, ids[:, 1:], ids[:, :-1])
+            ids[rows, at] = self.made_by_rank[best]
+            rank = np.where(np.arange(rank.shape[1] - 1) >= at[:, None], rank[:, 1:], rank[:, :-1])
             for side in (at - 1, at):
                 ok = (side >= 0) & (side < rank.shape[1])
                 r, c = rows[ok], side[ok]
@@ -156,6 +156,12 @@ class WordBpe:
             flat[begin[ks][:, None] + np.arange(ids.shape[1])] = ids
         return flat, begin, count
 
+    def merged(self, words: Sequence[str]) -> dict[str, bytes]:
+        """The ids of words, as little-endian 32-bit numbers."""
+        flat, begin, count = self.merge(pa.array(words, pa.large_string()))
+        data = flat.tobytes()
+        return {w: data[i:j] for w, i, j in zip(words, (4 * begin).tolist(), (4 * (begin + count)).tolist(), strict=True)}
+
     # -- units ------------------------------------------------------------
     def is_simple(self, unit: str) -> bool:
         return SIMPLE.fullmatch(unit) is not None and self.special.search(unit) is None
@@ -179,10 +185,9 @@ class WordBpe:
                 if p not in known:
                     known[p] = self.units.get(p)
         new = [p for p, v in known.items() if v is None]
-        flat, begin, count = self.merge(pa.array(new, pa.large_string()))
-        for p, i, n in zip(new, begin.tolist(), count.tolist(), strict=True):
-            known[p] = flat[i:i + n].tobytes()
-            self.units.put(p, known[p])
+        for p, ids in self.merged(new).items():
+            known[p] = ids
+            self.units.put(p, ids)
         for u, found in split.items():
             out[u] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
         return out
@@ -203,7 +208,7 @@ class WordBpe:
         blob[after[marked] - 1] = self.final[data[(starts + size)[marked] - 1]]
         inside = np.ones(len(blob), bool)
         inside[after[marked] - 1] = False
-        blob[inside] = flat[_places(begin[stem], count[stem])]
+        blob[inside] = flat[places(begin[stem], count[stem])]
         rest = cached(units.filter(pc.invert(plain)).to_pylist(), self.units, self.solve)
         other, other_begin, other_sizes = packed(rest, b"", 4)
         is_plain = plain.to_numpy(zero_copy_only=False)
@@ -217,6 +222,31 @@ class WordBpe:
         return looked_up(texts, self.answer, 0)
 
 
+def _displaced(keys: np.ndarray, tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shift, owner, rank): the merges (left << 32 | right, by rank) as a sparse table whose rows,
+    one for each left token, lie over one another in one array.  A row's shift is the first of a
+    fixed series at which its entries meet no others, so a pair is looked up at
+    shift[left] + right and is there exactly if left owns the place."""
+    left, right = keys >> 32, keys & 0xFFFFFFFF
+    room = max(8 * len(keys), tokens)
+    shift = np.zeros(tokens, np.int32)
+    owner = np.full(room + tokens, -1, np.int32)
+    rank = np.full(room + tokens, NO_MERGE, np.int32)
+    order = np.argsort(left, kind="stable")
+    starts = np.flatnonzero(np.diff(left[order], prepend=-1))
+    sizes = np.diff(starts, append=len(order))
+    at = 0
+    for k in np.argsort(-sizes, kind="stable").tolist():
+        row = order[starts[k]:starts[k] + sizes[k]]
+        while (owner[at + right[row]] >= 0).any():
+            at = (at + 7919) % room
+        shift[left[row[0]]] = at
+        owner[at + right[row]] = left[row[0]]
+        rank[at + right[row]] = row
+        at = (at + 7919) % room
+    return shift, owner, rank
+
+
 def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, first byte of each word, its number of bytes)."""
     words = pa.concat_arrays([words]).cast(pa.large_binary())
@@ -225,10 +255,12 @@ def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets[:-1], np.diff(offsets)
 
 
-def _places(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+def places(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """begin, begin + 1, ... of ``count`` numbers each, one after another."""
-    before = np.cumsum(count) - count
-    return np.arange(int(count.sum())) + np.repeat(begin - before, count)
+    after = np.cumsum(count)
+    total = int(after[-1]) if len(after) else 0
+    kind = np.int32 if max(total, int(begin.max(initial=0)) + total) < 1 << 31 else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((begin - after + count).astype(kind), count)
 
 
 def cached(units: list[str], cache: Recent, solve) -> list[bytes]:
@@ -283,10 +315,12 @@ def looked_up(texts: Sequence[str], answer: Callable[[pa.Array], Answer], drop:
         coded = lists.flatten().dictionary_encode()
         blob, starts, sizes = answer(coded.dictionary)
         number = coded.indices.to_numpy()
-        borders = lists.offsets.to_numpy().tolist()
+        many = sizes.take(number)
+        after = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+        borders = after[lists.offsets.to_numpy()].tolist()
+        dealt = blob.take(places(starts.take(number), many))
         for k, last in enumerate(ends):
-            n = number[borders[k]:borders[k + 1]]
-            done.append(blob[_places(starts[n], sizes[n])].tobytes())
+            done.append(dealt[borders[k]:borders[k + 1]].tobytes())
             if last:
                 whole = done[0] if len(done) == 1 else b"".join(done)
                 yield whole[:len(whole) - drop]
