@@ -38,13 +38,15 @@ from struct import pack
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import MAX_CACHED, Answer, Recent, WordBpe, cached, coder, looked_up, packed, read_spec
+from .bpe import MARKS, MAX_CACHED, PLAIN, Answer, Recent, WordBpe, places, cached, coder, looked_up, packed, read_spec
 from .common import small_batches
 
 NARROW, WIDE = b"\x01", b"\x04"
+TAIL = 4    # bytes by which the tokens that may end a prefix are kept
 
 
 @lru_cache(maxsize=1)
@@ -72,7 +74,8 @@ class PrefixCounter:
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
-        self.units, self.words, self.states = (Recent() for _ in range(3))
+        self.units, self.stems = Recent(MAX_CACHED // 4), Recent(MAX_CACHED // 2)
+        self.words, self.states = Recent(), Recent()
         self.pairs: dict[int, bool] = {}
         self.wide: set[str] = set()   # units with a difference beyond a byte
         back = {s: b for b, s in enumerate(bpe.symbols)}
@@ -96,7 +99,7 @@ class PrefixCounter:
             if halves is None or self._may_follow(halves[1], halves[2], halves[0]):
                 (self.ended if ends else self.inner)[raw] = k
         self.longest = max(map(len, [*self.inner, *self.ended]))
-        self.sizes = [self._sizes(self.inner), self._sizes(self.ended)]
+        self.near = self._near()
 
     def _edge(self, token: int, born: dict, side: int) -> list[tuple[int, int]]:
         """The symbols that stand at one edge while ``token`` is built, innermost
@@ -138,22 +141,35 @@ class PrefixCounter:
                 self.pairs[key] = known
         return known
 
-    @staticmethod
-    def _sizes(tokens: dict[bytes, int]) -> dict[bytes, list[int]]:
-        """Lengths of the tokens that end in the same two bytes, longest first."""
-        found: dict[bytes, set[int]] = {}
-        for t in tokens:
-            found.setdefault(t[-2:], set()).add(len(t))
-        return {k: sorted(v | {1}, reverse=True) for k, v in found.items()}
-
-    def _last(self, word: bytes, n: int, before: list[tuple[int, int, int]], ended: bool) -> tuple[int, int]:
-        """(count, last token) of word[:n], from the states of shorter prefixes."""
-        tokens = self.ended if ended else self.inner
-        for size in self.sizes[ended].get(word[max(n - 2, 0):n], (1,)):
-            if size <= n:
-                t = tokens.get(word[n - size:n])
-                if t is not None and (size == n or self._may_follow(before[n - size][1], t)):
-                    return before[n - size][0] + 1, t
+    def _near(self) -> dict[bytes, tuple[list, list]]:
+        """By the last bytes of a prefix, the tokens that may end it, longest first: (length, token),
+        those inside a word and those at its end.  A key of ``TAIL`` bytes also names longer
+        tokens, which are still to be looked up (None); a prefix goes by its longest key."""
+        found: dict[bytes, tuple[dict, dict]] = {}
+        for kind, tokens in enumerate((self.inner, self.ended)):
+            for raw, k in tokens.items():
+                short = len(raw) <= TAIL
+                found.setdefault(raw[-TAIL:], ({}, {}))[kind][len(raw)] = k if short else None
+        for key, kinds in found.items():
+            for tokens, here in zip((self.inner, self.ended), kinds, strict=True):
+                here.update((n, tokens[key[-n:]]) for n in range(1, len(key) + 1) if key[-n:] in tokens)
+        return {k: tuple(sorted(here.items(), reverse=True) for here in kinds) for k, kinds in found.items()}
+
+    def _last(self, word: bytes, n: int, before: list[tuple[int, int, int]], ends: list, tokens: dict[bytes, int]) -> tuple[int, int]:
+        """(count, last token) of word[:n], from the states of shorter prefixes and
+        the tokens that may end it."""
+        pairs = self.pairs
+        for size, t in ends:
+            if t is None:
+                t = tokens.get(word[n - size:n]) if size <= n else None
+                if t is None:
+                    continue
+            if size == n:
+                return 1, t
+            count, last, _ = before[n - size]
+            apart = pairs.get(last << 32 | t)
+            if apart or (apart is None and self._may_follow(last, t)):
+                return count + 1, t
         raise AssertionError(word[:n])
 
     def word(self, word: bytes) -> list[int]:
@@ -161,17 +177,22 @@ class PrefixCounter:
         known = self.words.get(word)
         if known is not None:
             return known
+        near, states, longest = self.near, self.states, self.longest
         before = [(0, -1, 0)]
-        out = []
         for i in range(1, len(word) + 1):
-            state = self.states.get(word[:i]) if i <= self.longest else None
+            state = states.get(word[:i]) if i <= longest else None
             if state is None:
-                state = (*self._last(word, i, before, False), self._last(word, i, before, True)[0])
-                if i <= self.longest:
-                    self.states.put(word[:i], state)
+                j = max(i - TAIL, 0)
+                ends = near.get(word[j:i])
+                while ends is None:
+                    j += 1
+                    ends = near.get(word[j:i])
+                state = (*self._last(word, i, before, ends[0], self.inner), self._last(word, i, before, ends[1], self.ended)[0])
+                if i <= longest:
+                    states.put(word[:i], state)
             before.append(state)
-            out.append(state[2])
-        if len(word) <= self.longest:
+        out = [state[2] for state in before[1:]]
+        if len(word) <= longest:
             self.words.put(word, out)
         return out
 
@@ -248,19 +269,49 @@ class PrefixCounter:
         return out + [base + x for x in self.plain(u[at:])]
 
     def solve(self, units: list[str]) -> dict[str, bytes]:
-        out = {}
-        for u in units:
-            counts = self.unit(u)
-            steps = list(map(sub, counts, [0, *counts]))
-            try:
-                out[u] = pack(f"{len(steps)}b", *steps)
-            except StructError:
-                self.wide.add(u)
-                out[u] = bytes(len(u))
-        return out
+        return {u: self._steps(u, self.unit(u)) for u in units}
+
+    def solve_words(self, words: list[str]) -> dict[str, bytes]:
+        """As ``solve``, for lower-case words of plain letters: each is one piece."""
+        return {w: self._steps(w, self.piece(w) if w else []) for w in words}
+
+    def _steps(self, unit: str, counts: list[int]) -> bytes:
+        steps = list(map(sub, counts, [0, *counts]))
+        try:
+            return pack(f"{len(steps)}b", *steps)
+        except StructError:
+            self.wide.add(unit)
+            return bytes(len(unit))
 
     def answer(self, units: pa.Array) -> Answer:
-        return packed(cached(units.to_pylist(), self.units, self.solve), b"\0", 1)
+        """The tables of distinct units, each with a zero for the space behind it.  A plain
+        word with at most one mark behind it has the table of the word, and the mark adds 1."""
+        plain = pc.match_substring_regex(units, PLAIN)
+        words = pc.utf8_lower(units.filter(plain))
+        coded = pc.ascii_rtrim(words, MARKS).dictionary_encode()
+        stems = coded.dictionary.to_pylist()
+        flat, begin, count = packed(cached(stems, self.stems, self.solve_words), b"\0", 1)
+        stem = coded.indices.to_numpy()
+        if self.wide and not self.wide.isdisjoint(stems):
+            bad = np.array([w in self.wide for w in stems])[stem]
+            self.wide.update(units.filter(plain).filter(pa.array(bad)).to_pylist())
+        body = count[stem] - 1
+        marked = pc.utf8_length(words).to_numpy() > body
+        sizes = body + marked + 1
+        after = np.cumsum(sizes)
+        blob = np.zeros(int(sizes.sum()), "<u1")
+        inside = np.ones(len(blob), bool)
+        inside[after - 1] = False
+        inside[after[marked] - 2] = False
+        blob[after[marked] - 2] = 1
+        blob[inside] = flat.take(places(begin[stem], body))
+        rest = cached(units.filter(pc.invert(plain)).to_pylist(), self.units, self.solve)
+        other, other_begin, other_sizes = packed(rest, b"\0", 1)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        both = np.empty((2, len(units)), np.int64)
+        both[:, is_plain] = after - sizes, sizes
+        both[:, ~is_plain] = other_begin + len(blob), other_sizes
+        return np.concatenate([blob, other]), both[0], both[1]
 
     def tables(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's table of differences; a space adds nothing."""
