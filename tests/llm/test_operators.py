@@ -1,6 +1,7 @@
 """The ten operators on small tables: nulls, empty and long texts, ties, repeated
 rows, empty tables and clashing column names, against brute force."""
 
+import bisect
 import hashlib
 import random
 import re
@@ -389,6 +390,45 @@ def test_packing(spark):
     assert len(places) <= 1.03 * least + 1
 
 
+def best_fit_decreasing(lengths: list[int], capacity: int) -> int:
+    """Sequences that one piece after another takes, longest first, each in the fullest that holds it."""
+    free: list[int] = []
+    for x in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(free, x)
+        room = free.pop(k) if k < len(free) else capacity
+        bisect.insort(free, room - x)
+    return len(free)
+
+
+@pytest.mark.parametrize("draw", [
+    lambda rng: rng.choice([2049, 1024], 4000),
+    lambda rng: rng.choice([1400, 1296, 2800], 4000),
+    lambda rng: rng.integers(1300, 2200, 4000),
+    lambda rng: rng.integers(1000, 1500, 4000),
+    lambda rng: rng.integers(1, 4097, 4000),
+    lambda rng: np.clip(rng.geometric(1 / 900, 4000), 1, 4096),
+    lambda rng: np.clip(rng.lognormal(6, 1, 4000).astype(int) + 1, 1, 4096),
+])
+def test_plan_is_as_short_as_best_fit(draw):
+    lengths = draw(np.random.default_rng(5)).tolist()
+    plan = packing.plan_sequences(dict(Counter(lengths)), 4096)
+    assert sum(s.count for s in plan) <= 1.001 * best_fit_decreasing(lengths, 4096) + 1
+
+
+def test_patterns_fill_sequences_and_merges_are_found():
+    for p in packing.patterns([100, 300, 350], 1000, 3):
+        left = 1000 - sum((100, 300, 350)[k] for k in p)
+        assert list(p) == sorted(p, reverse=True) and 0 <= left and (left < 100 or len(p) == 3)
+    coder = bpe.coder(bpe.read_spec(VOCABULARY))
+    a, b = coder.keys >> 32, coder.keys & 0xFFFFFFFF
+    assert (coder._ranked(a, b) == coder.ranks).all()
+    pairs = set(coder.keys.tolist())
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(0, max(coder.vocab.values()) + 1, (2, 20000))
+    merged = np.array([(int(i) << 32 | int(j)) in pairs for i, j in zip(x, y, strict=True)])
+    assert ((coder._ranked(x, y) < bpe.NO_MERGE) == merged).all()
+
+
 def test_plan_places_every_piece():
     rng = np.random.default_rng(3)
     for _ in range(20):

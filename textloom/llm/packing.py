@@ -4,12 +4,14 @@ A document's token ids, closed by an end id, are cut into pieces of at most
 ``capacity`` tokens.  Packing only needs the histogram of piece lengths, whose
 size is bounded by ``capacity``:
 
-1. lengths are put into ``BINS`` bins; patterns of up to ``PARTS`` bins that fill
-   a sequence are enumerated, and their repeat counts are fitted to the
-   histogram by non-negative least squares, then rounded down;
+1. lengths are put into at most ``BINS`` classes; patterns of up to ``PARTS`` classes that fill
+   a sequence as far as they can are enumerated, and their repeat counts are
+   fitted to the histogram by non-negative least squares, then rounded down;
 2. what the patterns leave over is packed by best fit, longest first, into the
    free ends of the patterns' sequences and into new ones.  All of a length's
-   pieces are placed at once, so the work depends on ``capacity`` alone.
+   pieces are placed at once, so the work depends on ``capacity`` alone;
+3. classes are coarse and residuals can need short pieces that patterns used up, so
+   smaller shares of the fit are planned as well and the fewest sequences win.
 
 The plan says where the r-th piece of each length goes.  Pieces are ranked
 within their length on the cluster (hash buckets within a length, so one very
@@ -28,12 +30,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import coder, read_spec
-from .common import rows_per_group, small_batches, staged
+from .common import give_back, rows_per_group, small_batches, staged
 
 CAPACITY = 4096
 END_ID = 1
 BINS = 64
 PARTS = 4
+#: Weight of wasted room in the fit, and the shares of the fitted repeats that are tried.
+WASTE = 0.3
+SHARES = (1.0, 0.75, 0.5, 0.25, 0.1)
 
 
 # ---------------------------------------------------------------------------
@@ -54,6 +59,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                 parts = [(a // 4, ids[a:a + 4 * capacity]) for a in range(0, len(ids), 4 * capacity)]
                 out.append([{"start": a, "length": len(p) // 4, "ids_crc32": zlib.crc32(p)} for a, p in parts])
             yield pd.Series(out)
+        give_back()
 
     d = small_batches(docs).select(F.col(id_col).alias("_id"), cut(F.col(text_col)).alias("_p"))
     return d.select(F.col("_id").alias(id_col), F.posexplode("_p").alias("piece", "_x")).select(id_col, "piece", "_x.*")
@@ -62,16 +68,32 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
 # ---------------------------------------------------------------------------
 # The plan
 # ---------------------------------------------------------------------------
-def patterns(bins: int, parts: int) -> list[tuple[int, ...]]:
-    """Descending tuples of at most ``parts`` numbers that sum up to ``bins``."""
-    def grow(left: int, most: int, n: int) -> Iterator[tuple[int, ...]]:
-        if left == 0:
+def classes(counts: dict[int, int], capacity: int, most: int) -> list[list[int]]:
+    """The present lengths, ascending, in at most ``most`` classes: each its own, or where there
+    are too many, bins of equal width.  A class counts as long as its longest length."""
+    lengths = sorted(counts)
+    if len(lengths) <= most:
+        return [[x] for x in lengths]
+    width = -(-capacity // most)
+    found: dict[int, list[int]] = {}
+    for x in lengths:
+        found.setdefault(-(-x // width), []).append(x)
+    return list(found.values())
+
+
+def patterns(sizes: Sequence[int], capacity: int, parts: int) -> list[tuple[int, ...]]:
+    """Tuples of at most ``parts`` numbers of classes (of ascending ``sizes``), the longest
+    first, that fill a sequence as far as they can: what they leave is less than the smallest
+    size, or there are ``parts`` of them."""
+    def grow(left: int, last: int, n: int) -> Iterator[tuple[int, ...]]:
+        if n == 0 or left < sizes[0]:
             yield ()
-        elif n:
-            for k in range(min(left, most), -(-left // n) - 1, -1):
-                yield from ((k, *rest) for rest in grow(left - k, k, n - 1))
+            return
+        for k in range(last, -1, -1):
+            if sizes[k] <= left:
+                yield from ((k, *rest) for rest in grow(left - sizes[k], k, n - 1))
 
-    return list(grow(bins, bins, parts))
+    return list(grow(capacity, len(sizes) - 1, parts)) if sizes else []
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 1000) -> np.ndarray:
@@ -105,21 +127,33 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 1000) -> np.ndarray:
     return x
 
 
-def pattern_counts(histogram: np.ndarray, bins: int = BINS, parts: int = PARTS) -> list[tuple[tuple[int, ...], int]]:
-    """(pattern, repeats) for a histogram over bins 1..bins; never more than there is."""
-    every = patterns(bins, parts)
-    a = np.zeros((bins, len(every)))
+def pattern_fit(sizes: Sequence[int], histogram: np.ndarray, capacity: int, parts: int = PARTS) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """(patterns, their fitted repeats) for the counts of classes.
+
+    Besides those counts the fit has one more equation: all patterns together
+    should waste nothing."""
+    every = patterns(sizes, capacity, parts)
+    if not every:
+        return [], np.zeros(0)
+    a = np.zeros((len(sizes) + 1, len(every)))
     for k, p in enumerate(every):
-        np.add.at(a[:, k], np.array(p) - 1, 1)
+        np.add.at(a[:, k], np.array(p), 1)
     scale = max(histogram.max(initial=0), 1)
-    weight = np.arange(1, bins + 1)[:, None] / bins     # long pieces are harder to place later
-    x = nnls(a * weight, histogram / scale * weight[:, 0]) * scale
+    weight = np.array(sizes) / capacity     # long pieces are harder to place later
+    a[:-1] *= weight[:, None]
+    a[-1] = [WASTE * (1 - sum(sizes[k] for k in p) / capacity) for p in every]
+    return every, nnls(a, np.append(histogram / scale * weight, 0)) * scale
+
+
+def pattern_counts(histogram: np.ndarray, every: list[tuple[int, ...]], fitted: np.ndarray,
+                   share: float = 1.0) -> list[tuple[tuple[int, ...], int]]:
+    """(pattern, repeats): ``share`` of the fit, rounded down; never more than there is."""
     left = histogram.astype(np.int64).copy()
     out = []
-    for k in np.argsort(-x, kind="stable"):
-        need = a[:, k].astype(np.int64)
+    for k in np.argsort(-fitted, kind="stable")[:np.count_nonzero(fitted > 0)]:
+        need = np.bincount(np.array(every[k]), minlength=len(left))
         used = need > 0
-        n = min(int(np.floor(x[k] + 1e-6)), int((left[used] // need[used]).min()))
+        n = min(int(np.floor(share * fitted[k] + 1e-6)), int((left[used] // need[used]).min()))
         if n > 0:
             left -= n * need
             out.append((every[k], n))
@@ -136,13 +170,20 @@ class _Segment:
 
 
 def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, bins: int = BINS, parts: int = PARTS) -> list[_Segment]:
-    """All sequences, as segments of equal ones, for ``counts`` of piece lengths."""
-    width = -(-capacity // bins)
-    queue: list[list[list[int]]] = [[] for _ in range(bins + 1)]    # longest first, taken from the end
-    for length in sorted(counts):
-        queue[-(-length // width)].append([length, counts[length]])
+    """All sequences, as segments of equal ones, for ``counts`` of piece lengths: the fewest
+    that any of ``SHARES`` of the fitted repeats leads to."""
+    groups = classes(counts, capacity, bins)
+    histogram = np.array([sum(counts[x] for x in g) for g in groups], np.int64)
+    every, fitted = pattern_fit([g[-1] for g in groups], histogram, capacity, parts)
+    plans = [_sequences(counts, capacity, groups, pattern_counts(histogram, every, fitted, share)) for share in SHARES]
+    return min(plans, key=lambda plan: sum(s.count for s in plan))
+
+
+def _sequences(counts: dict[int, int], capacity: int, groups: list[list[int]], repeated: list[tuple[tuple[int, ...], int]]) -> list[_Segment]:
+    """The repeated patterns, and what they leave over by best fit."""
+    queue = [[[x, counts[x]] for x in g] for g in groups]    # longest first, taken from the end
     done: list[_Segment] = []
-    for pattern, repeats in pattern_counts(np.array([sum(c for _, c in q) for q in queue[1:]]), bins, parts):
+    for pattern, repeats in repeated:
         draws = []
         for b in pattern:
             need, draw = repeats, []
