@@ -58,8 +58,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                 ids += end
                 parts = [(a // 4, ids[a:a + 4 * capacity]) for a in range(0, len(ids), 4 * capacity)]
                 out.append([{"start": a, "length": len(p) // 4, "ids_crc32": zlib.crc32(p)} for a, p in parts])
+            give_back()
             yield pd.Series(out)
-        give_back()
 
     d = small_batches(docs).select(F.col(id_col).alias("_id"), cut(F.col(text_col)).alias("_p"))
     return d.select(F.col("_id").alias(id_col), F.posexplode("_p").alias("piece", "_x")).select(id_col, "piece", "_x.*")
