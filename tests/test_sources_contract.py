@@ -218,6 +218,17 @@ def test_streaming_route(spark, tmp_path):
     assert got.select("h").distinct().count() == 11
 
 
+def test_stream_of_a_table_in_part_files(spark, tmp_path):
+    import __spark_entry__ as E
+
+    rows = [(i, "the same text" if i % 2 else f"text number {i}", "src") for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    d.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    d.toPandas().to_parquet((tmp_path / "documents.parquet"))
+    for sf in (tmp_path, tmp_path / "many"):        # one file, a folder of part files
+        assert E.queries()["q_stream_dedupe"](spark, str(sf)).count() == 11
+
+
 def test_read_any_dispatch(spark, tmp_path):
     d = tmp_path / "mixed" / "sub"
     d.mkdir(parents=True)

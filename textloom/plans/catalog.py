@@ -688,14 +688,14 @@ def q_corpus_build(spark, sf):
 
 @register("q_stream_dedupe", f"SELECT DISTINCT sha1(example) AS h, example FROM {_LIGHT_SRC}")
 def q_stream_dedupe(spark, sf):
-    """Structured Streaming over the documents file (availableNow): light
+    """Structured Streaming over the documents, one file or a folder of them (availableNow): light
     cleaning, rendering, hash dedupe with state, parquet append; read back."""
-    from ..streaming.dedupe import run_available_now
+    from ..streaming.dedupe import file_or_folder, run_available_now
 
-    schema = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").schema
+    table = f"{sf.rstrip('/')}/documents.parquet"
+    schema = spark.read.parquet(table).schema
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    run_available_now(spark, sf, schema, out, ck, text="text", glob="documents.parquet",
-                      task=specs.TASK_CONDITION, answer="ADHD")
+    run_available_now(spark, file_or_folder(table), schema, out, ck, text="text", task=specs.TASK_CONDITION, answer="ADHD")
     return spark.read.parquet(out).select("h", "example")
 
 

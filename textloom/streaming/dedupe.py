@@ -40,6 +40,13 @@ def dedupe_stream(d: DataFrame, event_time: str | None = None, delay: str = "1 h
     return d.dropDuplicates(["h"])
 
 
+def file_or_folder(path: str) -> str:
+    """``path`` as a pattern that only it matches.  A stream's source must be a folder or a
+    pattern; the pattern may name one file as well as a folder of part files."""
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, out_path: str, checkpoint: str,
                       text: str, glob: str | None = None, event_time: str | None = None, delay: str = "1 hour",
                       cap: int | None = None, files_per_batch: int | None = None, **kw) -> None:
