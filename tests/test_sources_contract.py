@@ -477,3 +477,17 @@ def test_streaming_route_with_a_cap(spark, tmp_path):
                       files_per_batch=1)
     got = spark.read.parquet(out)
     assert got.count() == 11 == got.select("h").distinct().count()
+
+
+def test_capped_stream_reads_its_texts_in_many_files(spark, tmp_path, monkeypatch):
+    from textloom.plans import file_queries
+
+    monkeypatch.setattr(file_queries, "scratch_path", lambda _spark, name: str(tmp_path / name))
+    rows = [(i, None if i == 7 else f"text {i % 30}") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    got = file_queries.q_stream_capped(spark, str(tmp_path)).collect()
+    assert sorted(r["n"] for r in got) == [1] * 30
+    files = list((tmp_path / "capped-in").glob("part-*.parquet"))
+    assert len(files) > 2 and max(spark.read.parquet(str(f)).count() for f in files) < 59
+    assert {f.name for f in (tmp_path / "capped-ckpt" / "commits").iterdir() if not f.name.startswith(".")} >= {"0", "1"}
+    assert not (tmp_path / "capped-ckpt" / "commits" / "2").exists()

@@ -279,11 +279,14 @@ def q_stream_capped(spark, sf):
 
     src, out, ck = (scratch_path(spark, f"capped-{x}") for x in ("in", "out", "ckpt"))
     d = read_table(spark, sf, "documents", ["text"]).filter(F.col("text").isNotNull()).select(F.sha1("text").alias("h"))
-    for _ in range(2):
-        d.coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    d.write.parquet(src)
+    batch = spark.read.parquet(src)
+    # A micro-batch is as many files as one writing of the texts; older files come first.
+    files = len(batch.inputFiles())
     # Shards fill unevenly: room for twice as many texts.
-    room = 2 * d.count() + 64 * SHARDS
+    room = 2 * batch.count() + 64 * SHARDS
+    d.write.mode("append").parquet(src)
+    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", max(1, files)).parquet(src)
     with state_store(spark):
         q = dedupe_capped_stream(stream, room).writeStream.format("parquet").option("path", out) \
             .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start()
