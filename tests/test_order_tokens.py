@@ -318,3 +318,11 @@ def test_packed_bytes_match_packed_ids(spark, ctx, drop_last):
         want = [w for w in want if len(w) == ctx or not drop_last]
         got = tk.pack_bytes(df, "b", ["k"], ctx=ctx, end=end, drop_last=drop_last).orderBy("block_id").collect()
         assert [r["tokens"] for r in got] == want
+
+
+def test_lines_are_encoded_in_runs_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(tk, "RUN_CHARS", 8)
+    texts = [None, "", "ab\n", "a much longer line than a run\nab", "ab", "x\ny\nz"]
+    d = spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1)
+    got = {r["k"]: r["u"] for r in d.select("k", tk.encode_lines_with("t", _Trim, [10]).alias("u")).collect()}
+    assert got == {k: None if t is None else [i for x in t.split("\n") for i in [*_Trim().encode(x), 10]] for k, t in enumerate(texts)}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.batches import give_back  # noqa: F401
 from ..session import scratch_path
 
 #: White space and words of the contracts: code points 9-13 and 32 only.
@@ -57,18 +57,6 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def give_back() -> None:
-    """Return freed memory to the system: a Python worker lives on for other tasks and
-    stages and otherwise keeps the most it ever held."""
-    import ctypes
-
-    import pyarrow as pa
-
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):      # not this C library
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back.
 

@@ -16,11 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.batches import give_back, lists_of, runs
 from .order import global_offset, running_total
 
 # GPT-2 end-of-text id and the default context / shard sizes.
@@ -28,6 +31,8 @@ EOT_ID = 50256
 DEFAULT_CTX = 1024
 DEFAULT_SHARD_TOKENS = 1_500_000
 UINT16_MAX = 65535
+# Bytes of text that a Python worker turns into ids at a time.
+RUN_CHARS = 1 << 20
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -68,22 +73,34 @@ def encode_lines(text, encode: Callable[[Column], Column], newline: Sequence[int
 
 
 def encode_lines_with(text, encoder_factory: Callable[[], object], newline: Sequence[int]) -> Column:
-    """:func:`encode_lines` for any encoder object.  Each distinct line of an Arrow batch is
+    """:func:`encode_lines` for any encoder object.  Each distinct line of some texts is
     encoded once (the task line of an example repeats in nearly all of them); lines are
-    put together again in place, so nothing is shuffled."""
+    put together again in place, so nothing is shuffled.  A worker holds an Arrow batch
+    and the ids of ``RUN_CHARS`` bytes of it, as 32-bit integers."""
     end = [int(i) for i in newline]
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _enc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder_factory()
-        for s in batches:
-            lines = s.dropna().str.split("\n").explode()
-            codes, distinct = pd.factorize(lines)
-            ids = [[*enc.encode(x), *end] for x in distinct]
-            rows: dict = {i: [] for i in lines.index}
-            for i, c in zip(lines.index, codes, strict=True):
-                rows[i] += ids[c]
-            yield pd.Series([rows.get(i) for i in s.index], dtype=object)
+
+        def ids_of(texts: list) -> pa.Array:
+            found: dict[str, np.ndarray] = {}
+            parts, sizes = [np.array([], "int32")], []
+            for text in texts:
+                n = 0
+                for line in [] if text is None else text.split("\n"):
+                    ids = found.get(line)
+                    if ids is None:
+                        ids = found[line] = np.array([*enc.encode(line), *end], "int32")
+                    parts.append(ids)
+                    n += len(ids)
+                sizes.append(n)
+            return lists_of(pa.array(np.concatenate(parts)), sizes, pa.array([x is None for x in texts], pa.bool_()))
+
+        for batch in batches:
+            for run in runs(batch, RUN_CHARS):
+                yield ids_of(run.to_pylist())
+            give_back()
 
     return _enc(_c(text))
 
