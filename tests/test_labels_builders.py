@@ -136,6 +136,21 @@ def test_lexicon_keywords_and_lookup(spark):
     assert out == {"0": "zero", "7": "other"}
 
 
+def test_listed_words_are_dropped_in_runs_of_bounded_size(spark, monkeypatch):
+    from textloom.functions import batches
+    from textloom.operators import words as W
+    import pyarrow as pa
+
+    assert [len(x) for x in batches.runs(pa.array([["a"] * 3, None, [], ["b"] * 9, ["c"]]), 4)] == [3, 1, 1]
+    assert [x.to_pylist() for x in batches.runs(pa.array(["ab", None, "cd", "e"]), 3)] == [["ab", None], ["cd", "e"]]
+    docs = spark.createDataFrame([(i, [f"w{i}", "x", None, "x", "y"] if i % 5 else None) for i in range(50)], "id long, toks array<string>")
+    listed = [f"w{i}" for i in range(0, 1000, 2)]
+    monkeypatch.setattr(W, "RUN_WORDS", 7)
+    for unique, rest in ((True, ["x", None, "y"]), (False, ["x", None, "x", "y"])):
+        got = {r["id"]: r["t"] for r in docs.select("id", W.drop_listed("toks", listed, unique).alias("t")).collect()}
+        assert got == {i: None if i % 5 == 0 else [f"w{i}"] * (i % 2) + rest for i in range(50)}
+
+
 def test_section_examples_and_trial(spark):
     secs = spark.createDataFrame([(1, "Panic Disorder", "recurrent attacks")], "section_id long, title string, body string")
     blank = specs.section_examples(secs).collect()  # the fixed post has 2 keywords < 3

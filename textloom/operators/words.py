@@ -2,19 +2,24 @@
 label lookup tables.
 
 A stop-word sized list is applied as one array literal (``array_except``); a
-larger bounded list as a broadcast set in an Arrow-batched pandas UDF (set built
-once per worker, not once per row); a list beyond that bound goes through
+larger bounded list as a broadcast set in an Arrow UDF over the distinct words of a
+run of rows (the set built once per worker, not once per row); a list beyond that bound goes through
 explode -> anti join -> regroup by row key, broadcast only under the checked
 size, a shuffle join otherwise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.batches import give_back, lists_of, runs
 from ..functions.text import STOP_WORDS
 
 # Word lists up to this many entries are removed inside the JVM with an array
@@ -22,8 +27,10 @@ from ..functions.text import STOP_WORDS
 # row, so this stays small (stop-word sized).
 LITERAL_SMALL = 256
 # Larger lists up to this many entries: a broadcast set, applied by an
-# Arrow-batched pandas UDF that builds the set once per Python worker.
+# Arrow UDF that builds the set once per Python worker.
 LITERAL_MAX = 1_000_000
+# Words that a Python worker handles at a time.
+RUN_WORDS = 1 << 18
 # Lookup tables up to this many rows are broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -45,31 +52,39 @@ def drop_listed(tokens, words: Sequence[str], unique: bool = True) -> Column:
             return F.array_except(t, arr)
         return F.filter(t, lambda x: ~F.array_contains(arr, x))
     from pyspark import SparkContext
-    from pyspark.sql import types as T
 
     bc = SparkContext.getOrCreate().broadcast(frozenset(words))
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _drop(col):
-        import pandas as pd
-
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def _drop(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ws = bc.value
+        for batch in batches:
+            for run in runs(batch, RUN_WORDS):
+                flat, row, _, codes, distinct = _coded(run)
+                keep = np.flatnonzero(np.array([x not in ws for x in distinct], bool)[codes])
+                if unique:
+                    keep = _firsts(row, codes, keep)
+                yield lists_of(flat.take(pa.array(keep)), np.bincount(row[keep], minlength=len(run)), run.is_null())
+            give_back()
 
-        def one(a):
-            if a is None:
-                return None
-            if unique:
-                seen, out = set(), []
-                for x in a:
-                    if x not in ws and x not in seen:
-                        seen.add(x)
-                        out.append(x)
-                return out
-            return [x for x in a if x not in ws]
+    return _drop(t)
 
-        return pd.Series([one(a) for a in col])
 
-    return _drop(t)
+def _coded(run: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, list]:
+    """All elements of the lists of ``run``, their lists and places there, and their codes
+    into the distinct elements (a null is one of them)."""
+    flat = pc.list_flatten(run)
+    sizes = pc.fill_null(pc.list_value_length(run), 0).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(run)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    coded = flat.dictionary_encode(null_encoding="encode")
+    return flat, row, place, coded.indices.to_numpy(zero_copy_only=False).astype("int64"), coded.dictionary.to_pylist()
+
+
+def _firsts(row: np.ndarray, codes: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Of the elements ``among``, in order, the first one of each code in its list."""
+    pair = row[among] * (codes.max(initial=0) + 1) + codes[among]
+    return among[np.sort(np.unique(pair, return_index=True)[1])]
 
 
 def remove_words(df: DataFrame, tokens: str, words: DataFrame, key: Sequence[str], out: str | None = None,
