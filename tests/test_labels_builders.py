@@ -136,6 +136,31 @@ def test_lexicon_keywords_and_lookup(spark):
     assert out == {"0": "zero", "7": "other"}
 
 
+def test_lexicon_rows_that_share_a_key(spark, monkeypatch):
+    from textloom.operators import words as W
+
+    docs = spark.createDataFrame([(0, ["dogs", "cats", "saw"]), (0, ["cat", "dogs", None, "left"]), (None, ["saw"]), (1, ["none"]), (2, None),
+                                  (3, ["left", "dogs", "left"])], "id long, toks array<string>")
+    lex = spark.createDataFrame([("dogs", "dog", "NOUN"), ("cats", "cat", "NOUN"), ("cat", None, "NOUN"), ("saw", "see", "VERB"), ("saw", "saw", "NOUN"),
+                                 ("left", "leave", "VERB"), ("none", "none", "PRON")], "token string, lemma string, pos string")
+
+    def got(df, **kw):
+        return {r["id"]: r["lemmas"] for r in W.lexicon_keywords(df, "toks", lex, key=["id"], min_keywords=1, **kw).collect()}
+
+    for limit in (W.LEXICON_MAX, 0):        # broadcast, joined
+        monkeypatch.setattr(W, "LEXICON_MAX", limit)
+        assert got(docs) == {0: ["cat", "dog", "saw", "see", "leave"], None: ["saw", "see"], 3: ["leave", "dog"]}
+        assert got(docs, unique=False)[3] == ["leave", "dog", "leave"]
+        assert got(docs.filter("id = 3")) == {3: ["leave", "dog"]}
+
+
+def test_lexicon_lookup_runs_once_and_moves_no_tokens(spark):
+    import __spark_entry__ as E
+
+    plan = E.queries()["q_lexicon_keywords"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "hashpartitioning" not in plan and "explode(split" not in plan
+
+
 def test_listed_words_are_dropped_in_runs_of_bounded_size(spark, monkeypatch):
     from textloom.functions import batches
     from textloom.operators import words as W

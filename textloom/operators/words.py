@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.batches import give_back, lists_of, runs
 from ..functions.text import STOP_WORDS
+from .examples import keep_if
 
 # Word lists up to this many entries are removed inside the JVM with an array
 # literal; ``array_except`` rebuilds its hash set from the literal for every
@@ -29,6 +30,8 @@ LITERAL_SMALL = 256
 # Larger lists up to this many entries: a broadcast set, applied by an
 # Arrow UDF that builds the set once per Python worker.
 LITERAL_MAX = 1_000_000
+# Lexicons up to this many wanted entries are looked up the same way.
+LEXICON_MAX = 200_000
 # Words that a Python worker handles at a time.
 RUN_WORDS = 1 << 18
 # Lookup tables up to this many rows are broadcast.
@@ -122,20 +125,80 @@ def lexicon_keywords(df: DataFrame, tokens: str, lexicon: DataFrame, key: Sequen
     lexicon; keep lemmas of the wanted parts of speech that are not stop words
     and longer than one character; order kept, optionally unique.  Rows with
     fewer than ``min_keywords`` lemmas are dropped.  Tokens missing from the
-    lexicon have no part of speech and are dropped."""
+    lexicon have no part of speech and are dropped.  Rows that share a ``key`` are
+    one row, their lemmas by place.
+
+    Up to ``LEXICON_MAX`` wanted entries (checked by a bounded collect) the lexicon is
+    broadcast to the rows (:func:`_lemmas_of`), and only where a key repeats (counted from the
+    key columns) their lemmas are grouped; beyond that, tokens are exploded and joined."""
     key = list(key)
     lex = lexicon.select(F.col("token").alias("_tok"), F.lower(F.coalesce("lemma", "token")).alias("_lemma"), "pos")
-    lex = lex.filter(F.col("pos").isin(*keep_pos))
-    if lexicon.count() <= BROADCAST_MAX_ROWS:
-        lex = F.broadcast(lex)
-    ex = df.select(*key, F.posexplode(tokens).alias("_pos", "_tok"))
-    j = ex.join(lex, "_tok", "inner").filter((F.length("_lemma") > 1) & ~F.col("_lemma").isin(*stop_words))
-    g = j.groupBy(*key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_lemma"))), lambda x: x["_lemma"]).alias(out)
-    )
+    lex = lex.filter(F.col("pos").isin(*keep_pos) & (F.length("_lemma") > 1) & ~F.col("_lemma").isin(*stop_words)).drop("pos")
+    lex = lex.filter(F.col("_tok").isNotNull())
+    head = [tuple(r) for r in lex.limit(LEXICON_MAX + 1).collect()]     # bounded: at most LEXICON_MAX + 1 entries
+    if len(head) <= LEXICON_MAX:
+        once = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).isEmpty()
+        g = _by_key(df.select(*key, _lemmas_of(F.col(tokens), head, unique).alias("_l")), key, out, once)
+    else:
+        if lexicon.count() <= BROADCAST_MAX_ROWS:
+            lex = F.broadcast(lex)
+        j = df.select(*key, F.posexplode(tokens).alias("_pos", "_tok")).join(lex, "_tok", "inner")
+        g = j.groupBy(*key).agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_lemma"))), lambda x: x["_lemma"]).alias(out)
+        )
     if unique:
         g = g.withColumn(out, F.array_distinct(out))
-    return g.filter(F.size(out) >= min_keywords)
+    return keep_if(g, F.size(out) >= min_keywords)      # a filter would be pushed below the lookup and repeat it
+
+
+def _lemmas_of(tokens: Column, entries: Sequence[tuple[str, str]], unique: bool) -> Column:
+    """Struct of two arrays: the places of ``tokens`` that have a lemma in ``entries`` (token,
+    lemma) and these lemmas, by place, then lemma; with ``unique`` a lemma's first place only."""
+    from pyspark import SparkContext
+
+    table: dict[str, list[str]] = {}
+    for token, lemma in sorted(entries):
+        table.setdefault(token, []).append(lemma)
+    bc = SparkContext.getOrCreate().broadcast(table)
+    at = T.StructType([T.StructField("pos", T.ArrayType(T.IntegerType())), T.StructField("lemma", T.ArrayType(T.StringType()))])
+
+    @F.arrow_udf(at)
+    def _find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = bc.value
+        for batch in batches:
+            for run in runs(batch, RUN_WORDS):
+                _, row, place, codes, distinct = _coded(run)
+                found = [table.get(x, ()) for x in distinct]
+                n = np.array([len(x) for x in found], "int64")
+                lemmas = pa.array([y for x in found for y in x], pa.string()).dictionary_encode()
+                ids = lemmas.indices.to_numpy(zero_copy_only=False).astype("int64")
+                # Each element once per lemma of its token.
+                often = n[codes]
+                el = np.repeat(np.arange(len(codes)), often)
+                nth = np.arange(len(el)) - np.repeat(np.cumsum(often) - often, often)
+                lemma = ids[(np.cumsum(n) - n)[codes[el]] + nth]
+                rows, places = row[el], place[el]
+                if unique:
+                    keep = _firsts(rows, lemma, np.arange(len(el)))
+                    rows, places, lemma = rows[keep], places[keep], lemma[keep]
+                sizes = np.bincount(rows, minlength=len(run))
+                yield pa.StructArray.from_arrays([lists_of(pa.array(places.astype("int32")), sizes),
+                                                  lists_of(lemmas.dictionary.take(pa.array(lemma)), sizes)], names=["pos", "lemma"])
+            give_back()
+
+    return _find(tokens)
+
+
+def _by_key(found: DataFrame, key: Sequence[str], out: str, once: bool) -> DataFrame:
+    """Lemmas (``_l``) by ``key``; those of several rows by place, then lemma.  Where every
+    key names one row (``once``), no lemma is moved."""
+    found = keep_if(found, F.size("_l.pos") > 0)
+    if once:
+        return found.select(*key, F.col("_l.lemma").alias(out))
+    g = found.groupBy(*key).agg(F.collect_list("_l").alias("_ls"))
+    places = F.flatten(F.transform("_ls", lambda x: F.arrays_zip(x["pos"].alias("pos"), x["lemma"].alias("lemma"))))
+    merged = F.transform(F.array_sort(places), lambda x: x["lemma"])
+    return g.select(*key, F.when(F.size("_ls") == 1, F.col("_ls")[0]["lemma"]).otherwise(merged).alias(out))
 
 
 def lookup(df: DataFrame, col: str, table: DataFrame, key: str = "key", value: str = "value",
