@@ -491,3 +491,28 @@ def test_capped_stream_reads_its_texts_in_many_files(spark, tmp_path, monkeypatc
     assert len(files) > 2 and max(spark.read.parquet(str(f)).count() for f in files) < 59
     assert {f.name for f in (tmp_path / "capped-ckpt" / "commits").iterdir() if not f.name.startswith(".")} >= {"0", "1"}
     assert not (tmp_path / "capped-ckpt" / "commits" / "2").exists()
+
+
+def test_array_elements_do_not_carry_their_array(spark, tmp_path):
+    import re
+
+    _write(tmp_path / "a.json", json.dumps([{"k": i} for i in range(500)] + [7]).encode())
+    _write(tmp_path / "b.json", b'{"rows": 1}')
+    d, _ = readers._json_files(spark, [str(tmp_path / "*.json")])
+    kept = re.search(r"Generate posexplode\(__a#\d+\), \[(.*?)\], true", d._jdf.queryExecution().executedPlan().toString())
+    assert kept and "__a#" not in kept[1] and "value#" not in kept[1]
+    got = {(r["__reason"], r["n"]) for r in d.groupBy("__reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {(None, 500), (readers.NOT_OBJECT, 1), (readers.NOT_ARRAY, 1)}
+
+
+def test_listed_files_are_not_looked_at_again(spark, tmp_path, monkeypatch):
+    for k in range(3):
+        _write(tmp_path / f"{k}.jsonl", b'{"a": 1}\n\n')
+    _write(tmp_path / "none.jsonl", b"")
+    asked = []
+    look = readers.empty_files
+    monkeypatch.setattr(readers, "empty_files", lambda s, paths, *a: asked.append(list(paths)) or look(s, paths, *a))
+    scan = readers.scan_any(spark, str(tmp_path))
+    assert sorted(asked) == [[], [str(tmp_path)]]
+    assert {(r["reason"], r["n"]) for r in scan.report().groupBy("reason").agg(F.sum("n").alias("n")).collect()} == {
+        (readers.BLANK, 3), (readers.EMPTY_FILE, 1)}

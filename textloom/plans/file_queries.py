@@ -7,6 +7,8 @@ builders and sinks under test do the rest.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,12 +147,21 @@ def _first_of_file() -> Column:
 
 def _write_lines(lines: DataFrame, path: str, suffix: str) -> None:
     """One text file per task, with ``suffix``."""
-    from .catalog import _rename
-
     lines.write.text(path)
     spark = lines.sparkSession
-    for p in readers.list_files(spark, path, suffixes=[".txt"]) + readers.empty_files(spark, [path], False, [".txt"]):
-        _rename(p, p[: -len(".txt")] + suffix)
+    _resuffix(readers.list_files(spark, path, suffixes=[".txt"]) + readers.empty_files(spark, [path], False, [".txt"]), suffix)
+
+
+def _resuffix(paths: list[str], suffix: str) -> None:
+    """``suffix`` in place of ``.txt``."""
+    from .catalog import _rename
+
+    with ThreadPoolExecutor(readers.HEAD_THREADS) as pool:
+        list(pool.map(lambda p: _rename(p, p[: -len(".txt")] + suffix), paths))
+
+
+#: Ids whose documents go into one JSON array.
+ARRAY_ROWS = 500
 
 
 @register("q_rejected_rows", f"""
@@ -179,13 +190,11 @@ def q_rejected_rows(spark, sf):
     record = F.when(k == 0, cell).when(k == 1, F.concat_ws(",", cell, "doc_id", F.lit("x"), F.lit("y"))).when(
         k == 2, F.concat_ws(",", cell, F.lit(""), F.lit("x"))).when(k == 9, "").otherwise(F.concat_ws(",", cell, "doc_id"))
     _write_lines(d.select(F.when(_first_of_file(), F.concat(F.lit("name,id\n"), record)).otherwise(record).alias("value")), f"{root}/cells", ".csv")
-    # An array per document: one element each.
+    # One element per document, arrays of ``ARRAY_ROWS`` ids: few files to list, none too large for a task.
     element = F.when(k == 0, "17").when(k == 1, '"text"').when(k == 2, "[1]").otherwise(j)
-    groups = d.groupBy(F.expr("doc_id div 50").alias("g")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(element), ", "), F.lit("]")).alias("value"))
+    groups = d.groupBy(F.expr(f"doc_id div {ARRAY_ROWS}").alias("g")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(element), ", "), F.lit("]")).alias("value"))
     groups.select(F.expr("int(g % 16)").alias("part"), "g", "value").write.partitionBy("part", "g").text(f"{root}/arrays")
-    from .catalog import _rename
-    for p in readers.list_files(spark, f"{root}/arrays", suffixes=[".txt"]):
-        _rename(p, p[: -len(".txt")] + ".json")
+    _resuffix(readers.list_files(spark, f"{root}/arrays", suffixes=[".txt"]), ".json")
     for name, text in (("empty", None), ("cut", '[{"a": 1}, {"b'), ("shape", '{"rows": [1]}')):
         one = spark.range(0, 1, 1, 1).select(F.lit(text).cast("string").alias("value"), "id").filter(F.col("id") < (1 if text else 0))
         _write_lines(one.select("value"), f"{root}/broken/{name}", ".json")

@@ -282,7 +282,10 @@ def _scan(spark: SparkSession, tagged: DataFrame, paths: Sequence[str], files: S
     stored, totals = _store(tagged, reasons)
     bad = stored.filter(F.col("__reason").isNotNull()).select(F.col(f"{SRC}.file").alias("file"), F.col("__reason").alias("reason"),
                                                               F.col("__raw").alias("raw"))
-    bad = bad.unionByName(_missing_files(spark, files, empty_files(spark, paths, False), stored))
+    # A listed file is not empty: only folders, globs and files that were not listed are looked at.
+    listed = set(files)
+    empty = empty_files(spark, [p for p in paths if p not in listed], False)
+    bad = bad.unionByName(_missing_files(spark, files, empty, stored))
     keep = F.col("__reason").isNull() | F.col("__reason").isin(*MENDED)
     return Scan(finish(stored.filter(keep)), bad, list(files), totals)
 
@@ -389,9 +392,11 @@ def _json_files(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, l
     raw = _with_provenance(_tag(spark.read.option("wholetext", True).option("ignoreCorruptFiles", True).text(files)), files, whole_file=True)
     raw = raw.filter(F.length("value") > 0)         # an empty file has no record
     top = F.from_json(F.col("value"), _MAP)
-    d = raw.select(SRC, "value", F.coalesce(F.from_json(F.col("value"), "array<string>"), F.from_json(top["data"], "array<string>")).alias("__a"),
+    d = raw.select(SRC, F.coalesce(F.from_json(F.col("value"), "array<string>"), F.from_json(top["data"], "array<string>")).alias("__a"),
                    F.from_json(F.col("value"), _MAP).isNotNull().alias("__object"))
-    d = d.select(SRC, "value", "__object", F.col("__a").isNotNull().alias("__shaped"), F.posexplode_outer("__a").alias("__pos", "__el"))
+    # The flags first: what is read beside the elements is copied for each of them, and must not be the array.
+    d = d.select(SRC, "__object", F.col("__a").isNotNull().alias("__shaped"), "__a")
+    d = d.select(SRC, "__object", "__shaped", F.posexplode_outer("__a").alias("__pos", "__el"))
     d = d.filter(~F.col("__shaped") | F.col("__pos").isNotNull())       # an empty array has no records
     d = d.withColumn("__m", F.from_json(F.col("__el"), _MAP))
     whole = F.when(F.col("__object"), NOT_ARRAY).otherwise(UNPARSABLE)
