@@ -326,3 +326,15 @@ def test_lines_are_encoded_in_runs_of_bounded_size(spark, monkeypatch):
     d = spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1)
     got = {r["k"]: r["u"] for r in d.select("k", tk.encode_lines_with("t", _Trim, [10]).alias("u")).collect()}
     assert got == {k: None if t is None else [i for x in t.split("\n") for i in [*_Trim().encode(x), 10]] for k, t in enumerate(texts)}
+
+
+def test_byte_ids_up_to_a_limit(spark):
+    texts = [None, "", "a", "äöü", "abc", "x" * 50]
+    d = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    for n in (1, 3, 8):
+        got = {r["k"]: r["u"] for r in d.select("k", tk.encode_bytes("t", n).alias("u")).collect()}
+        assert got == {k: None if t is None else list(t.encode())[:n] for k, t in enumerate(texts)}
+    def encodings(ids):
+        return d.select(ids)._jdf.queryExecution().optimizedPlan().toString().count("ISO-8859-1")
+
+    assert encodings(tk.guard_uint16(tk.encode_bytes("t"))) == encodings(tk.encode_bytes("t"))

@@ -38,15 +38,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def encode_bytes(text) -> Column:
-    """UTF-8 byte ids of ``text`` as ``array<int>`` (JVM only, linear).
+def encode_bytes(text, limit: int | None = None) -> Column:
+    """UTF-8 byte ids of ``text`` as ``array<int>`` (JVM only, linear); with ``limit`` the
+    first ``limit`` of them, the others are not made.
 
     The UTF-8 bytes are decoded as ISO-8859-1, which maps byte b to the
     character U+00bb one to one; splitting into characters and taking each
     code point gives the byte values without per-position substring calls.
     """
     t = _c(text)
-    latin = F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+    data = F.encode(t, "UTF-8")
+    latin = F.decode(data if limit is None else F.substring(data, 1, limit), "ISO-8859-1")
     ids = F.transform(F.split(latin, ""), lambda ch: F.ascii(ch))
     return F.when(F.length(t) == 0, F.array().cast("array<int>")).otherwise(ids)
 
@@ -122,8 +124,9 @@ def prepend_eot(tokens, eot: int = EOT_ID) -> Column:
 
 def guard_uint16(tokens) -> Column:
     """Fail the task when an id does not fit in 16 bits."""
-    t = _c(tokens)
-    return F.when(F.array_max(t) > UINT16_MAX, F.raise_error(F.lit("token id exceeds uint16")).cast("array<int>")).otherwise(t)
+    fail = F.raise_error(F.lit("token id exceeds uint16")).cast("array<int>")
+    # As a lambda's variable: the expression behind ``tokens`` is evaluated once.
+    return F.element_at(F.transform(F.array(_c(tokens)), lambda t: F.when(F.array_max(t) > UINT16_MAX, fail).otherwise(t)), 1)
 
 
 def pack_blocks(

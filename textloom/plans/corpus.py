@@ -110,9 +110,12 @@ def with_tokens(df: DataFrame, cfg: CorpusConfig, text: str = "example") -> Data
     if cfg.unpacked and cfg.mode == "none":
         # A stream of lines: each line encoded apart, and its newline's ids after it.
         ids = tk.encode_lines(text, tk.encode_bytes, cfg.newline) if cfg.encoder is None else tk.encode_lines_with(text, cfg.encoder, cfg.newline)
+        ids = tk.guard_uint16(ids)
+    elif cfg.encoder is None:
+        # Bytes fit, and those behind the cut are not made.
+        ids = tk.encode_bytes(text, max(cfg.ctx, 1) if cfg.mode in ("truncate", "eot_cap") else None)
     else:
-        ids = tk.encode_bytes(text) if cfg.encoder is None else tk.encode_with(text, cfg.encoder)
-    ids = tk.guard_uint16(ids)
+        ids = tk.guard_uint16(tk.encode_with(text, cfg.encoder))
     if cfg.mode == "truncate":
         ids = tk.truncate(ids, cfg.ctx)
     elif cfg.mode == "eot_cap":
