@@ -338,3 +338,25 @@ def test_byte_ids_up_to_a_limit(spark):
         return d.select(ids)._jdf.queryExecution().optimizedPlan().toString().count("ISO-8859-1")
 
     assert encodings(tk.guard_uint16(tk.encode_bytes("t"))) == encodings(tk.encode_bytes("t"))
+
+
+def test_raw_stream_from_an_expression_is_made_after_the_deal(spark, tmp_path):
+    from textloom.plans.file_queries import _ids_sha
+    from textloom.sources import sinks
+
+    texts = [f"text {i} ä" * (i % 4) for i in range(40)]
+    d = spark.createDataFrame([(39 - i, t) for i, t in enumerate(texts)], "k int, t string")
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def ids(t):
+        made.add(1)
+        return list(t.encode())
+
+    sinks.write_u16(d.repartition(4), str(tmp_path / "u16"), ["k"], ids("t"), partitions=3)
+    assert made.value == 40         # not for the sample of the order as well
+    back = sinks.read_u16(spark, str(tmp_path / "u16"))
+    flat = [i for r in back.orderBy("pos").collect() for i in r["tokens"]]
+    assert flat == list("".join(reversed(texts)).encode())
+    sets = spark.createDataFrame([(0, []), (1, [5]), (2, [1, 50256, 3]), (3, None)], "k int, ids array<int>")
+    assert sets.filter(_ids_sha("ids").eqNullSafe(F.sha1(F.array_join("ids", ",")))).count() == 4

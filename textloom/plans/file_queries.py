@@ -214,7 +214,9 @@ def q_rejected_rows(spark, sf):
 # B2: the raw token stream, rewritten and read back
 # ---------------------------------------------------------------------------
 def _ids_sha(col: str) -> Column:
-    return F.sha1(F.array_join(F.col(col), ","))
+    """Of the ids (none null) joined by commas: their JSON text without its brackets, made
+    in one go instead of a string per id."""
+    return F.sha1(F.btrim(F.to_json(F.col(col)), F.lit("[]")))
 
 
 @register("q_u16_roundtrip", ORACLES["q_pack_whole"])
@@ -224,9 +226,9 @@ def q_u16_roundtrip(spark, sf):
     path = scratch_path(spark, "u16")
     d = read_table(spark, sf, "documents", ["doc_id", "text"]).filter(F.col("text").isNotNull())
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sinks.write_u16(d.select("doc_id", tk.encode_bytes(F.concat("text", F.lit("old"))).alias("tokens")), path, ["doc_id"], partitions=n)
+    sinks.write_u16(d, path, ["doc_id"], tk.encode_bytes(F.concat("text", F.lit("old"))), partitions=n)
     ids = F.concat(tk.encode_bytes("text"), F.array(F.lit(tk.EOT_ID)))
-    sinks.write_u16(d.select("doc_id", ids.alias("tokens")), path, ["doc_id"], partitions=n // 2)
+    sinks.write_u16(d, path, ["doc_id"], ids, partitions=n // 2)
     blocks = sinks.blocks_of(sinks.read_u16(spark, path), CTX)
     return blocks.select("block_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha("tokens").alias("ids_sha1"))
 

@@ -19,7 +19,7 @@ import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 try:  # Python Data Source API (Spark 4)
@@ -211,15 +211,18 @@ class U16TokenSource(DataSource):
         return _U16Reader(self.options)
 
 
-def write_u16(df: DataFrame, path: str, order: Sequence[str], tokens: str = "tokens",
+def write_u16(df: DataFrame, path: str, order: Sequence[str], tokens: str | Column = "tokens",
               partitions: int | None = None, mode: str = "overwrite") -> None:
     """Write ``tokens`` of ``df`` in ``order`` as one raw uint16 stream, in place of
-    the one at ``path`` or (``append``) after it."""
+    the one at ``path`` or (``append``) after it.  ``tokens``: a column, or an expression over
+    ``df``; an expression is evaluated after the rows are dealt out, once per row, while a
+    column is made for the sample of the order as well and moved as ids."""
     spark = df.sparkSession
     spark.dataSource.register(U16TokenSource)
-    d = df.select(*order, F.col(tokens).alias("tokens"))
-    d = d.repartitionByRange(partitions, *order) if partitions else d.repartitionByRange(*order)
-    d = d.sortWithinPartitions(*order).select("tokens")
+    if isinstance(tokens, str):
+        df, tokens = df.select(*order, F.col(tokens).alias("tokens")), F.col("tokens")
+    d = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    d = d.sortWithinPartitions(*order).select(tokens.alias("tokens"))
     d.write.format("textloom_u16").mode(mode).option("path", path).save()
 
 
