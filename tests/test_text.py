@@ -168,3 +168,23 @@ def test_keep_if_is_not_pushed_below_projection(spark):
     df = spark.range(10).withColumn("x", F.sha1(F.col("id").cast("string")))
     plan = keep_if(df, F.col("x").startswith("a"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" in plan
+
+
+def test_safe_double_casts_what_the_cast_accepts(spark):
+    texts = [None, "", " ", "o", "F", "yes", "1", "-2.5", "+.5", " 7 ", "\t8", "\n-9\r", "1e3", "1.0f", "2d", "inf", "-Infinity", "NaN", "nan", "0x1p3",
+             "--1", "1-", "e5", "++2", "\x001", "none", "N/A", "Normal", "\u00a05"]
+    d = spark.createDataFrame(list(enumerate(texts)), "k int, t string").withColumn("x", tx.safe_double("t"))
+    s = F.trim(F.col("t"))
+    plain = F.when(~s.rlike("[0-9.][fFdD]$"), s.try_cast("double"))
+    assert d.filter(~F.col("x").eqNullSafe(plain)).count() == 0
+    # Words do not reach the cast, where each would raise.
+    words = F.lit("o"), F.lit("absent"), F.lit(" yes")
+    assert d.limit(1).select(*[w.rlike(tx.NUMBER_START_RE) for w in words]).first()[:] == (False,) * 3
+
+
+def test_stop_words_are_no_set_per_row(spark):
+    d = spark.createDataFrame([("The cat, the CAT and a dog x",), (None,), ("",)], "t string")
+    got = d.select(tx.keyword_tokens("t").alias("k"), tx.keyword_tokens("t", stop_words=None).alias("all"),
+                   tx.keyword_tokens("t", extra_words=["dog"]).alias("more"))
+    assert [tuple(r) for r in got.collect()] == [(["cat", "dog"], ["the", "cat", "and", "dog"], ["cat"]), (None,) * 3, ([],) * 3]
+    assert "array_except" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -30,6 +30,7 @@ MENTION_RE = f"@{WORD}+"
 HASHTAG_RE = f"#{WORD}+"
 NON_KEYWORD_RE = f"[^a-z0-9{WS_CHARS}]+"
 REPEAT_RE = r"([^\n])\1{5,}"
+NUMBER_START_RE = r"^[\x{0}-\x{20}]*[+-]?[0-9.iInN]"
 REPLACEMENT_CHAR_RE = r"\x{FFFD}"
 
 # --------------------------------------------------------------------------
@@ -168,14 +169,14 @@ def keyword_tokens(
     already lower-cased word list such as a profanity file) is removed by value
     in the same step.
 
-    With ``unique`` the stop list is removed by ``array_except`` (hash-set
-    lookups; keeps first-occurrence order and drops repeats in one step).
+    With ``unique`` repeats go first (``array_distinct`` keeps first occurrences); the stop
+    list is an ``isin`` of literals, a set that is built once and not, as by
+    ``array_except``, for every row.
     """
     toks = F.split(normalize_for_keywords(c, strip_emoji, patterns_stripped), " ")
     stops = list(stop_words or []) + [w for w in (extra_words or []) if w not in set(stop_words or [])]
     if unique:
-        stop_arr = F.array(*[F.lit(w) for w in stops]) if stops else F.array().cast("array<string>")
-        return F.filter(F.array_except(toks, stop_arr), lambda t: F.length(t) > 1)
+        return F.filter(F.array_distinct(toks), lambda t: (F.length(t) > 1) & ~t.isin(*stops) if stops else F.length(t) > 1)
     if stops:
         stop_arr = F.array(*[F.lit(w) for w in stops])
         return F.filter(toks, lambda t: (F.length(t) > 1) & ~F.array_contains(stop_arr, t))
@@ -204,18 +205,19 @@ def has_repeat_run(c) -> Column:
     return F.coalesce(_col(c).rlike(REPEAT_RE), F.lit(False))
 
 
-def has_promo(c, phrases: Iterable[str] = PROMO_PHRASES) -> Column:
-    low = F.lower(_col(c))
+def has_promo(c, phrases: Iterable[str] = PROMO_PHRASES, low: Column | None = None) -> Column:
+    low = F.lower(_col(c)) if low is None else low
     cond = F.lit(False)
     for p in phrases:
         cond = cond | low.contains(p)
     return F.coalesce(cond, F.lit(False))
 
 
-def is_spammy(c, min_chars: int = MIN_CHARS) -> Column:
-    """Empty/short, a character repeated 6+ times, or a promo phrase."""
+def is_spammy(c, min_chars: int = MIN_CHARS, low: Column | None = None) -> Column:
+    """Empty/short, a character repeated 6+ times, or a promo phrase.  ``low``: the text in
+    lower case where a column holds it; every phrase would lower it again."""
     x = _col(c)
-    return (x.isNull() | (x == "")) | too_short(x, min_chars) | has_repeat_run(x) | has_promo(x)
+    return (x.isNull() | (x == "")) | too_short(x, min_chars) | has_repeat_run(x) | has_promo(x, low=low)
 
 
 def is_header_line(c, max_words: int = 10) -> Column:
@@ -282,10 +284,11 @@ def safe_double(c) -> Column:
     """Python ``float(x)`` on a string, NULL when it does not parse.
 
     Spark also accepts a trailing type suffix (``1.0f``/``1d``) that Python
-    rejects, so those are excluded first.
+    rejects, so those are excluded first.  Text that does not begin like a number (or
+    ``inf``, ``nan``) is not cast: inside the cast each such row costs an exception.
     """
     s = F.trim(_col(c).cast("string"))
-    return F.when(~s.rlike("[0-9.][fFdD]$"), s.try_cast("double"))
+    return F.when(s.rlike(NUMBER_START_RE) & ~s.rlike("[0-9.][fFdD]$"), s.try_cast("double"))
 
 
 def render_example(post, task, answer, eot: bool = True) -> Column:

@@ -27,13 +27,15 @@ def keep_if(df: DataFrame, cond: Column) -> DataFrame:
     return df.withColumn("_keep", F.explode(F.filter(F.array(F.lit(1)), lambda _x: F.coalesce(cond, F.lit(False))))).drop("_keep")
 
 
-def _strip_patterns_staged(df: DataFrame, src: str, out: str) -> DataFrame:
+def _strip_patterns_staged(df: DataFrame, src: str, out: str, low: str | None = None) -> DataFrame:
     """URL, e-mail, mention and hashtag removal as separate projections, each
     regex skipped when the substring it needs (``://``/``www.``, ``@``, ``#``)
     is absent.  Each step reads the previous column several times, so
-    Catalyst keeps the steps apart instead of copying them into each other."""
+    Catalyst keeps the steps apart instead of copying them into each other.
+    ``low``: the column that holds ``src`` in lower case, if there is one."""
     x = F.col(src)
-    d = df.withColumn("_sp1", F.when(x.contains("://") | F.lower(x).contains("www."), tx.strip_urls(x)).otherwise(x))
+    www = (F.lower(x) if low is None else F.col(low)).contains("www.")
+    d = df.withColumn("_sp1", F.when(x.contains("://") | www, tx.strip_urls(x)).otherwise(x))
     a = F.col("_sp1")
     d = d.withColumn("_sp2", F.when(a.contains("@"), tx.strip_mentions(tx.strip_emails(a))).otherwise(a))
     b = F.col("_sp2")
@@ -55,8 +57,9 @@ def with_post(
     t = F.col(text) if isinstance(text, str) else text
     full = t if title is None else tx.merge_title(t, F.col(title) if isinstance(title, str) else title, trim_title_first)
     d = df.withColumn("_wp_full", full)
-    d = d.withColumn("_wp_spam", tx.is_spammy(F.col("_wp_full"), min_chars))
-    d = _strip_patterns_staged(d, "_wp_full", "_wp_clean")
+    d = d.withColumn("_wp_low", F.lower("_wp_full"))
+    d = d.withColumn("_wp_spam", tx.is_spammy(F.col("_wp_full"), min_chars, F.col("_wp_low")))
+    d = _strip_patterns_staged(d, "_wp_full", "_wp_clean", "_wp_low")
     empty = F.array().cast("array<string>")
     extra = list(kw.pop("extra_words", None) or [])
     from .words import LITERAL_SMALL, drop_listed
@@ -68,7 +71,7 @@ def with_post(
     d = d.withColumn("_wp_toks", F.when(F.col("_wp_spam"), empty).otherwise(toks))
     kept = F.filter(F.array(F.col("_wp_toks")), lambda x: F.size(x) >= min_keywords)
     d = d.withColumn("_wp_kw", F.explode(kept))
-    return d.withColumn(out, F.array_join("_wp_kw", " ")).drop("_wp_full", "_wp_spam", "_wp_clean", "_wp_toks", "_wp_kw")
+    return d.withColumn(out, F.array_join("_wp_kw", " ")).drop("_wp_full", "_wp_low", "_wp_spam", "_wp_clean", "_wp_toks", "_wp_kw")
 
 
 def with_light_text(df: DataFrame, text, title=None, out: str = "post") -> DataFrame:
