@@ -440,3 +440,29 @@ def test_plan_places_every_piece():
             for x, n in s.runs:
                 put[x] += n * s.count
         assert put == Counter(counts)
+
+
+def test_suffixes_are_told_apart_as_by_plain_comparison():
+    import numpy as np
+
+    from textloom.llm import substring_dedup as sd
+
+    rng = np.random.default_rng(5)
+    parts = [bytes(rng.integers(97, 99, rng.integers(1, 60), np.uint8)) for _ in range(120)] + [b"ab" * 40, b"a" * 70, b""]
+    for length in (8, 9, 12, 24, 25, 40):
+        strings = [[p[k:k + length] for k in range(max(len(p) - length + 1, 0))] for p in parts]
+        often = {}
+        for x in sum(strings, []):
+            often[x] = often.get(x, 0) + 1
+        got = sd.repeated_starts(parts, length)
+        assert [g.tolist() for g in got] == [[often[x] > 1 for x in xs] for xs in strings], length
+    # Positions come by rank, not by another sort of all positions.
+    b = np.frombuffer(b"abracadabra abracadabra", np.uint8)
+    calls = []
+    sort = np.argsort
+    try:
+        np.argsort = lambda *a, **kw: calls.append(kw.get("kind")) or sort(*a, **kw)
+        order = sd.suffix_order(b, 16)
+    finally:
+        np.argsort = sort
+    assert sorted(order.tolist()) == list(range(len(b))) and "stable" not in calls

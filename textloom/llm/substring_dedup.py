@@ -158,18 +158,19 @@ def ranks(s: np.ndarray, need: int) -> np.ndarray:
     pair |= np.concatenate([rank[rest + 2], rank[two + 2]])
     rest_pair, two_pair = np.sort(pair[:len(rest)]), pair[len(rest):]
     rest_key, one_key = key(rest), key(one)
-    order = np.argsort(rest_key, kind="stable")
+    # Suffixes that tie agree to the depth asked for: their order is free, so no sort need be stable.
+    order = np.argsort(rest_key)
     place = np.zeros(n + 1, np.int64)
     own = np.empty(len(rest), np.int64)
     own[order] = np.arange(len(rest))
     place[rest] = own + np.searchsorted(np.sort(one_key), rest_key) + np.searchsorted(np.sort(two_pair), pair[:len(rest)])
     own = np.empty(len(cover), np.int64)
-    own[np.argsort(name, kind="stable")] = np.arange(len(cover))
+    own[np.argsort(name)] = np.arange(len(cover))
     sorted_key = rest_key[order]
     place[one] = own[:len(one)] + np.searchsorted(sorted_key, one_key, side="right")
     place[two] = own[len(one):] + np.searchsorted(rest_pair, two_pair, side="right")
     out = np.empty(n, np.int64)
-    out[np.argsort(place[:n], kind="stable")] = np.arange(1, n + 1)
+    out[np.argsort(place[:n])] = np.arange(1, n + 1)
     return out
 
 
@@ -185,7 +186,12 @@ def suffix_order(b: np.ndarray, depth: int) -> np.ndarray:
     for k, lane in enumerate(lanes):
         rank[k::8] = r[at:at + len(lane) - 1]
         at += len(lane)
-    return np.argsort(rank, kind="stable")
+    if depth <= 8:      # names of symbols, equal ones alike
+        return np.argsort(rank)
+    # ``r`` ranks every symbol of the lanes, each differently: positions go to their ranks.
+    at_rank = np.full(len(r) + 1, -1)
+    at_rank[rank] = np.arange(n)
+    return at_rank[at_rank >= 0]
 
 
 def _names_of_words(b: np.ndarray) -> np.ndarray:
